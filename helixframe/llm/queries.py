@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from helixframe.llm import exact_dedup, url_filter
+from helixframe.llm import exact_dedup, mixing, quality_rules, simhash, url_filter
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op4_simhash_near_dedup": simhash.op4_simhash_near_dedup,
+    "op6_mixing": mixing.op6_mixing,
     "op9_url_filters": url_filter.op9_url_filters,
+    "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 SQL = {
     "op1_exact_dedup": exact_dedup.SQL,
+    "op6_mixing": mixing.SQL,
     "op9_url_filters": url_filter.SQL,
+    "op10_quality_rules": quality_rules.SQL,
 }
