@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from helixframe.llm import exact_dedup, mixing, packing, quality_rules, simhash, url_filter
+from helixframe.llm import exact_dedup, html_text, mixing, packing, quality_rules, simhash, url_filter
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_html_extraction": html_text.op2_html_extraction,
     "op3_packing": packing.op3_packing,
     "op4_simhash_near_dedup": simhash.op4_simhash_near_dedup,
     "op6_mixing": mixing.op6_mixing,
