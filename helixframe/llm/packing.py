@@ -10,7 +10,7 @@ multiples of 2048, 1024, 512 or 256 tokens, whichever is the first to do.
 
 Only the class counts (SEQUENCE / UNIT numbers for each way to cut) come to the
 driver, so the plan's cost doesn't depend on the input. Ranks are found in hash
-buckets of each class, and texts are read once and never shuffled.
+buckets of each class. Texts are never shuffled, and read once unless remainders are cut.
 
 Defined results: a null or empty text is the end id alone; repeated rows are
 packed each; an empty table gives no rows; other columns are ignored.
@@ -18,6 +18,7 @@ packed each; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import struct
 import zlib
 
 import numpy as np
@@ -43,30 +44,41 @@ def piece_lengths(n: int, cut: int) -> list[int]:
     return [SEQUENCE] * full + [cut] * (rest // cut) + ([rest % cut] if rest % cut else [])
 
 
-def token_pieces(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, doc_tokens and, for each way to cut, the CRC-32 of each piece."""
+def token_pieces(docs: DataFrame, path: str, end_id: int, cut: int, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, doc_tokens and the CRC-32 of each piece."""
 
     def pieces(frames):
         tokens = word_tokens(path)
-        end = np.array([end_id], dtype="<u4")
+        end = struct.pack("<H", end_id)
         for f in frames:
             for i in range(0, len(f), 500):
                 some = f.iloc[i : i + 500]
-                tokens.prepare(some["text"])
-                n, crcs = [], [[] for _ in CUTS]
-                for text in some["text"]:
-                    raw = memoryview(np.concatenate([np.frombuffer(tokens.ids(text), dtype="<u2").astype("<u4"), end]).tobytes())
-                    n.append(len(raw) // 4)
-                    for c, cut in zip(crcs, CUTS):
-                        at, own = 0, []
-                        for k in piece_lengths(n[-1], cut):
-                            own.append(zlib.crc32(raw[at : at + 4 * k]))
-                            at += 4 * k
-                        c.append(own)
-                yield pd.DataFrame({"doc_id": some["doc_id"].to_numpy(), "doc_tokens": np.array(n, dtype=np.int64)} | {f"crc_{cut}": c for cut, c in zip(CUTS, crcs)})
+                n, crcs = [], []
+                for ids in tokens.batch(some["text"].tolist()):
+                    raw = np.frombuffer(ids + end, dtype="<u2").astype("<u4")
+                    n.append(len(raw))
+                    at, own = 0, []
+                    for k in piece_lengths(len(raw), cut):
+                        own.append(zlib.crc32(raw[at : at + k]))
+                        at += k
+                    crcs.append(own)
+                yield pd.DataFrame({"doc_id": some["doc_id"].to_numpy(), "doc_tokens": np.array(n, dtype=np.int64), "crcs": crcs})
 
     rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(pieces, "doc_id string, doc_tokens long, " + ", ".join(f"crc_{c} array<long>" for c in CUTS))
+    return rows.mapInPandas(pieces, "doc_id string, doc_tokens long, crcs array<long>")
+
+
+def class_counts(made: DataFrame) -> tuple[dict[int, dict[int, int]], int]:
+    """Pieces by way to cut and class, and the sum of ids: at most len(CUTS) x SEQUENCE / UNIT numbers."""
+    rest = F.pmod("doc_tokens", F.lit(SEQUENCE))
+    rows = [F.struct(F.lit(c).alias("cut"), F.lit(SEQUENCE // UNIT).alias("class"), F.floor(F.col("doc_tokens") / SEQUENCE).alias("n")) for c in CUTS]
+    rows += [F.struct(F.lit(c).alias("cut"), F.lit(c // UNIT).alias("class"), F.floor(rest / c).alias("n")) for c in CUTS]
+    rows += [F.struct(F.lit(c).alias("cut"), F.ceil(F.pmod(rest, F.lit(c)) / UNIT).cast("int").alias("class"), F.lit(1).cast("long").alias("n")) for c in CUTS]
+    each = made.select("doc_tokens", F.explode(F.array(*rows)).alias("x")).filter("x.class > 0 and x.n > 0")
+    counts: dict[int, dict[int, int]] = {}
+    for cut, c, n in each.groupBy("x.cut", "x.class").agg(F.sum("x.n")).collect():
+        counts.setdefault(cut, {})[c] = n
+    return counts, made.agg(F.sum("doc_tokens")).first()[0] or 0
 
 
 def knapsack(size: np.ndarray, value: np.ndarray, room: int) -> tuple[float, np.ndarray]:
@@ -165,28 +177,25 @@ def pack(docs: DataFrame, path: str, end_id: int = END_ID, max_padding: float =
     """A row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     spark = docs.sparkSession
     kind = dict(docs.dtypes)[id_col]
-    made = token_pieces(docs, path, end_id, id_col, text_col)
-    made = written(made.withColumn("row_id", F.monotonically_increasing_id()), "token-pieces")
-
-    def pieces(cut: int) -> DataFrame:
-        full = F.floor(F.col("doc_tokens") / SEQUENCE)
-        each = made.select("row_id", "doc_id", "doc_tokens", F.posexplode(f"crc_{cut}").alias("k", "ids_crc32"))
-        start = F.when(F.col("k") < full, F.col("k") * SEQUENCE).otherwise(full * SEQUENCE + (F.col("k") - full) * cut)
-        each = each.withColumn("start", start.cast("long"))
-        size = F.least(F.when(F.col("k") < full, SEQUENCE).otherwise(cut), F.col("doc_tokens") - F.col("start"))
-        each = each.withColumn("length", size.cast("long"))
-        return each.withColumn("class", F.ceil(F.col("length") / UNIT).cast("int")).drop("k")
-
-    ways = None
-    for cut in CUTS:
-        own = pieces(cut).groupBy("class").agg(F.count("*").alias("n"), F.sum("length").alias("tokens")).withColumn("cut", F.lit(cut))
-        ways = own if ways is None else ways.unionByName(own)
-    counts: dict[int, dict[int, int]] = {}
-    tokens = 0
-    for r in ways.collect():  # at most len(CUTS) x SEQUENCE / UNIT rows
-        counts.setdefault(r["cut"], {})[r["class"]] = r["n"]
-        tokens += r["tokens"] if r["cut"] == CUTS[0] else 0
+
+    def tokenized(cut: int) -> DataFrame:
+        made = token_pieces(docs, path, end_id, cut, id_col, text_col)
+        return written(made.withColumn("row_id", F.monotonically_increasing_id()), "token-pieces")
+
+    made = tokenized(CUTS[0])
+    counts, tokens = class_counts(made)
     cut, found = choose(counts, tokens, max_padding)
+    if cut != CUTS[0]:  # other pieces have other checksums: texts are read again
+        made = tokenized(cut)
+
+    full = F.floor(F.col("doc_tokens") / SEQUENCE)
+    pieces = made.select("row_id", "doc_id", "doc_tokens", F.posexplode("crcs").alias("k", "ids_crc32"))
+    start = F.when(F.col("k") < full, F.col("k") * SEQUENCE).otherwise(full * SEQUENCE + (F.col("k") - full) * cut)
+    pieces = pieces.withColumn("start", start.cast("long"))
+    size = F.least(F.when(F.col("k") < full, SEQUENCE).otherwise(cut), F.col("doc_tokens") - F.col("start"))
+    pieces = pieces.withColumn("length", size.cast("long"))
+    pieces = pieces.withColumn("class", F.ceil(F.col("length") / UNIT).cast("int")).drop("k")
+
     slots, at, filled = [], 0, {}
     for times, held in found:
         for c, k in held:
@@ -197,9 +206,9 @@ def pack(docs: DataFrame, path: str, end_id: int = END_ID, max_padding: float =
     plan = spark.createDataFrame(slots, "class int, low long, high long, each long, base long")
 
     buckets = max(64, sum(counts.get(cut, {}).values()) // BUCKET_ROWS)
-    ranked = pieces(cut).withColumn("bucket", F.pmod(F.xxhash64("row_id", "start"), F.lit(buckets)))
+    ranked = pieces.withColumn("bucket", F.pmod(F.xxhash64("row_id", "start"), F.lit(buckets)))
     ranked = ranked.withColumn("own", F.row_number().over(Window.partitionBy("class", "bucket").orderBy("row_id", "start")) - 1)
-    sizes = pieces(cut).withColumn("bucket", F.pmod(F.xxhash64("row_id", "start"), F.lit(buckets))).groupBy("class", "bucket").count()
+    sizes = pieces.withColumn("bucket", F.pmod(F.xxhash64("row_id", "start"), F.lit(buckets))).groupBy("class", "bucket").count()
     before = Window.partitionBy("class").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumn("before", F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count")
     ranked = ranked.join(sizes, ["class", "bucket"]).withColumn("rank", F.col("own") + F.col("before"))

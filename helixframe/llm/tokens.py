@@ -8,15 +8,17 @@ bounded memo and only new ones are sent to the tokenizer, in batches.
 from __future__ import annotations
 
 import os
+import struct
 
-import numpy as np
-
-#: Words held by one Python worker (about 200 bytes each); the memo starts anew beyond that.
-MEMO_WORDS = 1_500_000
+#: Words, and parts of words, held by one Python worker (about 200 bytes each); a memo starts anew beyond that.
+MEMO_WORDS = 1_000_000
+MEMO_PARTS = 800_000
+#: ASCII marks that may end a word. After a letter or digit they are tokens of their own.
+TAIL = b".,!?;:|#$%&*"
 
 
 class WordTokens:
-    """Ids of texts as little-endian unsigned 16-bit bytes; for vocabularies of up to 65,536 ids."""
+    """Ids of texts as little-endian unsigned 16-bit bytes; for vocabularies of up to 65,536 ids that are blind to case."""
 
     def __init__(self, path: str, literal: bool = False):
         """literal: strings of special tokens in a text are ordinary text."""
@@ -29,33 +31,48 @@ class WordTokens:
         self.tokenizer.encode_special_tokens = literal
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("the vocabulary is too large for 16-bit ids")
-        self.memo: dict[bytes, bytes] = {}
-
-    def _learn(self, new: list[bytes]) -> None:
-        if len(self.memo) > MEMO_WORDS:
-            self.memo = {}
-        for i in range(0, len(new), 20_000):
-            some = new[i : i + 20_000]
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
+
+    def _learn(self, new: set[bytes]) -> None:
+        """Adds words: each is a lower-case core and a tail of marks, unless it may hold a special token."""
+        cut, wanted = {}, set()
+        for w in new:
+            core, tail = w, b""
+            if b"<|" not in w:
+                core = w.rstrip(TAIL)
+                if core and (core[-1:].isalnum() or core[-1] > 127 and core.decode("utf-8")[-1].isalpha()):
+                    tail = w[len(core) :]
+                else:
+                    core = w
+                core = core.lower()
+            cut[w] = (core, tail)
+            wanted.add(core)
+            wanted.add(tail)
+        if len(self.parts) + len(wanted) > MEMO_PARTS:
+            self.parts = {}
+        parts = self.parts
+        parts[b""] = b""
+        missing = list(wanted.difference(parts))
+        for i in range(0, len(missing), 20_000):
+            some = missing[i : i + 20_000]
             for w, e in zip(some, self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in some], add_special_tokens=False)):
-                self.memo[w] = np.array(e.ids, dtype="<u2").tobytes()
-
-    def ids(self, text: str | None) -> bytes:
-        words = (text or "").encode("utf-8").split()
-        try:
-            return b"".join(map(self.memo.__getitem__, words))
-        except KeyError:
-            wanted = set(words)
-            if len(self.memo) + len(wanted) > MEMO_WORDS:
-                self.memo = {}
-            self._learn(list(wanted.difference(self.memo)))
-            return b"".join(map(self.memo.__getitem__, words))
-
-    def prepare(self, texts) -> None:
-        """Learns the words of several texts at once."""
-        wanted: set[bytes] = set()
-        for t in texts:
-            wanted.update((t or "").encode("utf-8").split())
-        self._learn(list(wanted.difference(self.memo)))
+                ids = e.ids
+                parts[w] = struct.pack(f"<{len(ids)}H", *ids)
+        for w, (core, tail) in cut.items():
+            self.words[w] = parts[core] + parts[tail]
+
+    def batch(self, texts) -> list[bytes]:
+        """Ids of each text; null is an empty text."""
+        split = [(t or "").encode("utf-8").split() for t in texts]
+        wanted = set().union(*split)
+        new = wanted.difference(self.words)
+        if len(self.words) + len(new) > MEMO_WORDS:
+            self.words, new = {}, wanted
+        if new:
+            self._learn(new)
+        get = self.words.__getitem__
+        return [b"".join(map(get, words)) for words in split]
 
 
 _KEPT: dict[tuple, WordTokens] = {}
