@@ -8,7 +8,8 @@ bounded memo and only new ones are sent to the tokenizer, in batches.
 from __future__ import annotations
 
 import os
-import struct
+import sys
+from array import array
 
 #: Words, and parts of words, held by one Python worker (about 200 bytes each); a memo starts anew beyond that.
 MEMO_WORDS = 1_000_000
@@ -31,36 +32,35 @@ class WordTokens:
         self.tokenizer.encode_special_tokens = literal
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("the vocabulary is too large for 16-bit ids")
+        if sys.byteorder != "little":
+            raise ValueError("ids are kept in the machine's order, which must be little-endian")
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[bytes, bytes] = {}
 
     def _learn(self, new: set[bytes]) -> None:
         """Adds words: each is a lower-case core and a tail of marks, unless it may hold a special token."""
-        cut, wanted = {}, set()
-        for w in new:
-            core, tail = w, b""
-            if b"<|" not in w:
-                core = w.rstrip(TAIL)
-                if core and (core[-1:].isalnum() or core[-1] > 127 and core.decode("utf-8")[-1].isalpha()):
-                    tail = w[len(core) :]
-                else:
-                    core = w
-                core = core.lower()
-            cut[w] = (core, tail)
-            wanted.add(core)
-            wanted.add(tail)
+        words, cores, tails = list(new), [], []
+        for w in words:
+            if b"<|" in w:
+                cores.append(w)
+                tails.append(b"")
+                continue
+            core = w.rstrip(TAIL)
+            if not core or not (core[-1:].isalnum() or core[-1] > 127 and core.decode("utf-8")[-1].isalpha()):
+                core = w
+            cores.append(core.lower())
+            tails.append(w[len(core) :])
+        wanted = set(cores).union(tails)
         if len(self.parts) + len(wanted) > MEMO_PARTS:
             self.parts = {}
         parts = self.parts
         parts[b""] = b""
         missing = list(wanted.difference(parts))
-        for i in range(0, len(missing), 20_000):
-            some = missing[i : i + 20_000]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in some], add_special_tokens=False)):
-                ids = e.ids
-                parts[w] = struct.pack(f"<{len(ids)}H", *ids)
-        for w, (core, tail) in cut.items():
-            self.words[w] = parts[core] + parts[tail]
+        for i in range(0, len(missing), 5_000):
+            some = missing[i : i + 5_000]
+            found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in some], add_special_tokens=False)
+            parts.update(zip(some, [array("H", e.ids).tobytes() for e in found]))
+        self.words.update(zip(words, [parts[c] + parts[t] for c, t in zip(cores, tails)]))
 
     def batch(self, texts) -> list[bytes]:
         """Ids of each text; null is an empty text."""
