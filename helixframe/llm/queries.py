@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from helixframe.llm import exact_dedup, html_text, mixing, packing, quality_rules, simhash, url_filter
+from helixframe.llm import co_training, exact_dedup, html_text, line_dedup, mixing, packing, quality_rules, simhash, token_counts, url_filter
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_html_extraction": html_text.op2_html_extraction,
     "op3_packing": packing.op3_packing,
     "op4_simhash_near_dedup": simhash.op4_simhash_near_dedup,
+    "op5_token_counts": token_counts.op5_token_counts,
     "op6_mixing": mixing.op6_mixing,
+    "op7_line_dedup": line_dedup.op7_line_dedup,
+    "op8_quality_classifier": co_training.op8_quality_classifier,
     "op9_url_filters": url_filter.op9_url_filters,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
