@@ -12,8 +12,8 @@ import sys
 from array import array
 
 #: Words, and parts of words, held by one Python worker (about 200 bytes each); a memo starts anew beyond that.
-MEMO_WORDS = 1_000_000
-MEMO_PARTS = 800_000
+MEMO_WORDS = 1_600_000
+MEMO_PARTS = 1_100_000
 #: ASCII marks that may end a word. After a letter or digit they are tokens of their own.
 TAIL = b".,!?;:|#$%&*"
 
