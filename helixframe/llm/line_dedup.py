@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,34 +64,63 @@ def digest(line: Column) -> Column:
     return F.unhex(F.md5(line))
 
 
-def rows_to_meet(lines: DataFrame, threshold: int) -> DataFrame:
-    """h, id, code (2 * segment number, plus 1 for a probe) of different lines (id, line, n)."""
-    k = threshold + 1
+def meeting_places(n: int, threshold: int) -> list[tuple[int, int, int, int]]:
+    """(seed, code, start, end) of the index and probe rows of a line of n code points.
+
+    code: twice the segment number, plus 1 for a probe. The seed is made of length and segment
+    number, so only segments of lines of one length, or probes for it, meet. A probe at a
+    segment's own place would repeat the index row and is left out.
+    """
+    out = []
+    for gap in range(threshold + 1):
+        for i, (start, size) in enumerate(segments(n - gap, threshold)):
+            seed = (n - gap) * (threshold + 1) + i
+            if not gap:
+                out.append((seed, 2 * i, start, start + size))
+            low, high = places(n, n - gap, i, start, size, threshold)
+            out += [(seed, 2 * i + 1, at, at + size) for at in range(low, high + 1) if gap or at != start]
+    return out
 
-    def segment(n: Column, i: int) -> tuple[Column, Column]:
-        short, extra = F.floor(n / k), F.pmod(n, F.lit(k))
-        first_long = k - extra
-        start = short * i + F.greatest(F.lit(0), F.lit(i) - first_long)
-        return start.cast("int"), (short + F.when(F.lit(i) >= first_long, 1).otherwise(0)).cast("int")
 
-    n, line, out = F.col("n"), F.col("line"), []
-    for i in range(k):
-        start, size = segment(n, i)
-        out.append(F.struct(F.xxhash64(n, F.lit(i), F.substring(line, start + 1, size)).alias("h"), F.lit(2 * i).cast("byte").alias("code")))
-        for gap in range(threshold + 1):
-            short = n - gap
-            s, z = segment(short, i)
-            for move in range(-threshold, threshold + 1):
-                at = s + move
-                low = F.greatest(F.lit(0), s - i, s + gap - (threshold - i))
-                high = F.least(n - z, s + i, s + gap + (threshold - i))
-                # the bounds on move that don't depend on the line
-                if not max(-i, gap - (threshold - i)) <= move <= min(i, gap + (threshold - i)):
-                    continue
-                fits = (at >= low) & (at <= high)
-                row = F.struct(F.xxhash64(short, F.lit(i), F.substring(line, at + 1, z)).alias("h"), F.lit(2 * i + 1).cast("byte").alias("code"))
-                out.append(F.when(fits, row))
-    return lines.select("id", F.explode(F.array(*out)).alias("x")).filter("x is not null").select("x.h", "id", "x.code")
+#: Different lines that a task remembers, to give the rows of repeated ones once; it starts anew beyond.
+SEEN = 1_000_000
+
+
+def rows_to_meet(docs: DataFrame, text_col: str, threshold: int, min_chars: int) -> DataFrame:
+    """h, id, code of the lines of docs; a line that is in several tasks gives its rows in each."""
+
+    def rows(frames):
+        digest, known, seen = xxhash.xxh64_intdigest, {}, set()
+        for f in frames:
+            for k in range(0, len(f), 500):
+                h, code, ids, times = [], [], [], []
+                for text in f["text"].iloc[k : k + 500]:
+                    for line in (text or "").split("\n"):
+                        line = line.strip(SPACES)
+                        n = len(line)
+                        if n < min_chars:
+                            continue
+                        own = digest(line.encode("utf-8"), 42)
+                        if own in seen:
+                            continue
+                        if len(seen) >= SEEN:
+                            seen.clear()
+                        seen.add(own)
+                        if n not in known:
+                            if len(known) > 20_000:
+                                known.clear()
+                            places_ = meeting_places(n, threshold)
+                            known[n] = [(s, 4 * a, 4 * b) for s, _, a, b in places_], [c for _, c, _, _ in places_]
+                        spans, codes = known[n]
+                        wide = line.encode("utf-32-le")
+                        h += [digest(wide[a:b], s) for s, a, b in spans]
+                        code += codes
+                        ids.append(own)
+                        times.append(len(codes))
+                if ids:
+                    yield pd.DataFrame({"h": np.array(h, dtype=np.uint64).view(np.int64), "id": np.repeat(np.array(ids, dtype=np.uint64).view(np.int64), times), "code": np.array(code, dtype=np.int8)})
+
+    return docs.select(F.col(text_col).alias("text")).mapInPandas(rows, "h long, id long, code byte")
 
 
 def _live(frames):
@@ -101,7 +131,7 @@ def _live(frames):
         cut = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
         size = np.diff(np.concatenate((cut, [len(h)])))
         low, high = np.minimum.reduceat(ids, cut), np.maximum.reduceat(ids, cut)
-        probes = np.add.reduceat(f["code"].to_numpy() & 1, cut, dtype=np.int64)
+        probes = np.add.reduceat((f["code"].to_numpy() & 1).astype(np.int64), cut)
         first = np.concatenate(([True], (h[1:] != h[:-1]) | (ids[1:] != ids[:-1])))
         return f[np.repeat((low != high) & (probes < size), size) & first]
 
@@ -212,6 +242,11 @@ def verified(uids: list[int], lines: list[str], index: list[bool], part: list[bo
     index: the segment is the line's own. A pair is taken in the bucket of its first meeting only, where its
     first line in order of (length, text) is an index line. part: the line's block; across: only pairs of different blocks.
     """
+    if len(lines) == 2:  # most buckets
+        a, b = (0, 1) if (len(lines[0]), lines[0]) < (len(lines[1]), lines[1]) else (1, 0)
+        if not index[a] or across and part[0] == part[1] or not distance_within(lines[a], lines[b], threshold) or _first_meeting(lines[a], lines[b], threshold) != seg:
+            return [], {}
+        return [(uids[a], uids[b])], {uids[a]: 1, uids[b]: 1}
     order = sorted(range(len(lines)), key=lambda i: (len(lines[i]), lines[i]))
     uids, lines, index, part = ([x[i] for i in order] for x in (uids, lines, index, part))
     size = np.array([len(x) for x in lines])
@@ -245,10 +280,13 @@ def verified(uids: list[int], lines: list[str], index: list[bool], part: list[bo
 def _verify(frames, threshold: int):
     """Rows sorted by (h, low, high): h, low, high, own, code, uid, line. Emits links (a, b, 0) and counts (uid, uid, n)."""
 
-    def group(key: tuple, rows: list) -> pd.DataFrame:
+    out: list[tuple[int, int, int]] = []
+
+    def group(key: tuple, rows: list) -> None:
         code, own = [r[1] for r in rows], [r[0] for r in rows]
         links, counts = verified([r[2] for r in rows], [r[3] for r in rows], [c % 2 == 0 for c in code], [o != key[1] for o in own], key[1] != key[2], code[0] // 2, threshold)
-        return pd.DataFrame([(a, b, 0) for a, b in links] + [(u, u, n) for u, n in counts.items()], columns=["a", "b", "n"]).astype("int64")
+        out.extend((a, b, 0) for a, b in links)
+        out.extend((u, u, n) for u, n in counts.items())
 
     now, rows = None, []
     for f in frames:
@@ -256,11 +294,14 @@ def _verify(frames, threshold: int):
         for key, r in zip(keys, zip(f["own"].tolist(), f["code"].tolist(), f["uid"].tolist(), f["line"].tolist())):
             if key != now:
                 if len(rows) > 1:
-                    yield group(now, rows)
+                    group(now, rows)
                 now, rows = key, []
             rows.append(r)
+        yield pd.DataFrame(out, columns=["a", "b", "n"]).astype("int64")
+        out.clear()
     if len(rows) > 1:
-        yield group(now, rows)
+        group(now, rows)
+        yield pd.DataFrame(out, columns=["a", "b", "n"]).astype("int64")
 
 
 def line_classes(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -272,8 +313,7 @@ def line_classes(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = M
         raise ValueError("lines must have more code points than the threshold")
     each = lines_of(docs, id_col, text_col)
     long_enough = F.length("line") >= min_chars
-    different = each.filter(long_enough).select(F.xxhash64("line").alias("id"), "line").groupBy("id").agg(F.first("line").alias("line")).withColumn("n", F.length("line"))
-    meet = rows_to_meet(different, threshold)
+    meet = rows_to_meet(docs, text_col, threshold, min_chars)
     live = written(meet.repartition("h").sortWithinPartitions("h", "id", "code").mapInPandas(_live, "h long, id long, code byte"), "live")
     ids = written(live.select("id").distinct(), "live-ids")
     few = ids.count() <= BROADCAST_LINES
