@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+from helixframe.plans import sites
+
+QUERIES: dict = {**sites.QUERIES}
+SQL: dict = {**sites.SQL}
