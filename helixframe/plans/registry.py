@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from helixframe.plans import sites
+from helixframe.plans import mapping, sites
 
-QUERIES: dict = {**sites.QUERIES}
-SQL: dict = {**sites.SQL}
+QUERIES: dict = {**sites.QUERIES, **mapping.QUERIES}
+SQL: dict = {**sites.SQL, **mapping.SQL}
