@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from helixframe.plans import mapping, sites
+from helixframe.plans import mapping, reads, sites
 
-QUERIES: dict = {**sites.QUERIES, **mapping.QUERIES}
-SQL: dict = {**sites.SQL, **mapping.SQL}
+_MODULES = (sites, mapping, reads)
+QUERIES: dict = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
+SQL: dict = {name: s for m in _MODULES for name, s in m.SQL.items()}
