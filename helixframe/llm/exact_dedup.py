@@ -82,12 +82,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that stay. Rows that repeat an id and its text are one document."""
-    keep = DigestIndex(spark).add(docs).filter("kept").select("doc_id", "digest")
+    keep = DigestIndex(spark).add(docs).filter("kept").select(F.col("doc_id").alias("__keep_id"), F.col("digest").alias("__keep_digest"))
     tagged = docs.withColumn("__digest", digest(F.col("text")))
-    on = docs["doc_id"].eqNullSafe(keep["doc_id"]) & (F.col("__digest") == F.col("digest"))
-    out = tagged.join(keep, on, "left_semi")
-    ids = docs.groupBy("doc_id").count().filter("count > 1").limit(1)
-    if not ids.isEmpty():
+    out = tagged.join(keep, F.col("doc_id").eqNullSafe(F.col("__keep_id")) & (F.col("__digest") == F.col("__keep_digest")), "left_semi")
+    if not docs.groupBy("doc_id").count().filter("count > 1").limit(1).isEmpty():
         out = out.dropDuplicates(["doc_id", "__digest"])
     return out.drop("__digest")
 

@@ -89,14 +89,14 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str, seed: int = 17) -> DataFrame:
     """The mix: each document as many times as it is taken."""
     sizes = written(docs.select(key_of(F.col("source")).alias("key"), n_words(F.col("text")).alias("size")), "sizes")
-    of = written(rates(sizes).select("key", "rate", "n"), "rates")
-    keyed = docs.withColumn("key", key_of(F.col("source")))
+    of = written(rates(sizes).select(F.col("key").alias("__key"), F.col("rate").alias("__rate"), F.col("n").alias("__n")), "rates")
+    keyed = docs.withColumn("__key", key_of(F.col("source")))
     if of.count() <= BROADCAST_SOURCES:
-        out = keyed.join(F.broadcast(of), "key")
+        out = keyed.join(F.broadcast(of), "__key")
     else:
-        out = join_by_key(keyed, of, "key", "n", sizes.count())
-    out = out.withColumn("__n", copies(F.col("doc_id"), F.col("rate"), seed)).filter("__n > 0")
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n")))).select(docs.columns)
+        out = join_by_key(keyed, of, "__key", "__n", sizes.count())
+    out = out.withColumn("__times", copies(F.col("doc_id"), F.col("__rate"), seed)).filter("__times > 0")
+    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(docs.columns)
 
 
 SQL = r"""
