@@ -123,8 +123,17 @@ def neighbour_features(sites: DataFrame, obs: DataFrame, refs: DataFrame, radius
     return w.join(reuse, "ord", "full")
 
 
+def around(rows: DataFrame, sites: DataFrame, radius: int) -> DataFrame:
+    """The rows (chrom, pos) in bins within reach of a site: nothing else can be evidence. A semi-join on distinct bins."""
+    width = 4 * radius
+    p0 = F.col("pos") - 1
+    near = sites.select("chrom", F.explode(F.sequence(F.floor((p0 - radius - 1) / width), F.floor((p0 + radius + 1) / width))).alias("__b")).distinct()
+    return rows.withColumn("__b", F.floor(F.col("pos") / width)).join(near, ["chrom", "__b"], "left_semi").drop("__b")
+
+
 def features(sites: DataFrame, obs: DataFrame, refs: DataFrame, alu: DataFrame | None = None, radius: int = RADIUS) -> DataFrame:
     """ord, chrom, pos, error (null, or why a site has no features), and the features as doubles."""
+    obs, refs = around(obs, sites, radius), around(refs, sites, radius)
     at = with_reference(sites, refs)
     good = at.filter("alt is not null")
     own, near = own_features(good, obs), neighbour_features(good, obs, refs, radius)

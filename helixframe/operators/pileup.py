@@ -70,15 +70,18 @@ def merge_templates(obs: DataFrame) -> DataFrame:
     """One observation for each (chrom, pos, template): the best base quality wins; equal quality with another base is a conflict and goes.
 
     The fold in input order ends on the records of the highest quality: their first one's
-    values stay if all of them have its base. A conflict is dropped altogether, so the
-    other values of conflicting records don't matter.
+    values stay if all of them have its base (of equal orders, the one with the lower mapping
+    quality). A conflict is dropped altogether, so the other values of conflicting records don't matter.
     """
-    first = F.struct("ord", "base", "mapq", "end_fraction", "orientation", "softclip_fraction", "gap_nearness")
-    best = F.max("bq").alias("bq")
-    # of the best quality: first in order, and whether all bases agree; partial aggregates by quality keep one row a quality
-    by_quality = obs.groupBy("chrom", "pos", "template", "bq").agg(F.min(first).alias("r"), F.min("base").alias("low"), F.max("base").alias("high"))
-    top = by_quality.groupBy("chrom", "pos", "template").agg(best, F.max_by(F.struct("r", "low", "high"), "bq").alias("x"))
-    return top.filter("x.low = x.high").select("chrom", "pos", "template", "bq", "x.r.*").drop("ord")
+    code = F.instr(F.lit("ACGT"), F.col("base"))
+    # one aggregate: the best quality's first record in order, and its least and greatest base
+    top = obs.groupBy("chrom", "pos", "template").agg(
+        F.max(F.struct("bq", (-F.col("ord")).alias("back"), (-F.coalesce("mapq", F.lit(-1.0))).alias("m"), "base", "mapq", "end_fraction", "orientation", "softclip_fraction", "gap_nearness")).alias("r"),
+        F.max(F.col("bq") * 8 + code).alias("high"), F.max(F.col("bq") * 8 + 7 - code).alias("low"),
+    )
+    agree = F.pmod("high", F.lit(8)) == 7 - F.pmod("low", F.lit(8))
+    r = F.col("r")
+    return top.filter(agree).select("chrom", "pos", "template", r["bq"].alias("bq"), r["base"].alias("base"), *[r[c].alias(c) for c in ("mapq", "end_fraction", "orientation", "softclip_fraction", "gap_nearness")])
 
 
 def base_counts(bases: DataFrame) -> DataFrame:

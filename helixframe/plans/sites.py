@@ -80,17 +80,17 @@ def template_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""{_MERGED},
 x AS (
   SELECT *, CASE WHEN (flag & 16 <> 0) <> (flag & 128 <> 0) THEN 1 ELSE 0 END AS orientation,
-         least(i, 49 - i) / 24.5 AS end_fraction, CASE kind WHEN 1 THEN 0.1 ELSE 0 END AS soft,
+         CASE kind WHEN 1 THEN 0.1 ELSE 0 END AS soft,
          CASE kind WHEN 2 THEN 1 / (1 + abs(i - 19.5)) WHEN 3 THEN 1 / (1 + least(abs(i - 24.5), abs(i - 26.5)))
               WHEN 4 THEN 1 / (1 + abs(i - 29.5)) ELSE 0 END AS gap FROM merged)
-SELECT chrom, pos, count(*) AS depth, sum(orientation)::BIGINT AS up, round(avg(end_fraction), 6) AS end_fraction,
-       round(avg(soft), 6) AS soft, round(avg(gap), 6) AS gap FROM x GROUP BY chrom, pos"""
+SELECT chrom, pos, count(*) AS depth, sum(orientation)::BIGINT AS up, sum(least(i, 49 - i))::BIGINT AS from_end,
+       count(*) FILTER (soft > 0) AS clipped, count(*) FILTER (gap >= 0.1) AS near_gap FROM x GROUP BY chrom, pos"""
 )
 def site_read_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Means of the reads' evidence at each position."""
+    """The reads' evidence at each position, in whole numbers: strands, distances from ends, clips and gaps nearby."""
     out = pileup.merge_templates(pileup.observations(synth.alignments(spark, sf_dir)))
-    mean = lambda c: F.round(F.avg(c), 6)
-    return out.groupBy("chrom", "pos").agg(F.count("*").alias("depth"), F.sum("orientation").alias("up"), mean("end_fraction").alias("end_fraction"), mean("softclip_fraction").alias("soft"), mean("gap_nearness").alias("gap"))
+    half = (synth.READ - 1) / 2
+    return out.groupBy("chrom", "pos").agg(F.count("*").alias("depth"), F.sum("orientation").alias("up"), F.sum(F.round(F.col("end_fraction") * half).cast("long")).alias("from_end"), F.count_if(F.col("softclip_fraction") > 0).alias("clipped"), F.count_if(F.col("gap_nearness") >= 0.1).alias("near_gap"))
 
 
 _OWN = f"""{_MERGED},
