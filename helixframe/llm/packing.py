@@ -51,10 +51,10 @@ def token_pieces(docs: DataFrame, path: str, end_id: int, cut: int, id_col: str,
         tokens = word_tokens(path)
         end = struct.pack("<H", end_id)
         for f in frames:
-            for i in range(0, len(f), 500):
-                some = f.iloc[i : i + 500]
+            names = f["doc_id"].to_numpy()
+            for first, batch in tokens.batches(f["text"].tolist()):
                 n, crcs = [], []
-                for ids in tokens.batch(some["text"].tolist()):
+                for ids in batch:
                     raw = np.frombuffer(ids + end, dtype="<u2").astype("<u4")
                     n.append(len(raw))
                     at, own = 0, []
@@ -62,7 +62,7 @@ def token_pieces(docs: DataFrame, path: str, end_id: int, cut: int, id_col: str,
                         own.append(zlib.crc32(raw[at : at + k]))
                         at += k
                     crcs.append(own)
-                yield pd.DataFrame({"doc_id": some["doc_id"].to_numpy(), "doc_tokens": np.array(n, dtype=np.int64), "crcs": crcs})
+                yield pd.DataFrame({"doc_id": names[first : first + len(batch)], "doc_tokens": np.array(n, dtype=np.int64), "crcs": crcs})
 
     rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInPandas(pieces, "doc_id string, doc_tokens long, crcs array<long>")

@@ -51,16 +51,16 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = END
         name, n, out = f"{base}/tokens-{uuid.uuid4().hex}.bin", 0, None
         try:
             for f in frames:
-                for i in range(0, len(f), 500):
-                    some = f.iloc[i : i + 500]
+                names = f["doc_id"].to_numpy()
+                for first, batch in tokens.batches(f["text"].tolist()):
                     if out is None:
                         files, at = _fs(name)
                         files.create_dir(at.rpartition("/")[0])
                         out = files.open_output_stream(at)
-                    for ids in tokens.batch(some["text"].tolist()):
+                    for ids in batch:
                         out.write(ids + end)
-                    yield pd.DataFrame({"file": name, "ordinal": np.arange(n, n + len(some)), "doc_id": some["doc_id"].to_numpy()})
-                    n += len(some)
+                    yield pd.DataFrame({"file": name, "ordinal": np.arange(n, n + len(batch)), "doc_id": names[first : first + len(batch)]})
+                    n += len(batch)
         finally:
             if out is not None:
                 out.close()

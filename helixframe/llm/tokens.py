@@ -10,10 +10,17 @@ from __future__ import annotations
 import os
 import sys
 from array import array
+from collections.abc import Iterator
+
+import numpy as np
 
 #: Words, and parts of words, held by one Python worker (about 200 bytes each); a memo starts anew beyond that.
 MEMO_WORDS = 1_600_000
 MEMO_PARTS = 1_100_000
+#: Code points of the texts whose words are looked up together.
+BATCH_CHARS = 6_000_000
+#: Parts that are encoded as one text.
+JOINED = 200
 #: ASCII marks that may end a word. After a letter or digit they are tokens of their own.
 TAIL = b".,!?;:|#$%&*"
 
@@ -34,6 +41,9 @@ class WordTokens:
             raise ValueError("the vocabulary is too large for 16-bit ids")
         if sys.byteorder != "little":
             raise ValueError("ids are kept in the machine's order, which must be little-endian")
+        self.ends_word = np.zeros(1 << 16, dtype=bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.ends_word[i] = token.endswith("</w>")
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[bytes, bytes] = {}
 
@@ -55,25 +65,55 @@ class WordTokens:
             self.parts = {}
         parts = self.parts
         parts[b""] = b""
-        missing = list(wanted.difference(parts))
-        for i in range(0, len(missing), 5_000):
-            some = missing[i : i + 5_000]
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in some], add_special_tokens=False)
-            parts.update(zip(some, [array("H", e.ids).tobytes() for e in found]))
+        self._encode([w.decode("utf-8") for w in wanted.difference(parts)])
         self.words.update(zip(words, [parts[c] + parts[t] for c, t in zip(cores, tails)]))
 
+    def _encode(self, missing: list[str]) -> None:
+        """Adds parts. Parts of letters only are encoded many to a text and told apart by their ends of word."""
+        plain = [w for w in missing if w.isalpha()]
+        groups = [plain[i : i + JOINED] for i in range(0, len(plain), JOINED)]
+        rest = [w for w in missing if not w.isalpha()]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, dtype="<u2")
+            cut = (np.flatnonzero(self.ends_word[ids]) * 2 + 2).tolist()
+            if len(cut) != len(group):  # a part of more tokens' ends than one
+                rest += group
+                continue
+            raw, at = ids.tobytes(), 0
+            for w, end in zip(group, cut):
+                self.parts[w.encode("utf-8")] = raw[at:end]
+                at = end
+        for i in range(0, len(rest), 5_000):
+            some = rest[i : i + 5_000]
+            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                self.parts[w.encode("utf-8")] = array("H", e.ids).tobytes()
+
     def batch(self, texts) -> list[bytes]:
         """Ids of each text; null is an empty text."""
         split = [(t or "").encode("utf-8").split() for t in texts]
         wanted = set().union(*split)
-        new = wanted.difference(self.words)
-        if len(self.words) + len(new) > MEMO_WORDS:
-            self.words, new = {}, wanted
+        if len(self.words) + len(wanted) > MEMO_WORDS:
+            self.words = {}
+        # the batch's own words in a small table: the large memo is asked once for each
+        own = dict(zip(wanted, map(self.words.get, wanted)))
+        new = {w for w, ids in own.items() if ids is None}
         if new:
             self._learn(new)
-        get = self.words.__getitem__
+            own.update(zip(new, map(self.words.__getitem__, new)))
+        get = own.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
+    def batches(self, texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:
+        """(place of the first text, ids of some texts), over all texts; a batch is about BATCH_CHARS long."""
+        first, size = 0, 0
+        for i, t in enumerate(texts):
+            size += len(t or "")
+            if size >= BATCH_CHARS:
+                yield first, self.batch(texts[first : i + 1])
+                first, size = i + 1, 0
+        if first < len(texts):
+            yield first, self.batch(texts[first:])
+
 
 _KEPT: dict[tuple, WordTokens] = {}
 
