@@ -31,12 +31,20 @@ def usable(alignments: DataFrame, min_mapq: int = MIN_MAPQ) -> DataFrame:
 
 def aligned_bases(alignments: DataFrame, min_bq: int = MIN_BQ) -> DataFrame:
     """A row for each aligned base of good quality: ord, chrom, pos, base, bq. What discovery needs and no more."""
-    block = F.explode(cg.blocks(F.col("pos"), F.col("cigar"))).alias("b")
-    each = usable(alignments).select("ord", "chrom", "seq", "qual", block)
-    each = each.select("ord", "chrom", "seq", "qual", "b", F.explode(F.sequence(F.lit(0), F.col("b.n") - 1)).alias("i"))
-    at = F.col("b.read") + F.col("i")
-    each = each.select("ord", "chrom", (F.col("b.ref") + F.col("i")).alias("pos"), F.upper(F.substring("seq", at + 1, F.lit(1))).alias("base"), F.get("qual", at).alias("bq"))
-    return each.filter((F.col("bq") >= min_bq) & (F.col("bq") != 255) & F.col("base").isin(*dna.BASES))
+    each = _exploded(usable(alignments).select("ord", "chrom", "seq", "qual", F.explode(cg.blocks(F.col("pos"), F.col("cigar"))).alias("b")), ["ord", "chrom"], min_bq)
+    return each.select("ord", "chrom", "pos", "base", "bq")
+
+
+def _exploded(blocks: DataFrame, carried: list[str], min_bq: int) -> DataFrame:
+    """blocks: seq, qual, b and the carried columns. A row for each good base, with pos, at (its place in the read), base, bq.
+
+    The block's own bases and qualities are zipped before they are exploded, so a row carries one base, not the read.
+    """
+    own = lambda c: F.slice(c, F.col("b.read") + 1, F.col("b.n"))
+    zipped = F.arrays_zip(own(F.split(F.upper("seq"), "")).alias("base"), own(F.col("qual")).alias("bq"))
+    each = blocks.select(*carried, F.col("b.ref").alias("ref"), F.col("b.read").alias("read"), F.posexplode(zipped).alias("i", "x"))
+    each = each.filter((F.col("x.bq") >= min_bq) & (F.col("x.bq") != 255) & F.col("x.base").isin(*dna.BASES))
+    return each.select(*carried, (F.col("ref") + F.col("i")).alias("pos"), (F.col("read") + F.col("i")).alias("at"), F.col("x.base").alias("base"), F.col("x.bq").alias("bq"))
 
 
 def observations(alignments: DataFrame, min_bq: int = MIN_BQ) -> DataFrame:
@@ -53,13 +61,11 @@ def observations(alignments: DataFrame, min_bq: int = MIN_BQ) -> DataFrame:
         cg.gaps(F.col("cigar")).alias("gaps"),
         F.explode(cg.blocks(F.col("pos"), F.col("cigar"))).alias("b"),
     )
-    each = reads.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("b.n") - 1))).withColumn("at", F.col("b.read") + F.col("i"))
-    each = each.withColumn("base", F.upper(F.substring("seq", F.col("at") + 1, F.lit(1)))).withColumn("bq", F.get("qual", F.col("at")))
-    each = each.filter((F.col("bq") >= min_bq) & (F.col("bq") != 255) & F.col("base").isin(*dna.BASES))
+    each = _exploded(reads, ["ord", "chrom", "size", "template", "mapq", "orientation", "softclip_fraction", "gaps"], min_bq)
     nearest = F.array_min(F.transform("gaps", lambda g: F.abs(F.col("at") - g)))
     half = F.greatest(F.col("size") - 1, F.lit(1)) / F.lit(2.0)
     return each.select(
-        "ord", "chrom", (F.col("b.ref") + F.col("i")).alias("pos"), "template", "base", "bq", "mapq",
+        "ord", "chrom", "pos", "template", "base", "bq", "mapq",
         (F.least(F.col("at"), F.col("size") - 1 - F.col("at")) / half).alias("end_fraction"),
         "orientation", "softclip_fraction",
         F.when(nearest.isNull(), 0.0).otherwise(1.0 / (1.0 + nearest)).alias("gap_nearness"),
