@@ -15,10 +15,10 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Words, and parts of words, held by one Python worker (about 200 bytes each); a memo starts anew beyond that.
-MEMO_WORDS = 1_600_000
-MEMO_PARTS = 1_100_000
+MEMO_WORDS = 1_250_000
+MEMO_PARTS = 900_000
 #: Code points of the texts whose words are looked up together.
-BATCH_CHARS = 6_000_000
+BATCH_CHARS = 4_000_000
 #: Parts that are encoded as one text.
 JOINED = 200
 #: ASCII marks that may end a word. After a letter or digit they are tokens of their own.
