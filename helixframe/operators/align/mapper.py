@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from helixframe.operators import kmer_index
 from helixframe.operators.align import kernels as k
+from helixframe.operators.align.second_look import best_segment
 from helixframe.operators.transcripts import tile_sequences
 
 # Fixed values of the candidate search.
@@ -36,9 +37,10 @@ def candidate_windows(anchors: DataFrame, sizes: DataFrame, kmer: int, rules: k.
     """
     kind = "read long, cand int, chrom string, minus boolean, chain_score int, second_chain int, n_anchors int, parts array<struct<s:bigint,e:bigint,r:bigint,q:int>>"
 
-    def chain(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
-        size = int(f["size"].iloc[0])
-        found = k.chains(list(zip(f["chrom"], f["minus"].tolist(), f["rpos"].tolist(), f["qpos"].tolist())), rules)
+    names = [x.split()[0] for x in kind.split(", ")[:8]]
+
+    def chain(read: int, size: int, anchors_: list) -> list[tuple]:
+        found = k.chains(anchors_, rules)
         second, rows = k.second_score(found), []
         kept: list[k.Chain] = []
         for c in found:
@@ -52,10 +54,25 @@ def candidate_windows(anchors: DataFrame, sizes: DataFrame, kmer: int, rules: k.
             for seg in k.segments(c, kmer):
                 (r0, q0), (r1, q1) = seg[0], seg[-1]
                 parts.append({"s": max(0, r0 - q0 - PAD), "e": r1 + (size - q1) + PAD, "r": r0, "q": q0})
-            rows.append((int(key[0]), len(rows), c.chrom, c.minus, c.score, second, len(c.anchors), parts))
-        return pd.DataFrame(rows, columns=[x.split()[0] for x in kind.split(", ")[:8]])
-
-    return anchors.join(sizes, "read").groupBy("read").applyInPandas(chain, kind)
+            rows.append((read, len(rows), c.chrom, c.minus, c.score, second, len(c.anchors), parts))
+        return rows
+
+    def run(frames):
+        now, own = None, []
+        for f in frames:
+            out = []
+            for x in zip(f["read"].tolist(), f["size"].tolist(), f["chrom"].tolist(), f["minus"].tolist(), f["rpos"].tolist(), f["qpos"].tolist()):
+                if now is not None and x[0] != now[0]:
+                    out += chain(*now, own)
+                    own = []
+                now = x[:2]
+                own.append(x[2:])
+            yield pd.DataFrame(out, columns=names)
+        if own:
+            yield pd.DataFrame(chain(*now, own), columns=names)
+
+    # a read's rows together and in order, without a call for each read
+    return anchors.join(sizes, "read").repartition("read").sortWithinPartitions("read").mapInPandas(run, kind)
 
 
 def _extend(seq: str, row) -> k.Placement | None:
@@ -75,6 +92,8 @@ def _extend(seq: str, row) -> k.Placement | None:
             intron = (last - (len(read) - cut)) - (first + cut)
             if cut and intron > 0 and wrong <= 0.1 * len(read) and signal > -8:
                 return Placement(row.chrom, row.minus, first, [("M", cut), ("N", intron), ("M", len(read) - cut)], extra={"read": read})
+    if len(parts) == 1 and (fast := _ungapped(read, row, parts[0])) is not None:
+        return fast
     best = None
     for p, e in zip(parts, k.affine_local([read] * len(parts), [p["seq"] for p in parts], "")):
         if e.score > 0 and (best is None or e.score > best.score):
@@ -82,6 +101,24 @@ def _extend(seq: str, row) -> k.Placement | None:
     return best
 
 
+def _ungapped(read: str, row, part: dict) -> k.Placement | None:
+    """The read on its first anchor's diagonal, if that leaves few differences: most reads need no more."""
+    first = part["r"] - part["q"]
+    ref = part["seq"][first - part["s"] : first - part["s"] + len(read)] if first >= part["s"] else ""
+    if len(ref) < len(read):
+        return None
+    start, end, _ = best_segment(read, ref)
+    x, y = k.codes(read)[start:end], k.codes(ref)[start:end]
+    plain = (x != y) & ~((y == 0) & (x == 2)) & ~((y == 3) & (x == 1))
+    if end - start < 0.9 * len(read) or plain.sum() > 0.05 * len(read):
+        return None
+    cigar: k.Cigar = []
+    k.push(cigar, "S", start)
+    k.push(cigar, "M", end - start)
+    k.push(cigar, "S", len(read) - end)
+    return k.Placement(row.chrom, row.minus, first + start, cigar, extra={"read": read})
+
+
 def _place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows sorted by read: extends and rescores every candidate, and arbitrates."""
     names = [x.split()[0] for x in ALIGNED.split(", ")]

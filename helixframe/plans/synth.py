@@ -152,3 +152,32 @@ lib AS (
   SELECT 'chr' || (s_suppkey % 3 + 1) AS chrom, (s_suppkey * 61 + 20) % 2000 AS "start", (s_suppkey * 61 + 20) % 2000 + 100 AS "end",
          s_suppkey % 2 = 0 AS minus, s_suppkey % 5 + 1 AS support FROM supplier)
 """
+
+
+# ---- a reference without period, for seeds and the mapper -------------------------------
+
+RANDOM_TILE = 512
+RANDOM_TILES = 40
+
+
+def random_tiles(spark: SparkSession) -> DataFrame:
+    """chrom, start, seq: two contigs of bases from digests."""
+    t = spark.range(2 * RANDOM_TILES).select(F.format_string("rnd%d", F.floor(F.col("id") / RANDOM_TILES) + 1).alias("chrom"), (F.pmod("id", F.lit(RANDOM_TILES)) * RANDOM_TILE).alias("start"), "id")
+    digits = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(RANDOM_TILE // 32 - 1)), lambda i: F.md5(F.concat_ws(":", F.col("id").cast("string"), i.cast("string")))), "")
+    return t.select("chrom", "start", F.translate(digits, "0123456789abcdef", "ACGTACGTACGTACGT").alias("seq"))
+
+
+def random_reads(spark: SparkSession, sf_dir: str, length: int = 80) -> DataFrame:
+    """ord, name, seq, qual, and the truth: t_chrom, t_pos, t_minus. Reads of the contigs, some edited (A as G), half from the minus strand."""
+    from helixframe.functions import dna
+    from helixframe.operators.kmer_index import overlapping
+
+    t = lineitem(spark, sf_dir).select((F.col("ok") * 8 + F.col("ln")).alias("ord")).distinct()
+    at = F.pmod(F.col("ord") * 7919, F.lit((RANDOM_TILES - 1) * RANDOM_TILE))
+    t = t.select("ord", F.format_string("rnd%d", F.pmod("ord", F.lit(2)) + 1).alias("chrom"), at.alias("at"), (F.floor(at / RANDOM_TILE) * RANDOM_TILE).alias("start"))
+    j = t.join(F.broadcast(overlapping(random_tiles(spark), RANDOM_TILE, length)), ["chrom", "start"])
+    plain = F.substring("seq", (F.col("at") - F.col("start")).cast("int") + 1, F.lit(length))
+    middle = F.when(F.pmod("ord", F.lit(3)) == 0, F.translate(F.substring(plain, 31, 20), "A", "G")).otherwise(F.substring(plain, 31, 20))
+    edited = F.concat(F.substring(plain, 1, 30), middle, F.substring(plain, 51, length))
+    minus = F.pmod(F.floor(F.col("ord") / 2), F.lit(2)) == 1
+    return j.select("ord", F.format_string("q%d", "ord").alias("name"), F.when(minus, dna.revcomp(edited)).otherwise(edited).alias("seq"), F.repeat(F.lit("I"), F.lit(length)).alias("qual"), F.col("chrom").alias("t_chrom"), F.col("at").alias("t_pos"), minus.alias("t_minus"))
