@@ -61,6 +61,8 @@ def observations(alignments: DataFrame, min_bq: int = MIN_BQ) -> DataFrame:
         cg.gaps(F.col("cigar")).alias("gaps"),
         F.explode(cg.blocks(F.col("pos"), F.col("cigar"))).alias("b"),
     )
+    # records of a template meet as records: what is merged by (place, template) later needs no shuffle of single bases
+    reads = reads.repartition("chrom", "template")
     each = _exploded(reads, ["ord", "chrom", "size", "template", "mapq", "orientation", "softclip_fraction", "gaps"], min_bq)
     nearest = F.array_min(F.transform("gaps", lambda g: F.abs(F.col("at") - g)))
     half = F.greatest(F.col("size") - 1, F.lit(1)) / F.lit(2.0)
@@ -81,7 +83,8 @@ def merge_templates(obs: DataFrame) -> DataFrame:
     """
     code = F.instr(F.lit("ACGT"), F.col("base"))
     # one aggregate: the best quality's first record in order, and its least and greatest base
-    top = obs.groupBy("chrom", "pos", "template").agg(
+    # the position comes first: it is what the sort's prefix can tell apart
+    top = obs.groupBy("pos", "template", "chrom").agg(
         F.max(F.struct("bq", (-F.col("ord")).alias("back"), (-F.coalesce("mapq", F.lit(-1.0))).alias("m"), "base", "mapq", "end_fraction", "orientation", "softclip_fraction", "gap_nearness")).alias("r"),
         F.max(F.col("bq") * 8 + code).alias("high"), F.max(F.col("bq") * 8 + 7 - code).alias("low"),
     )
