@@ -4,7 +4,9 @@ Words are summed for each source. Sources in order of code points (null last) we
 WEIGHTS in turn and share all words; a target stops at ``cap`` times its
 source's words and the excess is shared again by weight. Every document is
 emitted floor(rate) times, plus once more if a hash of its id is below the
-fraction of the rate, where rate is target / words of the source.
+fraction of the rate, where rate is target / words of the source. Long documents
+make one draw of a small share uneven, so each source is drawn with DRAWS
+seeds in one aggregate, and the draw whose words come nearest to the target is its own.
 
 Ranks and targets are found without bringing the sources to one place: ranks from
 a range partitioning and the partitions' counts, the water level from sums.
@@ -23,14 +25,16 @@ from helixframe.llm.common import join_by_key, n_words, written
 
 WEIGHTS = (1, 2, 3)
 CAP = 3
+#: Hash-seeded draws of a source, of which the nearest to its target is taken; two come from one MD5.
+DRAWS = 16
 #: Sources up to this many (about 100 bytes each) are broadcast to documents; more are joined by key.
 BROADCAST_SOURCES = 100_000
 
 
-def uniform(doc_id: Column, seed: int) -> Column:
-    """A number in [0, 1) from the MD5 of seed and id."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
-    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long").cast("double") / F.lit(float(1 << 52))
+def uniform(doc_id: Column, seed: int, draw: int) -> Column:
+    """A number in [0, 1) from the MD5 of seed, half the draw's number, and id: its first or 17th to 29th hex digits."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:{draw // 2}:"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
+    return F.conv(F.substring(digest, 1 + 16 * (draw % 2), 13), 16, 10).cast("long").cast("double") / F.lit(float(1 << 52))
 
 
 def key_of(source: Column) -> Column:
@@ -69,16 +73,30 @@ def rates(sizes: DataFrame) -> DataFrame:
     return of.withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
 
 
-def copies(doc_id: Column, rate: Column, seed: int) -> Column:
-    return (F.floor(rate) + F.when(uniform(doc_id, seed) < rate - F.floor(rate), 1).otherwise(0)).cast("int")
+def copies(doc_id: Column, rate: Column, draw: Column, seed: int) -> Column:
+    """How often a document is taken in its source's draw."""
+    u = F.coalesce(*[F.when(draw == j, uniform(doc_id, seed, j)) for j in range(DRAWS)])
+    return (F.floor(rate) + F.when(u < rate - F.floor(rate), 1).otherwise(0)).cast("int")
+
+
+def drawn(sizes: DataFrame, seed: int) -> DataFrame:
+    """rates() with draw: the one whose words come nearest to the target, the first on ties. sizes: doc_id, key, size."""
+    of = written(rates(sizes), "rates")
+    each = join_by_key(sizes, of.select("key", "n", "rate"), "key", "n", sizes.count())
+    part = F.col("rate") - F.floor("rate")
+    sums = [F.sum(F.when(uniform(F.col("doc_id"), seed, j) < part, F.col("size")).otherwise(0)).alias(f"d{j}") for j in range(DRAWS)]
+    extra = each.groupBy("key").agg(*sums)
+    goal = F.col("target") - F.floor("rate") * F.col("source_size")
+    tries = F.array(*[F.struct(F.abs(F.col(f"d{j}") - goal).alias("off"), F.lit(j).alias("j")) for j in range(DRAWS)])
+    return written(of.join(extra, "key").select(*of.columns, F.array_min(tries)["j"].alias("draw")), "draws")
 
 
 def mix(docs: DataFrame, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """doc_id, size, source_size, target, taken, copies; a row for each row of docs."""
     sizes = written(docs.select(F.col(id_col).alias("doc_id"), key_of(F.col(source_col)).alias("key"), n_words(F.col(text_col)).alias("size")), "sizes")
-    of = rates(sizes)
-    out = join_by_key(sizes, of.select("key", "n", "source_size", "target", "rate"), "key", "n", sizes.count())
-    n = copies(F.col("doc_id"), F.col("rate"), seed)
+    of = drawn(sizes, seed)
+    out = join_by_key(sizes, of.select("key", "n", "source_size", "target", "rate", "draw"), "key", "n", sizes.count())
+    n = copies(F.col("doc_id"), F.col("rate"), F.col("draw"), seed)
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * n).alias("taken"), n.alias("copies"))
 
 
@@ -88,14 +106,14 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str, seed: int = 17) -> DataFrame:
     """The mix: each document as many times as it is taken."""
-    sizes = written(docs.select(key_of(F.col("source")).alias("key"), n_words(F.col("text")).alias("size")), "sizes")
-    of = written(rates(sizes).select(F.col("key").alias("__key"), F.col("rate").alias("__rate"), F.col("n").alias("__n")), "rates")
+    sizes = written(docs.select("doc_id", key_of(F.col("source")).alias("key"), n_words(F.col("text")).alias("size")), "sizes")
+    of = drawn(sizes, seed).select(F.col("key").alias("__key"), F.col("rate").alias("__rate"), F.col("draw").alias("__draw"), F.col("n").alias("__n"))
     keyed = docs.withColumn("__key", key_of(F.col("source")))
     if of.count() <= BROADCAST_SOURCES:
         out = keyed.join(F.broadcast(of), "__key")
     else:
         out = join_by_key(keyed, of, "__key", "__n", sizes.count())
-    out = out.withColumn("__times", copies(F.col("doc_id"), F.col("__rate"), seed)).filter("__times > 0")
+    out = out.withColumn("__times", copies(F.col("doc_id"), F.col("__rate"), F.col("__draw"), seed)).filter("__times > 0")
     return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(docs.columns)
 
 
@@ -115,11 +133,16 @@ l AS (
          FILTER (3 * source_size > weight * ((total - filled)::DOUBLE / open_weight)) AS level FROM o),
 t AS (SELECT source, source_size, least(weight * level, (3 * source_size)::DOUBLE) AS target FROM w, l),
 r AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target,
-         CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
-         ('0x' || substr(md5('17:' || d.doc_id), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS u
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-       (size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM r
+  SELECT d.doc_id, d.source, d.size, t.source_size, t.target,
+         CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+u AS (
+  SELECT r.*, j, ('0x' || substr(md5('17:' || (j // 2) || ':' || doc_id), (1 + 16 * (j % 2))::INT, 13))::BIGINT::DOUBLE / 4503599627370496.0 < rate - floor(rate) AS extra
+  FROM r, (SELECT unnest(range(0, 16)) AS j)),
+b AS (
+  SELECT source, j, abs(sum(CASE WHEN extra THEN size ELSE 0 END) - (any_value(target) - floor(any_value(rate)) * any_value(source_size))) AS off
+  FROM u GROUP BY source, j),
+w2 AS (SELECT source, arg_min(j, row(off, j)) AS j FROM b GROUP BY source)
+SELECT doc_id, size, source_size, target, (size * (floor(rate) + CASE WHEN extra THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM u JOIN w2 ON u.source IS NOT DISTINCT FROM w2.source AND u.j = w2.j
 """

@@ -149,7 +149,7 @@ def test_mixing(spark, sf):
         assert x["source_size"] == sizes[s] and x["target"] == pytest.approx(want[s]) and x["taken"] <= 3 * x["size"]
         taken[s] = taken.get(s, 0) + x["taken"]
     assert sum(want.values()) == pytest.approx(sum(sizes.values()))
-    assert all(abs(taken[s] - want[s]) <= 0.25 * want[s] + 40 for s in want)
+    assert all(abs(taken[s] - want[s]) <= 0.05 * want[s] + 20 for s in want)
     again = mixing.mix(d.repartition(7)).collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, again))
     mixed = mixing.stage(spark, d, sf)
