@@ -15,8 +15,8 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Words, and parts of words, held by one Python worker (about 200 bytes each); a memo starts anew beyond that.
-MEMO_WORDS = 1_250_000
-MEMO_PARTS = 900_000
+MEMO_WORDS = 900_000
+MEMO_PARTS = 700_000
 #: Code points of the texts whose words are looked up together.
 BATCH_CHARS = 4_000_000
 #: Parts that are encoded as one text.
