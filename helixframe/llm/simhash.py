@@ -38,17 +38,24 @@ BLOCK = 4096
 SMALL = 16
 
 
-def fingerprint(text: str | None, shingle: int = 3) -> int:
-    """SimHash of the text: a bit is set if it is in over half the shingles' XXH64 (seed 42)."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """XXH64 (seed 42) of the text's shingles in order; none of a null or blank text."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return np.empty(0, dtype=np.uint64)
     flat = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     k = min(shingle, len(words))
     digest = xxhash.xxh64_intdigest
-    h = np.array([digest(flat[a:b], 42) for a, b in zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist())], dtype=np.uint64)
+    return np.array([digest(flat[a:b], 42) for a, b in zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist())], dtype=np.uint64)
+
+
+def fingerprint(text: str | None, shingle: int = 3) -> int:
+    """SimHash of the text: a bit is set if it is in over half the shingles' XXH64 (seed 42)."""
+    h = shingle_hashes(text, shingle)
+    if not len(h):
+        return 0
     total = np.zeros(BITS, dtype=np.int64)
     for i in range(0, len(h), 65536):
         total += np.unpackbits(h[i : i + 65536].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
@@ -251,7 +258,9 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: that with the smallest id; fingerprints over five words, up to six bits apart."""
-    near = near_duplicates(docs, shingle=5, max_distance=6)
+    """One document of each group stays: that with the smallest id; links of a five-word Jaccard similarity of 0.8 or more, which 64 bits can't tell."""
+    from helixframe.llm import jaccard
+
+    near = jaccard.near_duplicates(docs, shingle=5)
     gone = near.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti")
