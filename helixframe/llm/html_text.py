@@ -7,7 +7,7 @@ wrapper, where a node counts its pages and remembers its text as long as it is
 the same. Nodes whose text is constant over at least MIN_PAGES pages that differ
 elsewhere are template; the varying slots are content, unless their element is
 a menu, header, footer, sidebar, notice, advert, form or list of comments.
-Where a page has an article (or main) element, content is what varies or stands in it.
+Where a page has an article (or main) element, content is what stands in it and isn't template.
 
 Wrappers are folded in each partition, then merged for each host in two steps, first
 by host and hash of the partition, so a hot host is never in one task. What is
@@ -277,7 +277,7 @@ def main_text(page: str | None, template: frozenset[str] = frozenset()) -> str:
 
     def walk(n: Node, path: str, inside: bool, heading: bool) -> None:
         """path is None below inline elements, which are part of the block around them."""
-        here = inside and path not in template or heading
+        here = (inside or heading) and path not in template
         for k in n.kids:
             if isinstance(k, str):
                 if here:
