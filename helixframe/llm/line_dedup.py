@@ -123,6 +123,10 @@ def rows_to_meet(docs: DataFrame, text_col: str, threshold: int, min_chars: int)
     return docs.select(F.col(text_col).alias("text")).mapInPandas(rows, "h long, id long, code byte")
 
 
+#: Rows of a bucket that a task holds; of a larger bucket it holds the lines' first rows, and gives them once it is known to be live.
+HELD = 100_000
+
+
 def _live(frames):
     """Of rows sorted by (h, id, code), the first of each line in a group where an index row meets another line."""
 
@@ -135,17 +139,42 @@ def _live(frames):
         first = np.concatenate(([True], (h[1:] != h[:-1]) | (ids[1:] != ids[:-1])))
         return f[np.repeat((low != high) & (probes < size), size) & first]
 
-    rest = None
+    def added(f: pd.DataFrame, held: list, state: dict) -> None:
+        """Rows of the large bucket: one a line is held; state: its last line, and if an index row and other lines were seen."""
+        ids = f["id"].to_numpy()
+        if state["last"] is not None and (ids != state["last"]).any() or (ids != ids[0]).any():
+            state["others"] = True
+        state["index"] |= bool((f["code"].to_numpy() & 1 == 0).any())
+        new = np.concatenate(([state["last"] is None or ids[0] != state["last"]], ids[1:] != ids[:-1]))
+        held.append(f[new])
+        state["last"] = ids[-1]
+
+    rest, key, held, state = None, None, [], {}
     for f in frames:
+        if key is not None and len(f):  # the large bucket goes on
+            h = f["h"].to_numpy()
+            k = int(np.searchsorted(h, key, side="right"))
+            if k:
+                added(f.iloc[:k], held, state)
+            if state["others"] and state["index"]:
+                yield from held
+                held = []
+            if k == len(f):
+                continue
+            key, held, f = None, [], f.iloc[k:].reset_index(drop=True)
         f = f if rest is None else pd.concat([rest, f], ignore_index=True)
         h = f["h"].to_numpy()
         k = int(np.searchsorted(h, h[-1])) if len(h) else 0
         if k:  # the last group may go on in the next batch
             yield found(f.iloc[:k])
         rest = f.iloc[k:]
-        if len(rest) > 100_000:  # a group beyond any batch has other lines for certain
-            yield rest.iloc[:-1].drop_duplicates(["h", "id"])
-            rest = rest.iloc[-1:]
+        if len(rest) > HELD:
+            key, held, state = int(h[-1]), [], {"last": None, "index": False, "others": False}
+            added(rest, held, state)
+            rest = None
+            if state["others"] and state["index"]:
+                yield from held
+                held = []
     if rest is not None and len(rest):
         yield found(rest)
 
