@@ -10,7 +10,8 @@ multiples of 2048, 1024, 512 or 256 tokens, whichever is the first to do.
 
 Only the class counts (SEQUENCE / UNIT numbers for each way to cut) come to the
 driver, so the plan's cost doesn't depend on the input. Ranks are found in hash
-buckets of each class. Texts are never shuffled, and read once unless remainders are cut.
+buckets of each class. Texts are never shuffled, and read once: the checksums of every way to cut come with
+the lengths.
 
 Defined results: a null or empty text is the end id alone; repeated rows are
 packed each; an empty table gives no rows; other columns are ignored.
@@ -18,16 +19,15 @@ packed each; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import struct
 import zlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import written
-from helixframe.llm.tokens import default_path, word_tokens
+from helixframe.llm.common import slices, written
+from helixframe.llm.tokens import SLICE_BYTES, default_path, word_tokens
 
 SEQUENCE = 4096
 UNIT = 8
@@ -44,28 +44,34 @@ def piece_lengths(n: int, cut: int) -> list[int]:
     return [SEQUENCE] * full + [cut] * (rest // cut) + ([rest % cut] if rest % cut else [])
 
 
-def token_pieces(docs: DataFrame, path: str, end_id: int, cut: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, doc_tokens and the CRC-32 of each piece."""
+def checksums(ids: np.ndarray) -> tuple[list[int], list[list[int]]]:
+    """CRC-32 of the full sequences, and of the remainder's pieces for each way to cut."""
+    raw = memoryview(ids.astype("<u4").view(np.uint8))
+    size, full = 4 * SEQUENCE, len(ids) // SEQUENCE
+    rest = raw[full * size :]
+    return [zlib.crc32(raw[k * size : (k + 1) * size]) for k in range(full)], [[zlib.crc32(rest[at : at + 4 * cut]) for at in range(0, len(rest), 4 * cut)] for cut in CUTS]
 
-    def pieces(frames):
+
+def token_pieces(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, doc_tokens and the CRC-32 of each piece: of full sequences, and of the remainder's pieces for each of CUTS."""
+
+    def pieces(batches):
         tokens = word_tokens(path)
-        end = struct.pack("<H", end_id)
-        for f in frames:
-            names = f["doc_id"].to_numpy()
-            for first, batch in tokens.batches(f["text"].tolist()):
-                n, crcs = [], []
-                for ids in batch:
-                    raw = np.frombuffer(ids + end, dtype="<u2").astype("<u4")
-                    n.append(len(raw))
-                    at, own = 0, []
-                    for k in piece_lengths(len(raw), cut):
-                        own.append(zlib.crc32(raw[at : at + k]))
-                        at += k
-                    crcs.append(own)
-                yield pd.DataFrame({"doc_id": names[first : first + len(batch)], "doc_tokens": np.array(n, dtype=np.int64), "crcs": crcs})
+        end = np.array([end_id], dtype="<u2")
+        for b in batches:
+            for first, some in slices(b.column("text").cast(pa.string()), SLICE_BYTES):
+                flat, at = tokens.flat(some)
+                n, full, rest = [], [], []
+                for low, high in zip(at[:-1].tolist(), at[1:].tolist()):
+                    ids = np.concatenate((flat[low:high], end))
+                    n.append(len(ids))
+                    f, r = checksums(ids)
+                    full.append(f)
+                    rest.append(r)
+                yield pa.record_batch([b.column("doc_id").slice(first, len(n)), pa.array(n, pa.int64()), pa.array(full, pa.list_(pa.int64())), pa.array(rest, pa.list_(pa.list_(pa.int64())))], names=["doc_id", "doc_tokens", "full", "rest"])
 
     rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(pieces, "doc_id string, doc_tokens long, crcs array<long>")
+    return rows.mapInArrow(pieces, "doc_id string, doc_tokens long, full array<long>, rest array<array<long>>")
 
 
 def class_counts(made: DataFrame) -> tuple[dict[int, dict[int, int]], int]:
@@ -178,15 +184,11 @@ def pack(docs: DataFrame, path: str, end_id: int = END_ID, max_padding: float =
     spark = docs.sparkSession
     kind = dict(docs.dtypes)[id_col]
 
-    def tokenized(cut: int) -> DataFrame:
-        made = token_pieces(docs, path, end_id, cut, id_col, text_col)
-        return written(made.withColumn("row_id", F.monotonically_increasing_id()), "token-pieces")
-
-    made = tokenized(CUTS[0])
+    made = token_pieces(docs, path, end_id, id_col, text_col)
+    made = written(made.withColumn("row_id", F.monotonically_increasing_id()), "token-pieces")
     counts, tokens = class_counts(made)
     cut, found = choose(counts, tokens, max_padding)
-    if cut != CUTS[0]:  # other pieces have other checksums: texts are read again
-        made = tokenized(cut)
+    made = made.withColumn("crcs", F.concat("full", F.col("rest")[CUTS.index(cut)]))
 
     full = F.floor(F.col("doc_tokens") / SEQUENCE)
     pieces = made.select("row_id", "doc_id", "doc_tokens", F.posexplode("crcs").alias("k", "ids_crc32"))
@@ -196,14 +198,16 @@ def pack(docs: DataFrame, path: str, end_id: int = END_ID, max_padding: float =
     pieces = pieces.withColumn("length", size.cast("long"))
     pieces = pieces.withColumn("class", F.ceil(F.col("length") / UNIT).cast("int")).drop("k")
 
-    slots, at, filled = [], 0, {}
+    slots: dict[int, list[tuple[int, int, int]]] = {}
+    at, filled = 0, {}
     for times, held in found:
         for c, k in held:
             low = filled.get(c, 0)
             filled[c] = low + k * times
-            slots.append((c, low, filled[c], k, at))
+            slots.setdefault(c, []).append((low, k, at))
         at += times
-    plan = spark.createDataFrame(slots, "class int, low long, high long, each long, base long")
+    # the plan has at most a slot for each class of each of SEQUENCE / UNIT patterns and what they leave
+    plan = spark.createDataFrame(list(slots.items()), "class int, slots array<struct<low long, each long, base long>>")
 
     buckets = max(64, sum(counts.get(cut, {}).values()) // BUCKET_ROWS)
     ranked = pieces.withColumn("bucket", F.pmod(F.xxhash64("row_id", "start"), F.lit(buckets)))
@@ -212,9 +216,10 @@ def pack(docs: DataFrame, path: str, end_id: int = END_ID, max_padding: float =
     before = Window.partitionBy("class").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumn("before", F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count")
     ranked = ranked.join(sizes, ["class", "bucket"]).withColumn("rank", F.col("own") + F.col("before"))
-    # the plan has at most a slot for each class of each of SEQUENCE / UNIT patterns and what they leave
-    dealt = ranked.join(F.broadcast(plan), "class").filter((F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high")))
-    dealt = dealt.withColumn("sequence_id", (F.col("base") + F.floor((F.col("rank") - F.col("low")) / F.col("each"))).cast("long"))
+    # slots are in order of rank: a piece's is the last that begins at its rank or before
+    dealt = ranked.join(F.broadcast(plan), "class")
+    dealt = dealt.withColumn("slot", F.element_at("slots", F.size(F.filter("slots", lambda x: x["low"] <= F.col("rank")))))
+    dealt = dealt.withColumn("sequence_id", (F.col("slot.base") + F.floor((F.col("rank") - F.col("slot.low")) / F.col("slot.each"))).cast("long"))
     inside = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "row_id", "start").rowsBetween(Window.unboundedPreceding, 0)
     dealt = dealt.withColumn("offset", F.sum("length").over(inside) - F.col("length"))
     return dealt.select(F.col("doc_id").cast(kind).alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

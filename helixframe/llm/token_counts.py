@@ -21,11 +21,12 @@ import uuid
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import new_path, written
-from helixframe.llm.tokens import default_path, word_tokens
+from helixframe.llm.common import new_path, slices, written
+from helixframe.llm.tokens import SLICE_BYTES, default_path, word_tokens
 
 END_ID = 49407
 BLOCK_BYTES = 8 << 20
@@ -45,28 +46,27 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = END
     """
     base = folder.replace("file:///", "/", 1) if folder.startswith("file:///") else folder
 
-    def write(frames):
+    def write(batches):
         tokens = word_tokens(path, literal=True)
-        end = np.array([end_id], dtype="<u2").tobytes()
         name, n, out = f"{base}/tokens-{uuid.uuid4().hex}.bin", 0, None
         try:
-            for f in frames:
-                names = f["doc_id"].to_numpy()
-                for first, batch in tokens.batches(f["text"].tolist()):
+            for b in batches:
+                for first, some in slices(b.column("text").cast(pa.string()), SLICE_BYTES):
                     if out is None:
                         files, at = _fs(name)
                         files.create_dir(at.rpartition("/")[0])
                         out = files.open_output_stream(at)
-                    for ids in batch:
-                        out.write(ids + end)
-                    yield pd.DataFrame({"file": name, "ordinal": np.arange(n, n + len(batch)), "doc_id": names[first : first + len(batch)]})
-                    n += len(batch)
+                    flat, ends = tokens.flat(some)
+                    out.write(np.insert(flat, ends[1:], end_id).astype("<u2").tobytes())
+                    k = len(some)
+                    yield pa.record_batch([pa.array([name] * k, pa.string()), pa.array(np.arange(n, n + k)), b.column("doc_id").slice(first, k)], names=["file", "ordinal", "doc_id"])
+                    n += k
         finally:
             if out is not None:
                 out.close()
 
     rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(write, "file string, ordinal long, doc_id string")
+    return rows.mapInArrow(write, "file string, ordinal long, doc_id string")
 
 
 def scan_blocks(files: DataFrame, end_id: int = END_ID, block_bytes: int = BLOCK_BYTES) -> DataFrame:
