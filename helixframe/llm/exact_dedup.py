@@ -2,10 +2,12 @@
 
 A batch of documents is reduced to (id, code points, SHA-256 of the text
 without white space). Its groups are anti-joined to the index, of which no
-bucket is shuffled, and the new digests are appended. No text is shuffled.
+bucket is shuffled, and the new digests are appended under the batch's tag, a checksum of its
+rows. A batch that is added again, as after a crash before or after its digests were
+appended, finds its own tag and gets the same verdicts. One batch is added at a time.
 
 Defined results: a null text counts as empty; among equal texts the row with the
-most code points, then the smallest id (null ids last), then the first read
+most code points, then the smallest id (null ids last), then the smallest hash of the row
 stays; repeated rows count as copies, one of them stays; an empty table
 gives no rows; other columns are ignored.
 """
@@ -17,9 +19,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import SPACES, join_by_key, written
+from helixframe.llm.common import SPACES, join_by_key, keep_rows, row_key, written
 
-INDEX_SCHEMA = "digest binary, keep_id long, keep_row long, batch string"
+INDEX_SCHEMA = "digest binary, keep_id long, batch string"
 
 
 def digest(text: Column) -> Column:
@@ -40,54 +42,73 @@ class DigestIndex:
             self._append(spark.createDataFrame([], INDEX_SCHEMA))
 
     def _append(self, rows: DataFrame) -> None:
-        # one file a bucket, sorted: a merge join then needs neither shuffle nor sort of the index
+        # a file a bucket: joins need no shuffle of the index
         rows = rows.repartition(self.buckets, "digest")
         rows.write.bucketBy(self.buckets, "digest").sortBy("digest").mode("append").saveAsTable(self.name)
 
     def table(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def add(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """Deduplicate docs against the index and each other, and append what is new.
+    def compact(self) -> None:
+        """One sorted file a bucket again, after many batches: a new table takes the old one's name."""
+        new, old = f"{self.name}_{uuid.uuid4().hex}", f"{self.name}_{uuid.uuid4().hex}"
+        self.table().repartition(self.buckets, "digest").write.bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(new)
+        self.spark.sql(f"ALTER TABLE {self.name} RENAME TO {old}")
+        self.spark.sql(f"ALTER TABLE {new} RENAME TO {self.name}")
+        self.spark.sql(f"DROP TABLE {old}")
 
-        Returns a row for each row of docs: doc_id, keep_id, group_size (rows of
-        docs with the text), kept, digest. What the index had before stays kept there.
-        """
-        tag = uuid.uuid4().hex
+    def judged(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        """As add(), with the row's key (common.row_key)."""
         text = F.col(text_col)
         batch = written(
             docs.select(
                 F.col(id_col).cast("long").alias("doc_id"),
                 F.coalesce(F.length(text), F.lit(0)).alias("n_chars"),
                 digest(text).alias("digest"),
+                *row_key(docs),
                 F.monotonically_increasing_id().alias("row_id"),
             ),
             "digests",
         )
-        first = F.struct((-F.col("n_chars")).alias("a"), F.col("doc_id").isNull().alias("b"), "doc_id", "row_id")
+        n, h1, h2 = batch.agg(F.count("*"), F.sum(F.col("__k1").cast("decimal(38,0)")), F.bit_xor("__k2")).first()
+        tag = f"{n}-{h1}-{h2}"
+        first = F.struct((-F.col("n_chars")).alias("a"), F.col("doc_id").isNull().alias("b"), "doc_id", "__k1", "__k2", "row_id")
         groups = written(batch.groupBy("digest").agg(F.min(first).alias("best"), F.count("*").alias("group_size")), "digest-groups")
+        # a batch that was cut off finds those of its digests that are there already, and appends the others
         new = groups.join(self.table().hint("merge"), "digest", "left_anti")
-        self._append(new.select("digest", F.col("best.doc_id").alias("keep_id"), F.col("best.row_id").alias("keep_row"), F.lit(tag).alias("batch")))
-        verdicts = groups.select("digest", "group_size").join(self.table().hint("merge"), "digest")
-        out = join_by_key(batch, verdicts, "digest", "group_size", batch.count())
-        kept = (F.col("batch") == tag) & (F.col("row_id") == F.col("keep_row"))
-        return out.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "digest")
+        self._append(new.select("digest", F.col("best.doc_id").alias("keep_id"), F.lit(tag).alias("batch")))
+        own = groups.select("digest", "group_size", F.col("best.row_id").alias("best_row"))
+        verdicts = own.join(self.table().hint("merge"), "digest")
+        out = join_by_key(batch, verdicts, "digest", "group_size", n)
+        kept = (F.col("batch") == tag) & (F.col("row_id") == F.col("best_row"))
+        return out.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "digest", "__k1", "__k2")
+
+    def add(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        """Deduplicate docs against the index and each other, and append what is new.
+
+        Returns a row for each row of docs: doc_id, keep_id, group_size (rows of
+        docs with the text), kept, digest. What the index had before stays kept there.
+        """
+        return self.judged(docs, id_col, text_col).drop("__k1", "__k2")
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    out = DigestIndex(spark).add(docs)
+    index = DigestIndex(spark)
+    out = written(index.add(docs), "verdicts")
+    index.drop()
     return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that stay. Rows that repeat an id and its text are one document."""
-    keep = DigestIndex(spark).add(docs).filter("kept").select(F.col("doc_id").alias("__keep_id"), F.col("digest").alias("__keep_digest"))
-    tagged = docs.withColumn("__digest", digest(F.col("text")))
-    out = tagged.join(keep, F.col("doc_id").eqNullSafe(F.col("__keep_id")) & (F.col("__digest") == F.col("__keep_digest")), "left_semi")
-    if not docs.groupBy("doc_id").count().filter("count > 1").limit(1).isEmpty():
-        out = out.dropDuplicates(["doc_id", "__digest"])
-    return out.drop("__digest")
+    """The documents that stay, judged row by row: rows that share an id but not their text are different documents; of equal rows one stays."""
+    index = DigestIndex(spark)
+    verdicts = written(index.judged(docs).filter("group_size > 1").select("__k1", "__k2", "kept"), "copies")
+    index.drop()
+    return keep_rows(docs, verdicts)
 
 
 SQL = r"""

@@ -24,11 +24,12 @@ from math import comb
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import join_by_key, written
+from helixframe.llm.common import join_by_key, keep_rows, slices, written
 from helixframe.llm.graph import components
 
 BITS = 64
@@ -36,6 +37,8 @@ BITS = 64
 BLOCK = 4096
 #: Groups up to this size are compared by shifted arrays, larger ones by search of a forest.
 SMALL = 16
+#: UTF-8 bytes of the texts that a worker holds as Python strings.
+SLICE_BYTES = 1_000_000
 
 
 def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
@@ -65,11 +68,13 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fp: the fingerprint as a signed long; a row for each row of docs."""
 
-    @F.pandas_udf("long")
-    def fp(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64))
+    def fp(batches):
+        for b in batches:
+            for first, some in slices(b.column("text").cast(pa.string()), SLICE_BYTES):
+                made = np.array([fingerprint(t, shingle) for t in some.to_pylist()], dtype=np.uint64).view(np.int64)
+                yield pa.record_batch([b.column("doc_id").slice(first, len(made)), pa.array(made)], names=["doc_id", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), fp(F.col(text_col)).alias("fp"))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(fp, "doc_id long, fp long")
 
 
 def bit_counts(nodes: DataFrame) -> tuple[int, np.ndarray]:
@@ -258,9 +263,13 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: that with the smallest id; links of a five-word Jaccard similarity of 0.8 or more, which 64 bits can't tell."""
+    """One row of each group stays: that with the smallest id (null ids last); links of a five-word Jaccard similarity of 0.8 or more, which 64 bits can't tell.
+
+    Rows are judged one by one: rows that share an id but no text are different documents, null and
+    blank texts are copies of each other, of equal rows one stays, an empty table gives no rows.
+    """
     from helixframe.llm import jaccard
 
-    near = jaccard.near_duplicates(docs, shingle=5)
-    gone = near.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    of = jaccard.groups(docs, shingle=5).filter("members > 1")
+    kept = (F.col("__k1") == F.col("first.__k1")) & (F.col("__k2") == F.col("first.__k2"))
+    return keep_rows(docs, of.select("__k1", "__k2", kept.alias("kept")))

@@ -44,6 +44,6 @@ def test_every_pair_from_four_fifths_on(spark, sf, monkeypatch, block, few):
             least[comps[i]] = min(least.get(comps[i], d), d)
     got = jaccard.near_duplicates(docs(spark, rows)).collect()
     assert sorted(map(tuple, got), key=repr) == sorted([(d, least[comps[i]]) for i, (d, _) in enumerate(rows)], key=repr)
-    kept = {x["doc_id"] for x in simhash.stage(spark, docs(spark, rows), sf).collect()}
-    assert kept == {*least.values(), None}
+    kept = [x["doc_id"] for x in simhash.stage(spark, docs(spark, rows), sf).collect()]
+    assert sorted(kept) == sorted(set(least.values()))
     assert jaccard.near_duplicates(docs(spark, rows).limit(0)).count() == 0

@@ -98,8 +98,8 @@ def test_word_memo_gives_the_tokenizers_ids(tokenizer, monkeypatch):
     for _ in range(2):
         for text, raw in zip(HARD, tokenizer.batch(HARD)):
             assert np.frombuffer(raw, "<u2").tolist() == tokenizer.tokenizer.encode(text or "", add_special_tokens=False).ids
-    monkeypatch.setattr(tokens, "MEMO_WORDS", 3)
-    monkeypatch.setattr(tokens, "MEMO_PARTS", 3)
+    monkeypatch.setattr(tokens, "MEMO_BYTES", 1500)  # a handful of words in two generations
+    monkeypatch.setattr(tokens, "SLICE_BYTES", 7)
     for text in HARD:
         assert np.frombuffer(tokenizer.batch([text])[0], "<u2").tolist() == tokenizer.tokenizer.encode(text or "", add_special_tokens=False).ids
 
@@ -223,9 +223,14 @@ def test_classifier_takes_few_labels(spark):
 # ---- pipeline ------------------------------------------------------------------------
 
 
+def brute_shingles(text):
+    words = text.encode().lower().split()
+    return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
 def test_pipeline_against_brute_force(spark, sf, tokenizer):
     import corpus_pipeline
-    from test_pairs_and_dedup import brute_components, brute_exact, brute_fingerprint
+    from test_pairs_and_dedup import brute_components, brute_exact
     from test_rules_and_mixing import brute_measures, brute_targets
 
     docs = [(r["doc_id"], r["text"], r["source"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
@@ -233,12 +238,12 @@ def test_pipeline_against_brute_force(spark, sf, tokenizer):
     docs = [d for d in docs if not (m[d[0]][0] < 20 or 100 * m[d[0]][4] > 30 * m[d[0]][0])]
     keep = {(k, h) for _, k, _, h in brute_exact([d[:2] for d in docs])}
     docs = [d for d in docs if d[0] in {k for k, _ in keep}]
-    fp = {i: brute_fingerprint(t, 5) for i, t, _ in docs}
-    comps = brute_components([(a, b) for a in fp.values() for b in fp.values() if (a ^ b).bit_count() <= 6])
+    sets = {i: brute_shingles(t) for i, t, _ in docs}
+    comps = brute_components([(a, b) for a in sets for b in sets if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])])
     least = {}
-    for i, f in fp.items():
-        least[comps[f]] = min(least.get(comps[f], i), i)
-    docs = [d for d in docs if least[comps[fp[d[0]]]] == d[0]]
+    for i, c in comps.items():
+        least[c] = min(least.get(c, i), i)
+    docs = [d for d in docs if least[comps[d[0]]] == d[0]]
     sizes = {}
     for _, t, s in docs:
         sizes[s] = sizes.get(s, 0) + len(t.encode().split())
