@@ -1,7 +1,8 @@
 """Line dedup by a segment-partition edit join.
 
 Lines are stripped of white space around them; blank lines don't count. Equal
-lines are one. A line of l code points is cut into threshold + 1 segments; if a
+lines are one. How many edits (the threshold) link two lines grows with the shorter one's length: a
+line of l code points is cut into threshold + 1 segments; if a
 longer or equal line is within threshold edits of it, one of the segments stands
 unchanged in that line, at one of a few places that follow from both lengths.
 Index rows (length, segment number, segment) and probe rows (for each length
@@ -13,7 +14,7 @@ and pairs of blocks. A pair counts in the first segment where it meets, so links
 counted without being emitted; what is emitted is a spanning forest.
 
 Defined results: the first line of a class in order of document and line number stays;
-lines of under ``min_chars`` code points are only compared for equality; a null
+in lines of under 8 code points, of which one is an eighth or more, no edit is allowed; a null
 text has no lines; repeated rows repeat their lines; an empty table gives no rows.
 """
 
@@ -28,8 +29,8 @@ from pyspark.sql import functions as F
 from helixframe.llm.common import SPACES, join_by_key, written
 from helixframe.llm.graph import components
 
-THRESHOLD = 2
-MIN_CHARS = 20
+#: (code points of the shorter line, edits): from 20 on two, from 8 on one, else none.
+EDITS = ((20, 2), (8, 1))
 BLOCK = 1024
 #: Lines that met others, up to so many (8 bytes each), are broadcast when texts are fetched; more are joined by shuffle.
 BROADCAST_LINES = 500_000
@@ -55,6 +56,11 @@ def places(n: int, short: int, i: int, start: int, size: int, threshold: int) ->
     return low, high
 
 
+def allowed(n: int, edits: tuple[tuple[int, int], ...]) -> int:
+    """The threshold of pairs whose shorter line has n code points."""
+    return next((t for least, t in edits if n >= least), 0)
+
+
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     each = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line"))
     return each.withColumn("line", F.trim(F.col("line"), F.lit(SPACES))).filter("line <> ''")
@@ -64,17 +70,22 @@ def digest(line: Column) -> Column:
     return F.unhex(F.md5(line))
 
 
-def meeting_places(n: int, threshold: int) -> list[tuple[int, int, int, int]]:
-    """(seed, code, start, end) of the index and probe rows of a line of n code points.
+def meeting_places(n: int, edits: int | tuple[tuple[int, int], ...]) -> list[tuple[int, int, int, int]]:
+    """(seed, code, start, end) of the index and probe rows of a line of n code points; edits: as EDITS, or one threshold for all.
 
     code: twice the segment number, plus 1 for a probe. The seed is made of length and segment
     number, so only segments of lines of one length, or probes for it, meet. A probe at a
     segment's own place would repeat the index row and is left out.
     """
+    edits = ((edits + 1, edits),) if isinstance(edits, int) else edits
+    most = max((t for _, t in edits), default=0)
     out = []
-    for gap in range(threshold + 1):
+    for gap in range(min(most, n - 1) + 1):
+        threshold = allowed(n - gap, edits)
+        if gap > threshold or not threshold:  # without edits only equal lines are linked
+            continue
         for i, (start, size) in enumerate(segments(n - gap, threshold)):
-            seed = (n - gap) * (threshold + 1) + i
+            seed = (n - gap) * (most + 1) + i
             if not gap:
                 out.append((seed, 2 * i, start, start + size))
             low, high = places(n, n - gap, i, start, size, threshold)
@@ -86,9 +97,11 @@ def meeting_places(n: int, threshold: int) -> list[tuple[int, int, int, int]]:
 SEEN = 1_000_000
 
 
-def rows_to_meet(docs: DataFrame, text_col: str, threshold: int, min_chars: int) -> DataFrame:
+def rows_to_meet(docs: DataFrame, text_col: str, edits: tuple[tuple[int, int], ...]) -> DataFrame:
     """h, id, code of the lines of docs; a line that is in several tasks gives its rows in each."""
 
+    shortest = min((least for least, _ in edits), default=0)
+
     def rows(frames):
         digest, known, seen = xxhash.xxh64_intdigest, {}, set()
         for f in frames:
@@ -98,7 +111,7 @@ def rows_to_meet(docs: DataFrame, text_col: str, threshold: int, min_chars: int)
                     for line in (text or "").split("\n"):
                         line = line.strip(SPACES)
                         n = len(line)
-                        if n < min_chars:
+                        if n < shortest:
                             continue
                         own = digest(line.encode("utf-8"), 42)
                         if own in seen:
@@ -109,7 +122,7 @@ def rows_to_meet(docs: DataFrame, text_col: str, threshold: int, min_chars: int)
                         if n not in known:
                             if len(known) > 20_000:
                                 known.clear()
-                            places_ = meeting_places(n, threshold)
+                            places_ = meeting_places(n, edits)
                             known[n] = [(s, 4 * a, 4 * b) for s, _, a, b in places_], [c for _, c, _, _ in places_]
                         spans, codes = known[n]
                         wide = line.encode("utf-32-le")
@@ -265,7 +278,7 @@ def _first_meeting(a: str, b: str, threshold: int) -> int:
     return -1
 
 
-def verified(uids: list[int], lines: list[str], index: list[bool], part: list[bool], across: bool, seg: int, threshold: int) -> tuple[list, dict]:
+def verified(uids: list[int], lines: list[str], index: list[bool], part: list[bool], across: bool, seg: int, edits: tuple[tuple[int, int], ...]) -> tuple[list, dict]:
     """Forest links and link counts among the lines of a bucket of segment number seg.
 
     index: the segment is the line's own. A pair is taken in the bucket of its first meeting only, where its
@@ -273,6 +286,7 @@ def verified(uids: list[int], lines: list[str], index: list[bool], part: list[bo
     """
     if len(lines) == 2:  # most buckets
         a, b = (0, 1) if (len(lines[0]), lines[0]) < (len(lines[1]), lines[1]) else (1, 0)
+        threshold = allowed(len(lines[a]), edits)
         if not index[a] or across and part[0] == part[1] or not distance_within(lines[a], lines[b], threshold) or _first_meeting(lines[a], lines[b], threshold) != seg:
             return [], {}
         return [(uids[a], uids[b])], {uids[a]: 1, uids[b]: 1}
@@ -291,6 +305,7 @@ def verified(uids: list[int], lines: list[str], index: list[bool], part: list[bo
     for i in range(len(lines) - 1):
         if not index[i]:
             continue
+        threshold = allowed(int(size[i]), edits)
         last = int(np.searchsorted(size, size[i] + threshold, side="right"))
         near = np.abs(bags[i + 1 : last] - bags[i]).sum(axis=1) <= 2 * threshold
         for j in (np.flatnonzero(near) + i + 1).tolist():
@@ -306,14 +321,14 @@ def verified(uids: list[int], lines: list[str], index: list[bool], part: list[bo
     return links, counts
 
 
-def _verify(frames, threshold: int):
+def _verify(frames, edits: tuple[tuple[int, int], ...]):
     """Rows sorted by (h, low, high): h, low, high, own, code, uid, line. Emits links (a, b, 0) and counts (uid, uid, n)."""
 
     out: list[tuple[int, int, int]] = []
 
     def group(key: tuple, rows: list) -> None:
         code, own = [r[1] for r in rows], [r[0] for r in rows]
-        links, counts = verified([r[2] for r in rows], [r[3] for r in rows], [c % 2 == 0 for c in code], [o != key[1] for o in own], key[1] != key[2], code[0] // 2, threshold)
+        links, counts = verified([r[2] for r in rows], [r[3] for r in rows], [c % 2 == 0 for c in code], [o != key[1] for o in own], key[1] != key[2], code[0] // 2, edits)
         out.extend((a, b, 0) for a, b in links)
         out.extend((u, u, n) for u, n in counts.items())
 
@@ -333,16 +348,16 @@ def _verify(frames, threshold: int):
         yield pd.DataFrame(out, columns=["a", "b", "n"]).astype("int64")
 
 
-def line_classes(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_classes(docs: DataFrame, edits: tuple[tuple[int, int], ...] = EDITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each line of docs that isn't blank: doc_id, line_no, class_doc_id, class_line_no, class_size, n_links, kept.
 
-    n_links: different lines within threshold edits of the line.
+    n_links: different lines within as many edits of the line as their lengths allow. edits: least length and threshold, longest first.
     """
-    if min_chars <= threshold:
-        raise ValueError("lines must have more code points than the threshold")
+    if any(least <= t for least, t in edits) or [*edits] != sorted(edits, reverse=True):
+        raise ValueError("lines must have more code points than the threshold; the longest come first")
     each = lines_of(docs, id_col, text_col)
-    long_enough = F.length("line") >= min_chars
-    meet = rows_to_meet(docs, text_col, threshold, min_chars)
+    long_enough = F.length("line") >= min((least for least, _ in edits), default=0)
+    meet = rows_to_meet(docs, text_col, edits)
     live = written(meet.repartition("h").sortWithinPartitions("h", "id", "code").mapInPandas(_live, "h long, id long, code byte"), "live")
     ids = written(live.select("id").distinct(), "live-ids")
     few = ids.count() <= BROADCAST_LINES
@@ -355,7 +370,7 @@ def line_classes(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = M
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("h", "id", "code", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
     rows = dealt.join(texts.select("id", "uid", "line"), "id")
-    found = rows.repartition("h", "low", "high").sortWithinPartitions("h", "low", "high").mapInPandas(lambda frames: _verify(frames, threshold), "a long, b long, n long")
+    found = rows.repartition("h", "low", "high").sortWithinPartitions("h", "low", "high").mapInPandas(lambda frames: _verify(frames, edits), "a long, b long, n long")
     found = written(found, "line-links")
     counts = found.filter("a = b").groupBy(F.col("a").alias("uid")).agg(F.sum("n").alias("n_links"))
     roots = components(found.filter("a <> b").select("a", "b")).withColumnRenamed("node", "uid")

@@ -218,17 +218,23 @@ def test_a_near_line_always_meets(threshold):
             assert own & other
 
 
+def edits_of(n):
+    return 2 if n >= 20 else 1 if n >= 8 else 0
+
+
 @pytest.mark.parametrize("block", [1024, 3])
 def test_line_classes(spark, monkeypatch, block):
     monkeypatch.setattr(line_dedup, "BLOCK", block)
     r = random.Random(block)
     base = ["".join(r.choice("abcdefg é") for _ in range(r.randint(20, 50))) for _ in range(30)]
     rows = [(d, "\n".join(" " * r.randint(0, 1) + edited(r, r.choice(base), r.choice([0, 0, 1, 2, 3])) for _ in range(r.randint(0, 4)))) for d in range(120)]
+    short = ["".join(r.choice("abcd ") for _ in range(n)).strip() or "a" for n in range(1, 24) for _ in range(3)]
+    rows += [(200 + k, edited(r, r.choice(short), r.choice([0, 1, 1, 2]), "abcd") + "\n" + r.choice(short)) for k in range(150)]
     rows += [(900, None), (901, ""), (902, "tiny\ntiny\n \n")]
     got = sorted(tuple(x) for x in line_dedup.line_classes(docs(spark, rows)).toPandas().itertuples(index=False, name=None))
     occ = [(d, i, x.strip(" \t\x0b\x0c\r")) for d, t in rows for i, x in enumerate((t or "").split("\n")) if x.strip(" \t\x0b\x0c\r")]
     lines = sorted({x for *_, x in occ})
-    pairs = [(x, y) for i, x in enumerate(lines) for y in lines[i + 1 :] if min(len(x), len(y)) >= 20 and abs(len(x) - len(y)) <= 2 and levenshtein(x, y) <= 2]
+    pairs = [(x, y) for i, x in enumerate(lines) for y in lines[i + 1 :] if levenshtein(x, y) <= edits_of(min(len(x), len(y)))]
     comps = brute_components(pairs + [(x, x) for x in lines])
     degree = {x: sum(x in p for p in pairs) for x in lines}
     first, size = {}, {}
