@@ -13,8 +13,11 @@ Wrappers are folded in each partition, then merged for each host in two steps, f
 by host and hash of the partition, so a hot host is never in one task. What is
 passed on is a summary whose size depends on the structure, not on the pages.
 
+Trees are walked without recursion and tags found in one pass, so deep or broken pages cost what their
+length does.
+
 Defined results: a null or empty page has an empty text; broken markup is closed
-where a browser would; repeated rows are extracted each; a host of few pages
+where a browser would, and an open tag at the end of a page is text; repeated rows are extracted each; a host of few pages
 is judged by elements alone; an empty table gives no rows.
 """
 
@@ -24,8 +27,10 @@ import html as entities
 import json
 import re
 import zlib
+from collections import Counter
 
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,7 +60,11 @@ NOISE = frozenset(
     "comment comments commentlist discussion disqus respond reply replies form search contentinfo complementary dialog".split()
 )
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
+NAME = re.compile(r"/?[a-zA-Z][^\s/>]*")
+#: What stands in a tag after its name, up to the first > outside quotes.
+INSIDE = re.compile(r"""((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
+#: Class words that may as well stand on a part of an article: inside one, the wrapper alone decides on them.
+WEAK = frozenset("legal copyright popular trending follow reply replies search skip rail form header masthead topbar".split())
 WORDS = re.compile(r"[a-z]+")
 
 
@@ -84,57 +93,101 @@ def _element(tag: str, raw: str) -> Node:
     return Node(tag, tag + "".join("." + x for x in sorted(words)), noise)
 
 
+def _markup(page: str):
+    """(start, end, tag, attributes) of the page's tags in order; tag: None for comments, with a slash for end tags. Send the place to go on from.
+
+    Every character is looked at a bounded number of times: where no > follows, the rest is text; an
+    open quote ends the tag at its first >, and can't open another.
+    """
+    at = 0
+    while True:
+        start = page.find("<", at)
+        if start < 0:
+            return
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            end, tag, raw = (end + 3 if end >= 0 else len(page)), None, ""
+        elif page.startswith(("<!", "<?"), start):
+            end = page.find(">", start)
+            end, tag, raw = (end + 1 if end >= 0 else len(page)), None, ""
+        else:
+            name = NAME.match(page, start + 1)
+            if name is None:
+                at = start + 1
+                continue
+            m = INSIDE.match(page, name.end())
+            end = m.end() if m else page.find(">", name.end()) + 1
+            if not end:
+                return
+            tag, raw = name[0], m[1] if m else page[name.end() : end - 1]
+        jump = yield start, end, tag, raw
+        at = end if jump is None else jump
+
+
 def parse(page: str) -> Node:
     """The page as a tree; kids are nodes and decoded texts."""
     root = Node("#", "#", False)
     stack, at = [root], 0
-    lower, wraps = None, []
+    open_tags: Counter[str] = Counter()
+    lower = None
+    wraps: dict[str, list] = {}  # article and main elements: how many, and what is around the first
+
+    def cut(i: int) -> None:
+        open_tags.subtract(x.tag for x in stack[i:])
+        del stack[i:]
+
+    def text_to(end: int) -> None:
+        if end > at:
+            text = page[at:end]
+            stack[-1].kids.append(entities.unescape(text) if "&" in text else text)
+
+    tags = _markup(page)
+    jump = None
     while True:
-        m = TAG.search(page, at)
-        if m is None or m.start() > at:
-            text = page[at : m.start() if m else len(page)]
-            if text:
-                stack[-1].kids.append(entities.unescape(text) if "&" in text else text)
-        if m is None:
-            # a class alone doesn't make the surroundings of the only article boilerplate
-            for kind in ("main", "article"):
-                if len(around := [x for t, x in wraps if t == kind]) == 1:
-                    for x in around[0]:
-                        x.noise = x.tag in DROP
-            return root
-        at = m.end()
-        tag = m[2]
+        try:
+            start, end, tag, raw = tags.send(jump)
+        except StopIteration:
+            text_to(len(page))
+            break
+        jump = None
+        text_to(start)
+        at = end
         if tag is None:
             continue
         tag = tag.lower()
-        if m[1]:
-            if tag == "p" and not any(x.tag == "p" for x in stack):
+        if tag[0] == "/":
+            tag = tag[1:]
+            if open_tags[tag] <= 0:
                 continue
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
-                    del stack[i:]
+                    cut(i)
                     break
                 if tag in INLINE and stack[i].tag not in INLINE and stack[i].tag != "p":
                     break  # the end of an inline element doesn't close blocks around it
             continue
-        node = _element(tag, m[3] or "")
+        node = _element(tag, raw)
         if tag in CLOSES_P:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p":
-                    del stack[i:]
-                    break
-                if stack[i].tag not in INLINE:
-                    break
-        elif tag in SAME:
+            if open_tags["p"] > 0:
+                for i in range(len(stack) - 1, 0, -1):
+                    if stack[i].tag == "p":
+                        cut(i)
+                        break
+                    if stack[i].tag not in INLINE:
+                        break
+        elif tag in SAME and any(open_tags[t] > 0 for t in SAME[tag]):
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag in SAME[tag]:
-                    del stack[i:]
+                    cut(i)
                     break
                 if stack[i].tag in SCOPES:
                     break
         stack[-1].kids.append(node)
         if tag in ("article", "main"):
-            wraps.append((tag, stack[1:]))
+            if tag in wraps:
+                wraps[tag][0] += 1
+            else:
+                wraps[tag] = [1, stack[1:]]
         if tag in RAW:
             if lower is None:
                 lower = page.lower() if len(page.lower()) == len(page) else page
@@ -144,117 +197,166 @@ def parse(page: str) -> Node:
             if tag not in ("script", "style"):
                 node.kids.append(entities.unescape(page[at:end]))
             close = page.find(">", end)
-            at = close + 1 if close >= 0 else len(page)
-        elif tag not in VOID and not (m[3] or "").endswith("/"):
+            jump = at = close + 1 if close >= 0 else len(page)
+        elif tag not in VOID and not raw.endswith("/"):
             stack.append(node)
-
-
-def _own_text(node: Node) -> str:
-    """Text of a node and the inline elements in it."""
-    out = []
-    for k in node.kids:
-        if isinstance(k, str):
-            out.append(k)
-        elif k.tag in INLINE and not k.noise:
-            out.append(_own_text(k))
-    return "".join(out)
+            open_tags[tag] += 1
+    # a class alone doesn't make the surroundings of the only article boilerplate
+    for n, around in wraps.values():
+        if n == 1:
+            for x in around:
+                x.noise = x.tag in DROP
+    return root
+
+
+def elements(root: Node) -> list[Node]:
+    """The nodes below and with root, each before what is in it."""
+    out, stack = [], [root]
+    while stack:
+        n = stack.pop()
+        out.append(n)
+        stack.extend(k for k in reversed(n.kids) if not isinstance(k, str))
+    return out
+
+
+def _parts(node: Node) -> tuple[str, list[Node]]:
+    """Text of a node and the inline elements in it, and the blocks in both."""
+    text, blocks, stack = [], [], [(iter(node.kids), True)]
+    while stack:
+        kids, shown = stack[-1]
+        k = next(kids, None)
+        if k is None:
+            stack.pop()
+        elif isinstance(k, str):
+            if shown:
+                text.append(k)
+        elif k.tag in INLINE:
+            stack.append((iter(k.kids), shown and not k.noise))
+        elif k.tag != "br":
+            blocks.append(k)
+    return " ".join("".join(text).split()), blocks
 
 
 # A wrapper node is [key, pages, text, kids]; text is the CRC of its text, 0 without one, -1 once it varies.
 
 
-def structure(node: Node, depth: int = 0) -> list:
-    """The page's own wrapper: blocks only, brothers of one key merged."""
-    crc, kids, by = 0, [], {}
-    text = " ".join(_own_text(node).split())
-    if text:
-        crc = zlib.crc32(text.encode("utf-8", "surrogatepass")) or 1
-    for k in _blocks(node):
-        s = structure(k, depth + 1) if depth < 60 else [k.key, 1, 0, []]
-        if k.key in by:
-            _absorb(by[k.key], s)
-        else:
-            by[k.key] = s
-            kids.append(s)
-    return [node.key, 1, crc, kids]
-
-
-def _blocks(node: Node):
-    for k in node.kids:
-        if not isinstance(k, str):
-            if k.tag in INLINE:
-                yield from _blocks(k)
-            elif k.tag != "br":
-                yield k
-
-
-def _absorb(a: list, b: list) -> None:
-    """A repeated brother b joins a: one slot whose text is that of all."""
-    if a[2] != b[2]:
-        a[2] = zlib.crc32(f"{a[2]},{b[2]}".encode()) or 1
-    by = {x[0]: x for x in a[3]}
-    for x in b[3]:
-        if x[0] in by:
-            _absorb(by[x[0]], x)
-        else:
-            a[3].append(x)
+def structure(root: Node) -> list:
+    """The page's own wrapper: blocks only; brothers of one key are one slot, whose text is that of all."""
+    out = [root.key, 1, 0, []]
+    stack = [([root], out)]
+    while stack:
+        nodes, own = stack.pop()
+        crcs, slots = [], {}
+        for n in nodes:
+            text, blocks = _parts(n)
+            crcs.append(zlib.crc32(text.encode("utf-8", "surrogatepass")) or 1 if text else 0)
+            for k in blocks:
+                slots.setdefault(k.key, []).append(k)
+        own[2] = crcs[0] if len(set(crcs)) == 1 else zlib.crc32(repr(crcs).encode()) or 1
+        own[3] = [[key, 1, 0, []] for key in slots]
+        stack.extend(zip(slots.values(), own[3]))
+    return out
+
+
+def dumped(wrapper: list) -> str:
+    """JSON of depth, key, pages and text of the nodes in order."""
+    out, stack = [], [(0, wrapper)]
+    while stack:
+        depth, n = stack.pop()
+        out.append([depth, *n[:3]])
+        stack.extend((depth + 1, k) for k in reversed(n[3]))
+    return json.dumps(out, separators=(",", ":"))
+
+
+def loaded(text: str) -> list:
+    last: list[list] = []
+    for depth, *own in json.loads(text):
+        n = [*own, []]
+        del last[depth:]
+        if last:
+            last[-1][3].append(n)
+        last.append(n)
+    return last[0]
 
 
 def match(a: list, b: list, memo: dict) -> int:
     """Simple tree matching: most nodes that can be paired in order, roots included."""
-    if a[0] != b[0]:
-        return 0
-    k = (id(a), id(b))
-    if k not in memo:
-        memo[k] = 1 + _table(a[3], b[3], memo)[-1][-1]
-    return memo[k]
+    stack = [(a, b)]
+    while stack:
+        x, y = stack[-1]
+        if (id(x), id(y)) in memo:
+            stack.pop()
+        elif x[0] != y[0]:
+            memo[id(x), id(y)] = 0
+        elif need := [(p, q) for p in x[3] for q in y[3] if p[0] == q[0] and (id(p), id(q)) not in memo]:
+            stack += need
+        else:
+            memo[id(x), id(y)] = 1 + _table(x[3], y[3], memo)[-1][-1]
+    return memo[id(a), id(b)]
 
 
 def _table(xs: list, ys: list, memo: dict) -> list[list[int]]:
     t = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
     for i, x in enumerate(xs):
         for j, y in enumerate(ys):
-            t[i + 1][j + 1] = max(t[i][j + 1], t[i + 1][j], t[i][j] + match(x, y, memo))
+            t[i + 1][j + 1] = max(t[i][j + 1], t[i + 1][j], t[i][j] + (match(x, y, memo) if x[0] == y[0] else 0))
     return t
 
 
-def merge(a: list, b: list, memo: dict | None = None) -> list:
-    """The wrapper of both: aligned nodes become one, others are kept in order."""
-    memo = {} if memo is None else memo
-    text = a[2] if a[2] == b[2] else -1
-    if [x[0] for x in a[3]] == [y[0] for y in b[3]]:
-        return [a[0], a[1] + b[1], text, [merge(x, y, memo) for x, y in zip(a[3], b[3])]]
-    t, i, j, kids = _table(a[3], b[3], memo), len(a[3]), len(b[3]), []
+def _aligned(xs: list, ys: list, memo: dict) -> list[tuple[list | None, list | None]]:
+    """Pairs of nodes in order, by the most nodes matched; one of a pair may be missing."""
+    if [x[0] for x in xs] == [y[0] for y in ys]:
+        return list(zip(xs, ys))
+    t, i, j, out = _table(xs, ys, memo), len(xs), len(ys), []
     while i or j:
-        if i and j and t[i][j] == t[i - 1][j - 1] + match(a[3][i - 1], b[3][j - 1], memo) and a[3][i - 1][0] == b[3][j - 1][0]:
+        if i and j and xs[i - 1][0] == ys[j - 1][0] and t[i][j] == t[i - 1][j - 1] + match(xs[i - 1], ys[j - 1], memo):
             i, j = i - 1, j - 1
-            kids.append(merge(a[3][i], b[3][j], memo))
+            out.append((xs[i], ys[j]))
         elif i and t[i][j] == t[i - 1][j]:
             i -= 1
-            kids.append(a[3][i])
+            out.append((xs[i], None))
         else:
             j -= 1
-            kids.append(b[3][j])
-    return [a[0], a[1] + b[1], text, kids[::-1]]
+            out.append((None, ys[j]))
+    return out[::-1]
 
 
-def template_paths(wrapper: list, min_pages: int = MIN_PAGES) -> list[str]:
-    """Paths of the nodes whose text is constant, if the pages differ anywhere."""
-    constant, varying = [], []
+def merge(a: list, b: list) -> list:
+    """The wrapper of both: aligned nodes become one, others are kept in order."""
+    memo: dict = {}
+    out = [a[0], 0, 0, []]
+    stack = [(a, b, out)]
+    while stack:
+        x, y, own = stack.pop()
+        own[1], own[2] = x[1] + y[1], x[2] if x[2] == y[2] else -1
+        for p, q in _aligned(x[3], y[3], memo):
+            if p is None or q is None:
+                own[3].append(p or q)
+            else:
+                own[3].append([p[0], 0, 0, []])
+                stack.append((p, q, own[3][-1]))
+    return out
 
-    def walk(n: list, path: str) -> None:
-        p = f"{path}/{n[0]}"
+
+def step(path: int, key: str) -> int:
+    """The path of an element with the key below one with the path: a hash of all keys."""
+    return xxhash.xxh64_intdigest(key.encode("utf-8", "surrogatepass"), path)
+
+
+def template_paths(wrapper: list, min_pages: int = MIN_PAGES) -> list[int]:
+    """Paths of the nodes whose text is constant, if the pages differ anywhere."""
+    constant, varying, real = set(), set(), False
+    stack = [(wrapper, 0, False)]
+    while stack:
+        n, path, noisy = stack.pop()
+        path, noisy = step(path, n[0]), noisy or _noisy(n[0])
         if n[2] == -1:
-            varying.append(p)
+            varying.add(path)
+            real |= not noisy  # if the text that varies is all boilerplate, the pages are copies of one article
         elif n[2] and n[1] >= min_pages:
-            constant.append(p)
-        for k in n[3]:
-            walk(k, p)
-
-    walk(wrapper, "")
-    # if the text that varies is all boilerplate, the pages are copies of one article
-    real = [p for p in varying if not any(_noisy(k) for k in p.split("/"))]
-    return sorted(set(constant) - set(varying)) if real else []
+            constant.add(path)
+        stack.extend((k, path, noisy) for k in n[3])
+    return sorted(constant - varying) if real else []
 
 
 def _noisy(key: str) -> bool:
@@ -262,10 +364,11 @@ def _noisy(key: str) -> bool:
     return tag in DROP or not NOISE.isdisjoint(words)
 
 
-def main_text(page: str | None, template: frozenset[str] = frozenset()) -> str:
+def main_text(page: str | None, template: frozenset[int] = frozenset()) -> str:
     """The article's blocks in page order, joined by one space."""
     root = parse(page or "")
     region = _article(root)
+    menus = frozenset() if region else _menus(root)
     blocks: list[str] = []
     open_block: list[str] = []
 
@@ -275,70 +378,63 @@ def main_text(page: str | None, template: frozenset[str] = frozenset()) -> str:
             blocks.append(text)
         open_block.clear()
 
-    def walk(n: Node, path: str, inside: bool, heading: bool) -> None:
-        """path is None below inline elements, which are part of the block around them."""
-        here = (inside or heading) and path not in template
-        for k in n.kids:
-            if isinstance(k, str):
-                if here:
-                    open_block.append(k)
-            elif k.tag == "br":
+    # frames: kids, path of the block around them, whether text counts, whether in an article, whether a block ends with them
+    stack = [(iter(root.kids), step(0, root.key), not region, False, True)]
+    while stack:
+        kids, path, shown, heading, block = stack[-1]
+        k = next(kids, None)
+        if k is None:
+            stack.pop()
+            if block:
                 close()
-            elif _left_out(k, heading, bool(region)):
-                if k.tag not in INLINE:
-                    close()
-            elif k.tag in INLINE:
-                walk(k, path, inside, heading)
-            else:
-                close()
-                walk(k, f"{path}/{k.key}", inside, heading or k in region)
+        elif isinstance(k, str):
+            if shown and path not in template:
+                open_block.append(k)
+        elif k.tag == "br":
+            close()
+        elif _left_out(k, heading) or id(k) in menus:
+            if k.tag not in INLINE:
                 close()
-
-    walk(root, "/#", not region, False)
-    close()
+        elif k.tag in INLINE:
+            stack.append((iter(k.kids), path, shown, heading, False))
+        else:
+            close()
+            here = heading or id(k) in region
+            stack.append((iter(k.kids), step(path, k.key), shown or here, here, True))
     return " ".join(blocks)
 
 
-def _left_out(k: Node, heading: bool, region: bool) -> bool:
+def _left_out(k: Node, heading: bool) -> bool:
     if k.tag == "header":
-        return not heading
-    if k.noise:
-        # the header of an article holds its title
-        return not (heading and k.tag not in DROP and set(WORDS.findall(k.key)) & NOISE == {"header"})
-    return not region and k.tag in ("ul", "ol") and _links_only(k)
-
-
-def _links_only(node: Node) -> bool:
-    """Nine tenths of the text stand in links: a menu, where no article is marked."""
-    total, linked = 0, 0
-
-    def walk(n: Node, a: bool) -> None:
-        nonlocal total, linked
-        for k in n.kids:
-            if isinstance(k, str):
-                size = len("".join(k.split()))
-                total += size
-                linked += size if a else 0
-            else:
-                walk(k, a or k.tag == "a")
+        return not heading  # the header of an article holds its title
+    return k.noise and not (heading and k.tag not in DROP and set(WORDS.findall(k.key)) & NOISE <= WEAK)
 
-    walk(node, False)
-    return total > 0 and 10 * linked >= 9 * total
 
-
-def _article(root: Node) -> list[Node]:
-    """Article elements outside boilerplate, else main elements; none if there are neither."""
-    found: dict[str, list[Node]] = {"article": [], "main": []}
-
-    def walk(n: Node) -> None:
-        for k in n.kids:
-            if not isinstance(k, str) and not k.noise:
-                if k.tag in found:
-                    found[k.tag].append(k)
-                walk(k)
-
-    walk(root)
-    return found["article"] or found["main"]
+def _menus(root: Node) -> frozenset[int]:
+    """Lists (their id()) of whose text nine tenths stand in links: menus, where no article is marked."""
+    total: dict[int, int] = {}
+    linked: dict[int, int] = {}
+    out = []
+    for n in reversed(elements(root)):
+        own = sum(len("".join(k.split())) for k in n.kids if isinstance(k, str))
+        kids = [id(k) for k in n.kids if not isinstance(k, str)]
+        total[id(n)] = own + sum(total[k] for k in kids)
+        linked[id(n)] = total[id(n)] if n.tag == "a" else sum(linked[k] for k in kids)
+        if n.tag in ("ul", "ol") and 0 < total[id(n)] and 10 * linked[id(n)] >= 9 * total[id(n)]:
+            out.append(id(n))
+    return frozenset(out)
+
+
+def _article(root: Node) -> frozenset[int]:
+    """Article elements (their id()) outside boilerplate, else main elements; none if there are neither."""
+    found: dict[str, list[int]] = {"article": [], "main": []}
+    stack = [root]
+    while stack:
+        n = stack.pop()
+        if n.tag in found:
+            found[n.tag].append(id(n))
+        stack.extend(k for k in n.kids if not isinstance(k, str) and not k.noise)
+    return frozenset(found["article"] or found["main"])
 
 
 def _fold(frames):
@@ -356,7 +452,7 @@ def _fold(frames):
 
 
 def _summaries(by: dict[str, list]) -> pd.DataFrame:
-    return pd.DataFrame({"host": list(by), "n": [w[1] for w in by.values()], "wrapper": [json.dumps(w, separators=(",", ":")) for w in by.values()]})
+    return pd.DataFrame({"host": list(by), "n": [w[1] for w in by.values()], "wrapper": [dumped(w) for w in by.values()]})
 
 
 def _join(frames):
@@ -371,9 +467,9 @@ def _join(frames):
                 if len(done) > 5_000:
                     yield _summaries(done)
                     done = {}
-                host, kept = h, json.loads(w)
+                host, kept = h, loaded(w)
             else:
-                kept = merge(kept, json.loads(w))
+                kept = merge(kept, loaded(w))
     if kept is not None:
         done[host] = kept
     if done:
@@ -395,7 +491,7 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, url_col: str = "url",
 
     def paths(frames):
         for f in frames:
-            f["template"] = [json.dumps(template_paths(json.loads(w), min_pages)) for w in f.pop("wrapper")]
+            f["template"] = [json.dumps(template_paths(loaded(w), min_pages)) for w in f.pop("wrapper")]
             yield f[["host", "n", "template"]]
 
     made = wrappers(src.select("host", "html")).mapInPandas(paths, "host string, n long, template string")
