@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -68,55 +69,69 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Bases of one block of minimizers_of: some 16 MB a matrix of words.
+CELLS = 1 << 21
 _CODE = np.full(256, 4, dtype=np.uint64)
 for _i, _b in enumerate(BASES):
     _CODE[ord(_b)] = _CODE[ord(_b.lower())] = _i
 
 
-def rolling_codes(seq: str, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Forward and reverse-complement codes of all windows, and which windows hold ACGT only."""
-    code = _CODE[np.frombuffer(seq.encode("ascii", "replace"), dtype=np.uint8)]
-    n = len(code) - k + 1
-    if n < 1:
-        empty = np.empty(0, dtype=np.uint64)
-        return empty, empty, np.empty(0, dtype=bool)
-    good = np.convolve(code == 4, np.ones(k, dtype=np.int64), "valid") == 0
-    forward, backward = np.zeros(n, dtype=np.uint64), np.zeros(n, dtype=np.uint64)
+def minimizers_of(seqs: list[str], k: int, w: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, canonical k-mer, position and strand (true: minus) of the least hash in every w windows of each sequence.
+
+    Leftmost on ties, each place once, in order of row and place. Sequences of one length are one matrix; a block has a bounded number of cells.
+    """
+    by_length: dict[int, list[int]] = {}
+    for i, s in enumerate(seqs):
+        by_length.setdefault(len(s), []).append(i)
+    found = [(np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, bool))]
+    for length, own in by_length.items():
+        if length < k:
+            continue
+        step = max(1, CELLS // length)
+        found += [_block(np.array(own[i : i + step]), [seqs[x] for x in own[i : i + step]], k, w) for i in range(0, len(own), step)]
+    rows, kmer, at, minus = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(rows, kind="stable")
+    return rows[order], kmer[order], at[order], minus[order]
+
+
+def _block(own: np.ndarray, seqs: list[str], k: int, w: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """minimizers_of sequences of one length; own: their rows."""
+    code = _CODE[np.frombuffer("".join(seqs).encode("ascii", "replace"), dtype=np.uint8).reshape(len(seqs), -1)]
+    n = code.shape[1] - k + 1
+    bad = np.cumsum(np.pad(code == 4, ((0, 0), (1, 0))), axis=1)
+    good = bad[:, k:] == bad[:, :n]
     base = np.minimum(code, np.uint64(3))
+    forward, backward = np.zeros((len(seqs), n), dtype=np.uint64), np.zeros((len(seqs), n), dtype=np.uint64)
     for j in range(k):
-        forward = (forward << np.uint64(2)) | base[j : j + n]
-        backward |= (np.uint64(3) - base[j : j + n]) << np.uint64(2 * j)
-    return forward, backward, good
+        forward = (forward << np.uint64(2)) | base[:, j : j + n]
+        backward |= (np.uint64(3) - base[:, j : j + n]) << np.uint64(2 * j)
+    kmer = np.minimum(forward, backward)
+    key = np.where(good, mix64(kmer), np.uint64(0xFFFFFFFFFFFFFFFF))
+    span = min(w, n)
+    least = np.lib.stride_tricks.sliding_window_view(key, span, axis=1).argmin(axis=2) + np.arange(n - span + 1)
+    flat = (least + np.arange(len(seqs))[:, None] * n).ravel()
+    flat = flat[good.ravel()[flat]]
+    flat = flat[np.concatenate(([True], flat[1:] != flat[:-1]))] if len(flat) else flat
+    return own[flat // n], kmer.ravel()[flat], flat % n, (backward < forward).ravel()[flat]
 
 
 def minimizers(seq: str, k: int, w: int) -> list[tuple[int, int, bool]]:
-    """(canonical k-mer, position, on the minus strand) of the least hash in every w windows; leftmost on ties, each place once."""
-    forward, backward, good = rolling_codes(seq, k)
-    n = len(forward)
-    if not n or not good.any():
-        return []
-    kmer = np.minimum(forward, backward)
-    key = mix64(kmer)
-    out, last = [], -1
-    span = min(w, n)
-    for i in range(n - span + 1):
-        valid = np.flatnonzero(good[i : i + span])
-        if not len(valid):
-            continue
-        j = int(valid[key[i : i + span][valid].argmin()]) + i
-        if j != last:
-            out.append((int(kmer[j]), j, bool(backward[j] < forward[j])))
-            last = j
-    return out
+    """minimizers_of() one sequence: (canonical k-mer, position, on the minus strand)."""
+    _, kmer, at, minus = minimizers_of([seq], k, w)
+    return list(zip(kmer.tolist(), at.tolist(), minus.tolist()))
 
 
 def minimizers_col(seq: Column, k: int, w: int) -> Column:
     """minimizers() of a column, as array<struct<kmer long, pos int, minus boolean>>."""
 
-    def f(s: pd.Series) -> pd.Series:
-        return pd.Series([[(np.uint64(a).astype(np.int64), p, m) for a, p, m in minimizers(x or "", k, w)] for x in s])
+    def f(s: pa.Array) -> pa.Array:
+        rows, kmer, at, minus = minimizers_of([x or "" for x in s.to_pylist()], k, w)
+        ends = np.concatenate(([0], np.cumsum(np.bincount(rows, minlength=len(s)))))
+        each = pa.StructArray.from_arrays([pa.array(kmer.astype(np.int64)), pa.array(at.astype(np.int32)), pa.array(minus)], ["kmer", "pos", "minus"])
+        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), each)
 
-    return F.pandas_udf(f, "array<struct<kmer long, pos int, minus boolean>>")(seq)
+    return F.arrow_udf(f, "array<struct<kmer long, pos int, minus boolean>>")(seq)
 
 
 # ---- codons --------------------------------------------------------------------------

@@ -101,16 +101,65 @@ def poly_g_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("ord", trim.poly_g_keep_col(seq).alias("keep"))
 
 
-@query()
+def _adapter_sql(source: str, out: str, adapter: str) -> str:
+    """Tables that end in ``out`` (ord, s): source (ord, s) cut before the adapter, s null where it isn't found."""
+    m = len(adapter)
+    first = -4 if m >= 16 else -3 if m >= 12 else -2 if m >= 8 else 0
+    a = f"'{adapter}'"
+    return f"""
+{out}_n AS (SELECT ord, s, length(s) AS n FROM {source} WHERE length(s) >= 4),
+{out}_at AS (SELECT *, unnest(range({first}, n - 4)) AS o FROM {out}_n),
+{out}_plain AS (
+  SELECT ord, greatest(min(o), 0) AS o FROM (SELECT *, greatest(0, -o) AS low, least(n - o, {m}) AS span FROM {out}_at)
+  WHERE hamming(substr(s, o + low + 1, span - low), substr({a}, low + 1, span - low)) <= span // 8 GROUP BY ord),
+{out}_left AS (SELECT * FROM {out}_at ANTI JOIN {out}_plain USING (ord) WHERE o >= 0),
+{out}_ins AS (
+  SELECT ord, min(o) AS o FROM (SELECT *, least(n - o - 1, {m}) AS span, greatest(least(n - o - 1, {m}) // 8 - 1, 0) AS most FROM {out}_left WHERE o < n - 5)
+  WHERE hamming(substr(s, o + 1, least(8, span)), substr({a}, 1, least(8, span))) <= most
+    AND list_bool_or(list_transform(range(1, span), lambda g: hamming(substr(s, o + 1, g) || substr(s, o + g + 2, span - g), substr({a}, 1, span)) <= most)) GROUP BY ord),
+{out}_del AS (
+  SELECT ord, min(o) AS o FROM (SELECT *, least(n - o, {m - 1}) AS span, greatest(least(n - o, {m - 1}) // 8 - 1, 0) AS most FROM {out}_left)
+  WHERE hamming(substr(s, o + 1, least(8, span)), substr({a}, 1, least(8, span))) <= most
+    AND list_bool_or(list_transform(range(1, span), lambda g: hamming(substr(s, o + 1, span), substr({a}, 1, g) || substr({a}, g + 2, span - g)) <= most)) GROUP BY ord),
+{out} AS (
+  SELECT x.ord, substr(x.s, 1, coalesce(p.o, i.o, d.o)) AS s
+  FROM {source} x LEFT JOIN {out}_plain p USING (ord) LEFT JOIN {out}_ins i USING (ord) LEFT JOIN {out}_del d USING (ord))"""
+
+
+_ILLUMINA, _TRANSPOSASE = "AGATCGGAAGAGCACACGTCTGAACTCCAGTCA", "CTGTCTCTTATACACATCT"
+
+
+def _two_adapters_sql(source: str) -> str:
+    """cut (ord, s): source after both adapters in turn, null without a hit."""
+    return f"""{_adapter_sql(source, "c1", _ILLUMINA)},
+after1 AS (SELECT x.ord, coalesce(c.s, x.s) AS s FROM {source} x JOIN c1 c USING (ord)), {_adapter_sql("after1", "c2", _TRANSPOSASE)},
+cut AS (SELECT ord, coalesce(c2.s, c1.s) AS s FROM c1 JOIN c2 USING (ord))"""
+
+
+@query(
+    f"""{_BASES},
+planted AS (SELECT ord, ord * 7 % 60 AS o, substr(seq, 1, ord * 7 % 60) || substr('{_ILLUMINA}', 1, greatest(50 - ord * 7 % 60, 0)) AS s FROM seqs),
+{_two_adapters_sql("planted")}
+SELECT ord, o AS planted, coalesce(length(c.s), -1)::INT AS cut FROM planted JOIN cut c USING (ord)"""
+)
 def adapter_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Where the first adapter starts, after it was written over each read's end."""
+    """Where the first adapter starts, after it was written over each read's end; -1: nowhere."""
     a = qc.ADAPTERS_1[0]
     at = F.pmod(F.col("ord") * 7, F.lit(60))
     seq = F.concat(F.substring("seq", F.lit(1), at.cast("int")), F.substring(F.lit(a), F.lit(1), F.greatest(F.lit(50) - at, F.lit(0)).cast("int")))
-    return reads(spark, sf_dir).select("ord", at.alias("planted"), trim.adapter_cut_col(seq, qc.ADAPTERS_1).alias("cut"))
+    return reads(spark, sf_dir).select("ord", at.alias("planted"), F.coalesce(trim.adapter_cut_col(seq, qc.ADAPTERS_1), F.lit(-1)).alias("cut"))
 
 
-@query()
+@query(
+    f"""{_BASES},
+p AS (SELECT ord, seq AS x, translate(reverse(translate(reverse(substr(seq, 1, ord % 20 + 31)), 'ACGT', 'TGCA')), 'ACGT', 'TGCA') AS y FROM seqs),
+a AS (SELECT *, length(x) AS n1, length(y) AS n2, unnest(range(31 - length(y), length(x) - 30)) AS o FROM p WHERE length(x) > 30 AND length(y) > 30),
+z AS (SELECT *, least(n1, n2, n1 - o, n2 + o) AS size FROM a),
+hit AS (
+  SELECT ord, min_by(o, CASE WHEN o >= 0 THEN o ELSE 1000 - o END) AS "offset", min_by(size, CASE WHEN o >= 0 THEN o ELSE 1000 - o END) AS length FROM z
+  WHERE size >= 30 AND hamming(substr(x, greatest(o, 0) + 1, size), substr(y, greatest(-o, 0) + 1, size)) <= least(5, size // 10) GROUP BY ord)
+SELECT ord, "offset"::INT AS "offset", length::INT AS length FROM p LEFT JOIN hit USING (ord)"""
+)
 def pair_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overlap of each read with a mate read from the other end of a shorter insert."""
     r = reads(spark, sf_dir)
@@ -118,7 +167,22 @@ def pair_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("ord", trim.overlap_col(F.col("seq"), mate).alias("o")).select("ord", "o.offset", "o.length")
 
 
-@query()
+@query(
+    f"""{_BASES},
+qs AS (SELECT ord, i, sum(20 - q) OVER (PARTITION BY ord ORDER BY i DESC ROWS UNBOUNDED PRECEDING) AS s FROM b),
+qf AS (SELECT ord, max(i) FILTER (s < 0) AS stop FROM qs GROUP BY ord),
+qm AS (SELECT qs.ord, max(s) AS best, arg_max(i, row(s, i)) AS o FROM qs JOIN qf USING (ord) WHERE stop IS NULL OR i > stop GROUP BY qs.ord),
+k1 AS (SELECT ord, CASE WHEN best > 0 THEN o ELSE 50 END AS n FROM qf LEFT JOIN qm USING (ord)),
+gs AS (SELECT ord, i, n, n - i AS scanned, sum((base <> 'G')::INT) OVER (PARTITION BY ord ORDER BY i DESC ROWS UNBOUNDED PRECEDING) AS other FROM b JOIN k1 USING (ord) WHERE i < n),
+gf AS (SELECT ord, any_value(n) AS n, coalesce(max(i) FILTER (other > least(scanned // 8, 5)) + 1, 0) AS start FROM gs GROUP BY ord),
+k2 AS (SELECT k1.ord, k1.n AS n1, CASE WHEN k1.n >= 10 AND k1.n - start >= 10 THEN start ELSE k1.n END AS n2 FROM k1 LEFT JOIN gf USING (ord)),
+trimmed AS (SELECT ord, substr(seq, 1, n2) AS s FROM seqs JOIN k2 USING (ord)),
+{_two_adapters_sql("trimmed")},
+done AS (SELECT ord, 50 - n1 AS by_q, n1 - n2 AS by_g, coalesce(n2 - length(s), 0) AS by_a, s IS NOT NULL AS hit, coalesce(length(s), n2) AS n FROM k2 JOIN cut USING (ord)),
+low AS (SELECT ord, count(*) FILTER (q < 15 AND i < n) AS low FROM b JOIN done USING (ord) GROUP BY ord),
+told AS (SELECT *, CASE WHEN n = 0 AND hit THEN 'adapter_only' WHEN n < 15 THEN 'too_short' WHEN low > n * 0.3::DOUBLE THEN 'low_quality' END AS reason FROM done JOIN low USING (ord))
+SELECT reason, hit AS adapter_hit, count(*) AS n, sum(by_q)::BIGINT AS by_quality, sum(by_g)::BIGINT AS by_poly_g, sum(by_a)::BIGINT AS by_adapter FROM told GROUP BY ALL"""
+)
 def qc_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole single-end run: trims, filters and what is left."""
     r = reads(spark, sf_dir).withColumn("mate", F.lit(1))
@@ -156,19 +220,28 @@ def kmer_seed_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
-_MIN = f"""{_KMERS},
-v AS (
-  SELECT ord, i, kmer, canon, list_sum(list_transform(range(0, 15), lambda j: (instr('ACGT', substr(canon, (j + 1)::INT, 1)) - 1) * power(4, 14 - j)::BIGINT))::UHUGEINT AS x FROM c),
-h1 AS (SELECT *, (xor(x, x // 1073741824::UHUGEINT) * 13787848793156543929::UHUGEINT) % 18446744073709551616::UHUGEINT AS a FROM v),
-h2 AS (SELECT *, (xor(a, a // 134217728::UHUGEINT) * 10723151780598845931::UHUGEINT) % 18446744073709551616::UHUGEINT AS b FROM h1),
-h AS (SELECT *, xor(b, b // 2147483648::UHUGEINT) AS key FROM h2),
-w AS (SELECT ord, i, arg_min(i, row(key, i)) OVER (PARTITION BY ord ORDER BY i ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS place FROM h),
-m AS (SELECT DISTINCT ord, place FROM w WHERE i <= 26),
-mins AS (SELECT m.ord, h.x::BIGINT AS kmer, m.place AS pos, h.canon <> h.kmer AS minus FROM m JOIN h ON h.ord = m.ord AND h.i = m.place)
+def _minimizers_sql(source: str, out: str, k: int, w: int) -> str:
+    """Tables that end in ``out`` (id, kmer, pos, minus): minimizers of source (id, seq). Hashes are made once for each different k-mer."""
+    return f"""
+{out}_k AS (SELECT id, i, substr(seq, i + 1, {k}) AS kmer FROM (SELECT id, seq, unnest(range(0, length(seq) - {k - 1})) AS i FROM {source})),
+{out}_v AS (
+  SELECT kmer, rc < kmer AS minus, list_sum(list_transform(range(0, {k}), lambda j: (instr('ACGT', substr(least(kmer, rc), (j + 1)::INT, 1)) - 1) * power(4, {k - 1} - j)::BIGINT))::UHUGEINT AS x
+  FROM (SELECT kmer, translate(reverse(kmer), 'ACGT', 'TGCA') AS rc FROM (SELECT DISTINCT kmer FROM {out}_k))),
+{out}_1 AS (SELECT *, (xor(x, x // 1073741824::UHUGEINT) * 13787848793156543929::UHUGEINT) % 18446744073709551616::UHUGEINT AS a FROM {out}_v),
+{out}_2 AS (SELECT *, (xor(a, a // 134217728::UHUGEINT) * 10723151780598845931::UHUGEINT) % 18446744073709551616::UHUGEINT AS b FROM {out}_1),
+{out}_r AS (SELECT kmer, minus, x::BIGINT AS code, row_number() OVER (ORDER BY xor(b, b // 2147483648::UHUGEINT)) AS rank FROM {out}_2),
+{out}_s AS (SELECT kmer, minus, code, min(rank) OVER (PARTITION BY code) AS rank FROM {out}_r),
+{out}_h AS (SELECT id, i, code, minus, rank * 65536 + i AS key FROM {out}_k JOIN {out}_s USING (kmer)),
+{out}_w AS (SELECT id, i, min(key) OVER (PARTITION BY id ORDER BY i ROWS BETWEEN CURRENT ROW AND {w - 1} FOLLOWING) AS best, max(i) OVER (PARTITION BY id) AS last FROM {out}_h),
+{out}_m AS (SELECT DISTINCT id, best % 65536 AS i FROM {out}_w WHERE i <= greatest(last - {w - 1}, 0)),
+{out} AS (SELECT h.id, h.code AS kmer, h.i AS pos, h.minus FROM {out}_m m JOIN {out}_h h USING (id, i))"""
+
+
+_MIN = f"""{_BASES}, named AS (SELECT ord AS id, seq FROM seqs), {_minimizers_sql("named", "mins", 15, 10)}
 """
 
 
-@query(f"{_MIN} SELECT ord, kmer, pos, minus FROM mins")
+@query(f"{_MIN} SELECT id AS ord, kmer, pos, minus FROM mins")
 def minimizers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Minimizers of the reads, k 15 and w 10."""
     return reads(spark, sf_dir).select("ord", F.explode(dna.minimizers_col(F.col("seq"), 15, 10)).alias("m")).select("ord", "m.kmer", "m.pos", "m.minus")
@@ -180,7 +253,13 @@ def minimizer_frequency_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(kmer_index.frequency_cutoff(m, 0.01),)], "cutoff long")
 
 
-@query()
+@query(
+    f"""{_BASES}, {synth.REF_SQL},
+named AS (SELECT ord AS id, seq FROM seqs), contigs AS (SELECT chrom AS id, string_agg(upper(base), '' ORDER BY pos) AS seq FROM refs GROUP BY chrom),
+{_minimizers_sql("named", "rm", 11, 5)}, {_minimizers_sql("contigs", "gm", 11, 5)},
+places AS (SELECT kmer, id AS chrom, minus, count(*) AS n, min(pos) AS first, max(pos) AS last FROM gm GROUP BY ALL)
+SELECT rm.id AS read, chrom, rm.minus <> places.minus AS minus, sum(n)::BIGINT AS n, min(first) AS first, max(last) AS last FROM rm JOIN places USING (kmer) GROUP BY ALL"""
+)
 def seed_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reads' minimizers joined to the reference's."""
     index = kmer_index.minimizer_index(synth.tiles(spark), 500, 11, 5)

@@ -136,8 +136,8 @@ gl AS (SELECT (k + 0.5 + s * x / 2) / 64 AS x, w / 128 AS w FROM half, (VALUES (
 p AS (
   SELECT chrom, pos, x, w, sum(n * ln(greatest(CASE kind WHEN 0 THEN 1 - e - (1 - 4 * e / 3) * x WHEN 1 THEN e / 3 + (1 - 4 * e / 3) * x ELSE e / 3 END, 1e-300))) AS ll
   FROM (SELECT *, power(10, -bq / 10.0) AS e FROM g), (SELECT * FROM gl UNION ALL VALUES (0.0, NULL), (1.0, NULL)) GROUP BY ALL),
-top AS (SELECT chrom, pos, max(ll) AS top, max(ll) FILTER (w IS NULL AND x = 0) AS zero, max(ll) FILTER (w IS NULL AND x = 1) AS one FROM p GROUP BY ALL),
-area AS (SELECT chrom, pos, top + ln(sum(exp(ll - top) * w)) AS area, any_value(zero) AS zero, any_value(one) AS one FROM p JOIN top USING (chrom, pos) GROUP BY chrom, pos, top)
+peak AS (SELECT chrom, pos, max(ll) AS top, max(ll) FILTER (w IS NULL AND x = 0) AS zero, max(ll) FILTER (w IS NULL AND x = 1) AS one FROM p GROUP BY ALL),
+area AS (SELECT chrom, pos, top + ln(sum(exp(ll - top) * w)) AS area, any_value(zero) AS zero, any_value(one) AS one FROM p JOIN peak USING (chrom, pos) GROUP BY chrom, pos, top)
 SELECT chrom, pos + 1 AS pos, round(area - zero, 4) AS bf_error, round(area - one, 4) AS bf_homo FROM area"""
 )
 def bayes_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
