@@ -36,11 +36,22 @@ def _rate(a: Column, b: Column) -> Column:
     return F.when(b > 0, a / b).otherwise(_nan())
 
 
-def _mean(value: Column, where: Column) -> Column:
-    """Mean of the finite values, NaN without any; summed in order of value."""
-    ok = where & value.isNotNull() & ~F.isnan(value)
-    values = F.array_sort(F.collect_list(F.when(ok, value)))
-    return F.when(F.size(values) > 0, F.aggregate(values, F.lit(0.0), lambda a, x: a + x) / F.size(values)).otherwise(_nan())
+def _means(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """ord and the mean of the finite values of each column, null without any.
+
+    Equal values are counted before they meet: a site of a million reads brings some thousands of different
+    values and counts, and these are summed in order of value, so partitions don't matter.
+    """
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)]))
+    counted = rows.select("ord", each.alias("x")).filter("x.v is not null and not isnan(x.v)").groupBy("ord", "x.i", "x.v").agg(F.count("*").alias("n"))
+    means = counted.groupBy("ord", "i").agg(_weighed(F.struct("v", "n")).alias("mean"))
+    return means.groupBy("ord").agg(*[F.max(F.when(F.col("i") == i, F.col("mean"))).alias(c) for i, c in enumerate(columns)])
+
+
+def _weighed(pair: Column) -> Column:
+    """Mean of (v, n) pairs, summed in order of v; null without any."""
+    r = F.array_sort(F.collect_list(pair))
+    return F.try_divide(F.aggregate(r, F.lit(0.0), lambda a, x: a + x["v"] * x["n"]), F.aggregate(r, F.lit(0).cast("long"), lambda a, x: a + x["n"]))
 
 
 def with_reference(sites: DataFrame, refs: DataFrame) -> DataFrame:
@@ -67,23 +78,26 @@ def own_features(sites: DataFrame, obs: DataFrame) -> DataFrame:
     kind = F.when(ref, 0).when(alt, 1).otherwise(2)
     # multiplicities by class and quality first: their number has a bound, reads have none
     by_quality = at.groupBy("ord", kind.alias("kind"), "bq").agg(F.count("*").alias("n"))
-    bayes = by_quality.groupBy("ord").agg(F.array_sort(F.collect_list(F.struct("kind", F.col("bq").cast("int").alias("bq"), "n"))).alias("counts"))
-    bayes = bayes.select("ord", bayes_factors_col(F.col("counts")).alias("bf"))
+    pair = lambda k: F.when(F.col("kind") == k, F.struct(F.col("bq").cast("double").alias("v"), "n"))
+    bayes = by_quality.groupBy("ord").agg(
+        F.array_sort(F.collect_list(F.struct("kind", F.col("bq").cast("int").alias("bq"), "n"))).alias("counts"), _weighed(pair(1)).alias("alt_mean_bq"), _weighed(pair(0)).alias("ref_mean_bq")
+    )
+    bayes = bayes.select("ord", bayes_factors_col(F.col("counts")).alias("bf"), *[F.coalesce(F.col(c), _nan()).alias(c) for c in ("alt_mean_bq", "ref_mean_bq")])
     n = lambda c: F.count_if(c).cast("double")
     up, down = F.col("orientation") == 0, F.col("orientation") == 1
     a = at.groupBy("ord").agg(
         F.count("*").cast("double").alias("depth"), n(alt).alias("n_alt"), n(ref).alias("n_ref"),
         n(alt & up).alias("a0"), n(alt & down).alias("a1"), n(ref & up).alias("r0"), n(ref & down).alias("r1"),
-        _mean(F.col("bq").cast("double"), alt).alias("alt_mean_bq"), _mean(F.col("bq").cast("double"), ref).alias("ref_mean_bq"),
-        _mean(F.col("mapq"), alt).alias("alt_mean_mapq"), _mean(F.col("end_fraction"), alt).alias("alt_mean_end_fraction"),
-        _mean(F.col("softclip_fraction"), alt).alias("alt_mean_softclip_fraction"), _mean(F.col("gap_nearness"), alt).alias("alt_mean_gap_nearness"),
     )
+    of_alt = ["mapq", "end_fraction", "softclip_fraction", "gap_nearness"]
+    means = _means(at.filter(alt).select("ord", *of_alt), of_alt).withColumnsRenamed({c: f"alt_mean_{c}" for c in of_alt})
+    a = a.join(means, "ord", "left").withColumns({f"alt_mean_{c}": F.coalesce(F.col(f"alt_mean_{c}"), _nan()) for c in of_alt})
     half = lambda c: F.log(F.col(c) + 0.5)
     strand = F.when((F.col("n_alt") > 0) & (F.col("n_ref") > 0), F.abs(half("a0") - half("a1") - half("r0") + half("r1"))).otherwise(_nan())
     a = a.select(
         "ord", F.log1p("depth").alias("log_depth"), F.log1p("n_alt").alias("log_alt"),
         _rate(F.col("n_alt"), F.col("depth")).alias("vaf"), _rate(F.col("depth") - F.col("n_alt") - F.col("n_ref"), F.col("depth")).alias("noncanonical_fraction"),
-        "alt_mean_bq", "ref_mean_bq", "alt_mean_mapq", "alt_mean_end_fraction", strand.alias("strand_log_odds_abs"), "alt_mean_softclip_fraction", "alt_mean_gap_nearness",
+        "alt_mean_mapq", "alt_mean_end_fraction", strand.alias("strand_log_odds_abs"), "alt_mean_softclip_fraction", "alt_mean_gap_nearness",
     )
     return a.join(bayes, "ord").select("*", F.col("bf.error").alias("log_bf_uniform_vs_error"), F.col("bf.homo").alias("log_bf_uniform_vs_homo")).drop("bf")
 

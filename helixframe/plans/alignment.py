@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from helixframe.functions import cigar as cg
 from helixframe.functions import dna, trees
-from helixframe.operators import evidence, kmer_index, pairs
+from helixframe.operators import evidence, features, kmer_index, pairs
 from helixframe.operators.align import kernels, mapper, second_look
 from helixframe.plans import mapping, reads, sites, synth
 
@@ -117,7 +117,31 @@ def affine_extension(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _windows(spark, sf_dir).mapInPandas(run, "ord long, score int, ref_start int, cigar string")
 
 
-@query()
+_READS_AND_WINDOWS = f"""{reads._BASES}, {synth.REF_SQL},
+contigs AS (SELECT chrom, string_agg(base, '' ORDER BY pos) AS seq FROM refs GROUP BY chrom),
+pairs AS (
+  SELECT ord, seqs.seq AS read, substr(contigs.seq, greatest(pos - 20, 0) + 1, pos + 90 - greatest(pos - 20, 0)) AS win
+  FROM seqs JOIN one USING (ord) JOIN contigs ON contigs.chrom = 'chr' || (c + 1))"""
+
+
+@query(
+    f"""{_READS_AND_WINDOWS.replace("WITH", "WITH RECURSIVE", 1)},
+-- the recurrence of edit distances by columns of the reference, kept as bits of where a column goes up or down
+bits AS (
+  SELECT ord, upper(win) AS win, length(read) AS n, {", ".join(f"list_sum([CASE WHEN substr(read, j::INT, 1) IN {accepted} THEN 1::BIGINT << (j - 1)::INT ELSE 0 END FOR j IN range(1, length(read) + 1)])::BIGINT AS m_{base}" for base, accepted in (("A", "('A', 'G')"), ("C", "('C')"), ("G", "('G')"), ("T", "('T', 'C')")))}
+  FROM pairs),
+step(ord, j, up, down, now, best) AS (
+  SELECT ord, 0, (1::BIGINT << n) - 1, 0::BIGINT, n, n FROM bits
+  UNION ALL
+  SELECT ord, j, ((((hm << 1) & f) | ((~(d | ((hp << 1) & f))) & f))) AS up, ((hp << 1) & f) & d AS down, now, least(best, now) FROM (
+    SELECT *, now0 + ((hp >> (n - 1)) & 1) - ((hm >> (n - 1)) & 1) AS now FROM (
+      SELECT *, (down0 | (~(d | up0) & f)) AS hp, d & up0 AS hm FROM (
+        SELECT *, (xor((x & up0) + up0, up0) | x) & f AS d FROM (
+          SELECT s.ord, s.j + 1 AS j, s.up AS up0, s.down AS down0, s.now AS now0, s.best, b.n, (1::BIGINT << b.n) - 1 AS f,
+                 CASE substr(b.win, s.j + 1, 1) WHEN 'A' THEN m_A WHEN 'C' THEN m_C WHEN 'G' THEN m_G WHEN 'T' THEN m_T ELSE 0 END | s.down AS x
+          FROM step s JOIN bits b USING (ord) WHERE s.j < length(b.win))))))
+SELECT ord, min(best)::INT AS distance FROM step GROUP BY ord"""
+)
 def edit_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.pandas_udf(lambda x, y: pd.Series([kernels.edit_infix(p, q)[0] for p, q in zip(x, y)], dtype="int32"), "int")
     return _windows(spark, sf_dir).select("ord", d("read", "seq").alias("distance"))
@@ -132,7 +156,21 @@ def mapped_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy(F.coalesce(right, F.lit(False)).alias("right"), (F.col("mapq") >= 20).alias("confident")).agg(F.count("*").alias("n"), F.sum("edits_ag").alias("edits_ag"), F.sum("edits_tc").alias("edits_tc"))
 
 
-@query()
+@query(
+    f"""{reads._BASES},
+r AS (SELECT ord, i, ord % 2 = 0 AS fwd, substr('ACGT', ((((pos + off) * (pos + off) * 7 + (pos + off) * 13 + c * 5) % 11) % 4 + 1)::INT, 1) AS ref FROM each WHERE off >= 0),
+cols AS (SELECT ord, r.i, base, q, base <> ref AS differs, base <> ref AND ref = CASE WHEN fwd THEN 'A' ELSE 'T' END AND base = CASE WHEN fwd THEN 'G' ELSE 'C' END AS edit FROM r JOIN b USING (ord, i)),
+told AS (
+  SELECT ord, count(*) FILTER (differs) AS wrong, count(*) FILTER (differs AND NOT edit) AS other, count(*) FILTER (edit AND q >= 30) AS n, min(i) FILTER (edit AND q >= 30) AS low, max(i) FILTER (edit AND q >= 30) AS high
+  FROM cols GROUP BY ord),
+inner_ AS (SELECT ord, base, count(*) AS k FROM b JOIN told USING (ord) WHERE i BETWEEN low AND high GROUP BY ALL),
+most AS (SELECT ord, max(k) AS most FROM inner_ GROUP BY ord),
+why AS (
+  SELECT ord, CASE WHEN kind IN (3, 4) THEN 'gapped' WHEN other > 2 THEN 'non_edit_mm' WHEN n = 0 THEN 'no_edits' WHEN n < 0.05 * 50 THEN 'edit_density' WHEN n <= 0.8::DOUBLE * wrong THEN 'purity'
+         WHEN high - low < 5 THEN 'cluster_span' WHEN high < 10 THEN 'cluster_at_start' WHEN low > 40 THEN 'cluster_at_end' WHEN most > 0.6::DOUBLE * (high - low + 1) THEN 'cluster_composition' END AS reason
+  FROM told JOIN one USING (ord) LEFT JOIN most USING (ord))
+SELECT reason, false AS minus, count(*) AS n FROM why GROUP BY reason"""
+)
 def rescue_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Placements by the first gate that refuses them, and strand."""
     a = synth.alignments(spark, sf_dir)
@@ -170,15 +208,20 @@ def seed_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("read", "cand", "chrom", "minus", "chain_score", "second_chain", "n_anchors", F.size("parts").alias("n_parts"))
 
 
+#: A small model: two splits a tree, and what is missing goes left.
 MODEL = "".join(
     f"\nTree={i}\nsplit_feature={i % 3} {(i + 2) % 20}\nthreshold={0.1 * (i % 7)} {0.5 * (i % 5)}\ndecision_type=2 10\nleft_child=1 -1\nright_child=-3 -2\nleaf_value={0.01 * i} {-0.02 * (i % 4)} {0.03 * (i % 3)}\n"
     for i in range(20)
 )
 
 
-@query()
+def _tree_sql(i: int) -> str:
+    first, second = features.NAMES[i % 3], features.NAMES[(i + 2) % 20]
+    inner = f"CASE WHEN {second} IS NULL OR {second}::FLOAT::DOUBLE <= {0.5 * (i % 5)}::DOUBLE THEN {0.01 * i}::DOUBLE ELSE {-0.02 * (i % 4)}::DOUBLE END"
+    return f"CASE WHEN {first} IS NULL OR {first}::FLOAT::DOUBLE <= {0.1 * (i % 7)}::DOUBLE THEN {inner} ELSE {0.03 * (i % 3)}::DOUBLE END"
+
+
+@query(f"{sites._FEATURES} SELECT chrom, pos, round(1 / (1 + exp(-({' + '.join(_tree_sql(i) for i in range(20))}))), 9) AS score FROM f")
 def site_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of the discovered sites by a small model of trees."""
-    from helixframe.operators import features
-
-    return features.score(sites.evidence_features(spark, sf_dir), trees.parse_model("tree" + MODEL, n_trees=20)).select("chrom", "pos", F.round("score", 9).alias("score"))
+    return features.score(sites._features(spark, sf_dir), trees.parse_model("tree" + MODEL, n_trees=20)).select("chrom", "pos", F.round("score", 9).alias("score"))

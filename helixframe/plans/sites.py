@@ -185,15 +185,76 @@ def template_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("chrom", "pos", F.round(F.expm1("neighbor_log_templates")).cast("long").alias("templates"), F.round("neighbor_template_reuse", 6).alias("reuse"))
 
 
-@query()
-def evidence_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All 27 features of the discovered sites."""
+_FEATURES = f"""{_OWN},
+counts AS (
+  SELECT chrom, pos, count(*) FILTER (base = 'G') AS g, count(*) FILTER (base = 'C') AS c FROM bases GROUP BY chrom, pos),
+s AS (
+  SELECT r.chrom, r.pos, r.base AS ref, CASE r.base WHEN 'A' THEN 'G' ELSE 'C' END AS alt, CASE r.base WHEN 'A' THEN b.base ELSE translate(a.base, 'ACGTacgt', 'TGCAtgca') END AS prev,
+         CASE r.base WHEN 'A' THEN a.base ELSE translate(b.base, 'ACGTacgt', 'TGCAtgca') END AS next
+  FROM refs r JOIN counts k USING (chrom, pos) LEFT JOIN refs b ON b.chrom = r.chrom AND b.pos = r.pos - 1 LEFT JOIN refs a ON a.chrom = r.chrom AND a.pos = r.pos + 1
+  WHERE r.base = 'A' AND k.g > 0 OR r.base = 'T' AND k.c > 0),
+x AS (
+  SELECT m.*, (flag & 16 <> 0) <> (flag & 128 <> 0) AS down, CASE kind WHEN 1 THEN 0.1 ELSE 0 END AS soft, least(i, 49 - i) / 24.5 AS inside,
+         CASE kind WHEN 2 THEN 1 / (1 + abs(i - 19.5)) WHEN 3 THEN 1 / (1 + least(abs(i - 24.5), abs(i - 26.5))) WHEN 4 THEN 1 / (1 + abs(i - 29.5)) ELSE 0 END AS gap,
+         base = s.alt AS is_alt, base = s.ref AS is_ref
+  FROM merged m JOIN s USING (chrom, pos)),
+own AS (
+  SELECT chrom, pos, count(*) AS depth, count(*) FILTER (is_alt) AS n_alt, count(*) FILTER (is_ref) AS n_ref, avg(bq) FILTER (is_alt) AS alt_bq, avg(bq) FILTER (is_ref) AS ref_bq,
+         avg(mapq) FILTER (is_alt) AS alt_mapq, avg(inside) FILTER (is_alt) AS alt_inside, avg(soft) FILTER (is_alt) AS alt_soft, avg(gap) FILTER (is_alt) AS alt_gap,
+         count(*) FILTER (is_alt AND NOT down) AS a0, count(*) FILTER (is_alt AND down) AS a1, count(*) FILTER (is_ref AND NOT down) AS r0, count(*) FILTER (is_ref AND down) AS r1
+  FROM x GROUP BY chrom, pos),
+kinds AS (SELECT chrom, pos, CASE WHEN is_ref THEN 0 WHEN is_alt THEN 1 ELSE 2 END AS kind, power(10, -bq / 10.0) AS e, count(*) AS n FROM x GROUP BY ALL),
+half(x, w) AS (VALUES {_GL8}),
+gl AS (SELECT (k + 0.5 + s * x / 2) / 64 AS x, w / 128 AS w FROM half, (VALUES (-1), (1)) AS v(s), (SELECT unnest(range(0, 64)) AS k)),
+ll AS (
+  SELECT chrom, pos, x, w, sum(n * ln(greatest(CASE kind WHEN 0 THEN 1 - e - (1 - 4 * e / 3) * x WHEN 1 THEN e / 3 + (1 - 4 * e / 3) * x ELSE e / 3 END, 1e-300))) AS ll
+  FROM kinds, (SELECT * FROM gl UNION ALL VALUES (0.0, NULL), (1.0, NULL)) GROUP BY ALL),
+peak AS (SELECT chrom, pos, max(ll) AS top, max(ll) FILTER (w IS NULL AND x = 0) AS zero, max(ll) FILTER (w IS NULL AND x = 1) AS one FROM ll GROUP BY ALL),
+bf AS (SELECT chrom, pos, top + ln(sum(exp(ll - top) * w)) - any_value(zero) AS error, top + ln(sum(exp(ll - top) * w)) - any_value(one) AS homo FROM ll JOIN peak USING (chrom, pos) GROUP BY chrom, pos, top),
+n AS (
+  SELECT chrom, pos, upper(r.base) AS lr, count(*) AS n, count(*) FILTER (m.base = upper(r.base)) AS own, count(*) FILTER (m.base = CASE upper(r.base) WHEN 'A' THEN 'G' WHEN 'T' THEN 'C' END) AS alt
+  FROM merged m JOIN refs r USING (chrom, pos) GROUP BY ALL),
+band AS (
+  SELECT s.chrom, s.pos, exp(-abs(n.pos - s.pos) / 200.0) AS w, n.n, n.lr = s.ref AS same, n.own, CASE WHEN n.lr = s.ref THEN n.alt ELSE 0 END AS alt
+  FROM s JOIN n ON s.chrom = n.chrom AND n.pos BETWEEN s.pos - 200 AND s.pos + 200 AND n.pos <> s.pos),
+near AS (
+  SELECT chrom, pos, sum(w * alt) / sum(w * n) FILTER (same) AS read_rate, coalesce(sum(w) FILTER (same AND alt > 0), 0) / sum(w) FILTER (same) AS site_rate,
+         sum(w * (n - own - alt)) / sum(w * n) AS other_rate, ln(1 + coalesce(sum(w) FILTER (same), 0)) AS chances, ln(1 + coalesce(sum(w * n) FILTER (same), 0)) AS depth
+  FROM band GROUP BY chrom, pos),
+k AS (
+  SELECT s.chrom, s.pos, a.rg, a.template, count(*) AS k FROM s JOIN obs_at a ON s.chrom = a.chrom AND s.ref = a.ref AND a.base = a.alt AND a.pos BETWEEN s.pos - 200 AND s.pos + 200 AND a.pos <> s.pos GROUP BY ALL),
+reuse AS (SELECT chrom, pos, ln(1 + count(*)) AS templates, CASE WHEN sum(k) > 1 THEN sum(k * (k - 1)) / (sum(k) * (sum(k) - 1)) ELSE 0 END AS reuse FROM k GROUP BY chrom, pos),
+{synth.GENES_SQL},
+f AS (
+  SELECT s.chrom, s.pos + 1 AS pos, ln(1 + own.depth) AS log_depth, ln(1 + n_alt) AS log_alt, n_alt / own.depth AS vaf, (own.depth - n_alt - n_ref) / own.depth AS noncanonical_fraction,
+         bf.error AS log_bf_uniform_vs_error, bf.homo AS log_bf_uniform_vs_homo, alt_bq AS alt_mean_bq, ref_bq AS ref_mean_bq, alt_mapq AS alt_mean_mapq, alt_inside AS alt_mean_end_fraction,
+         CASE WHEN n_alt > 0 AND n_ref > 0 THEN abs(ln(a0 + 0.5) - ln(a1 + 0.5) - ln(r0 + 0.5) + ln(r1 + 0.5)) END AS strand_log_odds_abs, alt_soft AS alt_mean_softclip_fraction, alt_gap AS alt_mean_gap_nearness,
+         read_rate AS neighbor_target_read_rate, site_rate AS neighbor_target_site_rate, other_rate AS neighbor_other_read_rate, coalesce(templates, 0) AS neighbor_log_templates, coalesce(reuse, 0) AS neighbor_template_reuse,
+         coalesce(chances, 0) AS neighbor_log_opportunities, coalesce(near.depth, 0) AS neighbor_log_depth,
+         {", ".join(f"CASE WHEN {c} = '{b}' THEN 1.0::DOUBLE WHEN {c} IN ('A', 'C', 'G', 'T') THEN 0.0::DOUBLE END AS motif_{c}_{b}" for c in ("prev", "next") for b in "ACG")},
+         EXISTS (SELECT 1 FROM genes g WHERE g.ord % 11 = 0 AND g.chrom = s.chrom AND g."start" <= s.pos AND s.pos < g."end")::INT::DOUBLE AS alu
+  FROM s LEFT JOIN own USING (chrom, pos) LEFT JOIN bf USING (chrom, pos) LEFT JOIN near USING (chrom, pos) LEFT JOIN reuse USING (chrom, pos))
+"""
+
+
+def _digits(name: str) -> int:
+    return 4 if name.startswith("log_bf") else 6
+
+
+def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
     aln, refs = synth.alignments(spark, sf_dir), synth.references(spark)
     sites = pileup.discover(aln, refs).select((F.substring("chrom", 4, 1).cast("long") * 10000 + F.col("pos")).alias("ord"), "chrom", "pos")
     alu = synth.genes(spark, sf_dir).filter("ord % 11 = 0").select("chrom", "start", "end")
     return features.features(sites, pileup.merge_templates(pileup.observations(aln)), refs, alu)
 
 
+@query(f"{_FEATURES} SELECT chrom, pos, {', '.join(f'round({c}, {_digits(c)}) AS {c}' for c in features.NAMES)} FROM f")
+def evidence_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 27 features of the discovered sites, to 6 digits (Bayes factors to 4); null where there is no value."""
+    told = lambda c: F.round(F.when(~F.isnan(c), F.col(c)), _digits(c)).alias(c)
+    return _features(spark, sf_dir).select("chrom", "pos", *[told(c) for c in features.NAMES])
+
+
 # ---- intervals -----------------------------------------------------------------------
 
 
