@@ -83,14 +83,14 @@ def gaps(cigar: Column) -> Column:
     return F.aggregate(cigar, start, step, lambda a: a["out"])
 
 
-def introns(pos: Column, cigar: Column) -> Column:
-    """N operations as array<struct<start long, end long>>."""
+def introns(pos: Column, cigar: Column, kind: str = "N") -> Column:
+    """N operations (or those of another kind) as array<struct<start long, end long>>."""
     start = F.struct(pos.cast("long").alias("r"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("out"))
 
     def step(a: Column, x: Column) -> Column:
         end = a["r"] + F.when(x["op"].isin("M", "=", "X", "D", "N"), x["n"]).otherwise(0)
         own = F.array(F.struct(a["r"].alias("start"), end.alias("end")))
-        return F.struct(end.alias("r"), F.when(x["op"] == "N", F.concat(a["out"], own)).otherwise(a["out"]).alias("out"))
+        return F.struct(end.alias("r"), F.when(x["op"] == kind, F.concat(a["out"], own)).otherwise(a["out"]).alias("out"))
 
     return F.aggregate(cigar, start, step, lambda a: a["out"])
 

@@ -1,8 +1,9 @@
-"""The distributed mapper: distinct reads, seed join, chains, windows by tile join, extension, arbitration.
+"""The distributed mapper: distinct reads, seed joins, chains, windows by tile join, extension, arbitration; pairs, a second pass, rescue.
 
-The reference stays a table of tiles. Reads meet it twice: in the seed join, on k-mers, and in
-the join of candidate windows, on tiles. Equal sequences are aligned once. Kernels
-run in Arrow batches; a read's candidates (at most MAX_CANDIDATES) come together by a shuffle on the read.
+The reference stays a table of tiles. Reads meet it in the seed join, on k-mers, and in
+the join of candidate windows, on tiles; reads that few seeds cover meet the frequent
+k-mers too. Equal sequences are aligned once. Kernels run in Arrow batches; a read's candidates
+(at most MAX_CANDIDATES) come together by a shuffle on the read.
 """
 
 from __future__ import annotations
@@ -10,34 +11,40 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixframe.operators import kmer_index
 from helixframe.operators.align import kernels as k
 from helixframe.operators.align.second_look import best_segment
 from helixframe.operators.transcripts import tile_sequences
+from helixframe.session import shared_path, written
 
 # Fixed values of the candidate search.
 MAX_CANDIDATES = 8
 PAD = 40
-ALIGNED = "seq_id long, chrom string, pos long, minus boolean, cigar array<struct<op:string,n:int>>, score int, second int, mismatches int, edits_ag int, edits_tc int, mapq int, n_anchors int, margin string"
+WIDE_CAP = 5000
+WIDE_ANCHORS = 20_000
+COVERED = 0.6
+ALIGNED = "seq string, chrom string, pos long, minus boolean, cigar array<struct<op:string,n:int>>, score int, second int, mismatches int, edits_ag int, edits_tc int, mapq int, n_anchors int, margin string"
 
 
 def distinct_sequences(reads: DataFrame) -> DataFrame:
-    """seq_id, seq: every sequence once; the id is its hash, and collisions are told apart by the sequence in joins."""
-    return reads.select("seq").filter("seq <> ''").distinct().withColumn("seq_id", F.xxhash64("seq"))
+    """seq_id, seq: every sequence once. The id is its hash; of sequences with one hash all but the first get a hash of hash and rank."""
+    h = reads.select("seq").filter("seq <> ''").groupBy(F.xxhash64("seq").alias("h")).agg(F.array_sort(F.collect_set("seq")).alias("seqs"))
+    each = h.select("h", F.posexplode("seqs").alias("i", "seq"))
+    return each.select(F.when(F.col("i") == 0, F.col("h")).otherwise(F.xxhash64("seq", "i")).alias("seq_id"), "seq")
 
 
 def candidate_windows(anchors: DataFrame, sizes: DataFrame, kmer: int, rules: k.ChainRules) -> DataFrame:
     """anchors: read, chrom, minus, qpos, rpos. sizes: read, size. Chains each read's anchors and gives up to MAX_CANDIDATES windows.
 
-    Returns read, cand, chrom, minus, chain_score, second_chain, n_anchors, parts: array<struct<s, e, r, q>> of one
-    window for each segment between introns, with the place of its first anchor.
+    Returns read, cand, chrom, minus, chain_score, second_chain, n_anchors, reach (read bases from the chain's start to its end),
+    parts: array<struct<s, e, r, q>> of one window for each segment between introns, with the place of its first anchor.
     """
-    kind = "read long, cand int, chrom string, minus boolean, chain_score int, second_chain int, n_anchors int, parts array<struct<s:bigint,e:bigint,r:bigint,q:int>>"
+    kind = "read long, cand int, chrom string, minus boolean, chain_score int, second_chain int, n_anchors int, reach int, parts array<struct<s:bigint,e:bigint,r:bigint,q:int>>"
 
-    names = [x.split()[0] for x in kind.split(", ")[:8]]
+    names = [x.split()[0] for x in kind.split(", ")[:9]]
 
     def chain(read: int, size: int, anchors_: list) -> list[tuple]:
         found = k.chains(anchors_, rules)
@@ -54,7 +61,7 @@ def candidate_windows(anchors: DataFrame, sizes: DataFrame, kmer: int, rules: k.
             for seg in k.segments(c, kmer):
                 (r0, q0), (r1, q1) = seg[0], seg[-1]
                 parts.append({"s": max(0, r0 - q0 - PAD), "e": r1 + (size - q1) + PAD, "r": r0, "q": q0})
-            rows.append((read, len(rows), c.chrom, c.minus, c.score, second, len(c.anchors), parts))
+            rows.append((read, len(rows), c.chrom, c.minus, c.score, second, len(c.anchors), c.anchors[-1][1] + kmer - q, parts))
         return rows
 
     def run(frames):
@@ -145,7 +152,7 @@ def _place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         p = k.arbitrate(found, len(rows[0].seq))
         if p is None:
             return None
-        return (rows[0].read, p.chrom, p.pos, p.minus, [{"op": o, "n": n} for o, n in p.cigar], p.score, p.second, p.mismatches, p.edits_ag, p.edits_tc, k.mapq(p), p.anchors, k.margin(p)[2])
+        return (rows[0].seq, p.chrom, p.pos, p.minus, [{"op": o, "n": n} for o, n in p.cigar], p.score, p.second, p.mismatches, p.edits_ag, p.edits_tc, k.mapq(p), p.anchors, k.margin(p)[2])
 
     now: list = []
     for f in frames:
@@ -160,21 +167,42 @@ def _place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([x for x in [winner(now)] if x], columns=names)
 
 
-def align(reads: DataFrame, tiles: DataFrame, width: int, kmer: int = 15, w: int = 10, cutoff: int | None = None, rules: k.ChainRules | None = None) -> DataFrame:
-    """reads: ord, name, seq, ... Returns reads LEFT JOIN their alignment; equal sequences are aligned once."""
+def _candidates(distinct: DataFrame, index: DataFrame, kmer: int, w: int, cutoff: int, most: int, rules: k.ChainRules, keep: str | None) -> DataFrame:
+    """Candidate windows of two seed rounds: k-mers up to the cutoff; and for reads whose best chain reaches over less than
+    COVERED of them, those of up to WIDE_CAP places, if that gives at most WIDE_ANCHORS anchors. The round of the better chain counts."""
+    reads, sizes = distinct.select(F.col("seq_id").alias("read"), "seq"), distinct.select(F.col("seq_id").alias("read"), F.length("seq").alias("size"))
+    first = candidate_windows(kmer_index.anchors(reads, index, kmer, w, cutoff), sizes, kmer, rules)
+    if most <= cutoff or cutoff >= WIDE_CAP:
+        return first
+    if keep:  # both what it says of reads and its windows are used: it is made once
+        first = written(first, keep)
+    best = first.filter("cand = 0").select("read", "chain_score", "reach")
+    wanting = sizes.join(best, "read", "left").filter(F.col("reach").isNull() | (F.col("reach") < COVERED * F.col("size")))
+    wide = kmer_index.anchors(reads.join(wanting.select("read"), "read", "left_semi"), index, kmer, w, WIDE_CAP)
+    few = wide.groupBy("read").count().filter(F.col("count") <= WIDE_ANCHORS).select("read")
+    second = candidate_windows(wide.join(few, "read", "left_semi"), sizes, kmer, rules)
+    won = second.filter("cand = 0").select("read", F.col("chain_score").alias("s")).join(best, "read", "left").filter("chain_score is null or s > chain_score").select("read")
+    return first.join(won, "read", "left_anti").unionByName(second.join(won, "read", "left_semi"))
+
+
+def align(reads: DataFrame, tiles: DataFrame, width: int, kmer: int = 15, w: int = 10, cutoff: int | None = None, rules: k.ChainRules | None = None, index: DataFrame | None = None, keep: str | None = None) -> DataFrame:
+    """reads: ord, name, seq, ... Returns reads LEFT JOIN their alignment; equal sequences are aligned once.
+
+    index: a table of minimizer_index(), else it is made here, more than once. cutoff: of k-mer places in the first
+    round, by default from the index. keep: a shared path for the first round's windows, so the second round doesn't make them again.
+    """
     rules = rules or k.ChainRules(k=kmer, min_score=min(40, 2 * kmer))
-    index = kmer_index.minimizer_index(tiles, width, kmer, w)
+    index = kmer_index.minimizer_index(tiles, width, kmer, w) if index is None else index
+    found, most = kmer_index.frequency(index)
     distinct = distinct_sequences(reads)
-    anchors = kmer_index.anchors(distinct.select(F.col("seq_id").alias("read"), "seq"), index, kmer, w, cutoff)
-    sizes = distinct.select(F.col("seq_id").alias("read"), F.length("seq").alias("size"))
-    cands = candidate_windows(anchors, sizes, kmer, rules)
+    cands = _candidates(distinct, index, kmer, w, found if cutoff is None else cutoff, most, rules, keep)
     each = cands.select("read", "cand", "chrom", F.posexplode("parts").alias("i", "p")).select("read", "cand", "chrom", "i", F.col("p.s").alias("s"), F.col("p.e").alias("e"), F.col("p.r").alias("r"), F.col("p.q").alias("q"))
     got = tile_sequences(each, tiles, width, ["read", "cand", "i", "s", "e", "r", "q"])
     parts = got.groupBy("read", "cand").agg(F.collect_list(F.struct("i", "s", "r", "q", "seq")).alias("parts"))
     rows = cands.drop("parts").join(parts, ["read", "cand"]).join(distinct.select(F.col("seq_id").alias("read"), "seq"), "read")
     rows = rows.select("read", "cand", "chrom", "minus", "chain_score", "second_chain", "n_anchors", "parts", "seq")
     placed = rows.repartition("read").sortWithinPartitions("read", "cand").mapInPandas(_place, ALIGNED)
-    return reads.withColumn("seq_id", F.xxhash64("seq")).join(placed, "seq_id", "left").drop("seq_id")
+    return reads.join(placed, "seq", "left")
 
 
 def to_records(aligned: DataFrame) -> DataFrame:
@@ -195,39 +223,148 @@ def to_records(aligned: DataFrame) -> DataFrame:
     )
 
 
-def two_pass(reads: DataFrame, tiles: DataFrame, width: int, annotated: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
-    """Maps twice: the first pass's junctions vote with the annotation, and the second pass's library is returned with its records.
+def pair_records(records: DataFrame, key: str = "template", slot: str = "slot") -> DataFrame:
+    """records of to_records() with a template and a slot (1, 2), as records of pairs: flags of both mates, mate_chrom, mate_pos, tlen.
 
-    Deletions of up to 50 bases that the library knows become introns.
+    One shuffle brings mates together. tlen is 0 unless the pair is proper. A record without its mate in the input stays single.
     """
+    from helixframe.operators import pairs
+
+    own = [c for c in records.columns if c != key]
+    row = F.struct(*own, (F.col("flag").bitwiseAND(16) != 0).alias("minus"))
+    each = records.groupBy(key).agg(F.max_by(F.when(F.col(slot) == 1, row), F.when(F.col(slot) == 1, F.col("ord"))).alias("a"), F.max_by(F.when(F.col(slot) == 2, row), F.when(F.col(slot) == 2, F.col("ord"))).alias("b"))
+    t = pairs.relate(each)
+    proper = F.coalesce(F.col("proper"), F.lit(False))
+
+    def mate(r, m, bit: int, sign: int):
+        both = m.isNotNull()
+        unmapped = m["flag"].bitwiseAND(4) != 0
+        flag = r["flag"].bitwiseOR(F.when(both, 1 + bit).otherwise(0)).bitwiseOR(F.when(proper, 2).otherwise(0)).bitwiseOR(F.when(both & unmapped, 8).otherwise(0)).bitwiseOR(F.when(both & m["minus"], 32).otherwise(0))
+        tlen = F.when(proper, sign * F.col("tlen")).otherwise(0)
+        fields = [flag.alias("flag") if c == "flag" else r[c].alias(c) for c in own]
+        return F.when(r.isNotNull(), F.struct(*fields, F.when(~unmapped, m["chrom"]).alias("mate_chrom"), F.coalesce(F.when(~unmapped, m["pos"]), F.lit(-1)).cast("long").alias("mate_pos"), tlen.cast("long").alias("tlen")))
+
+    two = F.array_compact(F.array(mate(F.col("a"), F.col("b"), 64, 1), mate(F.col("b"), F.col("a"), 128, -1)))
+    return t.select(key, F.explode(two).alias("r")).select(key, "r.*")
+
+
+def recount(records: DataFrame, tiles: DataFrame, width: int) -> DataFrame:
+    """records with mismatches, edits_ag, edits_tc and nm counted again along their operations; blocks meet the reference by tile join."""
     from helixframe.functions import cigar as cg
+
+    b = records.select("ord", "chrom", F.posexplode(cg.blocks(F.col("pos"), F.col("cigar"))).alias("i", "b"), "seq")
+    b = b.select("ord", "chrom", "i", F.col("b.ref").alias("s"), (F.col("b.ref") + F.col("b.n")).alias("e"), F.expr("substring(seq, b.read + 1, b.n)").alias("own"))
+    got = tile_sequences(b.drop("own"), tiles, width, ["ord", "i", "s", "e"]).select("ord", "i", F.col("seq").alias("ref"))
+
+    def count(own: pd.Series, ref: pd.Series) -> pd.DataFrame:
+        out = []
+        for x, y in zip(own, ref):
+            x, y = k.codes(x), k.codes(y)
+            n = min(len(x), len(y))
+            x, y = x[:n], y[:n]
+            ag, tc = (y == 0) & (x == 2), (y == 3) & (x == 1)
+            out.append((int(((x < 4) & (y < 4) & (x != y) & ~ag & ~tc).sum()), int(ag.sum()), int(tc.sum())))
+        return pd.DataFrame(out, columns=["mm", "ag", "tc"])
+
+    counted = b.join(got, ["ord", "i"]).select("ord", F.pandas_udf(count, "mm int, ag int, tc int")("own", "ref").alias("c"))
+    sums = counted.groupBy("ord").agg(*[F.sum(f"c.{c}").cast("int").alias(n) for c, n in (("mm", "mismatches"), ("ag", "edits_ag"), ("tc", "edits_tc"))])
+    out = records.drop("mismatches", "edits_ag", "edits_tc", "nm").join(sums, "ord").withColumn("nm", F.col("mismatches") + F.col("edits_ag") + F.col("edits_tc") + cg.total(F.col("cigar"), "ID"))
+    return out.select(*records.columns)
+
+
+def with_library(records: DataFrame, library: DataFrame, tiles: DataFrame, width: int, keep: str | None = None) -> DataFrame:
+    """The second pass: what a library of junctions changes in records, and no more is looked at again.
+
+    Clipped ends that go on behind a known intron are laid over it, first at the end, then at the start; short deletions that the
+    library knows become introns. Records without either stay as they are.
+    """
+    from helixframe.functions import cigar as cg
+    from helixframe.operators.align import second_look
+
+    placed = records.filter("flag & 4 = 0")
+    changed = None
+    for side in ("end", "start"):
+        base = placed if changed is None else placed.join(changed, "ord", "left").select(*[F.coalesce(f"new_{c}", c).alias(c) if c in ("pos", "cigar") else c for c in placed.columns])
+        found = second_look.clipped_tails(base, library, tiles, width, side=side).select("ord", F.col("pos").alias("new_pos"), F.col("cigar").alias("new_cigar"))
+        changed = found if changed is None else found.unionByName(changed.join(found.select("ord"), "ord", "left_anti"))
+    short = library.filter(F.col("end") - F.col("start") <= 50).select("chrom", F.col("start").alias("js"), F.col("end").alias("je")).distinct()
+    gaps = placed.filter(cg.count(F.col("cigar"), "D") > 0).select("ord", "chrom", "pos", "cigar", F.explode(cg.introns(F.col("pos"), F.col("cigar"), "D")).alias("d"))
+    known = gaps.select("*", F.col("d.start").alias("js"), F.col("d.end").alias("je")).join(short, ["chrom", "js", "je"])
+    known = known.groupBy("ord").agg(F.any_value("pos").alias("new_pos"), F.any_value("cigar").alias("c"), F.collect_set("d").alias("known"))
+    deleted = known.select("ord", "new_pos", cg.annotated_micro_deletions(F.col("new_pos"), F.col("c"), F.col("known")).alias("new_cigar"))
+    changed = changed.unionByName(deleted.join(changed.select("ord"), "ord", "left_anti"))
+    changed = written(changed, keep or shared_path(records.sparkSession, "changed"))
+    again = records.join(changed, "ord").select(*[F.col(f"new_{c}").alias(c) if c in ("pos", "cigar") else F.col(c) for c in records.columns])
+    return records.join(changed.select("ord"), "ord", "left_anti").unionByName(recount(again, tiles, width))
+
+
+def two_pass(reads: DataFrame, tiles: DataFrame, width: int, annotated: DataFrame, keep: str | None = None, **options) -> tuple[DataFrame, DataFrame]:
+    """Maps reads, lets the junctions seen vote with the annotation, and looks again at the records that the merged library can change.
+
+    keep: a folder for the first pass and the library, which several plans read; by default a new one in the shared folder. The
+    result reads them: it is the caller's to remove. Returns records and library.
+    """
     from helixframe.operators import junctions
 
-    records = to_records(align(reads, tiles, width, **options))
+    keep = keep or shared_path(reads.sparkSession, "map")
+    records = written(to_records(align(reads, tiles, width, keep=f"{keep}/windows", **options)), f"{keep}/pass1")
     judged, removed = junctions.vote(junctions.observed(records.filter("flag & 4 = 0")), annotated)
-    library = junctions.merged_library(annotated, judged, removed)
-    known = library.filter(F.col("end") - F.col("start") <= 50).groupBy("chrom").agg(F.collect_list(F.struct("start", "end")).alias("known"))
-    with_known = records.join(known, "chrom", "left")
-    new = cg.annotated_micro_deletions(F.col("pos"), F.col("cigar"), F.coalesce("known", F.array().cast("array<struct<start:bigint,end:bigint>>")))
-    short = cg.count(F.col("cigar"), "D") > 0
-    return with_known.withColumn("cigar", F.when(short, new).otherwise(F.col("cigar"))).drop("known"), library
+    library = written(junctions.merged_library(annotated, judged, removed), f"{keep}/library")
+    return with_library(records, library, tiles, width, f"{keep}/changed"), library
+
+
+#: Reads' letters and the reference's, for each of rescue's passes: a read turned A to G meets a minus strand where T was turned to C.
+PASSES = (("AG", "AG"), ("AG", "TC"), ("TC", "TC"), ("TC", "AG"))
 
 
 def rescue(unplaced: DataFrame, tiles: DataFrame, width: int, **options) -> DataFrame:
-    """Hyperedited reads: reads and reference in three letters (A as G, then T as C), placed, and verified on four letters.
+    """Hyperedited reads: reads and reference in three letters, both ways of each, placed there and verified on four letters.
 
-    unplaced: ord, name, seq, qual. Reads that both directions place are ambiguous and dropped.
-    Returns ord, direction, chrom, pos, minus, cigar, mapq (at most 20).
+    unplaced: ord, name, seq, qual. Reads that more than one pass accepts are ambiguous and dropped.
+    Returns ord, direction, chrom, pos, minus, cigar, mapq (at most 20), sites (reference places of edits).
     """
+    from helixframe.functions import dna
+    from helixframe.operators.align import second_look
+
     good = F.pandas_udf(lambda s, q: pd.Series([k.rescue_prefilter(a or "", b or "") for a, b in zip(s, q)]).astype(bool), "boolean")
-    pool = unplaced.filter(good("seq", "qual"))
-    passes = None
-    for source, target in (("A", "G"), ("T", "C")):
-        from helixframe.functions import dna
-
-        r = pool.withColumn("seq", dna.transform_bases(F.col("seq"), source, target))
-        t = tiles.withColumn("seq", dna.transform_bases(F.col("seq"), source, target))
-        found = align(r, t, width, **options).filter("chrom is not null and mapq >= 1").select("ord", F.lit(source).alias("direction"), "chrom", "pos", "minus", "cigar", F.least("mapq", F.lit(20)).alias("mapq"), "mismatches")
-        passes = found if passes is None else passes.unionByName(found)
-    single = passes.groupBy("ord").count().filter("count = 1").select("ord")
-    return passes.join(single, "ord", "left_semi").filter("mismatches <= 2").drop("mismatches")
+    pool = unplaced.select("ord", "name", "seq", "qual").filter(good("seq", "qual"))
+    accepted = None
+    for own, other in PASSES:
+        turned = pool.withColumns({"true_seq": F.col("seq"), "seq": dna.transform_bases(F.col("seq"), *own)})
+        t = tiles.withColumn("seq", dna.transform_bases(F.col("seq"), *other))
+        found = align(turned, t, width, **options).filter("chrom is not null and mapq >= 1 and mismatches <= 2")
+        found = found.select("ord", F.lit(own[0]).alias("direction"), "chrom", "pos", "minus", "cigar", F.least("mapq", F.lit(20)).alias("mapq"), F.col("true_seq").alias("seq"), "qual")
+        passed = second_look.verify(found, tiles, width).filter("reason is null").drop("reason", "seq", "qual")
+        accepted = passed if accepted is None else accepted.unionByName(passed)
+    return accepted.withColumn("passes", F.count("*").over(Window.partitionBy("ord"))).filter("passes = 1").drop("passes")
+
+
+def rescue_records(records: DataFrame, tiles: DataFrame, width: int, paired: bool = False, keep: str | None = None, **options) -> DataFrame:
+    """records (of to_records(), or pair_records() with template and slot) with those that rescue could place in their stead; ``re`` tells them.
+
+    The pool: unplaced records, records that explain under 0.7 of the read, and those with a twentieth of the aligned columns or more
+    of ordinary mismatches. In pairs a rescued read must stand near its placed mate, in the other direction. Mates' flags of the other record stay.
+    """
+    from helixframe.functions import cigar as cg
+    from helixframe.functions import dna
+    from helixframe.operators import evidence, pairs
+
+    aligned, covered = cg.total(F.col("cigar"), "MID"), cg.total(F.col("cigar"), "MI")
+    odd = F.coalesce((aligned > 0) & (F.col("mismatches") / aligned >= evidence.DENSITY), F.lit(False))
+    unplaced, minus = F.col("flag").bitwiseAND(4) != 0, F.col("flag").bitwiseAND(16) != 0
+    pool = records.filter(unplaced | (covered < evidence.COVERED * F.length("seq")) | odd)
+    as_read = pool.select("ord", F.col("qname").alias("name"), F.when(minus, dna.revcomp(F.col("seq"))).otherwise(F.col("seq")).alias("seq"), F.array_join(F.transform(F.when(minus, F.reverse("qual")).otherwise(F.col("qual")), lambda q: F.char(q + 33)), "").alias("qual"))
+    found = rescue(as_read, tiles, width, **options)
+    if paired:
+        named = found.join(records.select("ord", "template", "slot"), "ord")
+        placed = records.filter("flag & 4 = 0").select("template", "slot", "chrom", "pos", minus.alias("minus"))
+        found = pairs.mate_gate(named, placed).filter("concordant").drop("template", "slot", "concordant")
+    found = written(found, keep or shared_path(records.sparkSession, "rescued"))
+    new = found.select("ord", *[F.col(c).alias(f"new_{c}") for c in ("chrom", "pos", "minus", "cigar", "mapq")]).withColumn("re", F.lit("collapsed"))
+    j = records.join(new, "ord")
+    flag = F.col("flag").bitwiseAND(~(4 | 16)).bitwiseOR(F.when(F.col("new_minus"), 16).otherwise(0))
+    turn = minus != F.col("new_minus")
+    values = {"flag": flag, "seq": F.when(turn, dna.revcomp(F.col("seq"))).otherwise(F.col("seq")), "qual": F.when(turn, F.reverse("qual")).otherwise(F.col("qual")), **{c: F.col(f"new_{c}") for c in ("chrom", "pos", "cigar", "mapq")}}
+    moved = j.select(*[values[c].alias(c) if c in values else F.col(c) for c in records.columns], "re")
+    again = recount(moved.drop("re"), tiles, width).withColumn("re", F.lit("collapsed"))
+    return records.join(new.select("ord"), "ord", "left_anti").withColumn("re", F.lit(None).cast("string")).unionByName(again)

@@ -140,46 +140,52 @@ def mate_window(poor: DataFrame, tiles: DataFrame, width: int) -> DataFrame:
     return got.join(w.select("ord", "read"), "ord").mapInPandas(run, kind)
 
 
-def clipped_tails(records: DataFrame, library: DataFrame, tiles: DataFrame, width: int, least: int = 12, slack: int = 20) -> DataFrame:
-    """records (ord, chrom, pos, cigar, seq on the reference's strand) whose clipped 3' tail goes on behind a known intron.
+def clipped_tails(records: DataFrame, library: DataFrame, tiles: DataFrame, width: int, least: int = 12, slack: int = 20, side: str = "end") -> DataFrame:
+    """records (ord, chrom, pos, cigar, seq on the reference's strand) whose clipped end goes on behind a known intron.
 
-    Introns that start within ``slack`` bases of the aligned end are tried by a band join; the tail, moved to the intron's
-    start, must match behind it with at most a tenth of mismatches. Returns ord, cigar of the best (fewest mismatches, then shortest intron).
+    side: the end of the record, or its start. Introns within ``slack`` bases of the aligned end are tried by a band join; the
+    tail, moved to the intron's near side, must match behind it with at most a tenth of mismatches. Returns ord, pos, cigar of the
+    best (fewest mismatches, then shortest intron, then first).
     """
-    last = F.element_at("cigar", -1)
-    r = records.filter((F.size("cigar") >= 2) & (last["op"] == "S") & (last["n"] >= least) & (F.element_at("cigar", -2)["op"] == "M"))
-    r = r.select("ord", "chrom", "pos", "cigar", F.col("seq").alias("read"), cg.ref_end(F.col("pos"), F.col("cigar")).cast("long").alias("end"), last["n"].alias("tail"), F.element_at("cigar", -2)["n"].alias("block"))
     from helixframe.operators.rangejoin import band
 
-    j = band(r, library.select("chrom", F.col("start").alias("js"), F.col("end").alias("je")), "end", "js", slack)
-    move = F.col("end") - F.col("js")  # bases of the block that belong behind the intron
-    j = j.withColumn("move", move).filter((F.col("move") < F.col("block")) & (F.col("tail") + F.col("move") > 0))
-    j = j.withColumn("s", F.col("je")).withColumn("e", F.col("je") + F.col("tail") + F.col("move"))
-    got = tile_sequences(j.select("ord", "js", "chrom", "s", "e"), tiles, width, ["ord", "js", "s", "e"])
-    before = j.filter("move < 0").select("ord", "js", "chrom", F.col("end").alias("s"), F.col("js").alias("e"))
-    lead = tile_sequences(before, tiles, width, ["ord", "js", "s", "e"]).select("ord", "js", F.col("seq").alias("lead"))
-    rows = j.join(got.select("ord", "js", F.col("e"), "seq"), ["ord", "js", "e"]).join(lead, ["ord", "js"], "left").withColumn("lead", F.coalesce("lead", F.lit("")))
+    at_end = side == "end"
+    clip, block = (F.try_element_at("cigar", F.lit(i if at_end else -i)) for i in (-1, -2))
+    r = records.filter((F.size("cigar") >= 2) & (clip["op"] == "S") & (clip["n"] >= least) & (block["op"] == "M"))
+    edge = cg.ref_end(F.col("pos"), F.col("cigar")).cast("long") if at_end else F.col("pos").cast("long")
+    r = r.select("ord", "chrom", "pos", "cigar", F.col("seq").alias("read"), edge.alias("edge"), clip["n"].alias("tail"), block["n"].alias("block"))
+    j = band(r, library.select("chrom", F.col("start").alias("js"), F.col("end").alias("je")).distinct(), "edge", "js" if at_end else "je", slack)
+    # bases of the block that belong on the other side of the intron; below 0: bases that the block still lacks
+    j = j.withColumn("move", F.col("edge") - F.col("js") if at_end else F.col("je") - F.col("edge"))
+    j = j.withColumn("n", F.col("tail") + F.col("move")).filter("move < block and n > 0")
+    far = j.withColumn("s", F.col("je") if at_end else F.col("js") - F.col("n")).filter("s >= 0").withColumn("e", F.col("s") + F.col("n"))
+    got = tile_sequences(far.select("ord", "js", "je", "chrom", "s", "e"), tiles, width, ["ord", "js", "je", "s", "e"]).drop("s", "e")
+    lacking = j.filter("move < 0").withColumn("s", F.col("edge" if at_end else "je")).withColumn("e", F.col("js" if at_end else "edge"))
+    lead = tile_sequences(lacking.select("ord", "js", "je", "chrom", "s", "e"), tiles, width, ["ord", "js", "je", "s", "e"]).select("ord", "js", "je", F.col("seq").alias("lead"))
+    rows = far.join(got, ["ord", "js", "je"]).join(lead, ["ord", "js", "je"], "left").withColumn("lead", F.coalesce("lead", F.lit("")))
 
     def run(frames):
         for f in frames:
             out = []
             for x in f.itertuples(index=False):
-                n = int(x.tail + x.move)
-                want = x.lead + x.seq
-                tail = x.read[len(x.read) - n - len(x.lead) :]
+                n, size = int(x.n), int(x.n) + len(x.lead)
+                want = x.lead + x.seq if at_end else x.seq + x.lead
+                tail = x.read[len(x.read) - size :] if at_end else x.read[:size]
                 if len(want) < len(tail) or len(x.seq) < n:
                     continue
-                wrong = int((k.substitution("both")[k.codes(tail), k.codes(want[: len(tail)])] != k.MATCH).sum())
-                if wrong <= n // 10:
-                    cigar = [(o["op"], o["n"]) for o in x.cigar][:-2]
-                    k.push(cigar, "M", int(x.block - x.move))
-                    k.push(cigar, "N", int(x.je - x.js))
-                    k.push(cigar, "M", n)
-                    out.append((x.ord, wrong, int(x.je - x.js), [{"op": o, "n": c} for o, c in cigar]))
-            yield pd.DataFrame(out, columns=["ord", "wrong", "intron", "cigar"])
-
-    found = rows.mapInPandas(run, "ord long, wrong int, intron long, cigar array<struct<op:string,n:int>>")
-    return found.groupBy("ord").agg(F.min_by("cigar", F.struct("wrong", "intron")).alias("cigar"))
+                wrong = int((k.substitution("both")[k.codes(tail), k.codes(want)] != k.MATCH).sum())
+                if wrong > n // 10:
+                    continue
+                ops = [(o["op"], o["n"]) for o in x.cigar]
+                joint = [("M", int(x.block - x.move)), ("N", int(x.je - x.js)), ("M", n)]
+                new: k.Cigar = []
+                for op, size in [*ops[:-2], *joint] if at_end else [*joint[::-1], *ops[2:]]:
+                    k.push(new, op, size)
+                out.append((x.ord, wrong, int(x.je - x.js), int(x.js), int(x.pos if at_end else x.s), [{"op": o, "n": c} for o, c in new]))
+            yield pd.DataFrame(out, columns=["ord", "wrong", "intron", "js", "pos", "cigar"])
+
+    found = rows.mapInPandas(run, "ord long, wrong int, intron long, js long, pos long, cigar array<struct<op:string,n:int>>")
+    return found.groupBy("ord").agg(F.min_by(F.struct("pos", "cigar"), F.struct("wrong", "intron", "js")).alias("b")).select("ord", "b.pos", "b.cigar")
 
 
 def transcript_candidates(reads: DataFrame, tx: DataFrame, tiles: DataFrame, width: int, kmer: int = 15, most: int = 8) -> DataFrame:

@@ -1,8 +1,8 @@
 """K-mer and minimizer indexes as tables, and the joins that look them up.
 
-An index is a table (kmer, chrom, pos, minus) clustered by k-mer. Frequent k-mers
-are left out by a cutoff that comes from the counts, so a repeat can't make
-one key hot. The reference is read in tiles that overlap by k - 1 (or a window), never whole.
+An index is a table (kmer, chrom, pos, minus) clustered by k-mer. The mapper leaves frequent
+k-mers out of its first round by a cutoff that comes from the counts, and out of its second by
+a fixed one, so the rows a repeat can bring to one key of the join have a bound. The reference is read in tiles that overlap by k - 1 (or a window), never whole.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from helixframe.functions import dna
 
 # Fixed value: the share of distinct k-mers that counts as frequent.
 FREQUENT = 0.0002
+MOST_IN_TRANSCRIPTS = 100
 
 
 def overlapping(tiles: DataFrame, width: int, extra: int) -> DataFrame:
@@ -38,8 +39,8 @@ def minimizer_index(tiles: DataFrame, width: int, k: int, w: int) -> DataFrame:
     return each.select("m.kmer", "chrom", (F.col("start") + F.col("m.pos")).alias("pos"), "m.minus").distinct()
 
 
-def frequency_cutoff(index: DataFrame, share: float = FREQUENT) -> int:
-    """The count at rank floor(n x share) of the distinct k-mers, counts descending, at least 1; a large number without any.
+def frequency(index: DataFrame, share: float = FREQUENT) -> tuple[int, int]:
+    """The count at rank floor(n x share) of the distinct k-mers, counts descending, at least 1 (a large number without any); and the greatest count.
 
     The ranks come from the histogram of counts, which is small whatever the index.
     """
@@ -47,13 +48,17 @@ def frequency_cutoff(index: DataFrame, share: float = FREQUENT) -> int:
     rows = sorted(map(tuple, hist.collect()), reverse=True)
     total = sum(n for _, n in rows)
     if not total:
-        return (1 << 32) - 1
+        return (1 << 32) - 1, 0
     rank, seen = int(total * share), 0
     for count, n in rows:
         seen += n
         if seen > rank:
-            return max(count, 1)
-    return 1
+            return max(count, 1), rows[0][0]
+    return 1, rows[0][0]
+
+
+def frequency_cutoff(index: DataFrame, share: float = FREQUENT) -> int:
+    return frequency(index, share)[0]
 
 
 def anchors(reads: DataFrame, index: DataFrame, k: int, w: int, cutoff: int | None = None) -> DataFrame:
@@ -69,11 +74,14 @@ def anchors(reads: DataFrame, index: DataFrame, k: int, w: int, cutoff: int | No
     return j.select("read", "chrom", minus.alias("minus"), F.when(minus, F.col("size") - k - F.col("q")).otherwise(F.col("q")).alias("qpos"), F.col("pos").alias("rpos"))
 
 
-def transcript_hits(reads: DataFrame, sequences: DataFrame, k: int) -> DataFrame:
-    """read, name, minus, diagonal, n: reads' k-mers in transcripts (name, seq), one row a read, transcript, strand and diagonal."""
+def transcript_hits(reads: DataFrame, sequences: DataFrame, k: int, most: int = MOST_IN_TRANSCRIPTS) -> DataFrame:
+    """read, name, minus, diagonal, n: reads' k-mers in transcripts (name, seq), one row a read, transcript, strand and diagonal.
+
+    k-mers with more than ``most`` places in the transcripts seed nothing.
+    """
     code = lambda d, key: d.select(key, F.length("seq").alias("size"), F.explode(dna.kmers(F.col("seq"), k)).alias("x")).select(key, "size", dna.canonical(F.col("x.kmer")).alias("kmer"), F.col("x.pos").alias("at"), (dna.canonical(F.col("x.kmer")) != F.col("x.kmer")).alias("rc"))
-    r, t = code(reads, "read"), code(sequences, "name").drop("size").withColumnsRenamed({"at": "off", "rc": "trc"})
-    j = r.join(t, "kmer")
+    t = code(sequences, "name").drop("size").withColumnsRenamed({"at": "off", "rc": "trc"})
+    j = code(reads, "read").join(t.join(t.groupBy("kmer").count().filter(F.col("count") <= most).select("kmer"), "kmer", "left_semi"), "kmer")
     minus = F.col("rc") != F.col("trc")
     q = F.when(minus, F.col("size") - k - F.col("at")).otherwise(F.col("at"))
     return j.groupBy("read", "name", minus.alias("minus"), (F.col("off") - q).alias("diagonal")).agg(F.count("*").alias("n"))

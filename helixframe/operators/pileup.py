@@ -24,6 +24,13 @@ def ref_bases(tiles: DataFrame) -> DataFrame:
     return tiles.select("chrom", F.posexplode(F.split("seq", "")).alias("i", "base"), "start").filter("base <> ''").select("chrom", (F.col("start") + F.col("i")).alias("pos"), "base")
 
 
+def bases_at(places: DataFrame, tiles: DataFrame, width: int) -> DataFrame:
+    """chrom, pos, base of places (chrom, pos, 0-based) by a join on tiles of one width; places off the reference are left out."""
+    at = places.select("chrom", "pos", F.floor(F.col("pos") / width).alias("tile"))
+    t = tiles.select("chrom", F.floor(F.col("start") / width).alias("tile"), "start", "seq")
+    return at.join(t, ["chrom", "tile"]).filter(F.col("pos") < F.col("start") + F.length("seq")).select("chrom", "pos", base_at(F.col("seq"), F.col("start"), F.col("pos")).alias("base"))
+
+
 def usable(alignments: DataFrame, min_mapq: int = MIN_MAPQ) -> DataFrame:
     """Mapped primary records of enough mapping quality; a plain filter, so it reaches the scan."""
     return alignments.filter((F.col("flag").bitwiseAND(EXCLUDED_FLAGS) == 0) & (F.col("mapq") >= min_mapq) & (F.col("pos") >= 0))

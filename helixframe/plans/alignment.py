@@ -189,15 +189,63 @@ def mate_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy("distance", "minus").agg(F.count("*").alias("n"))
 
 
-@query()
+@query(
+    f"""WITH {synth.RANDOM_SQL},
+genes AS (SELECT 'gene' || p_partkey AS name, 'rnd' || (p_partkey % 2 + 1) AS chrom, p_partkey % 2 = 1 AS minus, p_partkey * 37 % 20000 AS s, p_partkey * 37 % 20000 + p_size * 2 + 90 AS m, p_partkey * 37 % 20000 + p_size * 2 + 190 AS n, p_partkey * 37 % 20000 + p_size * 2 + 280 AS e FROM part),
+fits AS (SELECT g.* FROM genes g WHERE e <= {synth.RANDOM_TILES * synth.RANDOM_TILE}),
+tx AS (SELECT name, g.chrom, minus, s, m, n, e, substr(seq, (s + 1)::INT, (m - s)::INT) || substr(seq, (n + 1)::INT, (e - n)::INT) AS fwd FROM fits g JOIN rnd USING (chrom)),
+tseq AS (SELECT *, CASE WHEN minus THEN translate(reverse(fwd), 'ACGT', 'TGCA') ELSE fwd END AS seq FROM tx),
+rseq AS (SELECT ord AS read, CASE WHEN minus THEN translate(reverse(fwd), 'ACGT', 'TGCA') ELSE fwd END AS seq FROM rfwd),
+-- one strand of the read at a time, by k-mers that aren't rare in the transcripts on either strand
+tk AS (SELECT name, o, substr(seq, o + 1, 13) AS kmer FROM (SELECT name, seq, unnest(range(0, length(seq) - 12)) AS o FROM tseq)),
+often AS (SELECT least(kmer, translate(reverse(kmer), 'ACGT', 'TGCA')) AS canon FROM tk GROUP BY canon HAVING count(*) <= 100),
+tgood AS (SELECT tk.* FROM tk JOIN often ON canon = least(kmer, translate(reverse(kmer), 'ACGT', 'TGCA'))),
+strands AS (SELECT read, false AS minus, seq FROM rseq UNION ALL SELECT read, true, translate(reverse(seq), 'ACGT', 'TGCA') FROM rseq),
+rk AS (SELECT read, minus, i, substr(seq, i + 1, 13) AS kmer FROM (SELECT read, minus, seq, unnest(range(0, length(seq) - 12)) AS i FROM strands)),
+hits AS (SELECT read, name, minus, o - i AS diagonal, count(*) AS n FROM rk JOIN tgood USING (kmer) GROUP BY ALL),
+most AS (SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY read ORDER BY n DESC, name, minus, diagonal) <= 32),
+laid AS (SELECT h.read, h.name, h.minus, h.diagonal AS o, s.seq AS q, substr(t.seq, h.diagonal + 1, length(s.seq)) AS r FROM most h JOIN strands s ON s.read = h.read AND s.minus = h.minus JOIN tseq t USING (name) WHERE h.diagonal >= 0 AND h.diagonal + length(s.seq) <= length(t.seq)),
+far AS (SELECT read, name, minus, o, length(q) AS size, list_sum([CASE WHEN q[j] = r[j] OR r[j] = 'A' AND q[j] = 'G' OR r[j] = 'T' AND q[j] = 'C' THEN 0 ELSE 1 END FOR j IN range(1, length(q) + 1)]) AS distance FROM laid),
+best AS (SELECT * FROM far WHERE distance <= greatest(size // 33, 1) QUALIFY row_number() OVER (PARTITION BY read ORDER BY distance, name, o) <= 8),
+place AS (SELECT read, name, t.chrom, b.minus <> t.minus AS minus, distance, size, s, m, n, CASE WHEN t.minus THEN length(seq) - o - size ELSE o END AS g FROM best b JOIN tseq t USING (name))
+SELECT read, name, chrom, CASE WHEN g < m - s THEN s + g ELSE n + g - (m - s) END AS pos, distance::INT AS distance, minus,
+       CASE WHEN g >= m - s OR g + size <= m - s THEN size || 'M' ELSE (m - s - g) || 'M' || (n - m) || 'N' || (size - (m - s - g)) || 'M' END AS cigar FROM place"""
+)
 def transcript_placements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reads placed on transcripts and projected to the genome."""
-    g = synth.genes(spark, sf_dir).filter("`end` < 2000").select(F.col("name"), "chrom", (F.pmod("ord", F.lit(2)) == 1).alias("minus"), F.array(F.struct(F.col("start").alias("s"), F.col("end").alias("e"))).alias("exons"))
-    r = reads.reads(spark, sf_dir).select(F.col("ord").alias("read"), "seq")
-    out = second_look.transcript_candidates(r, g, synth.tiles(spark), 500, kmer=13)
+    """Reads of the reference without period placed on transcripts of two exons and projected to the genome."""
+    t = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("k"), F.col("p_size").cast("long").alias("z"))
+    s = F.pmod(F.col("k") * 37, F.lit(20000))
+    m, n, e = s + F.col("z") * 2 + 90, s + F.col("z") * 2 + 190, s + F.col("z") * 2 + 280
+    minus = F.pmod("k", F.lit(2)) == 1
+    first, last = F.struct(s.alias("s"), m.alias("e")), F.struct(n.alias("s"), e.alias("e"))
+    g = t.select(F.format_string("gene%d", "k").alias("name"), F.format_string("rnd%d", F.pmod("k", F.lit(2)) + 1).alias("chrom"), minus.alias("minus"), F.when(minus, F.array(last, first)).otherwise(F.array(first, last)).alias("exons"))
+    g = g.repartition("name")  # the exons are made once, not in every expression that uses them
+    r = synth.random_reads(spark, sf_dir).select(F.col("ord").alias("read"), "seq")
+    out = second_look.transcript_candidates(r, g, synth.random_tiles(spark), synth.RANDOM_TILE, kmer=13)
     return out.select("read", "name", "chrom", "pos", cg.text(F.col("cigar")).alias("cigar"), "distance", "minus")
 
 
+@query()
+def mapped_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of known inserts, mapped in two passes and paired: how many are proper, by length of template and mate's place."""
+    r = synth.random_pairs(spark, sf_dir)
+    none = spark.createDataFrame([], "chrom string, start long, end long, minus boolean, support long")
+    records, _ = mapper.two_pass(r, synth.random_tiles(spark), synth.RANDOM_TILE, none, kmer=13, w=7)
+    p = mapper.pair_records(records.withColumns({"template": F.floor(F.col("ord") / 2), "slot": F.pmod("ord", F.lit(2)).cast("int") + 1}))
+    return p.groupBy(F.col("flag").bitwiseAND(2).alias("proper"), F.col("flag").bitwiseAND(192).alias("mate"), F.abs("tlen").alias("tlen")).agg(F.count("*").alias("n"))
+
+
+@query()
+def rescued_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads with three quarters of their A (or T, of the other strand) edited, rescued: how many come back to their place, by direction and strand."""
+    r = synth.random_reads(spark, sf_dir).filter("ord % 3 <> 0")
+    # what was sequenced is edited, whatever strand it came from
+    edited = F.array_join(F.transform(F.filter(F.split("seq", ""), lambda c: c != ""), lambda c, i: F.when((c == "A") & (F.pmod(i + F.col("ord"), F.lit(4)) != 0), "G").otherwise(c)), "")
+    out = mapper.rescue(r.withColumn("seq", edited), synth.random_tiles(spark), synth.RANDOM_TILE, kmer=13, w=7)
+    right = (F.col("chrom") == F.col("t_chrom")) & (F.abs(F.col("pos") - F.col("t_pos")) <= 40) & (F.col("minus") == F.col("t_minus"))
+    return out.join(r.select("ord", "t_chrom", "t_pos", "t_minus"), "ord").groupBy("direction", "minus", right.alias("right")).agg(F.count("*").alias("n"))
+
+
 @query()
 def seed_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidate windows of the reads' chains."""

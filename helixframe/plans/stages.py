@@ -17,12 +17,12 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.operators import features, pairs, pileup, qc, report, vcf
+from helixframe.operators import features, kmer_index, pairs, pileup, qc, report, vcf
 from helixframe.operators.align import mapper
 from helixframe.sources import bam, fastq, files, text
 
-STAGES = ("qc", "map", "sort", "scan", "score", "vcf", "report")
-VERSION = 1
+STAGES = ("qc", "map", "rescue", "sort", "scan", "score", "vcf", "report")
+VERSION = 2
 
 
 @dataclass
@@ -132,7 +132,7 @@ class Run:
         return self._refs
 
     def stages(self) -> list[str]:
-        first = {"reads": 0, "bam": 3, "bam_sites": 4, "vcf": 6}[self.entry]
+        first = STAGES.index({"reads": "qc", "bam": "scan", "bam_sites": "score", "vcf": "report"}[self.entry])
         out = [s for s in STAGES[first:] if not (s in ("score",) and self.p.model is None) and not (s == "report" and self.p.gtf is None)]
         return out[: out.index(self.p.stop_after) + 1] if self.p.stop_after in out else out
 
@@ -155,16 +155,31 @@ class Run:
             library = transcripts.junction_library(text.transcripts(text.read_gtf(self.spark, self.p.gtf)))
         else:
             library = self.spark.createDataFrame([], "chrom string, start long, end long, minus boolean, support long")
-        records, _ = mapper.two_pass(reads, tiles, self.p.tile, library, kmer=self.p.kmer, w=self.p.window)
+        index_path, keep = f"{self.p.out.rstrip('/')}/map.index.parquet", f"{self.p.out.rstrip('/')}/map.parts"
+        kmer_index.minimizer_index(tiles, self.p.tile, self.p.kmer, self.p.window).write.mode("overwrite").parquet(index_path)
+        index = self.spark.read.parquet(index_path)
+        records, _ = mapper.two_pass(reads, tiles, self.p.tile, library, keep=keep, kmer=self.p.kmer, w=self.p.window, index=index)
+        if self.p.r2:
+            records = mapper.pair_records(records.withColumns({"template": F.floor(F.col("ord") / 2), "slot": F.pmod("ord", F.lit(2)).cast("int") + 1}))
         self.write("map", records)
+        files.remove(index_path)
+        files.remove(keep)
+
+    def rescue(self) -> None:
+        _, tiles = self.reference()
+        keep = f"{self.p.out.rstrip('/')}/rescue.parts"
+        records = mapper.rescue_records(self.table("map"), tiles, self.p.tile, paired=bool(self.p.r2), keep=keep, kmer=self.p.kmer, w=self.p.window)
+        self.write("rescue", records)
+        files.remove(keep)
 
     def sort(self) -> None:
         contigs, _ = self.reference()
-        self.write("sort", pairs.coordinate_order(self.table("map"), contigs))
+        self.write("sort", pairs.coordinate_order(self.table("rescue"), contigs))
 
     def scan(self) -> None:
         _, tiles = self.reference()
-        sites = pileup.discover(self.alignments(), pileup.ref_bases(tiles))
+        counts = pileup.base_counts(pileup.aligned_bases(self.alignments()))
+        sites = pileup.candidates(counts, pileup.bases_at(counts, tiles, self.p.tile))
         self.write("scan", sites.withColumn("ord", F.xxhash64("chrom", "pos")))
 
     def listed_sites(self) -> DataFrame:
@@ -179,7 +194,9 @@ class Run:
         model = trees.load_model(self.spark, self.p.model, n_trees=self.p.n_trees)
         obs = pileup.merge_templates(pileup.observations(self.alignments()))
         alu = text.read_bed(self.spark, self.p.alu) if self.p.alu else None
-        found = features.features(self.listed_sites().select("ord", "chrom", "pos"), obs, pileup.ref_bases(tiles), alu)
+        sites = self.listed_sites().select("ord", "chrom", "pos")
+        around = sites.select("chrom", F.explode(F.sequence(F.greatest(F.col("pos") - 1 - features.RADIUS, F.lit(0)), F.col("pos") + features.RADIUS)).alias("pos")).distinct()
+        found = features.features(sites, obs, pileup.bases_at(around, tiles, self.p.tile), alu)
         self.write("score", features.score(found, model))
 
     def vcf(self) -> None:
@@ -190,8 +207,8 @@ class Run:
             sites = sites.withColumn("score", F.lit(0.0))
         if "ref" not in sites.columns:  # a list of places: the base is the reference's
             _, tiles = self.reference()
-            refs = pileup.ref_bases(tiles).select("chrom", (F.col("pos") + 1).alias("pos"), F.upper("base").alias("ref"))
-            sites = sites.join(refs, ["chrom", "pos"])
+            refs = pileup.bases_at(sites.select("chrom", (F.col("pos") - 1).alias("pos")), tiles, self.p.tile)
+            sites = sites.join(refs.select("chrom", (F.col("pos") + 1).alias("pos"), F.upper("base").alias("ref")).distinct(), ["chrom", "pos"])
         rows = vcf.records(sites, self.p.threshold)
         self.write("vcf", rows.orderBy("chrom", "pos"))
 

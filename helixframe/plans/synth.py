@@ -167,13 +167,13 @@ def random_tiles(spark: SparkSession) -> DataFrame:
     return t.select("chrom", "start", F.translate(digits, "0123456789abcdef", "ACGTACGTACGTACGT").alias("seq"))
 
 
-def random_reads(spark: SparkSession, sf_dir: str, length: int = 80) -> DataFrame:
+def random_reads(spark: SparkSession, sf_dir: str, length: int = 80, shift: int = 0) -> DataFrame:
     """ord, name, seq, qual, and the truth: t_chrom, t_pos, t_minus. Reads of the contigs, some edited (A as G), half from the minus strand."""
     from helixframe.functions import dna
     from helixframe.operators.kmer_index import overlapping
 
     t = lineitem(spark, sf_dir).select((F.col("ok") * 8 + F.col("ln")).alias("ord")).distinct()
-    at = F.pmod(F.col("ord") * 7919, F.lit((RANDOM_TILES - 1) * RANDOM_TILE))
+    at = F.pmod(F.col("ord") * 7919, F.lit((RANDOM_TILES - 1) * RANDOM_TILE)) + shift
     t = t.select("ord", F.format_string("rnd%d", F.pmod("ord", F.lit(2)) + 1).alias("chrom"), at.alias("at"), (F.floor(at / RANDOM_TILE) * RANDOM_TILE).alias("start"))
     j = t.join(F.broadcast(overlapping(random_tiles(spark), RANDOM_TILE, length)), ["chrom", "start"])
     plain = F.substring("seq", (F.col("at") - F.col("start")).cast("int") + 1, F.lit(length))
@@ -181,3 +181,27 @@ def random_reads(spark: SparkSession, sf_dir: str, length: int = 80) -> DataFram
     edited = F.concat(F.substring(plain, 1, 30), middle, F.substring(plain, 51, length))
     minus = F.pmod(F.floor(F.col("ord") / 2), F.lit(2)) == 1
     return j.select("ord", F.format_string("q%d", "ord").alias("name"), F.when(minus, dna.revcomp(edited)).otherwise(edited).alias("seq"), F.repeat(F.lit("I"), F.lit(length)).alias("qual"), F.col("chrom").alias("t_chrom"), F.col("at").alias("t_pos"), minus.alias("t_minus"))
+
+
+def random_pairs(spark: SparkSession, sf_dir: str, insert: int = 200) -> DataFrame:
+    """random_reads() and their mates from the other end of inserts of one length: ord (twice the template's, plus 0 or 1), name, seq, qual."""
+    from helixframe.functions import dna
+
+    a, b = random_reads(spark, sf_dir), random_reads(spark, sf_dir, shift=insert - 80)
+    first = a.select((F.col("ord") * 2).alias("ord"), "name", F.when(F.col("t_minus"), dna.revcomp(F.col("seq"))).otherwise(F.col("seq")).alias("seq"), "qual")
+    last = b.select((F.col("ord") * 2 + 1).alias("ord"), "name", F.when(F.col("t_minus"), F.col("seq")).otherwise(dna.revcomp(F.col("seq"))).alias("seq"), "qual")
+    return first.unionByName(last)
+
+
+RANDOM_SQL = f"""
+rnd AS (
+  SELECT 'rnd' || (c + 1) AS chrom, string_agg(translate(md5((c * {RANDOM_TILES} + t) || ':' || i), '0123456789abcdef', 'ACGTACGTACGTACGT'), '' ORDER BY t, i) AS seq
+  FROM (SELECT unnest(range(0, 2)) AS c), (SELECT unnest(range(0, {RANDOM_TILES})) AS t), (SELECT unnest(range(0, {RANDOM_TILE // 32})) AS i) GROUP BY c),
+rplace AS (SELECT DISTINCT l_orderkey * 8 + l_linenumber AS ord FROM lineitem),
+rtrue AS (
+  SELECT ord, 'rnd' || (ord % 2 + 1) AS chrom, ord * 7919 % {(RANDOM_TILES - 1) * RANDOM_TILE} AS at, (ord // 2) % 2 = 1 AS minus FROM rplace),
+rfwd AS (
+  SELECT ord, chrom, minus, t.at AS place, substr(seq, (t.at + 1)::INT, 80) AS plain,
+         CASE WHEN ord % 3 = 0 THEN substr(seq, (t.at + 1)::INT, 30) || translate(substr(seq, (t.at + 31)::INT, 20), 'A', 'G') || substr(seq, (t.at + 51)::INT, 30) ELSE substr(seq, (t.at + 1)::INT, 80) END AS fwd
+  FROM rtrue t JOIN rnd USING (chrom))
+"""
