@@ -21,7 +21,9 @@ from helixframe.operators import features, kmer_index, pairs, pileup, qc, report
 from helixframe.operators.align import mapper
 from helixframe.sources import bam, fastq, files, text
 
-STAGES = ("qc", "map", "rescue", "sort", "scan", "score", "vcf", "report")
+STAGES = ("qc", "map", "sort", "scan", "score", "vcf", "report")
+#: A stage of several sealed tables: mapping, then the records with rescued ones in their stead.
+PARTS = {"map": ("map", "rescue")}
 VERSION = 2
 
 
@@ -97,6 +99,9 @@ class Run:
         return self.spark.read.parquet(self.path(stage))
 
     def whole(self, stage: str) -> bool:
+        return all(self.sealed(p) for p in PARTS.get(stage, (stage,)))
+
+    def sealed(self, stage: str) -> bool:
         """The seal is there, is of this run, and counts what the table holds."""
         if not files.exists(self.seal(stage)) or not files.exists(self.path(stage)):
             return False
@@ -116,8 +121,11 @@ class Run:
         files.write_bytes(self.seal(stage), json.dumps({"fingerprint": self.p.fingerprint(), "rows": rows, **notes}).encode())
 
     def clean(self, stage: str) -> None:
-        """Removes a stage and all after it."""
-        for s in STAGES[STAGES.index(stage) :]:
+        """Removes all after a stage, and of the stage what follows its first torn part."""
+        parts = PARTS.get(stage, (stage,))
+        torn = next((i for i, p in enumerate(parts) if not self.sealed(p)), 0)
+        later = [p for s in STAGES[STAGES.index(stage) + 1 :] for p in PARTS.get(s, (s,))]
+        for s in [*parts[torn:], *later]:
             files.remove(self.seal(s))
             files.remove(self.path(s))
 
@@ -147,6 +155,12 @@ class Run:
         self.write("qc", judged.filter("kept").select("lane", "ord", "mate", "name", "seq", "qual"), report=told)
 
     def map(self) -> None:
+        """Two sealed parts: a run that stopped in rescue goes on there."""
+        if not self.sealed("map"):
+            self.placed()
+        self.rescue()
+
+    def placed(self) -> None:
         from helixframe.operators import transcripts
 
         contigs, tiles = self.reference()
