@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from helixframe.llm import co_training, exact_dedup, html_text, line_dedup, mixing, packing, quality_rules, simhash, token_counts, url_filter
+from helixframe.llm import co_training, exact_dedup, html_text, line_dedup, lloyd, mixing, packing, quality_rules, simhash, token_counts, url_filter
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_quality_classifier": co_training.op8_quality_classifier,
     "op9_url_filters": url_filter.op9_url_filters,
     "op10_quality_rules": quality_rules.op10_quality_rules,
+    "op11_centroid_clustering": lloyd.op11_centroid_clustering,
 }
 SQL = {
     "op1_exact_dedup": exact_dedup.SQL,
     "op6_mixing": mixing.SQL,
     "op9_url_filters": url_filter.SQL,
     "op10_quality_rules": quality_rules.SQL,
+    "op11_centroid_clustering": lloyd.SQL,
 }
