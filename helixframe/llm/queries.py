@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from helixframe.llm import co_training, exact_dedup, html_text, line_dedup, lloyd, mixing, packing, quality_rules, simhash, token_counts, url_filter
+from helixframe.llm import co_training, exact_dedup, html_text, line_dedup, lloyd, mixing, packing, phrases, quality_rules, simhash, token_counts, url_filter
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_url_filters": url_filter.op9_url_filters,
     "op10_quality_rules": quality_rules.op10_quality_rules,
     "op11_centroid_clustering": lloyd.op11_centroid_clustering,
+    "op12_phrase_collocations": phrases.op12_phrase_collocations,
 }
 SQL = {
     "op1_exact_dedup": exact_dedup.SQL,
@@ -23,4 +24,5 @@ SQL = {
     "op9_url_filters": url_filter.SQL,
     "op10_quality_rules": quality_rules.SQL,
     "op11_centroid_clustering": lloyd.SQL,
+    "op12_phrase_collocations": phrases.SQL,
 }
