@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from helixframe.llm import co_training, exact_dedup, html_text, line_dedup, lloyd, mixing, packing, phrases, quality_rules, simhash, token_counts, url_filter
+from helixframe.llm import co_training, exact_dedup, html_text, language_id, line_dedup, lloyd, mixing, packing, phrases, quality_rules, simhash, token_counts, url_filter
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_quality_rules": quality_rules.op10_quality_rules,
     "op11_centroid_clustering": lloyd.op11_centroid_clustering,
     "op12_phrase_collocations": phrases.op12_phrase_collocations,
+    "op13_language_id": language_id.op13_language_id,
 }
 SQL = {
     "op1_exact_dedup": exact_dedup.SQL,
