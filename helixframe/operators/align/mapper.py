@@ -26,7 +26,9 @@ PAD = 40
 WIDE_CAP = 5000
 WIDE_ANCHORS = 20_000
 COVERED = 0.6
-ALIGNED = "seq string, chrom string, pos long, minus boolean, cigar array<struct<op:string,n:int>>, score int, second int, mismatches int, edits_ag int, edits_tc int, mapq int, n_anchors int, margin string"
+#: Extensions that are made together.
+TOGETHER = 512
+ALIGNED = "seq string, chrom string, pos long, minus boolean, cigar array<struct<op:string,n:int>>, score int, second int, mismatches int, edits_ag int, edits_tc int, mapq int, n_anchors int, margin string, origin string"
 
 
 def distinct_sequences(reads: DataFrame) -> DataFrame:
@@ -82,30 +84,40 @@ def candidate_windows(anchors: DataFrame, sizes: DataFrame, kmer: int, rules: k.
     return anchors.join(sizes, "read").repartition("read").sortWithinPartitions("read").mapInPandas(run, kind)
 
 
-def _extend(seq: str, row) -> k.Placement | None:
-    """Aligns one candidate: in its window, or over two windows joined at the best splice point."""
-    from helixframe.operators.align.kernels import Placement
-
+def _plainly(seq: str, row) -> k.Placement | None:
+    """One candidate without gaps: over the windows of its exons, cut at the best splice points, or on its diagonal. None if it needs an extension."""
     parts = sorted(row.parts, key=lambda p: p["i"])
-    read = seq if not row.minus else seq[::-1].translate(str.maketrans("ACGTacgt", "TGCAtgca"))
-    if len(parts) == 2:
-        a, b = parts
-        first = a["r"] - a["q"]
-        left = a["seq"][first - a["s"] : first - a["s"] + len(read) + 2] if first >= a["s"] else ""
-        last = b["r"] - b["q"] + len(read)
-        right = b["seq"][max(0, last - b["s"] - len(read) - 2) : last - b["s"]]
-        if len(left) >= len(read) + 2 and len(right) >= len(read) + 2:
-            cut, wrong, signal = k.split_point(read, left, right)
-            intron = (last - (len(read) - cut)) - (first + cut)
-            if cut and intron > 0 and wrong <= 0.1 * len(read) and signal > -8:
-                return Placement(row.chrom, row.minus, first, [("M", cut), ("N", intron), ("M", len(read) - cut)], extra={"read": read})
-    if len(parts) == 1 and (fast := _ungapped(read, row, parts[0])) is not None:
-        return fast
-    best = None
-    for p, e in zip(parts, k.affine_local([read] * len(parts), [p["seq"] for p in parts], "")):
-        if e.score > 0 and (best is None or e.score > best.score):
-            best = Placement(row.chrom, row.minus, p["s"] + e.ref_start, e.cigar, e.score, extra={"read": read})
-    return best
+    read = _turned(seq, row.minus)
+    if len(parts) > 1:
+        diagonals = [p["r"] - p["q"] for p in parts]
+        cuts, wrong, worst, _ = k.splice_chain(read, [(p["s"], p["seq"]) for p in parts], diagonals)
+        introns = [y - x for x, y in zip(diagonals, diagonals[1:])]
+        if cuts and min(introns) > 0 and wrong <= 0.1 * len(read) and worst > -8:
+            cigar: k.Cigar = []
+            for size, intron in zip((y - x for x, y in zip([0, *cuts], [*cuts, len(read)])), [*introns, 0]):
+                k.push(cigar, "M", size)
+                k.push(cigar, "N", intron)
+            return k.Placement(row.chrom, row.minus, diagonals[0], cigar, extra={"read": read})
+        return None
+    return _ungapped(read, row, parts[0])
+
+
+def _turned(seq: str, minus: bool) -> str:
+    return seq[::-1].translate(str.maketrans("ACGTacgt", "TGCAtgca")) if minus else seq
+
+
+def _extended(rows: list) -> list[k.Placement | None]:
+    """A placement of each candidate, or None. Those that need an extension are extended together, in a band around their anchors' diagonals."""
+    found = [_plainly(row.seq, row) for row in rows]
+    jobs = [(i, p) for i, (row, x) in enumerate(zip(rows, found)) if x is None for p in sorted(row.parts, key=lambda p: p["i"])]
+    for at in range(0, len(jobs), TOGETHER):
+        some = jobs[at : at + TOGETHER]
+        reads = [_turned(rows[i].seq, rows[i].minus) for i, _ in some]
+        made, _ = k.affine_banded(reads, [p["seq"] for _, p in some], [p["r"] - p["q"] - p["s"] for _, p in some])
+        for (i, p), read, e in zip(some, reads, made):
+            if e.score > 0 and (found[i] is None or e.score > found[i].score):
+                found[i] = k.Placement(rows[i].chrom, rows[i].minus, p["s"] + e.ref_start, e.cigar, e.score, extra={"read": read})
+    return found
 
 
 def _ungapped(read: str, row, part: dict) -> k.Placement | None:
@@ -126,14 +138,21 @@ def _ungapped(read: str, row, part: dict) -> k.Placement | None:
     return k.Placement(row.chrom, row.minus, first + start, cigar, extra={"read": read})
 
 
-def _place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows sorted by read: extends and rescores every candidate, and arbitrates."""
+def _again(p: k.Placement, window: tuple[int, str], direction: str) -> None:
+    """Extends an unspliced candidate anew with a direction's edits free; it stays if that aligns less."""
+    e = k.affine_local([p.extra["read"]], [window[1]], direction)[0]
+    aligned = lambda cigar: sum(n for op, n in cigar if op in "MI")
+    if e.score > 0 and aligned(e.cigar) >= aligned(p.cigar):
+        p.pos, p.cigar = window[0] + e.ref_start, e.cigar
+
+
+def _placer(kmer: int):
+    """The kernel over rows sorted by read: extends and rescores every candidate, again under an editing direction that one of them shows, and arbitrates."""
     names = [x.split()[0] for x in ALIGNED.split(", ")]
 
-    def winner(rows: list) -> tuple | None:
+    def winner(rows: list, placed: list[k.Placement | None]) -> tuple[tuple, tuple] | None:
         found = []
-        for row in rows:
-            p = _extend(row.seq, row)
+        for row, p in zip(rows, placed):
             if p is None:
                 continue
             windows = [(x["s"], x["seq"]) for x in row.parts]
@@ -144,27 +163,52 @@ def _place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         return text[s - start : e - start]
                 return "N" * (e - s)
 
-            if not any(op == "N" for op, _ in p.cigar) or len(windows) == 2:
-                k.rescore(p, p.extra["read"], fetch)
-                p.score += sum(k.OPEN + k.EXTEND * n for op, n in p.cigar if op == "N")  # an intron costs nothing here
-            p.chain_score, p.second_chain, p.anchors = row.chain_score, row.second_chain, row.n_anchors
+            p.extra |= {"fetch": fetch, "windows": windows}
+            p.chain_score, p.second_chain = row.chain_score, row.second_chain
             found.append(p)
+        for p in found:
+            _score(p, "")
+        direction = k.edit_direction(found)
+        if direction:
+            for p in found:
+                if len(p.extra["windows"]) == 1 and not any(op == "N" for op, _ in p.cigar):
+                    _again(p, p.extra["windows"][0], direction)
+                _score(p, direction)
         p = k.arbitrate(found, len(rows[0].seq))
         if p is None:
             return None
-        return (rows[0].seq, p.chrom, p.pos, p.minus, [{"op": o, "n": n} for o, n in p.cigar], p.score, p.second, p.mismatches, p.edits_ag, p.edits_tc, k.mapq(p), p.anchors, k.margin(p)[2])
+        p.anchors = k.exact_kmers(p.extra["read"], p.pos, p.cigar, p.extra["fetch"], kmer, direction)
+        told = (rows[0].seq, p.chrom, p.pos, p.minus, [{"op": o, "n": n} for o, n in p.cigar], p.score, p.second, p.mismatches, p.edits_ag, p.edits_tc)
+        return told, k.numbers(p)
+
+    def frame(rows: list) -> pd.DataFrame:
+        """Whole reads' candidates."""
+        placed, won, first = _extended(rows), [], 0
+        for i in range(1, len(rows) + 1):
+            if i == len(rows) or rows[i].read != rows[first].read:
+                won.append(winner(rows[first:i], placed[first:i]))
+                first = i
+        won = [x for x in won if x]
+        quality, source = k.qualities([n for _, n in won])
+        more = ((int(q), n[k.NUMBERS.index("anchors")], str(m), "decoy" if k.is_decoy(t[1]) else "genome") for (t, n), q, m in zip(won, quality, source))
+        return pd.DataFrame([(*t, *x) for (t, _), x in zip(won, more)], columns=names)
+
+    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list = []
+        for f in frames:
+            rows = held + list(f.itertuples(index=False))
+            cut = next((i + 1 for i in range(len(rows) - 2, -1, -1) if rows[i].read != rows[-1].read), 0)
+            held = rows[cut:]
+            yield frame(rows[:cut])
+        yield frame(held)
 
-    now: list = []
-    for f in frames:
-        out = []
-        for row in f.itertuples(index=False):
-            if now and now[0].read != row.read:
-                out.append(winner(now))
-                now = []
-            now.append(row)
-        yield pd.DataFrame([x for x in out if x], columns=names)
-    if now:
-        yield pd.DataFrame([x for x in [winner(now)] if x], columns=names)
+    return place
+
+
+def _score(p: k.Placement, direction: str) -> None:
+    if not any(op == "N" for op, _ in p.cigar) or len(p.extra["windows"]) > 1:
+        k.rescore(p, p.extra["read"], p.extra["fetch"], direction)
+        p.score += sum(k.OPEN + k.EXTEND * n for op, n in p.cigar if op == "N")  # an intron costs nothing here
 
 
 def _candidates(distinct: DataFrame, index: DataFrame, kmer: int, w: int, cutoff: int, most: int, rules: k.ChainRules, keep: str | None) -> DataFrame:
@@ -201,7 +245,7 @@ def align(reads: DataFrame, tiles: DataFrame, width: int, kmer: int = 15, w: int
     parts = got.groupBy("read", "cand").agg(F.collect_list(F.struct("i", "s", "r", "q", "seq")).alias("parts"))
     rows = cands.drop("parts").join(parts, ["read", "cand"]).join(distinct.select(F.col("seq_id").alias("read"), "seq"), "read")
     rows = rows.select("read", "cand", "chrom", "minus", "chain_score", "second_chain", "n_anchors", "parts", "seq")
-    placed = rows.repartition("read").sortWithinPartitions("read", "cand").mapInPandas(_place, ALIGNED)
+    placed = rows.repartition("read").sortWithinPartitions("read", "cand").mapInPandas(_placer(kmer), ALIGNED)
     return reads.join(placed, "seq", "left")
 
 
@@ -219,7 +263,7 @@ def to_records(aligned: DataFrame) -> DataFrame:
         F.coalesce("mapq", F.lit(0)).alias("mapq"), F.coalesce("cigar", F.array().cast(cg.TYPE)).alias("cigar"),
         F.when(F.col("minus"), dna.revcomp(F.col("seq"))).otherwise(F.col("seq")).alias("seq"),
         F.when(F.col("minus"), F.reverse(qual)).otherwise(qual).alias("qual"),
-        (F.col("mismatches") + F.col("edits_ag") + F.col("edits_tc") + indels).alias("nm"), "edits_ag", "edits_tc", "mismatches", "margin",
+        (F.col("mismatches") + F.col("edits_ag") + F.col("edits_tc") + indels).alias("nm"), "edits_ag", "edits_tc", "mismatches", "margin", "origin",
     )
 
 
@@ -272,42 +316,63 @@ def recount(records: DataFrame, tiles: DataFrame, width: int) -> DataFrame:
     return out.select(*records.columns)
 
 
-def with_library(records: DataFrame, library: DataFrame, tiles: DataFrame, width: int, keep: str | None = None) -> DataFrame:
-    """The second pass: what a library of junctions changes in records, and no more is looked at again.
-
-    Clipped ends that go on behind a known intron are laid over it, first at the end, then at the start; short deletions that the
-    library knows become introns. Records without either stay as they are.
-    """
+def micro_deletions(placed: DataFrame, library: DataFrame) -> DataFrame:
+    """ord, pos, cigar of records with deletions of up to 50 bases that the library knows as introns."""
     from helixframe.functions import cigar as cg
-    from helixframe.operators.align import second_look
 
-    placed = records.filter("flag & 4 = 0")
-    changed = None
-    for side in ("end", "start"):
-        base = placed if changed is None else placed.join(changed, "ord", "left").select(*[F.coalesce(f"new_{c}", c).alias(c) if c in ("pos", "cigar") else c for c in placed.columns])
-        found = second_look.clipped_tails(base, library, tiles, width, side=side).select("ord", F.col("pos").alias("new_pos"), F.col("cigar").alias("new_cigar"))
-        changed = found if changed is None else found.unionByName(changed.join(found.select("ord"), "ord", "left_anti"))
     short = library.filter(F.col("end") - F.col("start") <= 50).select("chrom", F.col("start").alias("js"), F.col("end").alias("je")).distinct()
     gaps = placed.filter(cg.count(F.col("cigar"), "D") > 0).select("ord", "chrom", "pos", "cigar", F.explode(cg.introns(F.col("pos"), F.col("cigar"), "D")).alias("d"))
     known = gaps.select("*", F.col("d.start").alias("js"), F.col("d.end").alias("je")).join(short, ["chrom", "js", "je"])
-    known = known.groupBy("ord").agg(F.any_value("pos").alias("new_pos"), F.any_value("cigar").alias("c"), F.collect_set("d").alias("known"))
-    deleted = known.select("ord", "new_pos", cg.annotated_micro_deletions(F.col("new_pos"), F.col("c"), F.col("known")).alias("new_cigar"))
-    changed = changed.unionByName(deleted.join(changed.select("ord"), "ord", "left_anti"))
-    changed = written(changed, keep or shared_path(records.sparkSession, "changed"))
+    known = known.groupBy("ord").agg(F.any_value("pos").alias("pos"), F.any_value("cigar").alias("c"), F.collect_set("d").alias("known"))
+    return known.select("ord", "pos", cg.annotated_micro_deletions(F.col("pos"), F.col("c"), F.col("known")).alias("cigar"))
+
+
+def looked_again(records: DataFrame, looks: list, tiles: DataFrame, width: int, keep: str | None = None) -> DataFrame:
+    """records with what the looks change, one after another: each takes placed records and returns ord, pos, cigar of some of them. Differences are counted again."""
+    keep = keep or shared_path(records.sparkSession, "changed")
+    placed = records.filter("flag & 4 = 0")
+    changed = None
+    for i, look in enumerate(looks):
+        base = placed if changed is None else placed.join(changed, "ord", "left").select(*[F.coalesce(f"new_{c}", c).alias(c) if c in ("pos", "cigar") else c for c in placed.columns])
+        found = look(base).select("ord", F.col("pos").cast("long").alias("new_pos"), F.col("cigar").alias("new_cigar"))
+        changed = written(found if changed is None else found.unionByName(changed.join(found.select("ord"), "ord", "left_anti")), f"{keep}/{i}")
     again = records.join(changed, "ord").select(*[F.col(f"new_{c}").alias(c) if c in ("pos", "cigar") else F.col(c) for c in records.columns])
     return records.join(changed.select("ord"), "ord", "left_anti").unionByName(recount(again, tiles, width))
 
 
-def two_pass(reads: DataFrame, tiles: DataFrame, width: int, annotated: DataFrame, keep: str | None = None, **options) -> tuple[DataFrame, DataFrame]:
-    """Maps reads, lets the junctions seen vote with the annotation, and looks again at the records that the merged library can change.
+def with_library(records: DataFrame, library: DataFrame, tiles: DataFrame, width: int, keep: str | None = None) -> DataFrame:
+    """The second pass: what a library of junctions changes in records, and no more is looked at again.
+
+    Clipped ends that go on behind a known intron are laid over it, or over a short exon between two; blocks that ran through a known
+    intron's near side are laid behind it where they fit better; each at the end and at the start. Short deletions that the
+    library knows become introns. Other records stay as they are.
+    """
+    from helixframe.operators.align import second_look, splits
+
+    looks = [lambda r, f=f, side=side: f(r, library, tiles, width, side=side) for f in (second_look.clipped_tails, splits.short_exons, splits.run_through) for side in ("end", "start")]
+    return looked_again(records, [*looks, lambda r: micro_deletions(r, library)], tiles, width, keep)
+
+
+def with_new_introns(records: DataFrame, tiles: DataFrame, width: int, keep: str | None = None, index: DataFrame | None = None, kmer: int = 15, w: int = 10) -> DataFrame:
+    """records whose clipped ends go on behind introns that nothing knows of yet, by splice signals and (with an index) seeds."""
+    from helixframe.operators.align import splits
+
+    return looked_again(records, [lambda r, side=side: splits.split_tails(r, tiles, width, side, index, kmer, w) for side in ("end", "start")], tiles, width, keep)
+
+
+def two_pass(reads: DataFrame, tiles: DataFrame, width: int, annotated: DataFrame, keep: str | None = None, kmer: int = 15, w: int = 10, index: DataFrame | None = None, **options) -> tuple[DataFrame, DataFrame]:
+    """Maps reads, looks at clipped ends with the annotation and then without, lets the junctions seen vote with it, and looks again at the records that the merged library can change.
 
-    keep: a folder for the first pass and the library, which several plans read; by default a new one in the shared folder. The
-    result reads them: it is the caller's to remove. Returns records and library.
+    keep: a folder for what several plans read, by default a new one in the shared folder. The
+    result reads it: it is the caller's to remove. Returns records and library.
     """
     from helixframe.operators import junctions
 
     keep = keep or shared_path(reads.sparkSession, "map")
-    records = written(to_records(align(reads, tiles, width, keep=f"{keep}/windows", **options)), f"{keep}/pass1")
+    index = written(kmer_index.minimizer_index(tiles, width, kmer, w), f"{keep}/index") if index is None else index
+    first = written(to_records(align(reads, tiles, width, kmer, w, index=index, keep=f"{keep}/windows", **options)), f"{keep}/placed")
+    first = with_library(first, annotated, tiles, width, f"{keep}/annotated")
+    records = written(with_new_introns(first, tiles, width, f"{keep}/new", index, kmer, w), f"{keep}/pass1")
     judged, removed = junctions.vote(junctions.observed(records.filter("flag & 4 = 0")), annotated)
     library = written(junctions.merged_library(annotated, judged, removed), f"{keep}/library")
     return with_library(records, library, tiles, width, f"{keep}/changed"), library
@@ -317,24 +382,27 @@ def two_pass(reads: DataFrame, tiles: DataFrame, width: int, annotated: DataFram
 PASSES = (("AG", "AG"), ("AG", "TC"), ("TC", "TC"), ("TC", "AG"))
 
 
-def rescue(unplaced: DataFrame, tiles: DataFrame, width: int, **options) -> DataFrame:
+def rescue(unplaced: DataFrame, tiles: DataFrame, width: int, kmer: int = 15, w: int = 10, keep: str | None = None, **options) -> DataFrame:
     """Hyperedited reads: reads and reference in three letters, both ways of each, placed there and verified on four letters.
 
-    unplaced: ord, name, seq, qual. Reads that more than one pass accepts are ambiguous and dropped.
+    unplaced: ord, name, seq, qual. Reads that more than one pass accepts are ambiguous and dropped. The two turned references' indexes, the pool and each
+    pass are written below keep (by default a new shared path), so each is made once.
     Returns ord, direction, chrom, pos, minus, cigar, mapq (at most 20), sites (reference places of edits).
     """
     from helixframe.functions import dna
     from helixframe.operators.align import second_look
 
+    keep = keep or shared_path(unplaced.sparkSession, "rescue")
     good = F.pandas_udf(lambda s, q: pd.Series([k.rescue_prefilter(a or "", b or "") for a, b in zip(s, q)]).astype(bool), "boolean")
-    pool = unplaced.select("ord", "name", "seq", "qual").filter(good("seq", "qual"))
+    pool = written(unplaced.select("ord", "name", "seq", "qual").filter(good("seq", "qual")), f"{keep}/pool")
+    turned = {x: tiles.withColumn("seq", dna.transform_bases(F.col("seq"), *x)) for x in sorted({other for _, other in PASSES})}
+    indexes = {x: written(kmer_index.minimizer_index(t, width, kmer, w), f"{keep}/index-{x}") for x, t in turned.items()}
     accepted = None
     for own, other in PASSES:
-        turned = pool.withColumns({"true_seq": F.col("seq"), "seq": dna.transform_bases(F.col("seq"), *own)})
-        t = tiles.withColumn("seq", dna.transform_bases(F.col("seq"), *other))
-        found = align(turned, t, width, **options).filter("chrom is not null and mapq >= 1 and mismatches <= 2")
+        reads = pool.withColumns({"true_seq": F.col("seq"), "seq": dna.transform_bases(F.col("seq"), *own)})
+        found = align(reads, turned[other], width, kmer, w, index=indexes[other], keep=f"{keep}/windows-{own}-{other}", **options).filter("chrom is not null and mapq >= 1 and mismatches <= 2")
         found = found.select("ord", F.lit(own[0]).alias("direction"), "chrom", "pos", "minus", "cigar", F.least("mapq", F.lit(20)).alias("mapq"), F.col("true_seq").alias("seq"), "qual")
-        passed = second_look.verify(found, tiles, width).filter("reason is null").drop("reason", "seq", "qual")
+        passed = written(second_look.verify(found, tiles, width).filter("reason is null").drop("reason", "seq", "qual"), f"{keep}/pass-{own}-{other}")
         accepted = passed if accepted is None else accepted.unionByName(passed)
     return accepted.withColumn("passes", F.count("*").over(Window.partitionBy("ord"))).filter("passes = 1").drop("passes")
 
@@ -352,14 +420,15 @@ def rescue_records(records: DataFrame, tiles: DataFrame, width: int, paired: boo
     aligned, covered = cg.total(F.col("cigar"), "MID"), cg.total(F.col("cigar"), "MI")
     odd = F.coalesce((aligned > 0) & (F.col("mismatches") / aligned >= evidence.DENSITY), F.lit(False))
     unplaced, minus = F.col("flag").bitwiseAND(4) != 0, F.col("flag").bitwiseAND(16) != 0
-    pool = records.filter(unplaced | (covered < evidence.COVERED * F.length("seq")) | odd)
+    pool = records.filter(unplaced | F.coalesce(F.col("origin") != "decoy", F.lit(True)) & ((covered < evidence.COVERED * F.length("seq")) | odd))
     as_read = pool.select("ord", F.col("qname").alias("name"), F.when(minus, dna.revcomp(F.col("seq"))).otherwise(F.col("seq")).alias("seq"), F.array_join(F.transform(F.when(minus, F.reverse("qual")).otherwise(F.col("qual")), lambda q: F.char(q + 33)), "").alias("qual"))
-    found = rescue(as_read, tiles, width, **options)
+    keep = keep or shared_path(records.sparkSession, "rescued")
+    found = rescue(as_read, tiles, width, keep=f"{keep}/passes", **options)
     if paired:
         named = found.join(records.select("ord", "template", "slot"), "ord")
         placed = records.filter("flag & 4 = 0").select("template", "slot", "chrom", "pos", minus.alias("minus"))
         found = pairs.mate_gate(named, placed).filter("concordant").drop("template", "slot", "concordant")
-    found = written(found, keep or shared_path(records.sparkSession, "rescued"))
+    found = written(found, f"{keep}/found")
     new = found.select("ord", *[F.col(c).alias(f"new_{c}") for c in ("chrom", "pos", "minus", "cigar", "mapq")]).withColumn("re", F.lit("collapsed"))
     j = records.join(new, "ord")
     flag = F.col("flag").bitwiseAND(~(4 | 16)).bitwiseOR(F.when(F.col("new_minus"), 16).otherwise(0))

@@ -8,7 +8,7 @@ distance first, so results don't depend on the partitioning.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixframe.functions import dna
@@ -126,15 +126,43 @@ def neighbour_features(sites: DataFrame, obs: DataFrame, refs: DataFrame, radius
     total = lambda f: F.aggregate("r", F.lit(0.0), lambda a, x: a + F.exp(-x["d"].cast("double") / radius) * x[f])
     w = rows.select("ord", total("n").alias("wn"), total("other").alias("wo"), total("places").alias("wp"), total("same_n").alias("ws"), total("alt_n").alias("wa"), total("alt_places").alias("wap"))
     w = w.select("ord", _rate(F.col("wa"), F.col("ws")).alias("neighbor_target_read_rate"), _rate(F.col("wap"), F.col("wp")).alias("neighbor_target_site_rate"), _rate(F.col("wo"), F.col("wn")).alias("neighbor_other_read_rate"), F.log1p("wp").alias("neighbor_log_opportunities"), F.log1p("ws").alias("neighbor_log_depth"))
-    # templates with the edited base at neighbours of the site's own kind
+    reuse = template_reuse(own, edited_observations(obs, refs), radius)
+    return w.join(reuse, "ord", "full")
+
+
+def edited_observations(obs: DataFrame, refs: DataFrame) -> DataFrame:
+    """chrom, pos, template, lr (the reference base) of observations of the base that editing yields."""
     edited = obs.filter(F.col("base").isin("G", "C")).select("chrom", "pos", "template", "base")
     edited = edited.join(refs.select("chrom", "pos", F.upper("base").alias("lr")), ["chrom", "pos"])
-    edited = edited.filter(F.col("base") == dna.edit_alt(F.col("lr")))
-    hits = rangejoin.band(own, edited.drop("base"), "p0", "pos", radius).filter("pos <> p0 and lr = ref")
-    each = hits.groupBy("ord", "template").agg(F.count("*").alias("k"))
-    reuse = each.groupBy("ord").agg(F.count("*").alias("templates"), F.sum("k").alias("s"), F.sum(F.col("k") * (F.col("k") - 1)).alias("pairs"))
-    reuse = reuse.select("ord", F.log1p(F.col("templates").cast("double")).alias("neighbor_log_templates"), F.when(F.col("s") > 1, F.col("pairs") / (F.col("s") * (F.col("s") - 1))).otherwise(0.0).alias("neighbor_template_reuse"))
-    return w.join(reuse, "ord", "full")
+    return edited.filter(F.col("base") == dna.edit_alt(F.col("lr"))).drop("base")
+
+
+def template_reuse(sites: DataFrame, edited: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """For each site (ord, chrom, p0, ref) how templates repeat at the edited places of its own kind within the radius, without its own place.
+
+    A sweep: as the middle moves along the contig, the number k of a template's places in reach changes only where one comes in or goes out. A template's few
+    places give these steps of (k > 0, k, k(k - 1)); steps are summed by place, and their running sums are read off at the sites. So rows are linear in
+    observations, whatever the depth or the radius. Returns ord, neighbor_log_templates, neighbor_template_reuse of sites with such a place.
+    """
+    e = F.col("e")
+    within = lambda low, high: F.size(F.filter(e, lambda y: (y >= low) & (y <= high))).cast("long")
+    step = lambda x, t, s, p: F.struct(x.alias("x"), t.cast("long").alias("t"), s.cast("long").alias("s"), p.cast("long").alias("p"))
+    # of equal places, comings count before goings
+    came = F.transform(e, lambda y: step(y - radius, F.when(within(y - 2 * radius - 1, y - 1) == 0, 1).otherwise(0), F.lit(1), 2 * within(y - 2 * radius - 1, y - 1)))
+    gone = F.transform(e, lambda y: step(y + radius + 1, F.when(within(y, y + 2 * radius + 1) == 1, -1).otherwise(0), F.lit(-1), -2 * (within(y, y + 2 * radius + 1) - 1)))
+    # what a place's own observation adds there
+    own = F.transform(e, lambda y: step(y, F.when(within(y - radius, y + radius) == 1, 1).otherwise(0), F.lit(1), 2 * (within(y - radius, y + radius) - 1)))
+    templates = edited.select("chrom", "template", "lr", F.col("pos").cast("long").alias("pos")).groupBy("chrom", "template", "lr").agg(F.collect_list("pos").alias("e"))  # a template's own bases
+    sums = [F.sum(f"v.{c}").alias(c) for c in "tsp"]
+    steps = templates.select("chrom", "lr", F.explode(F.concat(came, gone)).alias("v")).groupBy("chrom", "lr", F.col("v.x").alias("x")).agg(*sums)
+    selves = templates.select("chrom", "lr", F.explode(own).alias("v")).groupBy("chrom", "lr", F.col("v.x").alias("x")).agg(*[c.alias(f"own_{n}") for n, c in zip("tsp", sums)])
+    asked = sites.select("chrom", F.col("ref").alias("lr"), F.col("p0").cast("long").alias("x"), "ord")
+    both = steps.withColumn("ord", F.lit(None).cast(dict(asked.dtypes)["ord"])).unionByName(asked, allowMissingColumns=True)
+    both = rangejoin.carried(both, ["chrom", "lr"], "x", {f"b_{c}": F.sum(c) for c in "tsp"}, {f"b_{c}": F.sum(f"b_{c}") for c in "tsp"})
+    order = Window.partitionBy("chrom", "lr", "__bin").orderBy("x", F.col("ord").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    whole = both.select("chrom", "lr", "x", "ord", *[(F.coalesce(f"b_{c}", F.lit(0)) + F.coalesce(F.sum(c).over(order), F.lit(0))).alias(c) for c in "tsp"]).filter("ord is not null")
+    at = whole.join(selves, ["chrom", "lr", "x"], "left").select("ord", *[(F.col(c) - F.coalesce(f"own_{c}", F.lit(0))).alias(c) for c in "tsp"]).filter("t > 0")
+    return at.select("ord", F.log1p(F.col("t").cast("double")).alias("neighbor_log_templates"), F.when(F.col("s") > 1, F.col("p") / (F.col("s") * (F.col("s") - 1))).otherwise(0.0).alias("neighbor_template_reuse"))
 
 
 def around(rows: DataFrame, sites: DataFrame, radius: int) -> DataFrame:

@@ -17,6 +17,8 @@ MIN_MAPQ = 20
 MIN_BQ = 13
 EXCLUDED_FLAGS = 0x4 | 0x100 | 0x800
 CONFLICT = "N"
+#: Bases of a piece of a tile that single bases are looked up in: finding a character walks the text before it.
+PIECE = 512
 
 
 def ref_bases(tiles: DataFrame) -> DataFrame:
@@ -26,9 +28,11 @@ def ref_bases(tiles: DataFrame) -> DataFrame:
 
 def bases_at(places: DataFrame, tiles: DataFrame, width: int) -> DataFrame:
     """chrom, pos, base of places (chrom, pos, 0-based) by a join on tiles of one width; places off the reference are left out."""
-    at = places.select("chrom", "pos", F.floor(F.col("pos") / width).alias("tile"))
-    t = tiles.select("chrom", F.floor(F.col("start") / width).alias("tile"), "start", "seq")
-    return at.join(t, ["chrom", "tile"]).filter(F.col("pos") < F.col("start") + F.length("seq")).select("chrom", "pos", base_at(F.col("seq"), F.col("start"), F.col("pos")).alias("base"))
+    piece = lambda c: F.floor(F.pmod(c, F.lit(width)) / PIECE)
+    at = places.select("chrom", "pos", F.floor(F.col("pos") / width).alias("tile"), piece(F.col("pos")).alias("piece"))
+    cut = F.posexplode(F.regexp_extract_all("seq", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)))
+    t = tiles.select("chrom", F.floor(F.col("start") / width).alias("tile"), "start", cut.alias("piece", "seq")).withColumn("start", F.col("start") + F.col("piece") * PIECE)
+    return at.join(t, ["chrom", "tile", "piece"]).filter(F.col("pos") < F.col("start") + F.length("seq")).select("chrom", "pos", base_at(F.col("seq"), F.col("start"), F.col("pos")).alias("base"))
 
 
 def usable(alignments: DataFrame, min_mapq: int = MIN_MAPQ) -> DataFrame:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from helixframe.plans import alignment, mapping, reads, sites
+from helixframe.plans import alignment, mapping, reads, sites, splits
 
-_MODULES = (sites, mapping, reads, alignment)
+_MODULES = (sites, mapping, reads, alignment, splits)
 QUERIES: dict = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 SQL: dict = {name: s for m in _MODULES for name, s in m.SQL.items()}

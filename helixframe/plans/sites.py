@@ -301,10 +301,7 @@ def near_rescued(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {synth.GENES_SQL}, m AS (SELECT *, max("end") OVER (PARTITION BY chrom ORDER BY "start", "end", ord ROWS UNBOUNDED PRECEDING) AS reach FROM genes)
 SELECT chrom, "start", "end", name, reach FROM m""")
 def running_interval_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("chrom").orderBy("start", "end", "ord").rowsBetween(Window.unboundedPreceding, 0)
-    return synth.genes(spark, sf_dir).withColumn("reach", F.max("end").over(w)).drop("ord")
+    return rangejoin.running_end(synth.genes(spark, sf_dir), "reach", width=512).drop("ord")
 
 
 # ---- scores and VCF ------------------------------------------------------------------

@@ -1,8 +1,8 @@
 """The run: four legal entries, stages over Parquet outputs, and resumption at the first stage that isn't whole.
 
 A stage writes its table under a temporary name and moves it, then writes a seal
-with its row count; a stage is whole if seal and table agree. Changing an input or option changes
-the run's fingerprint, and resuming with another one is refused.
+with its row count; a stage is whole if seal and table agree. Changing an option, or what stands in an input, changes
+the run's fingerprint, and resuming with another one is refused. Inputs of the size and time that the manifest holds aren't read again for that.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from helixframe.sources import bam, fastq, files, text
 STAGES = ("qc", "map", "sort", "scan", "score", "vcf", "report")
 #: A stage of several sealed tables: mapping, then the records with rescued ones in their stead.
 PARTS = {"map": ("map", "rescue")}
-VERSION = 2
+VERSION = 3
 
 
 @dataclass
@@ -57,7 +57,11 @@ class RunParams:
             raise ValueError(f"no stage {self.stop_after}")
         return legal[given]
 
+    def inputs(self) -> list[str]:
+        return [x for x in (self.fasta, *self.r1, *self.r2, self.bam, self.sites, self.vcf, self.gtf, self.alu, self.model) if x]
+
     def fingerprint(self) -> str:
+        """Of the options and the inputs' paths."""
         own = {k: v for k, v in asdict(self).items() if k not in ("out", "stop_after")}
         return hashlib.sha256(json.dumps([VERSION, own], sort_keys=True).encode()).hexdigest()
 
@@ -86,6 +90,27 @@ class Run:
     def __init__(self, spark: SparkSession, params: RunParams):
         self.spark, self.p, self.entry = spark, params, params.entry()
         self._refs: tuple[DataFrame, DataFrame] | None = None
+        self._inputs: dict[str, dict] | None = None
+
+    # ---- what the run is of ----
+
+    @property
+    def manifest(self) -> str:
+        return f"{self.p.out.rstrip('/')}/run.json"
+
+    def inputs(self) -> dict[str, dict]:
+        """Size, time and digest of each input file."""
+        if self._inputs is None:
+            before = json.loads(files.read_text(self.manifest)).get("inputs", {}) if files.exists(self.manifest) else {}
+            stamps = {x: files.stamp(x) for x in dict.fromkeys(self.p.inputs())}
+            known = {x: before[x] for x, s in stamps.items() if s and s["modified"] and x in before and s.items() <= before[x].items()}
+            new = files.digests(self.spark, [x for x, s in stamps.items() if s and x not in known])
+            self._inputs = {x: known.get(x) or {**s, "digest": new[x]} for x, s in stamps.items() if s}
+        return self._inputs
+
+    def fingerprint(self) -> str:
+        """Of the options and of what stands in the inputs."""
+        return hashlib.sha256(json.dumps([self.p.fingerprint(), {x: s["digest"] for x, s in self.inputs().items()}], sort_keys=True).encode()).hexdigest()
 
     # ---- stages' outputs ----
 
@@ -107,7 +132,7 @@ class Run:
             return False
         try:
             said = json.loads(files.read_text(self.seal(stage)))
-            return said["fingerprint"] == self.p.fingerprint() and said["rows"] == self.table(stage).count()
+            return said["fingerprint"] == self.fingerprint() and said["rows"] == self.table(stage).count()
         except Exception:  # a torn seal or table is no whole stage
             return False
 
@@ -118,7 +143,7 @@ class Run:
         files.remove(self.path(stage))
         files.move(tmp, self.path(stage))
         rows = self.table(stage).count()
-        files.write_bytes(self.seal(stage), json.dumps({"fingerprint": self.p.fingerprint(), "rows": rows, **notes}).encode())
+        files.write_bytes(self.seal(stage), json.dumps({"fingerprint": self.fingerprint(), "rows": rows, **notes}).encode())
 
     def clean(self, stage: str) -> None:
         """Removes all after a stage, and of the stage what follows its first torn part."""
@@ -241,13 +266,14 @@ class Run:
 
     def run(self, log: Callable[[str], None] = lambda _: None) -> list[str]:
         """Runs what isn't whole, and all after the first such stage. Returns the stages that ran."""
-        manifest = f"{self.p.out.rstrip('/')}/run.json"
-        if files.exists(manifest):
-            before = json.loads(files.read_text(manifest))
-            if before["fingerprint"] != self.p.fingerprint():
+        if files.exists(self.manifest):
+            before = json.loads(files.read_text(self.manifest))
+            if before["fingerprint"] != self.fingerprint():
                 raise ValueError("the folder holds a run of other inputs or options")
         with RunLock(self.p.out):
-            files.write_bytes(manifest, json.dumps({"version": VERSION, "fingerprint": self.p.fingerprint(), "entry": self.entry, "params": asdict(self.p)}).encode())
+            told = {"version": VERSION, "fingerprint": self.fingerprint(), "entry": self.entry, "params": asdict(self.p), "inputs": self.inputs()}
+            files.write_bytes(f"{self.manifest}.tmp", json.dumps(told).encode())
+            files.move(f"{self.manifest}.tmp", self.manifest)
             todo = self.stages()
             first = next((i for i, s in enumerate(todo) if not self.whole(s)), len(todo))
             if first < len(todo):

@@ -97,13 +97,14 @@ def test_chain_of_colinear_anchors():
 
 def test_scores_and_quality():
     p = k.rescore(k.Placement("c", False, 0, [("M", 50)]), "ACGTA" * 10, lambda s, e: ("ACGTA" * 10)[s:e])
-    assert p.score == 100 and k.mapq(p) >= 0
+    quality = lambda p: tuple(x[0] for x in k.qualities([k.numbers(p)]))
+    assert p.score == 100 and quality(p)[0] >= 0
     p.chain_score, p.anchors = 100, 12
-    assert k.mapq(p) == 60 and k.margin(p)[2] == "unique"
+    assert quality(p) == (60, "unique")
     p.second = 100
-    assert k.mapq(p) == 0
+    assert quality(p) == (0, "ext_margin")
     p.rescued, p.second = True, 0
-    assert k.mapq(p) == 20
+    assert quality(p)[0] == 20
     q = k.rescore(k.Placement("c", False, 0, [("M", 50)]), "ACGTC" + "ACGTA" * 9, lambda s, e: ("ACGTA" * 10)[s:e])
     assert q.score == 94 and q.mismatches == 1
     assert k.hyperedited(k.Placement("c", False, 0, [("M", 50)], edits_ag=3)) and not k.hyperedited(k.Placement("c", False, 0, [("M", 50)], edits_ag=3, edits_tc=1))
@@ -207,3 +208,72 @@ def test_index_has_every_kmer_and_cutoff_is_a_rank(spark, genome):
     assert index.count() == len(chr1) + len(chr2) - 40
     assert kmer_index.frequency_cutoff(index) == 1
     assert kmer_index.frequency_cutoff(index.limit(0)) == (1 << 32) - 1
+
+
+def ungapped_diagonal(read, ref):
+    """The diagonal of the best run, the first on ties."""
+    from helixframe.operators.align.second_look import best_segment
+
+    best = (-1, 0)
+    for d in range(-len(read) + 8, len(ref) - 7):
+        a, b = max(0, -d), min(len(read), len(ref) - d)
+        best = max(best, (best_segment(read[a:b], ref[a + d : b + d], "")[2], -d))
+    return -best[1]
+
+
+def test_banded_extension_is_the_full_one(spark, sf):
+    from helixframe.plans import alignment
+
+    r = random.Random(3)
+    reads, refs, diagonals = [], [], []
+    for i in range(300):
+        ref = dna(160, 900 + i)
+        at = r.randrange(10, 60)
+        read = list(ref[at : at + 90])
+        for _ in range(r.randrange(0, 6)):
+            j = r.randrange(len(read))
+            read[j : j + 1] = r.choice([["A"], ["C"], [], [read[j], "G", "T"], []])
+        if i % 9 == 0:
+            read[30:30] = list(dna(r.randrange(1, 20), i))
+        reads.append("".join(read))
+        refs.append(ref)
+        diagonals.append(at + r.randrange(-3, 4))
+    reads += ["", "ACGT", "A" * 30]
+    refs += ["ACGT", "", "C" * 30]
+    diagonals += [0, 0, 0]
+    for direction in ("", "A"):
+        got, again = k.affine_banded(reads, refs, diagonals, direction)
+        assert got == k.affine_local(reads, refs, direction)
+        assert len(again) < 0.25 * len(reads)
+    rows = alignment._windows(spark, sf).limit(1500).collect()
+    reads, refs = [x["read"] for x in rows], [x["seq"] for x in rows]
+    got, _ = k.affine_banded(reads, refs, [ungapped_diagonal(x, y) for x, y in zip(reads, refs)])
+    assert got == k.affine_local(reads, refs)
+
+
+def test_decoys_lose_ties_and_directions_decide(spark):
+    p = lambda chrom, **x: k.Placement(chrom, False, 0, [("M", 100)], **x)
+    assert k.arbitrate([p("decoy_a", score=200), p("z", score=200)], 100).chrom == "z"
+    assert k.arbitrate([p("decoy_a", score=202), p("z", score=200)], 100).chrom == "decoy_a"
+    assert k.edit_direction([p("a", score=9, edits_ag=9)]) == "A" and k.edit_direction([p("a", edits_ag=9, edits_tc=9)]) == ""
+    # an edited copy wins over a diverged one once its edits are free
+    seq = dna(400, 71)
+    edited = seq[100:200].replace("A", "G", 12)
+    other = "".join(x if i % 14 else "ACGT"[("ACGT".index(x) + 2) % 4] for i, x in enumerate(edited))
+    unit = dna(300, 72)
+    rows = [("chr1", i, (seq + unit)[i : i + 300]) for i in range(0, 700, 300)] + [("chr2", i, (unit + other + unit)[i : i + 300]) for i in range(0, 700, 300)]
+    from helixframe.operators.align import mapper
+
+    tiles = spark.createDataFrame(rows, "chrom string, start long, seq string")
+    got = mapper.align(spark.createDataFrame([(0, "r", edited, "I" * 100)], "ord long, name string, seq string, qual string"), tiles, 300, kmer=9, w=3).first()
+    assert got["edits_ag"] == 0 or got["chrom"] == "chr1"
+    assert got["origin"] == "genome"
+
+
+def test_exact_kmers():
+    fetch = lambda s, e: ("ACGTACGTAC" * 10)[s:e]
+    read = "ACGTACGTAC" * 3
+    assert k.exact_kmers(read, 0, [("M", 30)], fetch, 10) == 3
+    assert k.exact_kmers(read[:12] + "C" + read[13:], 0, [("M", 30)], fetch, 10) == 2
+    assert k.exact_kmers(read[:8] + "G" + read[9:], 0, [("M", 30)], fetch, 10) == 2 and k.exact_kmers(read[:8] + "G" + read[9:], 0, [("M", 30)], fetch, 10, "A") == 3
+    assert k.exact_kmers("NN" + read, 0, [("S", 2), ("M", 10), ("D", 10), ("M", 20)], fetch, 10) == 3

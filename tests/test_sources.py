@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from helixframe.functions import cigar as cg
 from helixframe.operators import pileup, qc, report, vcf
 from helixframe.plans import stages, synth
-from helixframe.sources import bam, fastq, text
+from helixframe.sources import bam, bgzf, fastq, lines, text
 from helixframe.streaming import pileup as streaming
 
 
@@ -21,8 +21,9 @@ def test_fastq_lanes_members_and_errors(spark, tmp_path):
     got = [tuple(r) for r in fastq.read_fastq(spark, [str(a), str(b)], first_token=True).orderBy("lane", "ord").collect()]
     assert got == [(0, 0, 1, "r1", "ACGT", "IIII"), (0, 1, 1, "r2", "AC", "II"), (1, 0, 1, "r3", "GG", "##")]
     for bad, said in (("@r\nAC\n+\nI\n", "2 bases"), ("@r\nAC\n+\n", "complete"), ("r\nAC\n+\nII\n", "not a FASTQ")):
-        with pytest.raises(ValueError, match=said):
-            list(fastq.records(bad, "f"))
+        (tmp_path / "bad.fq").write_text(bad)
+        with bgzf.File(str(tmp_path / "bad.fq")) as f, pytest.raises(ValueError, match=said):
+            list(fastq.records(lines.lines(f), "f"))
     out = tmp_path / "out"
     fastq.write_fastq(fastq.read_fastq(spark, [str(a)]), str(out))
     assert gzip.decompress(b"".join(p.read_bytes() for p in sorted(out.glob("part-*")))).decode() == "@r1 x\nACGT\n+\nIIII\n@r2\nAC\n+\nII\n"
@@ -34,10 +35,12 @@ def test_fasta(spark, tmp_path):
     contigs, tiles = fastq.read_fasta(spark, str(f), width=4)
     assert [tuple(r) for r in contigs.collect()] == [(0, "chr1", 6), (1, "chr2", 2)]
     assert sorted(map(tuple, tiles.collect())) == [("chr1", 0, "ACGT"), ("chr1", 4, "NN"), ("chr2", 0, "TT")]
-    assert fastq.parse_fasta(">a\nacGTx\n", "f", keep_case=True) == [("a", "acGTn")]
-    for bad in ("ACGT\n", "", ">a\nA\n>a\nC\n"):
-        with pytest.raises(ValueError):
-            fastq.parse_fasta(bad, "f")
+    f.write_text(">a\nacGTx\n")
+    assert [r["seq"] for r in fastq.read_fasta(spark, str(f), keep_case=True)[1].collect()] == ["acGTn"]
+    for bad, said in (("ACGT\n", "before the first"), ("", "no contigs"), (">a\nA\n>a\nC\n", "twice"), (">\nA\n", "without a name")):
+        f.write_text(bad)
+        with pytest.raises(Exception, match=said):
+            fastq.read_fasta(spark, str(f))
     assert fastq.fai_lines([("chr1", 6)], 4) == ["chr1\t6\t6\t4\t5"]
 
 
