@@ -2,9 +2,10 @@
 
 A batch of documents is reduced to (id, code points, SHA-256 of the text
 without white space). Its groups are anti-joined to the index, of which no
-bucket is shuffled, and the new digests are appended under the batch's tag, a checksum of its
-rows. A batch that is added again, as after a crash before or after its digests were
-appended, finds its own tag and gets the same verdicts. One batch is added at a time.
+bucket is shuffled, and the new digests are appended under the batch's name. A batch that is
+added again under its name, as after a crash before or after its digests were
+appended, finds it and gets the same verdicts; without a name each addition is a batch of its own, so rows
+that are delivered again are copies. One batch is added at a time.
 
 Defined results: a null text counts as empty; among equal texts the row with the
 most code points, then the smallest id (null ids last), then the smallest hash of the row
@@ -57,7 +58,7 @@ class DigestIndex:
         self.spark.sql(f"ALTER TABLE {new} RENAME TO {self.name}")
         self.spark.sql(f"DROP TABLE {old}")
 
-    def judged(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    def judged(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batch_name: str | None = None) -> DataFrame:
         """As add(), with the row's key (common.row_key)."""
         text = F.col(text_col)
         batch = written(
@@ -70,8 +71,7 @@ class DigestIndex:
             ),
             "digests",
         )
-        n, h1, h2 = batch.agg(F.count("*"), F.sum(F.col("__k1").cast("decimal(38,0)")), F.bit_xor("__k2")).first()
-        tag = f"{n}-{h1}-{h2}"
+        n, tag = batch.count(), batch_name or uuid.uuid4().hex
         first = F.struct((-F.col("n_chars")).alias("a"), F.col("doc_id").isNull().alias("b"), "doc_id", "__k1", "__k2", "row_id")
         groups = written(batch.groupBy("digest").agg(F.min(first).alias("best"), F.count("*").alias("group_size")), "digest-groups")
         # a batch that was cut off finds those of its digests that are there already, and appends the others
@@ -83,13 +83,16 @@ class DigestIndex:
         kept = (F.col("batch") == tag) & (F.col("row_id") == F.col("best_row"))
         return out.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "digest", "__k1", "__k2")
 
-    def add(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    def add(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batch_name: str | None = None) -> DataFrame:
         """Deduplicate docs against the index and each other, and append what is new.
 
+        batch_name: what is added again under the same name, as after a crash, gets the same verdicts. Without one, or under
+        another, rows that were added before are copies, however they are delivered.
+
         Returns a row for each row of docs: doc_id, keep_id, group_size (rows of
         docs with the text), kept, digest. What the index had before stays kept there.
         """
-        return self.judged(docs, id_col, text_col).drop("__k1", "__k2")
+        return self.judged(docs, id_col, text_col, batch_name).drop("__k1", "__k2")
 
     def drop(self) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")

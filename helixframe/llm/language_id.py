@@ -22,7 +22,6 @@ first documents by hash; an empty table gives no rows; other columns are not rea
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np

@@ -159,7 +159,7 @@ def test_gradients_by_differences():
 
 
 def test_runs_and_symbols():
-    assert language_id.runs_of("Ab1é-c ".encode()) == [b"ab", "é".encode(), b"c", " ".encode()]
+    assert language_id.runs_of("Ab1é-c\u00a0 ".encode()) == [b"ab", "é".encode(), "c\u00a0".encode()]
     long = language_id.runs_of(b"x" * 50)
     assert [len(r) for r in long] == [24, 24, 2]
     x, size = language_id.symbols([b"a", b"bz"])

@@ -157,6 +157,17 @@ def test_mixing(spark, sf):
     assert n == {x["doc_id"]: x["copies"] for x in got if x["copies"]} and mixed.columns == d.columns
 
 
+@pytest.mark.parametrize("equal", [10_000, 7])
+def test_rows_that_share_an_id_draw_each_for_itself(spark, sf, monkeypatch, equal):
+    monkeypatch.setattr(mixing, "EQUAL", equal)
+    rows = [(5, "w " * (1 + i % 7) + str(i), "en", "a", 0) for i in range(500)] + [(None, f"x {i}", "en", "b", 0) for i in range(500)] + [(7, "same text", "en", "c", 0)] * 400
+    got = mixing.mix(spark.createDataFrame(rows, DOCS)).collect()
+    assert len(got) == len(rows)
+    for s, n in (("a", 500), ("b", 500), ("c", 400)):
+        own = [x for x in got if (x["doc_id"], s) in ((5, "a"), (None, "b"), (7, "c"))]
+        assert len(own) == n and abs(sum(x["taken"] for x in own) - own[0]["target"]) <= 0.03 * own[0]["target"]
+
+
 def test_many_sources_by_key(spark, sf, monkeypatch):
     monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
     d = spark.createDataFrame([(i, "w " * (i % 5 + 1), "en", f"s{i % 9}", 0) for i in range(200)], DOCS)

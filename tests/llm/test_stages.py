@@ -33,12 +33,16 @@ def test_a_batch_added_again_gets_the_same_verdicts(spark):
     index = exact_dedup.DigestIndex(spark)
     batch = docs(spark, [(1, "a"), (2, "a "), (3, "b"), (4, "b")])
     index.add(docs(spark, [(9, "b")]))
-    want = sorted(map(tuple, index.add(batch).drop("digest").collect()))
+    want = sorted(map(tuple, index.add(batch, batch_name="two").drop("digest").collect()))
     assert [r[3] for r in want] == [False, True, False, False] and [r[1] for r in want] == [2, 2, 9, 9]
-    assert sorted(map(tuple, index.add(batch.repartition(3)).drop("digest").collect())) == want  # as after a crash past the append
+    assert sorted(map(tuple, index.add(batch.repartition(3), batch_name="two").drop("digest").collect())) == want  # as after a crash past the append
     assert index.table().count() == 2
     index.compact()
-    assert sorted(map(tuple, index.add(batch).drop("digest").collect())) == want and index.table().count() == 2
+    assert sorted(map(tuple, index.add(batch, batch_name="two").drop("digest").collect())) == want and index.table().count() == 2
+    # delivered again as another batch, or as one without a name, all rows are copies
+    for again in (index.add(batch), index.add(batch, batch_name="three")):
+        assert not any(r["kept"] for r in again.collect())
+    assert index.table().count() == 2
     index.drop()
     assert not spark.catalog.tableExists(index.name)
 
@@ -47,10 +51,10 @@ def test_a_batch_cut_off_in_the_middle(spark):
     """Part of the digests were appended before the crash; the rest is appended when the batch is added again."""
     index = exact_dedup.DigestIndex(spark)
     batch = docs(spark, [(i, f"t{i // 2}") for i in range(20)])
-    whole = sorted(map(tuple, index.add(batch).collect()))
+    whole = sorted(map(tuple, index.add(batch, batch_name="one").collect()))
     half = exact_dedup.DigestIndex(spark)
     half._append(index.table().orderBy("digest").limit(4))
-    assert sorted(map(tuple, half.add(batch).collect())) == whole
+    assert sorted(map(tuple, half.add(batch, batch_name="one").collect())) == whole
     assert half.table().count() == 10
 
 
