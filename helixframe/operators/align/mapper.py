@@ -357,7 +357,9 @@ def with_new_introns(records: DataFrame, tiles: DataFrame, width: int, keep: str
     """records whose clipped ends go on behind introns that nothing knows of yet, by splice signals and (with an index) seeds."""
     from helixframe.operators.align import splits
 
-    return looked_again(records, [lambda r, side=side: splits.split_tails(r, tiles, width, side, index, kmer, w) for side in ("end", "start")], tiles, width, keep)
+    keep = keep or shared_path(records.sparkSession, "new-introns")
+    looks = [lambda r, side=side: splits.split_tails(r, tiles, width, side, index, kmer, w, keep=f"{keep}/{side}") for side in ("end", "start")]
+    return looked_again(records, looks, tiles, width, keep)
 
 
 def two_pass(reads: DataFrame, tiles: DataFrame, width: int, annotated: DataFrame, keep: str | None = None, kmer: int = 15, w: int = 10, index: DataFrame | None = None, **options) -> tuple[DataFrame, DataFrame]:

@@ -24,6 +24,7 @@ from helixframe.operators import kmer_index
 from helixframe.operators.align import kernels as k
 from helixframe.operators.rangejoin import band, points_in_intervals
 from helixframe.operators.transcripts import tile_sequences
+from helixframe.session import shared_path, written
 
 # Fixed values of the search.
 LEAST_TAIL = 7
@@ -34,7 +35,6 @@ SHORTEST, LONGEST = 20, 500_000
 SEED_PLACES = 100
 #: Cost of a difference where a signal counts 1 to 4.
 DIFFERENCE = 6
-MICRO = 4
 KEY = ["chrom", "edge", "inner", "out"]
 
 
@@ -43,9 +43,17 @@ def _pairs(side: str) -> dict[tuple[str, str], tuple[int, bool]]:
     return k.SIGNALS if side == "end" else {(y[::-1], x[::-1]): v for (x, y), v in k.SIGNALS.items()}
 
 
+def letters(text: Column) -> Column:
+    return F.split(F.upper(text), "")
+
+
 def differences(read: Column, ref: Column) -> Column:
     """Places where two texts of one length differ; edits (A read as G, T as C) are none."""
-    same = F.zip_with(F.split(F.upper(read), ""), F.split(F.upper(ref), ""), lambda x, y: (x == y) | ((y == "A") & (x == "G")) | ((y == "T") & (x == "C")))
+    return _differ(letters(read), letters(ref))
+
+
+def _differ(read: Column, ref: Column) -> Column:
+    same = F.zip_with(read, ref, lambda x, y: (x == y) | ((y == "A") & (x == "G")) | ((y == "T") & (x == "C")))
     return F.size(F.filter(same, lambda ok: ~ok))
 
 
@@ -175,17 +183,19 @@ def _best_cut(cands: DataFrame, near: DataFrame, tiles: DataFrame, width: int, s
     return each.groupBy(*KEY).agg(F.min_by(value, order).alias("b")).select(*KEY, "b.*")
 
 
-def split_tails(records: DataFrame, tiles: DataFrame, width: int, side: str = "end", index: DataFrame | None = None, kmer: int = 15, w: int = 10, least: int = LEAST_TAIL) -> DataFrame:
+def split_tails(records: DataFrame, tiles: DataFrame, width: int, side: str = "end", index: DataFrame | None = None, kmer: int = 15, w: int = 10, least: int = LEAST_TAIL, keep: str | None = None) -> DataFrame:
     """records (ord, chrom, pos, cigar, seq on the reference's strand) whose clipped end goes on behind an intron that no library knows.
 
     The tail's first PROBE bases must stand exactly behind a splice signal within SPAN bases, of either strand, or (with an index) share a rare minimizer with the
     reference within LONGEST. Of all cuts within REACH bases of the aligned end, the one of best score is taken: the signal's less DIFFERENCE a
     difference on either side, then the nearest to the aligned end, the shorter intron, the inner cut, the smaller place. At most a fifth of the tail may differ.
+    keep: a folder for the clipped ends, which several joins read; by default a new one in the shared folder.
     Returns ord, pos, cigar, start, end, on_minus (the signal's strand), wrong, score.
     """
     at_end, sign = side == "end", 1 if side == "end" else -1
-    ends = _ends(records, side, least)
-    near = _near(ends.select(*KEY).distinct(), tiles, width, side)
+    keep = keep or shared_path(records.sparkSession, "tails")
+    ends = written(_ends(records, side, least), f"{keep}/ends")
+    near = written(_near(ends.select(*KEY).distinct(), tiles, width, side), f"{keep}/near")
     cands = by_signal(near, tiles, width, side)
     if index is not None:
         cands = cands.unionByName(by_seeds(near, index, kmer, w, side)).distinct()
@@ -262,7 +272,7 @@ def short_exons(records: DataFrame, library: DataFrame, tiles: DataFrame, width:
 def run_through(records: DataFrame, library: DataFrame, tiles: DataFrame, width: int, side: str = "end") -> DataFrame:
     """records whose last block runs over a known intron's near side, and whose bases from there on fit its far side better.
 
-    Fewer than MICRO bases must fit exactly, others with at most a fifth of differences, and always with fewer than they have where they stand.
+    At most a fifth of them may differ there, so fewer than five must fit exactly, and always fewer than where they stand.
     The fewest differences win, then the shorter intron, then the smaller place. Returns ord, pos, cigar, wrong.
     """
     at_end, sign = side == "end", 1 if side == "end" else -1
@@ -274,19 +284,20 @@ def run_through(records: DataFrame, library: DataFrame, tiles: DataFrame, width:
     low, high = (F.col("edge") - F.col("block") + 1, F.col("edge")) if at_end else (F.col("edge") + 1, F.col("edge") + F.col("block"))
     spans = r.select("ord", "chrom", "edge", "block", low.alias("lo"), high.alias("hi"))
     a, b = ("start", "end") if at_end else ("end", "start")
-    known = library.select("chrom", F.col(a).alias("a"), F.col(b).alias("b")).distinct().filter(F.abs(F.col("b") - F.col("a")).between(SHORTEST, LONGEST))
+    size = sign * (F.col("b") - F.col("a"))
+    known = library.select("chrom", F.col(a).alias("a"), F.col(b).alias("b")).distinct().filter((size >= SHORTEST) & (size <= LONGEST))
     hits = points_in_intervals(known, spans, "a", start="lo", end="hi", width=512)
-    hits = hits.withColumn("n", (sign * (F.col("edge") - F.col("a"))).cast("int")).filter("n > 0")
+    hits = hits.withColumn("n", (sign * (F.col("edge") - F.col("a"))).cast("int"))
     text = F.right("seq", F.col("n")) if at_end else F.reverse(F.left("seq", F.col("n")))
-    j = hits.join(r.select("ord", "seq"), "ord").select("ord", "chrom", "a", "b", "n", text.alias("out"))
+    j = hits.join(r.select("ord", "seq"), "ord").select("ord", "chrom", "a", "b", "n", letters(text).alias("out"))
     key = ["ord", "chrom", "a", "b"]
     for name, c in (("here", "a"), ("there", "b")):
         j = _texts(j, key, name, F.col(c) - (0 if at_end else F.col("n")), F.col(c) + (F.col("n") if at_end else 0), tiles, width, side)
     j = j.filter((F.length("here") == F.col("n")) & (F.length("there") == F.col("n")))
-    j = j.withColumn("wrong", differences(F.col("out"), F.col("there")))
-    j = j.filter((F.col("wrong") < differences(F.col("out"), F.col("here"))) & (F.col("wrong") <= F.when(F.col("n") < MICRO, 0).otherwise(F.floor(F.col("n") / 5))))
-    best = j.groupBy("ord").agg(F.min_by(F.struct("a", "b", "n", "wrong"), F.struct("wrong", F.abs(F.col("b") - F.col("a")).alias("s"), "a", "b")).alias("x")).select("ord", "x.*")
+    j = j.withColumn("wrong", _differ(F.col("out"), letters(F.col("there"))))
+    j = j.filter((F.col("wrong") < _differ(F.col("out"), letters(F.col("here")))) & (F.col("wrong") <= F.floor(F.col("n") / 5)))
+    best = j.groupBy("ord").agg(F.min_by(F.struct("a", "b", "n", "wrong"), F.struct("wrong", size.alias("s"), "a", "b")).alias("x")).select("ord", "x.*")
     out = r.join(best, "ord")
-    new = _stitched(F.col("cigar"), F.col("block") - F.col("n"), [(F.abs(F.col("b") - F.col("a")), F.col("n"))], at_end, clip=0)
+    new = _stitched(F.col("cigar"), F.col("block") - F.col("n"), [(size, F.col("n"))], at_end, clip=0)
     pos = F.col("pos") if at_end else F.col("b") - F.col("n")
     return out.select("ord", pos.cast("long").alias("pos"), new.alias("cigar"), "wrong")

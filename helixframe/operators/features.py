@@ -15,6 +15,7 @@ from helixframe.functions import dna
 from helixframe.functions.likelihood import bayes_factors_col
 from helixframe.functions.trees import Model, score_col
 from helixframe.operators import rangejoin
+from helixframe.session import shared_path, written
 
 RADIUS = 200
 
@@ -173,9 +174,13 @@ def around(rows: DataFrame, sites: DataFrame, radius: int) -> DataFrame:
     return rows.withColumn("__b", F.floor(F.col("pos") / width)).join(near, ["chrom", "__b"], "left_semi").drop("__b")
 
 
-def features(sites: DataFrame, obs: DataFrame, refs: DataFrame, alu: DataFrame | None = None, radius: int = RADIUS) -> DataFrame:
-    """ord, chrom, pos, error (null, or why a site has no features), and the features as doubles."""
-    obs, refs = around(obs, sites, radius), around(refs, sites, radius)
+def features(sites: DataFrame, obs: DataFrame, refs: DataFrame, alu: DataFrame | None = None, radius: int = RADIUS, keep: str | None = None) -> DataFrame:
+    """ord, chrom, pos, error (null, or why a site has no features), and the features as doubles.
+
+    keep: where the observations near sites are written, which four groups of features read; by default a new path in the shared folder.
+    """
+    obs = written(around(obs, sites, radius), keep or shared_path(obs.sparkSession, "observations"))
+    refs = around(refs, sites, radius)
     at = with_reference(sites, refs)
     good = at.filter("alt is not null")
     own, near = own_features(good, obs), neighbour_features(good, obs, refs, radius)

@@ -9,6 +9,7 @@ from helixframe.functions import cigar as cg
 from helixframe.functions import numeric
 from helixframe.operators import features, pileup, rangejoin
 from helixframe.plans import synth
+from helixframe.session import shared_path, written
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -102,7 +103,7 @@ obs_at AS (
 
 def _evidence(spark: SparkSession, sf_dir: str):
     aln, refs = synth.alignments(spark, sf_dir), synth.references(spark)
-    obs = pileup.merge_templates(pileup.observations(aln))
+    obs = written(pileup.merge_templates(pileup.observations(aln)), shared_path(spark, "observations"))  # read by several parts of a query
     sites = refs.filter(F.upper("base").isin("A", "T")).select((F.substring("chrom", 4, 1).cast("long") * 10000 + F.col("pos")).alias("ord"), "chrom", (F.col("pos") + 1).alias("pos"))
     return sites, obs, refs
 
