@@ -5,11 +5,13 @@ A row of part plants one read. In SQL the starts of reads are ends in a reversed
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixframe.functions import cigar as cg
-from helixframe.operators.align import splits
+from helixframe.operators.align import kernels, splits
+from helixframe.operators.transcripts import tile_sequences
 from helixframe.plans import synth
 
 QUERIES: dict = {}
@@ -200,3 +202,61 @@ def run_through_rescued(spark: SparkSession, sf_dir: str) -> DataFrame:
     r, library = planted_overhangs(spark, sf_dir)
     both = [splits.run_through(r.filter(F.col("at_end") if side == "end" else ~F.col("at_end")), library, synth.random_tiles(spark), synth.RANDOM_TILE, side) for side in ("end", "start")]
     return both[0].unionByName(both[1]).withColumn("cigar", cg.text(F.col("cigar")))
+
+
+# ---- chains over several introns --------------------------------------------------------------
+
+
+def planted_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ord, chrom, diagonals, seq: reads over one to three introns, a fifth of them edited, and the place of their first base on each exon's diagonal."""
+    t = _parts(spark, sf_dir).withColumn("introns", (1 + F.pmod("ord", F.lit(3))).cast("int")).withColumn("size", 30 + F.pmod("ord", F.lit(17)))
+    exons = F.transform(F.sequence(F.lit(0), F.col("introns")), lambda i: F.col("s") + i * (F.col("size") + 60 + F.pmod(F.col("ord") * 13, F.lit(300))))
+    t = t.withColumn("exons", exons).withColumn("diagonals", F.transform("exons", lambda e, i: (e - i * F.col("size")).cast("long")))
+    seq = F.array_join(F.transform("exons", lambda e: F.substring("ref", e.cast("int") + 1, F.col("size").cast("int"))), "")
+    t = t.withColumn("seq", F.when(F.pmod("ord", F.lit(5)) == 0, F.translate(seq, "A", "G")).when(F.pmod("ord", F.lit(5)) == 1, F.translate(seq, "C", "A")).otherwise(seq))
+    return t.select("ord", "chrom", "diagonals", "seq")
+
+
+def _chain_sql() -> str:
+    steps = []
+    for k in (1, 2, 3):
+        before = "c0.total" if k == 1 else f"f{k - 1}.best"
+        source = "cum c0" if k == 1 else f"f{k - 1}"
+        steps.append(f"""
+g{k} AS (SELECT b.ord, b.i, b.total, CASE WHEN b.i BETWEEN 1 AND b.n - 1 THEN {before} + b.signal - b.total END AS g
+  FROM cum b JOIN {source} ON {source.split()[-1]}.ord = b.ord AND {source.split()[-1]}.i = b.i {"AND c0.k = 0" if k == 1 else ""} WHERE b.k = {k}),
+f{k} AS MATERIALIZED (SELECT ord, i, total + max(g) OVER (PARTITION BY ord ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best FROM g{k})""")
+    return f"""{_PART},
+ch AS (SELECT ord, chrom, 1 + ord % 3 AS introns, 30 + ord % 17 AS size, s, 60 + ord * 13 % 300 AS gap FROM par),
+rd AS (SELECT ch.*, seq, string_agg(substr(seq, (s + e * (size + gap) + 1)::INT, size::INT), '' ORDER BY e) AS plain FROM ch JOIN rnd USING (chrom), (SELECT unnest(range(0, 4)) AS e) WHERE e <= introns GROUP BY ALL),
+told AS (SELECT *, CASE ord % 5 WHEN 0 THEN translate(plain, 'A', 'G') WHEN 1 THEN translate(plain, 'C', 'A') ELSE plain END AS told, length(plain) AS n FROM rd),
+seg AS (SELECT ord, told, n, introns, k, substr(seq, (s + k * gap - 1)::INT, n::INT + 4) AS w, substr(seq, (s + k * gap - gap - 1)::INT, n::INT + 4) AS before FROM told, (SELECT unnest(range(0, 4)) AS k) WHERE k <= introns),
+each AS (SELECT *, unnest(range(0, n + 1)) AS i FROM seg),
+cost AS (
+  SELECT ord, k, i, n, introns, substr(before, i::INT + 3, 2) || substr(w, i::INT + 1, 2) AS pair,
+         CASE WHEN i = 0 THEN 0 WHEN told[i] = w[i + 2] OR w[i + 2] = 'A' AND told[i] = 'G' OR w[i + 2] = 'T' AND told[i] = 'C' THEN 0 ELSE -6 END AS gain
+  FROM each),
+cum AS MATERIALIZED (
+  SELECT ord, k, i, n, introns, sum(gain) OVER (PARTITION BY ord, k ORDER BY i) AS total,
+         CASE pair WHEN 'GTAG' THEN 4 WHEN 'CTAC' THEN 4 WHEN 'GCAG' THEN 2 WHEN 'CTGC' THEN 2 WHEN 'ATAC' THEN 1 WHEN 'GTAT' THEN 1 ELSE -8 END AS signal
+  FROM cost),{",".join(steps)}
+SELECT ord, introns::INT AS introns, best::INT AS score
+FROM (SELECT ord, i, best, 1 AS k FROM f1 UNION ALL SELECT ord, i, best, 2 FROM f2 UNION ALL SELECT ord, i, best, 3 FROM f3) x JOIN (SELECT DISTINCT ord, n, introns FROM cum) m USING (ord)
+WHERE x.k = m.introns AND x.i = m.n"""
+
+
+@query(_chain_sql())
+def spliced_chain_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of the best cuts of each read over its introns."""
+    r = planted_chains(spark, sf_dir)
+    each = r.select("ord", "chrom", F.posexplode("diagonals").alias("i", "d"), F.length("seq").alias("n"))
+    each = each.select("ord", "chrom", "i", "d", F.greatest(F.col("d") - 2, F.lit(0)).alias("s"), (F.col("d") + F.col("n") + 2).alias("e"))
+    got = tile_sequences(each, synth.random_tiles(spark), synth.RANDOM_TILE, ["ord", "i", "d", "s", "e"])
+    rows = got.groupBy("ord").agg(F.array_sort(F.collect_list(F.struct("i", "d", "s", "seq"))).alias("parts")).join(r.select("ord", F.col("seq").alias("read")), "ord")
+
+    def run(frames):
+        for f in frames:
+            out = [(o, len(parts) - 1, kernels.splice_chain(read, [(p["s"], p["seq"]) for p in parts], [p["d"] for p in parts])[3]) for o, parts, read in zip(f["ord"].tolist(), f["parts"], f["read"])]
+            yield pd.DataFrame(out, columns=["ord", "introns", "score"])
+
+    return rows.mapInPandas(run, "ord long, introns int, score int")
