@@ -179,6 +179,37 @@ def rescue_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return second_look.rejections(second_look.verify(p, synth.tiles(spark), 500))
 
 
+_SUPPORT_K = 5
+
+
+@query(
+    f"""{reads._BASES},
+r AS (SELECT ord, i, kind, substr('ACGT', ((((pos + off) * (pos + off) * 7 + (pos + off) * 13 + c * 5) % 11) % 4 + 1)::INT, 1) AS ref FROM each WHERE off >= 0),
+same AS (
+  SELECT ord, i, CASE kind WHEN 2 THEN i >= 20 WHEN 3 THEN i >= 27 WHEN 4 THEN i >= 30 ELSE false END AS block
+  FROM (SELECT DISTINCT ord, i, kind, ref FROM r) r JOIN (SELECT DISTINCT ord, i, base FROM b) b USING (ord, i) WHERE base = ref),
+runs AS (SELECT ord, block, isle, count(*) // {_SUPPORT_K} AS k FROM (SELECT *, i - row_number() OVER (PARTITION BY ord, block ORDER BY i) AS isle FROM same) GROUP BY ALL)
+SELECT o.ord, coalesce(sum(k), 0)::BIGINT AS support FROM (SELECT DISTINCT ord FROM one) o LEFT JOIN runs USING (ord) GROUP BY o.ord"""
+)
+def exact_kmer_support(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Non-overlapping k-mers without a difference along each placement's blocks."""
+    from helixframe.operators.transcripts import tile_sequences
+
+    a = synth.alignments(spark, sf_dir).select("ord", "chrom", "pos", "cigar", F.col("seq").alias("read")).dropDuplicates(["ord"])
+    w = a.select("ord", "chrom", F.col("pos").alias("s"), cg.ref_end(F.col("pos"), F.col("cigar")).alias("e"))
+    rows = a.join(tile_sequences(w, synth.tiles(spark), 500, ["ord"]), "ord")
+
+    def run(frames):
+        for f in frames:
+            out = []
+            for x in f.itertuples(index=False):
+                fetch = lambda s, e, x=x: x.seq[s - x.pos : e - x.pos]
+                out.append((x.ord, kernels.exact_kmers(x.read, x.pos, [(o["op"], o["n"]) for o in x.cigar], fetch, _SUPPORT_K)))
+            yield pd.DataFrame(out, columns=["ord", "support"])
+
+    return rows.mapInPandas(run, "ord long, support long")
+
+
 @query()
 def mate_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reads found again around their mates."""
