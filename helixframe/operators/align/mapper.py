@@ -413,7 +413,7 @@ def rescue_records(records: DataFrame, tiles: DataFrame, width: int, paired: boo
     """records (of to_records(), or pair_records() with template and slot) with those that rescue could place in their stead; ``re`` tells them.
 
     The pool: unplaced records, records that explain under 0.7 of the read, and those with a twentieth of the aligned columns or more
-    of ordinary mismatches. In pairs a rescued read must stand near its placed mate, in the other direction. Mates' flags of the other record stay.
+    of ordinary mismatches. In pairs a rescued read must stand near its placed mate, in the other direction, and both records' flags, mate places and lengths are told anew.
     """
     from helixframe.functions import cigar as cg
     from helixframe.functions import dna
@@ -438,4 +438,12 @@ def rescue_records(records: DataFrame, tiles: DataFrame, width: int, paired: boo
     values = {"flag": flag, "seq": F.when(turn, dna.revcomp(F.col("seq"))).otherwise(F.col("seq")), "qual": F.when(turn, F.reverse("qual")).otherwise(F.col("qual")), **{c: F.col(f"new_{c}") for c in ("chrom", "pos", "cigar", "mapq")}}
     moved = j.select(*[values[c].alias(c) if c in values else F.col(c) for c in records.columns], "re")
     again = recount(moved.drop("re"), tiles, width).withColumn("re", F.lit("collapsed"))
-    return records.join(new.select("ord"), "ord", "left_anti").withColumn("re", F.lit(None).cast("string")).unionByName(again)
+    merged = records.join(new.select("ord"), "ord", "left_anti").withColumn("re", F.lit(None).cast("string")).unionByName(again)
+    if not paired:
+        return merged
+    # what both mates' records say of each other is told anew where one of them was rescued
+    touched = records.join(new.select("ord"), "ord", "left_semi").select("template").distinct()
+    single = F.col("flag").bitwiseAND(~(1 | 2 | 8 | 32 | 64 | 128)).cast("int").alias("flag")
+    pairs_ = merged.join(touched, "template", "left_semi").drop("mate_chrom", "mate_pos", "tlen")
+    told = pair_records(pairs_.select(*[single if c == "flag" else c for c in pairs_.columns]))
+    return merged.join(touched, "template", "left_anti").unionByName(told.select(*merged.columns))

@@ -147,7 +147,11 @@ def edit_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _windows(spark, sf_dir).select("ord", d("read", "seq").alias("distance"))
 
 
-@query()
+@query(
+    f"""WITH {synth.RANDOM_SQL}
+-- the truth: every read comes back to its place with confidence, and its planted edits are told
+SELECT true AS right, true AS confident, count(*) AS n, sum(CASE WHEN ord % 3 = 0 THEN length(substr(plain, 31, 20)) - length(replace(substr(plain, 31, 20), 'A', '')) ELSE 0 END)::BIGINT AS edits_ag, 0::BIGINT AS edits_tc FROM rfwd"""
+)
 def mapped_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole mapper on reads of known places: how many come back to them, by quality."""
     r = synth.random_reads(spark, sf_dir)
@@ -256,7 +260,7 @@ def transcript_placements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("read", "name", "chrom", "pos", cg.text(F.col("cigar")).alias("cigar"), "distance", "minus")
 
 
-@query()
+@query("SELECT 2::INT AS proper, mate::INT AS mate, 200::BIGINT AS tlen, count(DISTINCT l_orderkey * 8 + l_linenumber) AS n FROM lineitem, (VALUES (64), (128)) m(mate) GROUP BY mate")
 def mapped_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of known inserts, mapped in two passes and paired: how many are proper, by length of template and mate's place."""
     r = synth.random_pairs(spark, sf_dir)

@@ -5,7 +5,7 @@ from pathlib import Path
 
 import pytest
 
-sys.path[:0] = [str(Path(__file__).resolve().parents[1]), str(Path(__file__).resolve().parent), str(Path(__file__).resolve().parent / "llm")]
+sys.path[:0] = [str(Path(__file__).resolve().parents[1]), str(Path(__file__).resolve().parent)]
 
 
 @pytest.fixture(scope="session")

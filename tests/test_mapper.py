@@ -92,6 +92,43 @@ def test_rescue_on_the_minus_strand(spark):
     assert merged[1]["flag"] == 4 and merged[1]["re"] is None
 
 
+def test_a_rescued_mate_is_known_to_the_other(spark):
+    seq = dna(3000, 43)
+    tiles, width = tiles_of(spark, seq)
+    r = random.Random(5)
+    edited = "".join("G" if c == "A" and r.random() < 0.7 else c for c in rc(seq[1400:1500]))
+    rows = [(0, "p", seq[1250:1350], "I" * 100), (1, "p", edited, "I" * 100), (2, "o", seq[200:300], "I" * 100), (3, "o", rc(seq[350:450]), "I" * 100)]
+    records = mapper.to_records(mapper.align(spark.createDataFrame(rows, READS), tiles, width, kmer=11, w=5))
+    paired = mapper.pair_records(records.withColumns({"template": F.floor(F.col("ord") / 2), "slot": F.pmod("ord", F.lit(2)).cast("int") + 1}))
+    before = {x["ord"]: x for x in paired.collect()}
+    assert before[0]["flag"] & 8 and before[1]["flag"] & 4
+    got = {x["ord"]: x for x in mapper.rescue_records(paired, tiles, width, paired=True, kmer=11, w=5).collect()}
+    assert got[0]["flag"] == 1 + 2 + 32 + 64 and got[1]["flag"] == 1 + 2 + 16 + 128
+    assert (got[0]["mate_pos"], got[1]["mate_pos"], got[0]["tlen"], got[1]["tlen"]) == (1400, 1250, 250, -250)
+    assert got[1]["re"] == "collapsed" and all(got[i]["flag"] == before[i]["flag"] and got[i]["tlen"] == before[i]["tlen"] for i in (2, 3))
+
+
+def test_indexes_of_rescue_are_made_once(spark, monkeypatch):
+    from helixframe.operators import kmer_index
+
+    made, real = [], kmer_index.minimizer_index
+    monkeypatch.setattr(kmer_index, "minimizer_index", lambda *a, **b: made.append(1) or real(*a, **b))
+    tiles, width = tiles_of(spark, dna(1500, 44))
+    mapper.rescue(spark.createDataFrame([(0, "x", dna(100, 7), "I" * 100)], READS), tiles, width, kmer=11, w=5)
+    assert len(made) == 2
+
+
+def test_bases_of_wide_tiles(spark):
+    from helixframe.operators import pileup
+
+    seq = dna(5000, 45)
+    places = spark.createDataFrame([("chr1", p) for p in (0, 1, 511, 512, 1023, 4096, 4999, 5000, 7000)], "chrom string, pos long")
+    for width in (5000, 700, 512, 64):
+        tiles, _ = tiles_of(spark, seq, width)
+        got = {r["pos"]: r["base"] for r in pileup.bases_at(places, tiles, width).collect()}
+        assert got == {p: seq[p] for p in (0, 1, 511, 512, 1023, 4096, 4999)}
+
+
 def test_standard_code_where_the_surveyed_table_differs():
     at = {a + b + c: bases.AMINO_ACIDS[16 * i + 4 * j + k] for i, a in enumerate("TCAG") for j, b in enumerate("TCAG") for k, c in enumerate("TCAG")}
     assert at["CGA"] == at["CGG"] == "R"
