@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixframe.operators import kmer_index
@@ -26,6 +27,7 @@ PAD = 40
 WIDE_CAP = 5000
 WIDE_ANCHORS = 20_000
 COVERED = 0.6
+REFUSED = 0.66
 #: Extensions that are made together.
 TOGETHER = 512
 ALIGNED = "seq string, chrom string, pos long, minus boolean, cigar array<struct<op:string,n:int>>, score int, second int, mismatches int, edits_ag int, edits_tc int, mapq int, n_anchors int, margin string, origin string"
@@ -292,6 +294,53 @@ def pair_records(records: DataFrame, key: str = "template", slot: str = "slot")
     return t.select(key, F.explode(two).alias("r")).select(key, "r.*")
 
 
+def with_mates(records: DataFrame, tiles: DataFrame, width: int, keep: str | None = None) -> DataFrame:
+    """records (of to_records(), with template and slot) whose poor ones are looked for around their placed mates, and stand there if that explains more of them.
+
+    Poor records are unplaced, or explain under 0.7 of the read. A place is taken if it explains REFUSED of the read and its four-letter score is above 0 and above the old place's; its quality is
+    at most 20, as of any placement that seeds didn't find.
+    """
+    from helixframe.functions import cigar as cg
+    from helixframe.functions import dna
+    from helixframe.operators import evidence
+    from helixframe.operators.align import second_look
+
+    keep = keep or shared_path(records.sparkSession, "mates")
+    unplaced, minus = F.col("flag").bitwiseAND(4) != 0, F.col("flag").bitwiseAND(16) != 0
+    covered = cg.total(F.col("cigar"), "MI")
+    poor = records.filter(unplaced | (covered < evidence.COVERED * F.length("seq")))
+    sequenced = F.when(minus, dna.revcomp(F.col("seq"))).otherwise(F.col("seq"))
+    mates = records.filter(~unplaced & (F.col("mapq") > 0)).select("template", (3 - F.col("slot")).alias("slot"), F.col("chrom").alias("mate_chrom"), F.col("pos").alias("mate_pos"))
+    wanted = poor.select("ord", "template", "slot", sequenced.alias("seq")).join(mates, ["template", "slot"]).select("ord", "seq", "mate_chrom", "mate_pos")
+    found = written(second_look.mate_window(wanted, tiles, width).select("ord", F.col("chrom").alias("n_chrom"), F.col("pos").alias("n_pos"), F.col("minus").alias("n_minus"), F.col("cigar").alias("n_cigar")), f"{keep}/found")
+    j = records.join(found, "ord")
+    turn = minus != F.col("n_minus")
+    values = {
+        "flag": F.col("flag").bitwiseAND(~(4 | 16)).bitwiseOR(F.when(F.col("n_minus"), 16).otherwise(0)).cast("int"),
+        "seq": F.when(turn, dna.revcomp(F.col("seq"))).otherwise(F.col("seq")), "qual": F.when(turn, F.reverse("qual")).otherwise(F.col("qual")),
+        "chrom": F.col("n_chrom"), "pos": F.col("n_pos"), "cigar": F.col("n_cigar"), "margin": F.lit("mate"), "origin": F.when(F.col("n_chrom").startswith("decoy_"), "decoy").otherwise("genome"),
+    }
+    moved = recount(j.select(*[values[c].alias(c) if c in values else F.col(c) for c in records.columns]), tiles, width)
+
+    def score() -> Column:
+        wrong = F.coalesce(F.col("mismatches") + F.col("edits_ag") + F.col("edits_tc"), F.lit(0))
+        gaps = F.aggregate("cigar", F.lit(0), lambda a, x: a + F.when(x["op"].isin("I", "D"), k.OPEN + k.EXTEND * x["n"]).otherwise(0))
+        return k.MATCH * (cg.total(F.col("cigar"), "M") - wrong) + k.MISMATCH * wrong - gaps
+
+    old = records.select("ord", F.when(unplaced, 0).otherwise(score()).alias("old"))
+    odd = F.when(F.col("mismatches") > 2, F.col("mismatches") + F.col("edits_ag") + F.col("edits_tc")).otherwise(F.col("mismatches") + F.least("edits_ag", "edits_tc"))
+
+    def quality(score_: pd.Series, columns: pd.Series, matching: pd.Series, unexplained: pd.Series) -> pd.Series:
+        zero = np.zeros(len(score_), dtype=np.int64)
+        told = np.column_stack([score_, zero, score_, zero, zero + 11, columns, matching, unexplained, zero + 1, zero - 1])
+        return pd.Series(k.qualities(told)[0]).astype("int32")
+
+    own = F.pandas_udf(quality, "int")(score(), cg.total(F.col("cigar"), "MID"), cg.total(F.col("cigar"), "M"), odd)
+    better = moved.withColumns({"__score": score(), "__mapq": own}).join(old, "ord").filter((F.col("__score") > 0) & (F.col("__score") > F.col("old")) & (covered >= REFUSED * F.length("seq")))
+    better = written(better.select(*[F.col("__mapq").alias(c) if c == "mapq" else c for c in records.columns]), f"{keep}/better")
+    return records.join(better.select("ord"), "ord", "left_anti").unionByName(better)
+
+
 def recount(records: DataFrame, tiles: DataFrame, width: int) -> DataFrame:
     """records with mismatches, edits_ag, edits_tc and nm counted again along their operations; blocks meet the reference by tile join."""
     from helixframe.functions import cigar as cg

@@ -199,7 +199,8 @@ class Run:
         index = self.spark.read.parquet(index_path)
         records, _ = mapper.two_pass(reads, tiles, self.p.tile, library, keep=keep, kmer=self.p.kmer, w=self.p.window, index=index)
         if self.p.r2:
-            records = mapper.pair_records(records.withColumns({"template": F.floor(F.col("ord") / 2), "slot": F.pmod("ord", F.lit(2)).cast("int") + 1}))
+            records = records.withColumns({"template": F.floor(F.col("ord") / 2), "slot": F.pmod("ord", F.lit(2)).cast("int") + 1})
+            records = mapper.pair_records(mapper.with_mates(records, tiles, self.p.tile, f"{keep}/mates"))
         self.write("map", records)
         files.remove(index_path)
         files.remove(keep)

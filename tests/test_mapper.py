@@ -92,6 +92,25 @@ def test_rescue_on_the_minus_strand(spark):
     assert merged[1]["flag"] == 4 and merged[1]["re"] is None
 
 
+def test_poor_reads_are_found_around_their_mates(spark):
+    seq = dna(3000, 46)
+    tiles, width = tiles_of(spark, seq)
+    r = random.Random(8)
+    # a base in seven differs: no seed of eleven is left
+    broken = "".join(c if i % 7 else "ACGT"[("ACGT".index(c) + 1) % 4] for i, c in enumerate(seq[1400:1500]))
+    rows = [(0, "p", seq[1200:1300], "I" * 100), (1, "p", rc(broken), "I" * 100), (2, "q", seq[500:600], "I" * 100), (3, "q", "".join(r.choice("ACGT") for _ in range(100)), "I" * 100), (4, "s", rc(seq[2000:2100]), "I" * 100), (5, "s", seq[1900:2000], "I" * 100)]
+    records = mapper.to_records(mapper.align(spark.createDataFrame(rows, READS), tiles, width, kmer=11, w=5)).withColumns({"template": F.floor(F.col("ord") / 2), "slot": F.pmod("ord", F.lit(2)).cast("int") + 1})
+    before = {x["ord"]: x for x in records.collect()}
+    assert before[1]["flag"] == before[3]["flag"] == 4
+    out = mapper.with_mates(records, tiles, width)
+    assert out.columns == records.columns
+    got = {x["ord"]: x for x in out.collect()}
+    assert (got[1]["flag"], got[1]["chrom"], got[1]["margin"]) == (16, "chr1", "mate") and abs(got[1]["pos"] - 1400) <= 7 and 0 < got[1]["mapq"] <= 20
+    assert got[1]["seq"] == broken and got[1]["mismatches"] + got[1]["edits_ag"] + got[1]["edits_tc"] >= 12
+    assert all(got[i] == before[i] for i in (0, 2, 4, 5)) and len(got) == 6
+    assert got[3]["mapq"] <= 20
+
+
 def test_a_rescued_mate_is_known_to_the_other(spark):
     seq = dna(3000, 43)
     tiles, width = tiles_of(spark, seq)
