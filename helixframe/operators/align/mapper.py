@@ -398,6 +398,8 @@ def with_library(records: DataFrame, library: DataFrame, tiles: DataFrame, width
     """
     from helixframe.operators.align import second_look, splits
 
+    if library.isEmpty():
+        return records
     looks = [lambda r, f=f, side=side: f(r, library, tiles, width, side=side) for f in (second_look.clipped_tails, splits.short_exons, splits.run_through) for side in ("end", "start")]
     return looked_again(records, [*looks, lambda r: micro_deletions(r, library)], tiles, width, keep)
 
