@@ -247,6 +247,14 @@ def minimizers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads(spark, sf_dir).select("ord", F.explode(dna.minimizers_col(F.col("seq"), 15, 10)).alias("m")).select("ord", "m.kmer", "m.pos", "m.minus")
 
 
+@query(f"{_MIN} SELECT id AS ord, count(*) AS n, sum(kmer)::BIGINT AS kmers, sum(pos)::BIGINT AS places, count(*) FILTER (minus) AS n_minus FROM mins GROUP BY id")
+def minimizers_by_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number, sum of codes, sum of places and number on the minus strand of each read's minimizers: a row a read."""
+    m = reads(spark, sf_dir).select("ord", dna.minimizers_col(F.col("seq"), 15, 10).alias("m")).filter(F.size("m") > 0)
+    total = lambda f: F.aggregate("m", F.lit(0).cast("long"), lambda a, x: a + f(x))
+    return m.select("ord", F.size("m").cast("long").alias("n"), total(lambda x: x["kmer"]).alias("kmers"), total(lambda x: x["pos"]).alias("places"), total(lambda x: x["minus"].cast("long")).alias("n_minus"))
+
+
 @query(f"{_MIN}, n AS (SELECT kmer, count(*) AS n FROM mins GROUP BY kmer) SELECT n AS cutoff FROM n ORDER BY n DESC LIMIT 1 OFFSET (SELECT floor(count(*) * 0.01)::BIGINT FROM n)")
 def minimizer_frequency_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = reads(spark, sf_dir).select(F.explode(dna.minimizers_col(F.col("seq"), 15, 10)).alias("m")).select("m.kmer")
