@@ -25,10 +25,7 @@ def query(sql: str | None = None):
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Different reads of the synthetic alignments: lane, ord, mate, name, seq, qual."""
-    a = synth.alignments(spark, sf_dir)
-    qual = F.array_join(F.transform("qual", lambda q: F.char(q + 33)), "")
-    mate = F.when(F.col("flag").bitwiseAND(128) != 0, 2).otherwise(1)
-    return a.select(F.lit(0).alias("lane"), "ord", mate.alias("mate"), F.col("qname").alias("name"), "seq", qual.alias("qual")).distinct()
+    return synth.different_reads(spark, sf_dir)
 
 
 _BASES = f"""
