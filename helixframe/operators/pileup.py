@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from helixframe.functions import cigar as cg
 from helixframe.functions import dna
+from helixframe.operators import base_kernels
 
 # Fixed values of the evidence model.
 MIN_MAPQ = 20
@@ -104,6 +105,37 @@ def merge_templates(obs: DataFrame) -> DataFrame:
     return top.filter(agree).select("chrom", "pos", "template", r["bq"].alias("bq"), r["base"].alias("base"), *[r[c].alias(c) for c in ("mapq", "end_fraction", "orientation", "softclip_fraction", "gap_nearness")])
 
 
+#: Columns of an observation.
+OBSERVED = {"chrom": "string", "pos": "long", "template": "string", "bq": "int", "base": "string", "mapq": "double", "end_fraction": "double", "orientation": "int", "softclip_fraction": "double", "gap_nearness": "double"}
+
+
+def _quals() -> Column:
+    return F.arrow_udf(base_kernels.qual_bytes, "binary")("qual").alias("quals")
+
+
+def merged_observations(alignments: DataFrame, min_bq: int = MIN_BQ, columns: tuple[str, ...] = tuple(OBSERVED)) -> DataFrame:
+    """Some columns of merge_templates(observations(alignments)). Records of a template meet as records, in order of place, and are merged in their task: no single base is shuffled."""
+    size = F.length("seq")
+    reverse, last = F.col("flag").bitwiseAND(16) != 0, F.col("flag").bitwiseAND(128) != 0
+    reads = usable(alignments).filter((size > 0) & F.col("qual").isNotNull() & F.col("cigar").isNotNull()).select(
+        "chrom", F.concat(F.coalesce("rg", F.lit("")), F.lit("\x00"), dna.template_name(F.col("qname"))).alias("template"), F.col("pos").cast("long").alias("pos"), F.col("ord").cast("long").alias("ord"), "cigar", "seq", _quals(),
+        F.when(F.col("mapq") == 255, F.lit(float("nan"))).otherwise(F.col("mapq").cast("double")).alias("mapq"),
+        F.when(reverse != last, 1).otherwise(0).alias("orientation"),
+        (cg.total(F.col("cigar"), "S").cast("double") / F.greatest(size, F.lit(1))).alias("softclip_fraction"),
+    )
+    ordered = reads.repartition("chrom", "template").sortWithinPartitions("chrom", "template", "pos")
+    names = list(columns)
+    return ordered.mapInArrow(lambda batches: base_kernels.merge(batches, min_bq, names), ", ".join(f"{c} {OBSERVED[c]}" for c in names))
+
+
+def counted_bases(alignments: DataFrame, min_bq: int = MIN_BQ) -> DataFrame:
+    """base_counts(aligned_bases(alignments)): bases are counted within each batch of records before they are rows."""
+    reads = usable(alignments).filter(F.col("seq").isNotNull() & F.col("qual").isNotNull() & F.col("cigar").isNotNull()).select("chrom", F.col("pos").cast("long").alias("pos"), "cigar", "seq", _quals())
+    part = reads.mapInArrow(lambda batches: base_kernels.counts(batches, min_bq), "chrom string, pos long, a long, c long, g long, t long")
+    each = part.groupBy("chrom", "pos").agg(F.sum(F.col("a") + F.col("c") + F.col("g") + F.col("t")).alias("depth"), *[F.sum(b).alias(b) for b in "acgt"])
+    return each.select("chrom", "pos", "depth", *"acgt")
+
+
 def base_counts(bases: DataFrame) -> DataFrame:
     """chrom, pos, depth, a, c, g, t."""
     return bases.groupBy("chrom", "pos").agg(F.count("*").alias("depth"), *[F.count_if(F.col("base") == b).alias(b.lower()) for b in dna.BASES])
@@ -122,7 +154,7 @@ def candidates(counts: DataFrame, refs: DataFrame) -> DataFrame:
 
 def discover(alignments: DataFrame, refs: DataFrame) -> DataFrame:
     """The sites in order of chromosome name and position."""
-    return candidates(base_counts(aligned_bases(alignments)), refs).orderBy("chrom", "pos")
+    return candidates(counted_bases(alignments), refs).orderBy("chrom", "pos")
 
 
 def base_at(seq: Column, start: Column, pos: Column) -> Column:

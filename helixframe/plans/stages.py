@@ -218,7 +218,7 @@ class Run:
 
     def scan(self) -> None:
         _, tiles = self.reference()
-        counts = pileup.base_counts(pileup.aligned_bases(self.alignments()))
+        counts = pileup.counted_bases(self.alignments())
         sites = pileup.candidates(counts, pileup.bases_at(counts, tiles, self.p.tile))
         self.write("scan", sites.withColumn("ord", F.xxhash64("chrom", "pos")))
 
@@ -232,7 +232,7 @@ class Run:
 
         _, tiles = self.reference()
         model = trees.load_model(self.spark, self.p.model, n_trees=self.p.n_trees)
-        obs = pileup.merge_templates(pileup.observations(self.alignments()))
+        obs = pileup.merged_observations(self.alignments())
         alu = text.read_bed(self.spark, self.p.alu) if self.p.alu else None
         sites = self.listed_sites().select("ord", "chrom", "pos")
         around = sites.select("chrom", F.explode(F.sequence(F.greatest(F.col("pos") - 1 - features.RADIUS, F.lit(0)), F.col("pos") + features.RADIUS)).alias("pos")).distinct()
