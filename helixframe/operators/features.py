@@ -37,18 +37,6 @@ def _rate(a: Column, b: Column) -> Column:
     return F.when(b > 0, a / b).otherwise(_nan())
 
 
-def _means(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """ord and the mean of the finite values of each column, null without any.
-
-    Equal values are counted before they meet: a site of a million reads brings some thousands of different
-    values and counts, and these are summed in order of value, so partitions don't matter.
-    """
-    each = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)]))
-    counted = rows.select("ord", each.alias("x")).filter("x.v is not null and not isnan(x.v)").groupBy("ord", "x.i", "x.v").agg(F.count("*").alias("n"))
-    means = counted.groupBy("ord", "i").agg(_weighed(F.struct("v", "n")).alias("mean"))
-    return means.groupBy("ord").agg(*[F.max(F.when(F.col("i") == i, F.col("mean"))).alias(c) for i, c in enumerate(columns)])
-
-
 def _weighed(pair: Column) -> Column:
     """Mean of (v, n) pairs, summed in order of v; null without any."""
     r = F.array_sort(F.collect_list(pair))
@@ -72,27 +60,43 @@ def with_reference(sites: DataFrame, refs: DataFrame) -> DataFrame:
     )
 
 
-def own_features(sites: DataFrame, obs: DataFrame) -> DataFrame:
-    """Features of the site's own observations. sites: with_reference()."""
+#: Values of observations of the alternative base whose means are features.
+OF_ALT = ("mapq", "end_fraction", "softclip_fraction", "gap_nearness")
+
+
+def own_tallies(sites: DataFrame, obs: DataFrame) -> DataFrame:
+    """Different values of the sites' observations, counted: ord, kind (0 reference, 1 alternative, 2 other), i, v, orientation, n.
+
+    i 0 is the base quality, of each observation; 1 to 4 are OF_ALT, of the alternative base. One pass, counted before rows meet: a site of
+    a million observations has some thousands of different values.
+    """
     at = sites.select("ord", "chrom", "p0", "ref", "alt").join(obs.withColumnRenamed("pos", "p0"), ["chrom", "p0"])
-    alt, ref = F.col("base") == F.col("alt"), F.col("base") == F.col("ref")
-    kind = F.when(ref, 0).when(alt, 1).otherwise(2)
-    # multiplicities by class and quality first: their number has a bound, reads have none
-    by_quality = at.groupBy("ord", kind.alias("kind"), "bq").agg(F.count("*").alias("n"))
-    pair = lambda k: F.when(F.col("kind") == k, F.struct(F.col("bq").cast("double").alias("v"), "n"))
+    kind = F.when(F.col("base") == F.col("ref"), 0).when(F.col("base") == F.col("alt"), 1).otherwise(2)
+    value = lambda i, c: F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v"))
+    values = F.when(kind == 1, F.array(value(0, "bq"), *[value(i, c) for i, c in enumerate(OF_ALT, 1)])).otherwise(F.array(value(0, "bq")))
+    each = at.select("ord", kind.alias("kind"), "orientation", F.explode(values).alias("x")).filter("x.i = 0 or (x.v is not null and not isnan(x.v))")
+    return each.groupBy("ord", "kind", "x.i", "x.v", F.when(F.col("x.i") == 0, F.col("orientation")).otherwise(0).alias("orientation")).agg(F.count("*").alias("n"))
+
+
+def own_features(sites: DataFrame, obs: DataFrame, keep: str | None = None) -> DataFrame:
+    """Features of the site's own observations. sites: with_reference(). keep: where the tallies are written; by default a new path in the shared folder."""
+    t = written(own_tallies(sites, obs), keep or shared_path(obs.sparkSession, "tallies"))
+    # sums over counts of equal values in order of value, so partitions don't matter
+    by_quality = t.filter("i = 0").groupBy("ord", "kind", F.col("v").alias("bq")).agg(F.sum("n").alias("n"))
+    pair = lambda k: F.when(F.col("kind") == k, F.struct(F.col("bq").alias("v"), "n"))
     bayes = by_quality.groupBy("ord").agg(
         F.array_sort(F.collect_list(F.struct("kind", F.col("bq").cast("int").alias("bq"), "n"))).alias("counts"), _weighed(pair(1)).alias("alt_mean_bq"), _weighed(pair(0)).alias("ref_mean_bq")
     )
     bayes = bayes.select("ord", bayes_factors_col(F.col("counts")).alias("bf"), *[F.coalesce(F.col(c), _nan()).alias(c) for c in ("alt_mean_bq", "ref_mean_bq")])
-    n = lambda c: F.count_if(c).cast("double")
-    up, down = F.col("orientation") == 0, F.col("orientation") == 1
-    a = at.groupBy("ord").agg(
-        F.count("*").cast("double").alias("depth"), n(alt).alias("n_alt"), n(ref).alias("n_ref"),
+    n = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)).cast("double")
+    alt, ref, up, down = F.col("kind") == 1, F.col("kind") == 0, F.col("orientation") == 0, F.col("orientation") == 1
+    a = t.filter("i = 0").groupBy("ord").agg(
+        F.sum("n").cast("double").alias("depth"), n(alt).alias("n_alt"), n(ref).alias("n_ref"),
         n(alt & up).alias("a0"), n(alt & down).alias("a1"), n(ref & up).alias("r0"), n(ref & down).alias("r1"),
     )
-    of_alt = ["mapq", "end_fraction", "softclip_fraction", "gap_nearness"]
-    means = _means(at.filter(alt).select("ord", *of_alt), of_alt).withColumnsRenamed({c: f"alt_mean_{c}" for c in of_alt})
-    a = a.join(means, "ord", "left").withColumns({f"alt_mean_{c}": F.coalesce(F.col(f"alt_mean_{c}"), _nan()) for c in of_alt})
+    of = lambda i: F.when(F.col("i") == i, F.struct("v", "n"))
+    means = t.filter("i > 0").groupBy("ord").agg(*[_weighed(of(i)).alias(f"alt_mean_{c}") for i, c in enumerate(OF_ALT, 1)])
+    a = a.join(means, "ord", "left").withColumns({f"alt_mean_{c}": F.coalesce(F.col(f"alt_mean_{c}"), _nan()) for c in OF_ALT})
     half = lambda c: F.log(F.col(c) + 0.5)
     strand = F.when((F.col("n_alt") > 0) & (F.col("n_ref") > 0), F.abs(half("a0") - half("a1") - half("r0") + half("r1"))).otherwise(_nan())
     a = a.select(
@@ -111,7 +115,13 @@ def neighbour_counts(obs: DataFrame, refs: DataFrame) -> DataFrame:
 
 
 def neighbour_features(sites: DataFrame, obs: DataFrame, refs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Rates in the positions around each site, weighed by exp(-distance / radius); and how far templates repeat."""
+    """neighbour_rates(), and how far templates repeat."""
+    reuse = template_reuse(sites.select("ord", "chrom", "p0", "ref", "alt"), edited_observations(obs, refs), radius)
+    return neighbour_rates(sites, obs, refs, radius).join(reuse, "ord", "full")
+
+
+def neighbour_rates(sites: DataFrame, obs: DataFrame, refs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Rates in the positions around each site, weighed by exp(-distance / radius). obs: chrom, pos and base are enough."""
     own = sites.select("ord", "chrom", "p0", "ref", "alt")
     near = rangejoin.band(own, neighbour_counts(obs, refs).withColumnRenamed("base", "lr"), "p0", "pos", radius).filter("pos <> p0")
     pick = lambda base: F.expr(f"CASE {base} WHEN 'A' THEN n_A WHEN 'C' THEN n_C WHEN 'G' THEN n_G WHEN 'T' THEN n_T END")
@@ -126,9 +136,7 @@ def neighbour_features(sites: DataFrame, obs: DataFrame, refs: DataFrame, radius
     rows = by.groupBy("ord").agg(F.array_sort(F.collect_list(F.struct("d", "n", "other", "places", "same_n", "alt_n", "alt_places"))).alias("r"))
     total = lambda f: F.aggregate("r", F.lit(0.0), lambda a, x: a + F.exp(-x["d"].cast("double") / radius) * x[f])
     w = rows.select("ord", total("n").alias("wn"), total("other").alias("wo"), total("places").alias("wp"), total("same_n").alias("ws"), total("alt_n").alias("wa"), total("alt_places").alias("wap"))
-    w = w.select("ord", _rate(F.col("wa"), F.col("ws")).alias("neighbor_target_read_rate"), _rate(F.col("wap"), F.col("wp")).alias("neighbor_target_site_rate"), _rate(F.col("wo"), F.col("wn")).alias("neighbor_other_read_rate"), F.log1p("wp").alias("neighbor_log_opportunities"), F.log1p("ws").alias("neighbor_log_depth"))
-    reuse = template_reuse(own, edited_observations(obs, refs), radius)
-    return w.join(reuse, "ord", "full")
+    return w.select("ord", _rate(F.col("wa"), F.col("ws")).alias("neighbor_target_read_rate"), _rate(F.col("wap"), F.col("wp")).alias("neighbor_target_site_rate"), _rate(F.col("wo"), F.col("wn")).alias("neighbor_other_read_rate"), F.log1p("wp").alias("neighbor_log_opportunities"), F.log1p("ws").alias("neighbor_log_depth"))
 
 
 def edited_observations(obs: DataFrame, refs: DataFrame) -> DataFrame:
@@ -177,13 +185,17 @@ def around(rows: DataFrame, sites: DataFrame, radius: int) -> DataFrame:
 def features(sites: DataFrame, obs: DataFrame, refs: DataFrame, alu: DataFrame | None = None, radius: int = RADIUS, keep: str | None = None) -> DataFrame:
     """ord, chrom, pos, error (null, or why a site has no features), and the features as doubles.
 
-    keep: where the observations near sites are written, which four groups of features read; by default a new path in the shared folder.
+    keep: a folder for the sites and the tallies of observations; by default a new one in the shared folder. The observations themselves, a row a base, are written
+    nowhere: three groups of features make them anew, each of the columns that it needs.
     """
-    obs = written(around(obs, sites, radius), keep or shared_path(obs.sparkSession, "observations"))
-    refs = around(refs, sites, radius)
-    at = with_reference(sites, refs)
+    keep = keep or shared_path(obs.sparkSession, "tallies")
+    # read by every part; and Spark knows the sizes of tables, so it is these that it broadcasts, if any, not observations
+    sites = written(sites, f"{keep}/found")
+    obs = around(obs, sites, radius)
+    refs = written(around(refs, sites, radius), f"{keep}/refs")
+    at = written(with_reference(sites, refs), f"{keep}/sites")
     good = at.filter("alt is not null")
-    own, near = own_features(good, obs), neighbour_features(good, obs, refs, radius)
+    own, near = own_features(good, obs, f"{keep}/own"), neighbour_features(good, obs, refs, radius)
     if alu is None:
         flagged = good.withColumn("alu", F.lit(False))
     else:
