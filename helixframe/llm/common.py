@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -104,6 +105,14 @@ def keep_rows(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
     return out.select([F.col(f"`{c}`") for c in docs.columns])
 
 
+def trim() -> None:
+    """Gives what this worker's earlier tasks and stages no longer use back to the system: workers live on, and an executor's memory counts them all."""
+    pa.default_memory_pool().release_unused()
+    own = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if own:
+        own(0)
+
+
 def slices(texts: pa.Array, most: int) -> Iterator[tuple[int, pa.Array]]:
     """(place of the first text, some texts) over all texts, without null; a slice has about ``most`` bytes."""
     size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))

@@ -1,6 +1,7 @@
 """Near-dedup by exact shingle Jaccard similarity, for the pipeline.
 
 Two texts are linked if at least four fifths of the different shingles that either has are in both. Candidates
+are in one component of SimHash fingerprints, found by the generalised pigeonhole (``simhash.links``), or
 share a band of minima: BANDS bands of ROWS minima of the shingles' hashes, which a pair at
 0.8 misses once in 2 * 10^7 pairs (a closer pair less often). Buckets with the same
 members are one. Only texts in a bucket with another one get their shingles fetched; there the
@@ -13,17 +14,16 @@ Defined results: as in simhash; null and blank texts are copies of each other.
 
 from __future__ import annotations
 
-import ctypes
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import join_by_key, row_key, slices, written
+from helixframe.llm import simhash
+from helixframe.llm.common import join_by_key, row_key, slices, trim, written
 from helixframe.llm.graph import components
-from helixframe.llm.simhash import shingle_hashes
+from helixframe.llm.simhash import majority, shingle_hashes
 
 BANDS, ROWS = 32, 4
 BLOCK = 4096
@@ -77,17 +77,9 @@ def forest(nodes: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
     return out
 
 
-def _trim() -> None:
-    """Gives what this worker's earlier tasks and stages no longer use back to the system: workers live on, and an executor's memory counts them all."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim:
-        trim(0)
-
-
 def _links(batches):
     """Verified links of rows sorted by bucket (g): g, node, own. Sets are views of the batches' own bytes."""
-    _trim()
+    trim()
     now, nodes, sets = None, [], []
 
     def found(links: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -109,12 +101,20 @@ def _links(batches):
     if len(nodes) > 1:
         yield found(forest(nodes, sets))
     nodes, sets = [], []
-    _trim()
+    trim()
+
+
+def simhash_probes(nodes: DataFrame) -> DataFrame:
+    """node, size, h of the nodes (node, size, fp) whose fingerprint is others' too or links to another: a key for each component of fingerprints."""
+    fps = written(nodes.groupBy("fp").agg(F.count("*").alias("n")), "fingerprints")
+    roots = components(simhash.links(fps.select("fp"))).withColumnRenamed("node", "fp")
+    some = fps.join(roots, "fp", "left").filter("n > 1 or root is not null").select("fp", F.xxhash64(F.lit("simhash"), F.coalesce("root", "fp")).alias("h"))
+    return nodes.select("node", "size", "fp").join(some, "fp").select("node", "size", "h")
 
 
 def links(nodes: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
-    """Links (a, b) that connect all similar texts. nodes: node, digest, size, keys, a row for each text; texts: digest, text."""
-    probes = nodes.select("node", "size", F.explode("keys").alias("h"))
+    """Links (a, b) that connect all similar texts. nodes: node, digest, size, keys, fp, a row for each text; texts: digest, text."""
+    probes = nodes.select("node", "size", F.explode("keys").alias("h")).unionByName(written(simhash_probes(nodes), "simhash-probes"))
     met = probes.groupBy("h").agg(F.count("*").alias("n"), F.sum("size").alias("total"), F.bit_xor(F.xxhash64("node")).alias("x"), F.min("node").alias("low"), F.max("node").alias("high"))
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(8 * F.col("total") / BYTES)).cast("int")
     met = met.filter("n > 1").select("h", F.xxhash64("n", "total", "x", "low", "high").alias("g"), blocks.alias("blocks"))
@@ -124,7 +124,7 @@ def links(nodes: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     each = texts.join(F.broadcast(live) if few else live, "digest").groupBy("node").agg(F.first("text").alias("text"))
 
     def hashes(batches):
-        _trim()
+        trim()
         for b in batches:
             for first, some in slices(b.column("text").cast(pa.string()), SLICE_BYTES):
                 own = [shingles(t, shingle).tobytes() for t in some.to_pylist()]
@@ -147,17 +147,21 @@ def groups(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text_col:
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), *row_key(docs), F.unhex(F.md5(text)).alias("digest"), text.alias("text"))
 
     def sketch(batches):
-        _trim()
+        trim()
         for b in batches:
             for first, some in slices(b.column("text").cast(pa.string()), SLICE_BYTES):
-                own = [shingles(t, shingle) for t in some.to_pylist()]
+                own, fps = [], []
+                for t in some.to_pylist():
+                    h = shingle_hashes(t, shingle)
+                    own.append(np.unique(h))
+                    fps.append(majority(h))
                 keys = pa.array([np.array(bands(x), dtype=np.uint64).view(np.int64) for x in own], pa.list_(pa.int64()))
                 rest = [b.column(c).slice(first, len(own)) for c in ("doc_id", "__k1", "__k2", "digest")]
-                yield pa.record_batch([*rest, pa.array([len(x) for x in own], pa.int64()), keys], names=["doc_id", "__k1", "__k2", "digest", "size", "keys"])
+                yield pa.record_batch([*rest, pa.array([len(x) for x in own], pa.int64()), keys, pa.array(np.array(fps, dtype=np.uint64).view(np.int64))], names=["doc_id", "__k1", "__k2", "digest", "size", "keys", "fp"])
 
-    rows = written(src.mapInArrow(sketch, "doc_id long, __k1 long, __k2 long, digest binary, size long, keys array<long>"), "sketches")
+    rows = written(src.mapInArrow(sketch, "doc_id long, __k1 long, __k2 long, digest binary, size long, keys array<long>, fp long"), "sketches")
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__k1", "__k2")
-    nodes = rows.groupBy("digest").agg(F.min(first).alias("least"), F.count("*").alias("n"), F.first("size").alias("size"), F.first("keys").alias("keys"))
+    nodes = rows.groupBy("digest").agg(F.min(first).alias("least"), F.count("*").alias("n"), F.first("size").alias("size"), F.first("keys").alias("keys"), F.first("fp").alias("fp"))
     nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "texts")
     roots = components(links(nodes, src.select("digest", "text"), shingle))
     rooted = written(nodes.select("node", "digest", "least", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import slices, written
+from helixframe.llm.common import slices, trim, written
 from helixframe.llm.tokens import SLICE_BYTES, default_path, word_tokens
 
 SEQUENCE = 4096
@@ -56,6 +56,7 @@ def token_pieces(docs: DataFrame, path: str, end_id: int, id_col: str, text_col:
     """doc_id, doc_tokens and the CRC-32 of each piece: of full sequences, and of the remainder's pieces for each of CUTS."""
 
     def pieces(batches):
+        trim()  # before the tokenizer comes on top of what earlier stages left
         tokens = word_tokens(path)
         end = np.array([end_id], dtype="<u2")
         for b in batches:
@@ -69,6 +70,7 @@ def token_pieces(docs: DataFrame, path: str, end_id: int, id_col: str, text_col:
                     full.append(f)
                     rest.append(r)
                 yield pa.record_batch([b.column("doc_id").slice(first, len(n)), pa.array(n, pa.int64()), pa.array(full, pa.list_(pa.int64())), pa.array(rest, pa.list_(pa.list_(pa.int64())))], names=["doc_id", "doc_tokens", "full", "rest"])
+            trim()
 
     rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(pieces, "doc_id string, doc_tokens long, full array<long>, rest array<array<long>>")

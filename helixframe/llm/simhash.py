@@ -56,7 +56,11 @@ def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
     """SimHash of the text: a bit is set if it is in over half the shingles' XXH64 (seed 42)."""
-    h = shingle_hashes(text, shingle)
+    return majority(shingle_hashes(text, shingle))
+
+
+def majority(h: np.ndarray) -> int:
+    """The bits that are set in over half the hashes; 0 of none."""
     if not len(h):
         return 0
     total = np.zeros(BITS, dtype=np.int64)
@@ -263,7 +267,8 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group stays: that with the smallest id (null ids last); links of a five-word Jaccard similarity of 0.8 or more, which 64 bits can't tell.
+    """One row of each group stays: that with the smallest id (null ids last). Texts that SimHash links by the generalised pigeonhole, as in op4, and
+    those of a band of minima, since 64 bits lose most pairs at 0.8, are linked if their five-word Jaccard similarity is 0.8 or more, counted exactly.
 
     Rows are judged one by one: rows that share an id but no text are different documents, null and
     blank texts are copies of each other, of equal rows one stays, an empty table gives no rows.

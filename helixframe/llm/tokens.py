@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from helixframe.llm.common import slices
 
 #: Bytes that the memo of a Python worker may take, in two generations: words not met during a whole generation are forgotten.
-MEMO_BYTES = 96_000_000
+MEMO_BYTES = 48_000_000
 #: What an entry of the memo takes besides its word and ids: two objects and a place in a table.
 ENTRY_BYTES = 160
 #: UTF-8 bytes of the texts whose words are looked up together; a longer text is a slice of its own.

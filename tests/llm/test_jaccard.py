@@ -47,3 +47,13 @@ def test_every_pair_from_four_fifths_on(spark, sf, monkeypatch, block, few):
     kept = [x["doc_id"] for x in simhash.stage(spark, docs(spark, rows), sf).collect()]
     assert sorted(kept) == sorted(set(least.values()))
     assert jaccard.near_duplicates(docs(spark, rows).limit(0)).count() == 0
+
+
+def test_simhash_brings_candidates(spark, monkeypatch):
+    """Without any band of minima, fingerprints alone bring near copies together, and the exact count drops what isn't similar."""
+    words = [f"w{i}" for i in range(400)]
+    other = [f"v{i}" for i in range(400)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words, "x"])), (3, " ".join(other)), (4, " ".join(["y", *other])), (5, " ".join(words[:200] + other[200:]))]
+    monkeypatch.setattr(jaccard, "bands", lambda own: [])
+    got = dict(map(tuple, jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert got == {1: 1, 2: 1, 3: 3, 4: 3, 5: 5}
