@@ -9,11 +9,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.functions import dna, trim
+from helixframe.functions import dna, trim, trim_batches
 from helixframe.functions.numeric import ratio
 
 # The adapters that are always looked for, by mate.
@@ -21,6 +24,8 @@ ADAPTERS_1 = ["AGATCGGAAGAGCACACGTCTGAACTCCAGTCA", "CTGTCTCTTATACACATCT"]
 ADAPTERS_2 = ["AGATCGGAAGAGCGTCGTGTAGGGAAAGAGTGT", "CTGTCTCTTATACACATCT"]
 PRESCAN = 10_000
 DETECT = 5_000
+#: Codes of qualities below 15.
+_LOW = "".join(map(chr, range(1, 48)))
 
 
 @dataclass
@@ -112,17 +117,51 @@ TRIMMED = "lane int, ord long, mate int, name string, seq string, qual string, b
 
 
 def trim_single(reads: DataFrame, o: Options, instrument: str | None, adapters: list[str]) -> DataFrame:
+    """Fixed, quality, poly-G and adapter trims in turn, each over a batch of reads."""
     poly_g = o.poly_g == "on" or o.poly_g == "auto" and instrument is not None
 
-    def run(frames):
-        for f in frames:
-            rows = []
-            for r in f.itertuples(index=False):
-                seq, qual, q, g, a = _end(r.seq, r.qual, o.front_1, o.tail_1, o, poly_g, adapters)
-                rows.append((r.lane, r.ord, r.mate, r.name, seq, qual, q, g, max(a, 0), a >= 0))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in TRIMMED.split(", ")])
-
-    return reads.select("lane", "ord", "mate", "name", "seq", "qual").mapInPandas(run, TRIMMED)
+    def run(batches):
+        for b in batches:
+            seq, qual = b.column("seq"), b.column("qual")
+            by_q, by_g = np.zeros(b.num_rows, dtype=np.int64), np.zeros(b.num_rows, dtype=np.int64)
+            if o.front_1 or o.tail_1:
+                size = pc.utf8_length(seq).to_numpy(zero_copy_only=False)
+                start = np.minimum(o.front_1, size)
+                stop = np.maximum(start, size - o.tail_1)
+                seq, qual = _first(seq, stop, start), _first(qual, stop, start)
+            if o.quality_trim:
+                keep = trim_batches.quality_keep(qual, o.quality_cutoff).to_numpy(zero_copy_only=False)
+                by_q = pc.utf8_length(seq).to_numpy(zero_copy_only=False) - keep
+                seq, qual = _first(seq, keep), _first(qual, keep)
+            if poly_g:
+                keep = trim_batches.poly_g_keep(seq).to_numpy(zero_copy_only=False)
+                by_g = pc.utf8_length(seq).to_numpy(zero_copy_only=False) - keep
+                seq, qual = _first(seq, keep), _first(qual, keep)
+            hit = np.zeros(b.num_rows, dtype=bool)
+            by_a = np.zeros(b.num_rows, dtype=np.int64)
+            if adapters:
+                size = pc.utf8_length(seq).to_numpy(zero_copy_only=False)
+                cut = trim_batches.adapters_keep(seq, adapters)
+                hit = pc.is_valid(cut).to_numpy(zero_copy_only=False)
+                keep = np.where(hit, pc.fill_null(cut, 0).to_numpy(zero_copy_only=False), size)
+                by_a = size - keep
+                seq, qual = _first(seq, keep), _first(qual, keep)
+            yield pa.record_batch([b.column("lane"), b.column("ord"), b.column("mate"), b.column("name"), seq, qual, *[pa.array(x.astype(np.int64)) for x in (by_q, by_g, by_a)], pa.array(hit)], names=[c.split()[0] for c in TRIMMED.split(", ")])
+
+    return reads.select("lane", "ord", "mate", "name", "seq", "qual").mapInArrow(run, TRIMMED)
+
+
+def _first(texts: pa.Array, stop: np.ndarray, start: np.ndarray | None = None) -> pa.Array:
+    """Letters from start (or the first) up to stop of each text."""
+    start = np.zeros(len(texts), dtype=np.int64) if start is None else start
+    if len(texts) == 0 or pc.any(pc.not_equal(pc.binary_length(texts), pc.utf8_length(texts))).as_py():
+        return pa.array([t[i:j] for t, i, j in zip(texts.to_pylist(), start.tolist(), stop.tolist())], pa.string())
+    data, at = trim_batches._bytes(texts)
+    low, high = np.minimum(at[:-1] + start, at[1:]), np.minimum(at[:-1] + stop, at[1:])
+    n = np.maximum(high - low, 0)
+    ends = np.concatenate(([0], np.cumsum(n)))
+    own = np.repeat(low - ends[:-1], n) + np.arange(ends[-1])
+    return pa.StringArray.from_buffers(len(texts), pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data[own]))
 
 
 def trim_pairs(reads: DataFrame, o: Options, instrument: str | None) -> DataFrame:
@@ -157,7 +196,7 @@ def trim_pairs(reads: DataFrame, o: Options, instrument: str | None) -> DataFram
 def fail_reason(seq: Column, qual: Column, adapter_hit: Column, o: Options) -> Column:
     """The first reason to drop an end: too short (or nothing but adapter), too many N, low quality; null to keep it."""
     n = F.length(seq) - F.length(F.translate(seq, "Nn", ""))
-    low = F.size(F.filter(F.split(qual, ""), lambda c: (c != "") & (F.ascii(c) < 48)))
+    low = F.length(qual) - F.length(F.translate(qual, _LOW, ""))
     return (
         F.when((F.length(seq) < o.min_length) & (F.length(seq) == 0) & adapter_hit, "adapter_only")
         .when(F.length(seq) < o.min_length, "too_short")

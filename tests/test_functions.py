@@ -163,3 +163,52 @@ def test_trees(spark):
         trees.parse_model(MODEL, 2)
     got = spark.createDataFrame([([0.0, 1.0],)], "f array<float>").select(trees.score_col(F.col("f"), m)).first()[0]
     assert got == pytest.approx(1 / (1 + np.exp(-1.25)))
+
+
+def test_trims_of_batches_equal_those_of_single_reads(monkeypatch):
+    import random
+
+    import pyarrow as pa
+
+    from helixframe.functions import trim_batches
+
+    monkeypatch.setattr(trim_batches, "CELLS", 1 << 10)  # many blocks
+    r = random.Random(5)
+    some = lambda n: "".join(r.choice("ACGTacgN") for _ in range(n))
+    adapters = ["AGATCGGAAGAGCACACGTCTGAACTCCAGTCA", "CTGTCTCTTATACACATCT"]
+
+    def read():
+        s, a = some(r.randrange(70)), list(r.choice(adapters))
+        for _ in range(r.randrange(4)):
+            a[r.randrange(len(a))] = r.choice("ACGT")
+        kind, at = r.randrange(7), r.randrange(1, len(a))
+        a[at : at + (kind == 1)] = ["A"] if kind == 0 else []
+        tail = "".join(r.choice("GGGGGGGA") for _ in range(r.randrange(40)))
+        return [s[:40] + "".join(a)[r.randrange(4) :]] * 3 + [s + tail, s, "é" + s, None] if kind < 3 else [s[: r.randrange(6)]]
+
+    seqs = [s for _ in range(300) for s in read()]
+    quals = [s and "".join(chr(33 + r.randrange(42)) for _ in s) for s in seqs]
+    each = lambda f, rows: [None if x is None else f(x) for x in rows]
+    text = lambda rows: pa.array(rows, pa.string())
+    assert trim_batches.quality_keep(text(quals), 20).to_pylist() == each(lambda q: trim.quality_keep(q, 20), quals)
+    assert trim_batches.poly_g_keep(text(seqs)).to_pylist() == each(trim.poly_g_keep, seqs)
+    for table in (adapters, ["ACGT"], ["ACGTACG", "TTAGGCATC"], ["ACG"], []):
+        want = [None if x is None or x < 0 else x for x in each(lambda s, t=table: trim.adapters_cut(s, t), seqs)]
+        assert trim_batches.adapters_keep(text(seqs), table).to_pylist() == want
+    mates = [s and (some(r.randrange(5)) + s[::-1].translate(str.maketrans("ACGTacgt", "TGCAtgca")) + some(r.randrange(5)))[: r.randrange(20, 90)] for s in seqs]
+    found = [(x["offset"], x["length"]) if x else None for x in trim_batches.overlap(text(seqs), text(mates)).to_pylist()]
+    assert found == [(None, None) if s is None or trim.overlap(s, m) is None else trim.overlap(s, m) for s, m in zip(seqs, mates)]
+
+
+def test_single_ends_are_trimmed_as_read_by_read(spark):
+    from helixframe.operators import qc
+
+    a = qc.ADAPTERS_1[0]
+    seqs = ["ACGTTGCAAC" * 3 + a[:20], "acgtacgtac" + "G" * 25, "ACGT" * 12, "AC", "", a[3:] + "ACGT", "ACéGT" * 8]
+    rows = [(0, i, 1, f"r{i}", s, "".join(chr(33 + (i * 7 + j * 3) % 41) for j in range(len(s)))) for i, s in enumerate(seqs)]
+    o = qc.Options(quality_trim=True, poly_g="on", front_1=2, tail_1=1)
+    got = {r["ord"]: r for r in qc.trim_single(spark.createDataFrame(rows, "lane int, ord long, mate int, name string, seq string, qual string"), o, None, qc.ADAPTERS_1).collect()}
+    for _, i, _, _, s, q in rows:
+        want = qc._end(s, q, 2, 1, o, True, qc.ADAPTERS_1)
+        g = got[i]
+        assert (g["seq"], g["qual"], g["by_quality"], g["by_poly_g"], g["by_adapter"], g["adapter_hit"]) == (*want[:4], max(want[4], 0), want[4] >= 0)
