@@ -8,7 +8,7 @@ from test_align import dna
 
 from helixframe import api
 from helixframe.functions import cigar as cg
-from helixframe.operators import evidence
+from helixframe.operators import evidence, kmer_index
 from helixframe.operators.align import kernels as k
 from helixframe.operators.align import second_look as sl
 
@@ -112,3 +112,42 @@ def test_placement_scores_follow_the_rules():
     assert k.unexplained(p) == 6 and p.columns() == (80, 78)
     p.mismatches = 1
     assert k.unexplained(p) == 2
+
+
+def test_edit_distances_of_many_equal_those_of_one():
+    r = random.Random(11)
+    some = lambda n: "".join(r.choice("ACGTacgN") for _ in range(n))
+    for longest in (50, 64, 65, 200):
+        reads = [some(r.randrange(longest + 1)) for _ in range(60)] + [some(longest)]
+        refs = [some(r.randrange(90)) + x[: r.randrange(len(x) + 1)] + some(r.randrange(3)) + x[len(x) // 2 :] + some(r.randrange(90)) for x in reads]
+        for direction in ("", "A", "both"):
+            d, end = k.edit_infixes(reads, refs, direction)
+            assert list(zip(d.tolist(), end.tolist())) == [k.edit_infix(x, y, direction) for x, y in zip(reads, refs)]
+    assert [x.tolist() for x in k.edit_infixes([], [])] == [[], []]
+
+
+def test_mate_windows_are_fetched_once_and_looked_at_together(spark, monkeypatch):
+    r = random.Random(12)
+    seq = "".join(r.choice("ACGT") for _ in range(6000))
+    tiles = spark.createDataFrame([("chr1", i, seq[i : i + 500]) for i in range(0, 6000, 500)], "chrom string, start long, seq string")
+    rows = [(i, seq[3000 + 7 * (i % 20) : 3060 + 7 * (i % 20)], "chr1", 2700) for i in range(200)]
+    rows += [(200, "A" * 60, "chr1", 2700), (201, seq[3100:3160], "chr1", 5900), (202, "ACGT" * 70, "chr1", 2700)]
+    asked, fetch = [], sl.tile_sequences
+    monkeypatch.setattr(sl, "tile_sequences", lambda w, *a: asked.append(w.count()) or fetch(w, *a))
+    got = {x["ord"]: (x["pos"], x["minus"], x["distance"]) for x in sl.mate_window(spark.createDataFrame(rows, "ord long, seq string, mate_chrom string, mate_pos long"), tiles, 500).collect()}
+    assert asked == [2]  # not a window a read
+    assert all(got[i] == (3000 + 7 * (i % 20), False, 0) for i in range(200))
+    assert 202 not in got and got.get(201, (0, False, 1))[2] > 0
+
+
+def test_equal_reads_are_placed_on_transcripts_once(spark, monkeypatch):
+    r = random.Random(13)
+    seq = "".join(r.choice("ACGT") for _ in range(3000))
+    tiles = spark.createDataFrame([("chr1", i, seq[i : i + 500]) for i in range(0, 3000, 500)], "chrom string, start long, seq string")
+    tx = spark.createDataFrame([("t1", "chr1", False, [(500, 700), (900, 1200)])], "name string, chrom string, minus boolean, exons array<struct<s:long,e:long>>")
+    reads = spark.createDataFrame([(i, seq[660:700] + seq[900:940]) for i in range(50)] + [(50, "ACGT" * 20), (51, ""), (52, None)], "read long, seq string")
+    seen, hits = [], kmer_index.transcript_hits
+    monkeypatch.setattr(kmer_index, "transcript_hits", lambda r, *a: seen.append(r.count()) or hits(r, *a))
+    got = sl.transcript_candidates(reads, tx, tiles, 500, kmer=13).collect()
+    assert seen == [2]
+    assert sorted(x["read"] for x in got) == list(range(50)) and {(x["pos"], x["distance"]) for x in got} == {(660, 0)}
