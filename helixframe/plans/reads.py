@@ -204,8 +204,7 @@ c AS (SELECT ord, i, kmer, least(kmer, translate(reverse(kmer), 'ACGT', 'TGCA'))
 
 @query(f"{_KMERS} SELECT canon AS kmer, count(*) AS n FROM c GROUP BY canon")
 def kmer_canonical_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = reads(spark, sf_dir).select(F.explode(dna.kmers(F.col("seq"), 15)).alias("x"))
-    return k.groupBy(dna.canonical(F.col("x.kmer")).alias("kmer")).agg(F.count("*").alias("n"))
+    return dna.kmer_counts(reads(spark, sf_dir), 15)
 
 
 @query(f"{_BASES}, k AS (SELECT substr(seq, 10 + i + 1, 12) AS kmer, count(*) AS n FROM seqs, (SELECT unnest(range(0, 29)) AS i) GROUP BY ALL) SELECT kmer, n FROM k ORDER BY n DESC, kmer LIMIT 1")
@@ -241,7 +240,7 @@ _MIN = f"""{_BASES}, named AS (SELECT ord AS id, seq FROM seqs), {_minimizers_sq
 @query(f"{_MIN} SELECT id AS ord, kmer, pos, minus FROM mins")
 def minimizers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Minimizers of the reads, k 15 and w 10."""
-    return reads(spark, sf_dir).select("ord", F.explode(dna.minimizers_col(F.col("seq"), 15, 10)).alias("m")).select("ord", "m.kmer", "m.pos", "m.minus")
+    return dna.minimizer_rows(reads(spark, sf_dir), "ord", 15, 10).drop("size")
 
 
 @query(f"{_MIN} SELECT id AS ord, count(*) AS n, sum(kmer)::BIGINT AS kmers, sum(pos)::BIGINT AS places, count(*) FILTER (minus) AS n_minus FROM mins GROUP BY id")
@@ -254,7 +253,7 @@ def minimizers_by_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{_MIN}, n AS (SELECT kmer, count(*) AS n FROM mins GROUP BY kmer) SELECT n AS cutoff FROM n ORDER BY n DESC LIMIT 1 OFFSET (SELECT floor(count(*) * 0.01)::BIGINT FROM n)")
 def minimizer_frequency_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = reads(spark, sf_dir).select(F.explode(dna.minimizers_col(F.col("seq"), 15, 10)).alias("m")).select("m.kmer")
+    m = dna.minimizer_rows(reads(spark, sf_dir), "ord", 15, 10).select("kmer")
     return spark.createDataFrame([(kmer_index.frequency_cutoff(m, 0.01),)], "cutoff long")
 
 
@@ -269,8 +268,7 @@ def seed_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reads' minimizers joined to the reference's."""
     index = kmer_index.minimizer_index(synth.tiles(spark), 500, 11, 5)
     r = reads(spark, sf_dir).select(F.col("ord").alias("read"), "seq")
-    a = kmer_index.anchors(r, index, 11, 5)
-    return a.groupBy("read", "chrom", "minus").agg(F.count("*").alias("n"), F.min("rpos").alias("first"), F.max("rpos").alias("last"))
+    return kmer_index.anchor_spans(r, index, 11, 5)
 
 
 @query(

@@ -212,3 +212,21 @@ def test_single_ends_are_trimmed_as_read_by_read(spark):
         want = qc._end(s, q, 2, 1, o, True, qc.ADAPTERS_1)
         g = got[i]
         assert (g["seq"], g["qual"], g["by_quality"], g["by_poly_g"], g["by_adapter"], g["adapter_hit"]) == (*want[:4], max(want[4], 0), want[4] >= 0)
+
+
+def test_kmers_are_told_as_rows_of_codes(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    r = random.Random(3)
+    rows = [(i, "".join(r.choice("ACGTacgN") for _ in range(r.randrange(60)))) for i in range(50)] + [(50, None), (51, ""), (52, "ACGT" * 10), (53, "T" * 40)]
+    d = spark.createDataFrame(rows, "read long, seq string")
+    x = d.select("read", F.explode(dna.kmers(F.col("seq"), 15)).alias("x"))
+    canon = dna.canonical(F.col("x.kmer"))
+    want = sorted(map(tuple, x.select("read", canon, "x.pos", canon != F.col("x.kmer")).collect()))
+    got = dna.minimizer_rows(d, "read", 15, 1)
+    assert sorted(map(tuple, got.select("read", dna.kmer_text(F.col("kmer"), 15), "pos", "minus").collect())) == want
+    assert sorted(map(tuple, dna.kmer_counts(d, 15).collect())) == sorted(map(tuple, x.groupBy(canon).count().collect()))
+    each = sorted((i, k, p, m) for i, s in rows for k, p, m in dna.minimizers(s or "", 5, 4))
+    assert sorted(map(tuple, dna.minimizer_rows(d, "read", 5, 4).drop("size").collect())) == each

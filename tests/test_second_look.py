@@ -151,3 +151,16 @@ def test_equal_reads_are_placed_on_transcripts_once(spark, monkeypatch):
     got = sl.transcript_candidates(reads, tx, tiles, 500, kmer=13).collect()
     assert seen == [2]
     assert sorted(x["read"] for x in got) == list(range(50)) and {(x["pos"], x["distance"]) for x in got} == {(660, 0)}
+
+
+def test_spans_of_anchors_need_no_row_an_anchor(spark):
+    r = random.Random(14)
+    unit = "".join(r.choice("ACGT") for _ in range(60))
+    seq = unit * 20 + "".join(r.choice("ACGT") for _ in range(800))
+    tiles = spark.createDataFrame([("chr1", i, seq[i : i + 500]) for i in range(0, 2000, 500)], "chrom string, start long, seq string")
+    index = kmer_index.minimizer_index(tiles, 500, 11, 5)
+    reads = spark.createDataFrame([(0, seq[100:180]), (1, seq[1500:1580]), (2, seq[100:180][::-1].translate(str.maketrans("ACGT", "TGCA"))), (3, unit * 3), (4, "")], "read long, seq string")
+    a = kmer_index.anchors(reads, index, 11, 5)
+    want = a.groupBy("read", "chrom", "minus").agg(F.count("*").alias("n"), F.min("rpos").alias("first"), F.max("rpos").alias("last"))
+    got = kmer_index.anchor_spans(reads, index, 11, 5)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() < a.count() / 10
