@@ -280,24 +280,29 @@ def run_through(records: DataFrame, library: DataFrame, tiles: DataFrame, width:
     r = records.filter((F.size("cigar") >= 1) & (block["op"] == "M"))
     edge = (cg.ref_end(F.col("pos"), F.col("cigar")) if at_end else F.col("pos")).cast("long")
     r = r.select("ord", "chrom", "pos", "cigar", "seq", edge.alias("edge"), block["n"].alias("block"))
+    r = r.withColumn("told", (F.right("seq", F.col("block")) if at_end else F.reverse(F.left("seq", F.col("block")))))
+    # equal blocks of one place are looked at once; the reference under a block and behind an intron is fetched once each, so a pair of both is never shuffled
+    place = ["chrom", "edge", "block"]
+    under = _texts(r.select(*place).distinct(), place, "under", F.col("edge") - (F.col("block") if at_end else 0), F.col("edge") + (0 if at_end else F.col("block")), tiles, width, side)
+    blocks = r.select(*place, "told").distinct().join(under, place)
     # an intron whose near side lies within the block
     low, high = (F.col("edge") - F.col("block") + 1, F.col("edge")) if at_end else (F.col("edge") + 1, F.col("edge") + F.col("block"))
-    spans = r.select("ord", "chrom", "edge", "block", low.alias("lo"), high.alias("hi"))
+    spans = blocks.withColumns({"lo": low, "hi": high})
     a, b = ("start", "end") if at_end else ("end", "start")
     size = sign * (F.col("b") - F.col("a"))
     known = library.select("chrom", F.col(a).alias("a"), F.col(b).alias("b")).distinct().filter((size >= SHORTEST) & (size <= LONGEST))
-    hits = points_in_intervals(known, spans, "a", start="lo", end="hi", width=512)
-    hits = hits.withColumn("n", (sign * (F.col("edge") - F.col("a"))).cast("int"))
-    text = F.right("seq", F.col("n")) if at_end else F.reverse(F.left("seq", F.col("n")))
-    j = hits.join(r.select("ord", "seq"), "ord").select("ord", "chrom", "a", "b", "n", letters(text).alias("out"))
-    key = ["ord", "chrom", "a", "b"]
-    for name, c in (("here", "a"), ("there", "b")):
-        j = _texts(j, key, name, F.col(c) - (0 if at_end else F.col("n")), F.col(c) + (F.col("n") if at_end else 0), tiles, width, side)
-    j = j.filter((F.length("here") == F.col("n")) & (F.length("there") == F.col("n")))
-    j = j.withColumn("wrong", _differ(F.col("out"), letters(F.col("there"))))
-    j = j.filter((F.col("wrong") < _differ(F.col("out"), letters(F.col("here")))) & (F.col("wrong") <= F.floor(F.col("n") / 5)))
-    best = j.groupBy("ord").agg(F.min_by(F.struct("a", "b", "n", "wrong"), F.struct("wrong", size.alias("s"), "a", "b")).alias("x")).select("ord", "x.*")
-    out = r.join(best, "ord")
+    longest = r.agg(F.coalesce(F.max("block"), F.lit(1)).alias("most")).first()["most"]
+    ends = known.select("chrom", "b").distinct()
+    behind = _texts(ends, ["chrom", "b"], "behind", F.col("b") - (0 if at_end else longest), F.col("b") + (longest if at_end else 0), tiles, width, side)
+    hits = points_in_intervals(known.join(behind, ["chrom", "b"]), spans, "a", start="lo", end="hi", width=64)
+    n = (sign * (F.col("edge") - F.col("a"))).cast("int")
+    # bases that stand under the block's end, short at a contig's end
+    j = hits.withColumn("n", n).filter((F.length("behind") >= F.col("n")) & (F.length("under") == F.col("block")))
+    out = F.right("told", F.col("n"))
+    j = j.withColumn("wrong", differences(out, F.left("behind", F.col("n")))).filter(F.col("wrong") <= F.floor(F.col("n") / 5))
+    j = j.filter(F.col("wrong") < differences(out, F.right("under", F.col("n"))))
+    best = j.groupBy(*place, "told").agg(F.min_by(F.struct("a", "b", "n", "wrong"), F.struct("wrong", size.alias("s"), "a", "b")).alias("x")).select(*place, "told", "x.*")
+    out = r.join(best, [*place, "told"])
     new = _stitched(F.col("cigar"), F.col("block") - F.col("n"), [(size, F.col("n"))], at_end, clip=0)
     pos = F.col("pos") if at_end else F.col("b") - F.col("n")
     return out.select("ord", pos.cast("long").alias("pos"), new.alias("cigar"), "wrong")

@@ -153,3 +153,25 @@ def test_reads_over_several_introns_are_mapped(spark, introns):
     got = told(out.filter("chrom is not null").select("ord", "pos", "cigar"))
     right = sum(got.get(i) == want[i][:2] for i in want)
     assert right >= 36
+
+
+def test_run_through_fetches_texts_of_blocks_and_introns_not_of_their_pairs(spark, monkeypatch):
+    seq = dna(3000, 21)
+    tiles, width = tiles_of(spark, seq, 512)
+    introns = [(1000 + i % 20, 1500 + 40 * (i // 20)) for i in range(400)]
+    library = spark.createDataFrame([("chr1", a, b, False, 1) for a, b in introns], "chrom string, start long, end long, minus boolean, support long")
+    reads = [(i, "chr1", 960, f"{50 + i % 10}M", seq[960:1004] + seq[1500 + 40 * (i % 20) : 1506 + 40 * (i % 20) + i % 10]) for i in range(60)]
+    asked, fetch = [], splits.tile_sequences
+    monkeypatch.setattr(splits, "tile_sequences", lambda w, *a: asked.append(w.count()) or fetch(w, *a))
+    got = told(splits.run_through(records(spark, reads), library, tiles, width))
+    assert sum(asked) <= 60 + 20
+    differ = lambda x, y: sum(p != q and (p, q) not in {("G", "A"), ("C", "T")} for p, q in zip(x, y))
+    for i, _, pos, _, read in reads:
+        edge, fits = pos + len(read), []
+        for a, b in introns:
+            n = edge - a
+            wrong = differ(read[-n:], seq[b : b + n])
+            if 0 < n < len(read) and wrong < differ(read[-n:], seq[a:edge]) and wrong <= n // 5:
+                fits.append((wrong, b - a, a, b))
+        _, size, a, _ = min(fits)
+        assert got[i] == (pos, f"{a - pos}M{size}N{edge - a}M")
