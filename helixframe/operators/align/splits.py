@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 
 from helixframe.functions import cigar as cg
 from helixframe.operators import kmer_index
+from helixframe.operators.align import exon_batches
 from helixframe.operators.align import kernels as k
-from helixframe.operators.rangejoin import band, points_in_intervals
+from helixframe.operators.rangejoin import points_in_intervals
 from helixframe.operators.transcripts import tile_sequences
 from helixframe.session import shared_path, written
 
@@ -227,39 +228,72 @@ LONGEST_EXON = 60
 BEHIND = 4
 
 
-def intron_pairs(library: DataFrame) -> DataFrame:
-    """chrom, js, ms, me, je: two introns of one strand, [js, ms) and [me, je), with an exon of 1 to LONGEST_EXON bases between."""
-    one = library.select("chrom", "minus", F.col("start").alias("js"), F.col("end").alias("ms")).distinct()
-    two = library.select("chrom", F.col("minus").alias("m2"), F.col("start").alias("me"), F.col("end").alias("je")).distinct()
-    return band(one, two, "ms", "me", LONGEST_EXON).filter("minus = m2 and me > ms").select("chrom", "js", "ms", "me", "je").distinct()
+#: Places of a stretch whose reads are looked at together, and reads of one of its parts.
+STRETCH, READS = 128, 16_384
+
+
+def _outward(library: DataFrame, at_end: bool) -> DataFrame:
+    """chrom, x, y, strands: near and far side of the introns as outward places (negative at a start), once each; bits of strands: plus 1, minus 2."""
+    x, y = (F.col("start"), F.col("end")) if at_end else (-F.col("end"), -F.col("start"))
+    rows = library.filter("minus is not null").select("chrom", x.cast("long").alias("x"), y.cast("long").alias("y"), F.when(F.col("minus"), 2).otherwise(1).alias("m"))
+    return rows.groupBy("chrom", "x", "y").agg(F.sum_distinct("m").alias("strands"))
+
+
+def _exon_introns(near: DataFrame, introns: DataFrame, slack: int) -> tuple[DataFrame, DataFrame]:
+    """The introns that reads of a stretch (chrom, bin) may be laid over: firsts near their edges, and seconds behind an exon of these. Each once a stretch: chrom, bin, x, y, strands."""
+    bins = near.select("chrom", "bin").distinct()
+    around = F.sequence(F.floor((F.col("x") - slack) / STRETCH), F.floor((F.col("x") + slack) / STRETCH))
+    firsts = introns.withColumn("bin", F.explode(around)).join(bins, ["chrom", "bin"], "left_semi")
+    reach = F.sequence(F.floor((F.col("y") + 1) / LONGEST_EXON), F.floor((F.col("y") + LONGEST_EXON) / LONGEST_EXON))
+    places = firsts.select("chrom", "bin", F.explode(reach).alias("p")).distinct()
+    seconds = introns.withColumn("p", F.floor(F.col("x") / LONGEST_EXON)).join(places, ["chrom", "p"])
+    return firsts.select("chrom", "bin", "x", "y", "strands"), seconds.select("chrom", "bin", "x", "y", "strands")
 
 
 def short_exons(records: DataFrame, library: DataFrame, tiles: DataFrame, width: int, side: str = "end", least: int = LEAST_TAIL, slack: int = REACH) -> DataFrame:
-    """records whose clipped end holds a short exon between two known introns, and goes on behind the second: two cuts, found over pairs of introns.
+    """records whose clipped end holds a short exon between two known introns, and goes on behind the second: two cuts, looked for in the stretch of places of the end.
 
     The first intron begins within ``slack`` bases of the aligned end; BEHIND bases or more lie behind the second. At most a tenth of the bases
     behind the first cut may differ. The fewest differences win, then the shorter span, then the smaller places. Returns ord, pos, cigar, wrong.
     """
     at_end, sign = side == "end", 1 if side == "end" else -1
-    ends = _ends(records, side, least)
-    near = _near(ends.select(*KEY).distinct(), tiles, width, side)
-    known = intron_pairs(library)
-    # outward: the first intron's near and far side, the second's near and far side
-    a, b, c, d = ("js", "ms", "me", "je") if at_end else ("je", "me", "ms", "js")
-    known = known.select("chrom", F.col(a).alias("a"), F.col(b).alias("b"), F.col(c).alias("c"), F.col(d).alias("d"))
-    j = band(near, known, "edge", "a", slack).withColumn("i", (sign * (F.col("a") - F.col("edge"))).cast("int") + F.col("inner"))
-    exon = sign * (F.col("c") - F.col("b"))
-    j = j.filter("i >= 0").withColumn("exon", exon.cast("int")).withColumn("rest", F.length("out") - F.col("i") - F.col("exon"))
-    j = j.filter((F.col("rest") >= BEHIND) & (F.length("near") >= F.col("i")))
-    key = [*KEY, "a", "b", "c", "d"]
-    j = _texts(j, key, "mid", F.least("b", "c"), F.greatest("b", "c"), tiles, width, side)
-    j = _texts(j, key, "far", F.col("d") - (0 if at_end else F.col("rest")), F.col("d") + (F.col("rest") if at_end else 0), tiles, width, side)
-    want = F.concat("mid", "far")
-    j = j.filter(F.length(want) == F.length("out") - F.col("i")).withColumn("wrong", differences(_from("out", F.col("i")), want))
-    j = j.filter(F.col("wrong") <= F.floor((F.length("out") - F.col("i")) / 10))
-    before = differences(F.substring("out", F.lit(1), F.col("i")), F.substring("near", F.lit(1), F.col("i")))
-    order = F.struct((F.col("wrong") + before).alias("w"), F.abs(F.col("d") - F.col("a")).alias("n"), "a", "b", "c", "d")
-    best = j.groupBy(*KEY).agg(F.min_by(F.struct("a", "b", "c", "d", "i", "exon", "rest", "wrong"), order).alias("x")).select(*KEY, "x.*")
+    keep = shared_path(records.sparkSession, "exons")
+    ends = written(_ends(records, side, least), f"{keep}/ends")
+    near = _near(ends.select(*KEY).distinct(), tiles, width, side).withColumn("bin", F.floor(sign * F.col("edge") / STRETCH))
+    near = written(near, f"{keep}/near")
+    introns = written(_outward(library, at_end), f"{keep}/introns")
+    firsts, seconds = (written(x, f"{keep}/{n}") for n, x in zip(("firsts", "seconds"), _exon_introns(near, introns, slack)))
+    longest = max(LONGEST_EXON, near.agg(F.coalesce(F.max(F.length("out")), F.lit(0)).alias("n")).first()["n"])
+    # what stands outward from a far side is fetched once for all introns and stretches
+    far = introns.select("chrom", F.col("y").alias("place")).distinct()
+    place = sign * F.col("place")
+    far = _texts(far, ["chrom", "place"], "text", place - (0 if at_end else longest), place + (longest if at_end else 0), tiles, width, side)
+    texts = firsts.unionByName(seconds).select("chrom", "bin", F.col("y").alias("place")).distinct().join(far, ["chrom", "place"])
+    rows = [d.select("chrom", "bin", F.lit(kind).alias("kind"), "x", "y", "strands", F.lit(None).cast("string").alias("text")) for kind, d in ((1, firsts), (2, seconds))]
+    rows.append(texts.select("chrom", "bin", F.lit(3).alias("kind"), F.col("place").alias("x"), F.col("place").alias("y"), F.lit(0).cast("long").alias("strands"), "text"))
+    known = rows[0].unionByName(rows[1]).unionByName(rows[2])
+    # many reads of a stretch are dealt to parts, which all get its introns
+    parts = near.groupBy("chrom", "bin").agg(F.ceil(F.count("*") / READS).alias("parts"))
+    known = known.join(parts, ["chrom", "bin"]).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
+    reads = near.join(parts, ["chrom", "bin"]).withColumn("part", F.pmod(F.xxhash64("out"), F.col("parts"))).drop("parts")
+
+    def run(reads: pa.Table, known: pa.Table) -> pa.Table:
+        names = ["chrom", "edge", "inner", "out", "a", "b", "c", "d", "i", "exon", "rest", "wrong"]
+        kinds = [pa.string(), pa.int64(), pa.int32(), pa.string(), *[pa.int64()] * 4, *[pa.int32()] * 4]
+        made = []
+        if reads.num_rows and known.num_rows:
+            kind, x, y, strands = (known.column(c).to_numpy() for c in ("kind", "x", "y", "strands"))
+            text = known.filter(pa.array(kind == 3)).column("text").to_pylist()
+            introns = exon_batches.Introns(*[tuple(v[kind == n] for v in (x, y, strands)) for n in (1, 2)], x[kind == 3], text, sign, LONGEST_EXON, BEHIND, slack)
+            reads = reads.sort_by([("edge", "ascending"), ("inner", "ascending")])
+            edge, inner, out, near, chrom = (reads.column(c).to_pylist() for c in ("edge", "inner", "out", "near", "chrom"))
+            laid = introns.lay([sign * e for e in edge], inner, out, near)
+            made = [(chrom[r], edge[r], inner[r], out[r], *[sign * v for v in best[:4]], *best[4:]) for r, best in enumerate(laid) if best]
+        return pa.table([pa.array([m[c] for m in made], t) for c, t in enumerate(kinds)], names=names)
+
+    key = ["chrom", "bin", "part"]
+    schema = "chrom string, edge long, inner int, out string, a long, b long, c long, d long, i int, exon int, rest int, wrong int"
+    best = reads.groupBy(*key).cogroup(known.groupBy(*key)).applyInArrow(run, schema)
     r = ends.join(best, KEY)
     new = _stitched(F.col("cigar"), F.col("block") + F.col("i") - F.col("inner"), [(F.abs(F.col("b") - F.col("a")), F.col("exon")), (F.abs(F.col("d") - F.col("c")), F.col("rest"))], at_end)
     pos = F.col("pos") if at_end else F.col("d") - F.col("rest")
