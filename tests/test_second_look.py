@@ -1,6 +1,7 @@
 """Gates, mate windows, clipped tails, transcript candidates, guards and SQL functions."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -164,3 +165,15 @@ def test_spans_of_anchors_need_no_row_an_anchor(spark):
     want = a.groupBy("read", "chrom", "minus").agg(F.count("*").alias("n"), F.min("rpos").alias("first"), F.max("rpos").alias("last"))
     got = kmer_index.anchor_spans(reads, index, 11, 5)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() < a.count() / 10
+
+
+def test_frequent_kmers_of_transcripts_are_not_shuffled(spark):
+    """Only k-mers that are rare in the transcripts and occur in reads reach the join; what transcripts hold else stays where it is."""
+    r = random.Random(5)
+    often, rare = ("".join(r.choice("ACGT") for _ in range(40)) for _ in range(2))
+    tx = spark.createDataFrame([(f"t{i}", often) for i in range(30)] + [("one", often + rare)], "name string, seq string")
+    hits = kmer_index.transcript_hits(spark.createDataFrame([(1, often + rare)], "read long, seq string"), tx, 13, most=20)
+    # of the one transcript's k-mers those that reach beyond the frequent ones
+    assert [tuple(x) for x in hits.collect()] == [(1, "one", False, 0, 40)]
+    plan = hits._jdf.queryExecution().toString()
+    assert re.search(r"BroadcastHashJoin \[kmer#\d+L?\], \[kmer#\d+L?\], LeftSemi", plan) and not re.search("SortMergeJoin.*LeftSemi", plan)
