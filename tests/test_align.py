@@ -277,3 +277,38 @@ def test_exact_kmers():
     assert k.exact_kmers(read[:12] + "C" + read[13:], 0, [("M", 30)], fetch, 10) == 2
     assert k.exact_kmers(read[:8] + "G" + read[9:], 0, [("M", 30)], fetch, 10) == 2 and k.exact_kmers(read[:8] + "G" + read[9:], 0, [("M", 30)], fetch, 10, "A") == 3
     assert k.exact_kmers("NN" + read, 0, [("S", 2), ("M", 10), ("D", 10), ("M", 20)], fetch, 10) == 3
+
+
+def test_ways_on_one_diagonal_are_told_together(monkeypatch):
+    r, traced, real = random.Random(9), [], k._trace
+    refs = [dna(60, i) for i in range(40)]
+    reads = [x[5:30] + r.choice("ACGT") + x[31:50] for x in refs]
+    want = [real_extension(x, y) for x, y in zip(reads, refs)]
+    monkeypatch.setattr(k, "_trace", lambda *a: traced.append(1) or real(*a))
+    assert [(e.ref_start, e.cigar, e.score) for e in k.affine_local(reads, refs)] == want and not traced
+    assert "D" in {op for e in k.affine_local([refs[0][:20] + refs[0][22:50]], refs[:1]) for op, _ in e.cigar} and traced
+
+
+def real_extension(read, ref):
+    score = sum(2 if x == y else -4 for x, y in zip(read, ref[5:]))
+    return 5, [("M", len(read))], score
+
+
+def test_exact_kmers_of_many_reads():
+    r = random.Random(4)
+    shapes = [([("M", 50)], 50), ([("S", 5), ("M", 45)], 45), ([("M", 20), ("N", 100), ("M", 30)], 150), ([("M", 25), ("I", 2), ("M", 23)], 48), ([("M", 30), ("D", 3), ("M", 20)], 53)]
+    rows = [(dna(50, i), r.choice(shapes)) for i in range(200)]
+    rows = [(read, cigar, "".join(r.choice("ACGTN") if r.random() < 0.1 else read[i % 50] for i in range(span))) for read, (cigar, span) in rows]
+    for direction in ("", "A"):
+        got = k.exact_kmers_of([x for x, _, _ in rows], ["".join(f"{n}{op}" for op, n in c) for _, c, _ in rows], [y for _, _, y in rows], 5, direction)
+        assert got.tolist() == [k.exact_kmers(x, 0, c, lambda s, e, y=y: y[s:e], 5, direction) for x, c, y in rows] and got.sum() > 0
+
+
+def test_windows_are_fetched_once(spark, sf, monkeypatch):
+    from helixframe.operators import transcripts
+    from helixframe.plans import alignment
+
+    asked, real = [], transcripts.tile_sequences
+    monkeypatch.setattr(transcripts, "tile_sequences", lambda w, *a: asked.append((w.count(), w.select("chrom", "s", "e").distinct().count())) or real(w, *a))
+    alignment.affine_extension(spark, sf), alignment.exact_kmer_support(spark, sf)
+    assert len(asked) == 2 and all(rows == different for rows, different in asked)
