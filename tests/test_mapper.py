@@ -151,3 +151,16 @@ def test_bases_of_wide_tiles(spark):
 def test_standard_code_where_the_surveyed_table_differs():
     at = {a + b + c: bases.AMINO_ACIDS[16 * i + 4 * j + k] for i, a in enumerate("TCAG") for j, b in enumerate("TCAG") for k, c in enumerate("TCAG")}
     assert at["CGA"] == at["CGG"] == "R"
+
+
+def test_equal_reads_are_rescued_once(spark, monkeypatch):
+    seq = dna(3000, 41)
+    tiles, width = tiles_of(spark, seq)
+    r = random.Random(3)
+    edited = "".join("G" if c == "A" and r.random() < 0.7 else c for c in rc(seq[1500:1600]))
+    seen, real = [], mapper.align
+    monkeypatch.setattr(mapper, "align", lambda reads, *a, **b: seen.append(reads.count()) or real(reads, *a, **b))
+    df = spark.createDataFrame([(i, f"h{i}", edited, "I" * 100) for i in range(5)] + [(5, "low", edited, "#" * 100)], READS)
+    got = mapper.rescue(df, tiles, width, kmer=11, w=5).collect()
+    assert sorted((x["ord"], x["pos"], x["minus"], x["direction"]) for x in got) == [(i, 1500, True, "A") for i in range(5)]
+    assert set(seen) == {1}
