@@ -164,3 +164,12 @@ def test_equal_reads_are_rescued_once(spark, monkeypatch):
     got = mapper.rescue(df, tiles, width, kmer=11, w=5).collect()
     assert sorted((x["ord"], x["pos"], x["minus"], x["direction"]) for x in got) == [(i, 1500, True, "A") for i in range(5)]
     assert set(seen) == {1}
+
+
+def test_pairs_of_the_query_are_judged_without_bases(spark, sf, monkeypatch):
+    from helixframe.plans import alignment
+
+    seen, real = [], mapper.pair_records
+    monkeypatch.setattr(mapper, "pair_records", lambda r, *a: seen.append(r.columns) or real(r, *a))
+    alignment.mapped_pairs(spark, sf)
+    assert not {"seq", "qual"} & set(seen[0])
