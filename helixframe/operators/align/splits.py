@@ -6,6 +6,7 @@ record outward texts run to the right, at its start they are reversed.
 A new intron is found without a library. Every place of the reference that a splice signal
 ends at is a row with the bases behind it; a read's possible cuts, within REACH bases of its
 aligned end, meet them by an equi-join on (contig, bin, signal, bases). Longer tails are seeded by minimizers too.
+Cuts are many times the clipped ends that they come from, which Spark's estimates don't know, so no side that grows with the reads is broadcast.
 Both give diagonals; on each the best cut is taken by differences on both sides and by the signal,
 and then the best diagonal. Texts of one place that several reads share are looked at once.
 """
@@ -37,6 +38,8 @@ SEED_PLACES = 100
 #: Cost of a difference where a signal counts 1 to 4.
 DIFFERENCE = 6
 KEY = ["chrom", "edge", "inner", "out"]
+#: Clipped ends of a task, at most, where their cuts are made.
+TASK_ENDS = 250_000
 
 
 def _pairs(side: str) -> dict[tuple[str, str], tuple[int, bool]]:
@@ -78,8 +81,9 @@ def _ends(records: DataFrame, side: str, least: int) -> DataFrame:
 def _texts(rows: DataFrame, key: list[str], name: str, start: Column, end: Column, tiles: DataFrame, width: int, side: str) -> DataFrame:
     """rows with the outward text of [start, end) of the reference, which may stand over the contig's ends."""
     w = rows.select(*key, F.greatest(start, F.lit(0)).alias("s"), end.alias("e")).distinct().filter("e > s")
-    got = tile_sequences(w if "chrom" in key else w, tiles, width, key)
-    return rows.join(got.select(*key, (F.col("seq") if side == "end" else F.reverse("seq")).alias(name)), key)
+    got = tile_sequences(w, tiles, width, key)
+    # both sides grow with the reads
+    return rows.join(got.select(*key, (F.col("seq") if side == "end" else F.reverse("seq")).alias(name)).hint("merge"), key)
 
 
 def _near(probes: DataFrame, tiles: DataFrame, width: int, side: str) -> DataFrame:
@@ -124,7 +128,7 @@ def _cuts(near: DataFrame) -> DataFrame:
 
 
 def by_signal(near: DataFrame, tiles: DataFrame, width: int, side: str) -> DataFrame:
-    """KEY and g: diagonals (the reference place of the tail's first clipped base, or behind it at a start) where PROBE bases of some cut stand behind a fitting signal within SPAN."""
+    """id and g: diagonals (the reference place of the tail's first clipped base, or behind it at a start) where PROBE bases of some cut stand behind a fitting signal within SPAN."""
     at_end, sign = side == "end", 1 if side == "end" else -1
     follow: dict[str, list[str]] = {}
     for x, y in _pairs(side):
@@ -132,14 +136,15 @@ def by_signal(near: DataFrame, tiles: DataFrame, width: int, side: str) -> DataF
     fits = F.create_map(*[c for x, ys in follow.items() for c in (F.lit(x), F.array(*map(F.lit, ys)))])
     probe = F.upper(_from("out", F.col("i"), PROBE))
     cuts = _cuts(near).withColumn("probe", probe).filter(F.col("probe").rlike("^[ACGT]+$") & ~F.col("probe").rlike("^(.)\\1*$"))
-    d = F.col("edge") + sign * (F.col("i") - F.col("inner"))
-    cuts = cuts.select(*KEY, "i", d.alias("d"), F.explode(F.try_element_at(fits, F.upper(_from("near", F.col("i"), 2)))).alias("motif"), F.conv(F.translate("probe", "ACGT", "0123"), 4, 10).cast("long").alias("key"))
+    off = F.col("i") - F.col("inner")
+    cuts = cuts.select("id", "chrom", off.alias("off"), (F.col("edge") + sign * off).alias("d"), F.explode(F.try_element_at(fits, F.upper(_from("near", F.col("i"), 2)))).alias("motif"), F.conv(F.translate("probe", "ACGT", "0123"), 4, 10).cast("long").alias("key"))
     first = F.floor(F.col("d") / SPAN) - (0 if at_end else 1)
     cuts = cuts.withColumn("bin", F.explode(F.sequence(first, first + 1)))
     sites = splice_sites(_around(near, tiles, width), width, side).withColumn("bin", F.floor(F.col("q") / SPAN))
     size = sign * (F.col("q") - F.col("d"))
-    found = cuts.join(sites, ["chrom", "bin", "motif", "key"]).filter((size >= SHORTEST) & (size <= SPAN))
-    return found.select(*KEY, (F.col("q") - sign * (F.col("i") - F.col("inner"))).alias("g")).distinct()
+    # taken for small, as their ends are, cuts would be broadcast
+    found = cuts.hint("merge").join(sites, ["chrom", "bin", "motif", "key"]).filter((size >= SHORTEST) & (size <= SPAN))
+    return found.select("id", (F.col("q") - sign * F.col("off")).alias("g")).distinct()
 
 
 def _around(near: DataFrame, tiles: DataFrame, width: int) -> DataFrame:
@@ -151,19 +156,19 @@ def _around(near: DataFrame, tiles: DataFrame, width: int) -> DataFrame:
 
 
 def by_seeds(near: DataFrame, index: DataFrame, kmer: int, w: int, side: str) -> DataFrame:
-    """KEY and g, as by_signal(): diagonals of minimizers that the clipped bases share with the reference, up to LONGEST away."""
+    """id and g, as by_signal(): diagonals of minimizers that the clipped bases share with the reference, up to LONGEST away."""
     at_end = side == "end"
     tail = _from("out", F.col("inner")) if at_end else F.reverse(_from("out", F.col("inner")))
-    p = near.select(*KEY, F.xxhash64(*KEY).alias("read"), tail.alias("seq")).filter(F.length("seq") >= kmer)
+    p = near.select(F.col("id").alias("read"), "chrom", "edge", tail.alias("seq")).filter(F.length("seq") >= kmer)
     a = kmer_index.anchors(p.select("read", "seq"), index, kmer, w, SEED_PLACES).filter("not minus")
-    j = p.join(a, ["read", "chrom"])
+    j = p.join(a.hint("merge"), ["read", "chrom"])
     g = F.col("rpos") - F.col("qpos") + (0 if at_end else F.length("seq"))
     size = (g - F.col("edge")) if at_end else F.col("edge") - g
-    return j.filter((size >= SHORTEST) & (size <= LONGEST)).select(*KEY, g.cast("long").alias("g")).distinct()
+    return j.filter((size >= SHORTEST) & (size <= LONGEST)).select(F.col("read").alias("id"), g.cast("long").alias("g")).distinct()
 
 
-def _best_cut(cands: DataFrame, near: DataFrame, tiles: DataFrame, width: int, side: str) -> DataFrame:
-    """For each KEY the best cut of its diagonals: i, g, wrong, score, on_minus."""
+def _best_cut(cands: DataFrame, near: DataFrame, tiles: DataFrame, width: int, side: str, keep: str) -> DataFrame:
+    """For each KEY the best cut of its diagonals: i, g, wrong, score, on_minus. Candidates with their ends are written below keep, and a window that several need is fetched once."""
     at_end = side == "end"
     pairs = _pairs(side)
     score = F.create_map(*[c for (x, y), (v, _) in pairs.items() for c in (F.lit(x + y), F.lit(v))])
@@ -171,8 +176,8 @@ def _best_cut(cands: DataFrame, near: DataFrame, tiles: DataFrame, width: int, s
     tail = F.length("out") - F.col("inner")
     # outward from two bases before ``inner`` bases before the diagonal's place, to the read's end
     start, end = (F.col("g") - F.col("inner") - 2, F.col("g") + tail) if at_end else (F.col("g") - tail, F.col("g") + F.col("inner") + 2)
-    rows = _texts(cands, [*KEY, "g"], "far", start, end, tiles, width, side).filter(F.length("far") == F.length("out") + 2)
-    each = _cuts(rows.join(near, KEY))
+    rows = written(cands.join(near.hint("merge"), "id").withColumns({"lo": start, "hi": end}).drop("id"), f"{keep}/cands")
+    each = _cuts(_texts(rows, ["chrom", "lo", "hi"], "far", F.col("lo"), F.col("hi"), tiles, width, side).filter(F.length("far") == F.length("out") + 2))
     pair = F.upper(F.concat(_from("near", F.col("i"), 2), _from("far", F.col("i"), 2)))
     each = each.withColumn("pair", pair).withColumn("signal", F.try_element_at(score, F.col("pair"))).filter("signal is not null")
     behind = differences(_from("out", F.col("i")), _from("far", F.col("i") + 2))
@@ -190,17 +195,20 @@ def split_tails(records: DataFrame, tiles: DataFrame, width: int, side: str = "e
     The tail's first PROBE bases must stand exactly behind a splice signal within SPAN bases, of either strand, or (with an index) share a rare minimizer with the
     reference within LONGEST. Of all cuts within REACH bases of the aligned end, the one of best score is taken: the signal's less DIFFERENCE a
     difference on either side, then the nearest to the aligned end, the shorter intron, the inner cut, the smaller place. At most a fifth of the tail may differ.
-    keep: a folder for the clipped ends, which several joins read; by default a new one in the shared folder.
+    keep: a folder for the clipped ends and their candidates, which several joins read; by default a new one in the shared folder.
     Returns ord, pos, cigar, start, end, on_minus (the signal's strand), wrong, score.
     """
     at_end, sign = side == "end", 1 if side == "end" else -1
     keep = keep or shared_path(records.sparkSession, "tails")
     ends = written(_ends(records, side, least), f"{keep}/ends")
-    near = written(_near(ends.select(*KEY).distinct(), tiles, width, side), f"{keep}/near")
+    # the ends' table is small beside their cuts: it is dealt to as many tasks as those need
+    parts = max(records.sparkSession.sparkContext.defaultParallelism, -(-ends.count() // TASK_ENDS))
+    near = _near(ends.select(*KEY).distinct(), tiles, width, side).repartition(parts, *KEY)
+    near = written(near.withColumn("id", F.monotonically_increasing_id()), f"{keep}/near")
     cands = by_signal(near, tiles, width, side)
     if index is not None:
         cands = cands.unionByName(by_seeds(near, index, kmer, w, side)).distinct()
-    j = ends.join(_best_cut(cands, near, tiles, width, side), KEY)
+    j = ends.join(_best_cut(cands, near, tiles, width, side, keep).hint("merge"), KEY)
     off, size = F.col("i") - F.col("inner"), F.abs(F.col("g") - F.col("edge"))
     d, q = F.col("edge") + sign * off, F.col("g") + sign * off
     new = _stitched(F.col("cigar"), F.col("block") + off, [(size, F.col("tail") - off)], at_end)

@@ -13,6 +13,7 @@ from helixframe.functions import cigar as cg
 from helixframe.operators.align import kernels, splits
 from helixframe.operators.transcripts import tile_sequences
 from helixframe.plans import synth
+from helixframe.session import shared_path, written
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -40,13 +41,13 @@ def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.repartition(spark.sparkContext.defaultParallelism, "ord").join(F.broadcast(contigs(spark)), "chrom")  # two rows
 
 
-def _cut(start: Column, end: Column) -> Column:
-    return F.substring("ref", start.cast("int") + 1, (end - start).cast("int"))
+def _cut(start: Column, end: Column, text: str = "ref") -> Column:
+    return F.substring(text, start.cast("int") + 1, (end - start).cast("int"))
 
 
 def _first(motif: Column, start: Column) -> Column:
-    """The first place of the motif from start on."""
-    return start + F.position(motif, F.substring("ref", start.cast("int") + 1, F.lit(SIZE))) - 1
+    """The first place of the motif from start on, start - 1 if there is none."""
+    return F.greatest(F.call_function("locate", motif, F.col("ref"), start.cast("int") + 1), start) - 1
 
 
 def _records(rows: DataFrame, *more: str) -> DataFrame:
@@ -75,11 +76,14 @@ def planted_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _first(F.when(F.col("minus"), "CT").otherwise("GT"), F.col("s"))
     t = t.withColumn("d", d).withColumn("q", _first(F.when(F.col("minus"), "AC").otherwise("AG"), F.col("d") + 60 + F.pmod(F.col("ord") * 13, F.lit(1400))) + 2)
     t = t.withColumn("n", 10 + F.pmod("ord", F.lit(13))).withColumn("over", F.pmod("ord", F.lit(6)) - 2)
-    tail = F.when(F.col("at_end"), _cut(F.col("q"), F.col("q") + F.col("n"))).otherwise(_cut(F.col("d") - F.col("n"), F.col("d")))
+    # what is cut out of a contig lies from 50 bases before the intron to 50 behind it, and is fetched from the contig once
+    t = t.withColumn("text", _cut(F.col("d") - 50, F.col("q") + 50))
+    cut = lambda start, end: _cut(start - F.col("d") + 50, end - F.col("d") + 50, "text")
+    tail = F.when(F.col("at_end"), cut(F.col("q"), F.col("q") + F.col("n"))).otherwise(cut(F.col("d") - F.col("n"), F.col("d")))
     t = t.withColumn("tail", tail).withColumn("far", F.when(F.col("at_end"), F.right("tail", F.lit(3))).otherwise(F.left("tail", F.lit(3))))
     t = t.withColumn("near", F.when(F.col("at_end"), F.left("tail", F.col("n") - 3)).otherwise(F.right("tail", F.col("n") - 3)))
     far = F.when(F.pmod("ord", F.lit(5)) == 0, F.translate("far", "A", "G")).otherwise(F.col("far"))
-    seq = F.when(F.col("at_end"), F.concat(_cut(F.col("d") - 50, F.col("d")), F.col("near"), far)).otherwise(F.concat(far, F.col("near"), _cut(F.col("q"), F.col("q") + 50)))
+    seq = F.when(F.col("at_end"), F.concat(cut(F.col("d") - 50, F.col("d")), F.col("near"), far)).otherwise(F.concat(far, F.col("near"), cut(F.col("q"), F.col("q") + 50)))
     pos = F.when(F.col("at_end"), F.col("d") - 50).otherwise(F.col("q") - F.col("over"))
     t = t.select("ord", "at_end", "chrom", pos.alias("pos"), seq.alias("seq"), (50 + F.col("over")).alias("a"), (F.col("n") - F.col("over")).alias("clip"), F.col("d").cast("long").alias("t_start"), F.col("q").cast("long").alias("t_end"))
     return _records(t, "t_start", "t_end")
@@ -118,10 +122,10 @@ SELECT ord, CASE WHEN rev THEN {SIZE} - (g + tail) ELSE d - 50 END AS pos,
 )
 def split_rescued(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clipped ends laid behind introns that no library knows, of both strands, and the planted introns."""
-    r = planted_splits(spark, sf_dir)
+    r = written(planted_splits(spark, sf_dir), shared_path(spark, "planted"))
     both = [splits.split_tails(r.filter(F.col("at_end") if side == "end" else ~F.col("at_end")), synth.random_tiles(spark), synth.RANDOM_TILE, side) for side in ("end", "start")]
     found = both[0].unionByName(both[1])
-    return found.join(r.select("ord", "t_start", "t_end"), "ord").withColumn("cigar", cg.text(F.col("cigar")))
+    return found.join(r.select("ord", "t_start", "t_end").hint("merge"), "ord").withColumn("cigar", cg.text(F.col("cigar")))
 
 
 # ---- two known introns -------------------------------------------------------------------

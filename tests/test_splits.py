@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 
 import numpy as np
 import pytest
@@ -79,6 +80,19 @@ def test_split_takes_the_best_cut_and_leaves_what_does_not_fit(spark):
     assert not {4, 5, 6, 7, 8} & set(got)
 
 
+def test_no_side_that_grows_with_the_reads_is_broadcast(spark, sf, monkeypatch):
+    plans, write = [], splits.written
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    monkeypatch.setattr(splits, "written", lambda df, path: plans.append(plan(df)) or write(df, path))
+    plans.append(plan(planned.split_rescued(spark, sf)))
+    joins = re.findall(r"(\w+Join) \[([^\]]*)\]", "\n".join(plans))
+    assert any("motif#" in on for _, on in joins)
+    assert {how for how, on in joins if re.search(r"\b(id|ord|inner|out|motif|hi)#", on)} == {"SortMergeJoin"}
+
+
 def test_short_exons_and_run_through_are_planted(spark, sf):
     r, library = planned.planted_exons(spark, sf)
     truth = {}
