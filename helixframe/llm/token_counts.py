@@ -103,7 +103,8 @@ def count_tokens(files: DataFrame, end_id: int = END_ID, block_bytes: int = BLOC
     summary = blocks.select("file", "block", "n_tokens", F.size("seps").cast("long").alias("n"), F.try_element_at("seps", F.lit(-1)).alias("last"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     scanned = summary.select("file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"), F.coalesce(F.max("last").over(before), F.lit(-1)).alias("carry"))
-    each = blocks.join(scanned, ["file", "block"])
+    # separators and documents are many times the blocks that Spark's estimates see: neither is broadcast
+    each = blocks.hint("merge").join(scanned, ["file", "block"])
     began = F.transform("seps", lambda x, i: x - F.when(i == 0, F.col("carry")).otherwise(F.get("seps", i - 1)) - 1)
     whole = each.select("file", "first", F.posexplode(began).alias("k", "n_tokens"))
     whole = whole.select("file", (F.col("first") + F.col("k")).alias("ordinal"), "n_tokens", F.lit(True).alias("terminated"))
@@ -116,5 +117,5 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     manifest = written(write_token_files(docs, new_path(spark, "tokens"), default_path()), "manifest")
     counts = count_tokens(manifest.select("file"))
-    out = manifest.join(counts, ["file", "ordinal"])
+    out = manifest.join(counts.hint("merge"), ["file", "ordinal"])
     return out.select(F.col("doc_id").cast("long").alias("doc_id"), "n_tokens", "terminated")

@@ -191,6 +191,11 @@ def test_token_counts_of_documents(spark, sf):
     assert all(r["terminated"] and r["n_tokens"] == len(w.tokenizer.encode(text[r["doc_id"]], add_special_tokens=False).ids) for r in got)
 
 
+def test_token_counts_broadcast_no_documents(spark, sf):
+    plan = token_counts.op5_token_counts(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 # ---- classifier ----------------------------------------------------------------------
 
 
