@@ -51,5 +51,5 @@ def test_windows_of_one_text_count_as_one(spark):
 def test_queries_deal_reads_by_what_they_are(spark, sf):
     from helixframe.plans import alignment
 
-    for q in (alignment.edit_distances,):
+    for q in (alignment.edit_distances, alignment.affine_extension):
         assert "hashpartitioning(read" in q(spark, sf)._jdf.queryExecution().executedPlan().toString()
