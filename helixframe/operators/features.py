@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from helixframe.functions import dna
 from helixframe.functions.likelihood import bayes_factors_col
 from helixframe.functions.trees import Model, score_col
-from helixframe.operators import rangejoin
+from helixframe.operators import base_kernels, pileup, rangejoin
 from helixframe.session import shared_path, written
 
 RADIUS = 200
@@ -80,7 +80,11 @@ def own_tallies(sites: DataFrame, obs: DataFrame) -> DataFrame:
 
 def own_features(sites: DataFrame, obs: DataFrame, keep: str | None = None) -> DataFrame:
     """Features of the site's own observations. sites: with_reference(). keep: where the tallies are written; by default a new path in the shared folder."""
-    t = written(own_tallies(sites, obs), keep or shared_path(obs.sparkSession, "tallies"))
+    return _of_own(written(own_tallies(sites, obs), keep or shared_path(obs.sparkSession, "tallies")))
+
+
+def _of_own(t: DataFrame) -> DataFrame:
+    """t: own_tallies()."""
     # sums over counts of equal values in order of value, so partitions don't matter
     by_quality = t.filter("i = 0").groupBy("ord", "kind", F.col("v").alias("bq")).agg(F.sum("n").alias("n"))
     pair = lambda k: F.when(F.col("kind") == k, F.struct(F.col("bq").alias("v"), "n"))
@@ -109,7 +113,10 @@ def own_features(sites: DataFrame, obs: DataFrame, keep: str | None = None) -> D
 
 def neighbour_counts(obs: DataFrame, refs: DataFrame) -> DataFrame:
     """chrom, pos, base (upper case), n, and n_a to n_t for each observed position with a known reference base."""
-    counts = obs.groupBy("chrom", "pos").agg(F.count("*").alias("n"), *[F.count_if(F.col("base") == b).alias(f"n_{b}") for b in dna.BASES])
+    return _with_base(obs.groupBy("chrom", "pos").agg(F.count("*").alias("n"), *[F.count_if(F.col("base") == b).alias(f"n_{b}") for b in dna.BASES]), refs)
+
+
+def _with_base(counts: DataFrame, refs: DataFrame) -> DataFrame:
     known = refs.select("chrom", "pos", F.upper("base").alias("base")).filter(F.col("base").isin(*dna.BASES))
     return counts.join(known, ["chrom", "pos"])
 
@@ -122,8 +129,13 @@ def neighbour_features(sites: DataFrame, obs: DataFrame, refs: DataFrame, radius
 
 def neighbour_rates(sites: DataFrame, obs: DataFrame, refs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Rates in the positions around each site, weighed by exp(-distance / radius). obs: chrom, pos and base are enough."""
+    return _rates(sites, neighbour_counts(obs, refs), radius)
+
+
+def _rates(sites: DataFrame, counts: DataFrame, radius: int) -> DataFrame:
+    """counts: neighbour_counts()."""
     own = sites.select("ord", "chrom", "p0", "ref", "alt")
-    near = rangejoin.band(own, neighbour_counts(obs, refs).withColumnRenamed("base", "lr"), "p0", "pos", radius).filter("pos <> p0")
+    near = rangejoin.band(own, counts.withColumnRenamed("base", "lr"), "p0", "pos", radius).filter("pos <> p0")
     pick = lambda base: F.expr(f"CASE {base} WHEN 'A' THEN n_A WHEN 'C' THEN n_C WHEN 'G' THEN n_G WHEN 'T' THEN n_T END")
     same = F.col("lr") == F.col("ref")
     near = near.withColumn("n_alt", F.when(same, pick("alt")).otherwise(0)).withColumn("n_own", pick("lr")).withColumn("d", F.abs(F.col("pos") - F.col("p0")))
@@ -165,6 +177,11 @@ def template_reuse(sites: DataFrame, edited: DataFrame, radius: int = RADIUS) ->
     sums = [F.sum(f"v.{c}").alias(c) for c in "tsp"]
     steps = templates.select("chrom", "lr", F.explode(F.concat(came, gone)).alias("v")).groupBy("chrom", "lr", F.col("v.x").alias("x")).agg(*sums)
     selves = templates.select("chrom", "lr", F.explode(own).alias("v")).groupBy("chrom", "lr", F.col("v.x").alias("x")).agg(*[c.alias(f"own_{n}") for n, c in zip("tsp", sums)])
+    return _swept(sites, steps, selves)
+
+
+def _swept(sites: DataFrame, steps: DataFrame, selves: DataFrame) -> DataFrame:
+    """Running sums of steps (chrom, lr, x, t, s, p) at the sites, without their own shares (own_t, own_s, own_p)."""
     asked = sites.select("chrom", F.col("ref").alias("lr"), F.col("p0").cast("long").alias("x"), "ord")
     both = steps.withColumn("ord", F.lit(None).cast(dict(asked.dtypes)["ord"])).unionByName(asked, allowMissingColumns=True)
     both = rangejoin.carried(both, ["chrom", "lr"], "x", {f"b_{c}": F.sum(c) for c in "tsp"}, {f"b_{c}": F.sum(f"b_{c}") for c in "tsp"})
@@ -185,17 +202,86 @@ def around(rows: DataFrame, sites: DataFrame, radius: int) -> DataFrame:
 def features(sites: DataFrame, obs: DataFrame, refs: DataFrame, alu: DataFrame | None = None, radius: int = RADIUS, keep: str | None = None) -> DataFrame:
     """ord, chrom, pos, error (null, or why a site has no features), and the features as doubles.
 
-    keep: a folder for the sites and the tallies of observations; by default a new one in the shared folder. The observations themselves, a row a base, are written
-    nowhere: three groups of features make them anew, each of the columns that it needs.
+    keep: a folder for the sites and the tallies of observations; by default a new one in the shared folder. Of observations, a row a base, three groups of features
+    are made, each of the columns that it needs: record_features() needs no such rows.
     """
     keep = keep or shared_path(obs.sparkSession, "tallies")
+    sites, at, refs = _known(sites, refs, radius, keep)
+    good = at.filter("alt is not null")
+    obs = around(obs, sites, radius)
+    return _together(at, own_features(good, obs, f"{keep}/own"), neighbour_features(good, obs, refs, radius), alu)
+
+
+def record_features(sites: DataFrame, alignments: DataFrame, refs: DataFrame, alu: DataFrame | None = None, radius: int = RADIUS, keep: str | None = None) -> DataFrame:
+    """features() of the merged observations of alignments, which are made once and counted in the tasks that make them."""
+    keep = keep or shared_path(alignments.sparkSession, "tallies")
+    _, at, refs = _known(sites, refs, radius, keep)
+    good = at.filter("alt is not null")
+    return _of_tallies(at, _tallied(good, alignments, refs, radius, keep, None), refs, alu, radius, keep)
+
+
+def discovered_features(alignments: DataFrame, refs: DataFrame, number: Column, alu: DataFrame | None = None, radius: int = RADIUS, keep: str | None = None, places: DataFrame | None = None) -> DataFrame:
+    """record_features() of the sites that pileup.discover() finds in alignments, whose bases are counted in the same pass. number: of chrom and pos, the sites' ord.
+
+    places: records (chrom, pos, cigar) among which are those of all alignments; by default the alignments, which are then read twice.
+    """
+    keep = keep or shared_path(alignments.sparkSession, "tallies")
+    refs = written(refs, f"{keep}/refs")
+    t = _tallied(refs.filter(F.col("base").isin("A", "T")).select("chrom", F.col("pos").alias("p0")), alignments, refs, radius, keep, places)
+    counts = _bases(t, 1).select("chrom", "pos", F.col("n").alias("depth"), *[F.col(f"n_{b}").alias(b.lower()) for b in dna.BASES])
+    sites = written(pileup.candidates(counts, refs).select(number.alias("ord"), "chrom", "pos"), f"{keep}/found")
+    return _of_tallies(written(with_reference(sites, refs), f"{keep}/sites"), t, refs, alu, radius, keep)
+
+
+def _tallied(sites: DataFrame, alignments: DataFrame, refs: DataFrame, radius: int, keep: str, places: DataFrame | None) -> DataFrame:
+    """pileup.tallies() as a table. sites: chrom, p0."""
+    shapes = (pileup.usable(alignments) if places is None else places).filter("cigar is not null and pos >= 0").select("chrom", F.col("pos").cast("long").alias("pos"), "cigar").distinct()
+    marks = _marks(written(shapes, f"{keep}/shapes"), refs, sites)  # told apart before paths are made
+    return written(pileup.tallies(alignments, written(marks, f"{keep}/marks"), radius), f"{keep}/counted")
+
+
+def _bases(t: DataFrame, before: int) -> DataFrame:
+    """chrom, pos, n and n_A to n_T; before templates are merged or after."""
+    base = lambda k: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n"))), F.lit(0))
+    each = t.filter((F.col("what") == base_kernels.BASE) & (F.col("orientation") == before))
+    return each.groupBy("chrom", "pos").agg(F.sum("n").alias("n"), *[base(k).alias(f"n_{b}") for k, b in enumerate(dna.BASES)])
+
+
+def _of_tallies(at: DataFrame, t: DataFrame, refs: DataFrame, alu: DataFrame | None, radius: int, keep: str) -> DataFrame:
+    good = at.filter("alt is not null")
+    own = good.select("ord", "chrom", F.col("p0").alias("pos")).join(t.filter(F.col("what") < base_kernels.BASE), ["chrom", "pos"])
+    own = written(own.select("ord", "kind", F.col("what").alias("i"), "v", "orientation", "n"), f"{keep}/own")
+    swept = lambda what, name: t.filter(F.col("what") == what).select("chrom", F.when(F.col("kind") == 0, "A").otherwise("T").alias("lr"), F.col("pos").alias("x"), *[F.col(c).alias(name + n) for n, c in zip("tsp", "nsp")])
+    reuse = _swept(good, swept(base_kernels.STEP, ""), swept(base_kernels.SELF, "own_"))
+    return _together(at, _of_own(own), _rates(good, _with_base(_bases(t, 0), refs), radius).join(reuse, "ord", "full"), alu)
+
+
+def _marks(shapes: DataFrame, refs: DataFrame, sites: DataFrame) -> DataFrame:
+    """shapes (chrom, pos, cigar) with path and marks, the texts of the path's pieces, for base_kernels.tally(). Those without a known base are left out."""
+    grain = base_kernels.GRAIN
+    here = sites.select("chrom", F.col("p0").alias("pos")).distinct().withColumn("site", F.lit(True))
+    base = F.upper("base")
+    letter = F.when(~base.isin(*dna.BASES), "N").when(F.col("site"), F.lower(base)).otherwise(base)
+    each = refs.join(here, ["chrom", "pos"], "left").select("chrom", F.floor(F.col("pos") / grain).alias("piece"), F.struct(F.pmod("pos", F.lit(grain)).cast("int").alias("at"), F.coalesce(letter, F.lit("N")).alias("b")).alias("x"))
+    pieces = each.groupBy("chrom", "piece").agg(F.array_sort(F.collect_list("x")).alias("a"))
+    unknown = lambda x, i: F.repeat(F.lit("N"), x["at"] - F.coalesce(F.get("a", i - 1)["at"], F.lit(-1)) - 1)
+    pieces = pieces.select("chrom", "piece", F.rpad(F.array_join(F.transform("a", lambda x, i: F.concat(unknown(x, i), x["b"])), ""), grain, "N").alias("text"))
+    shapes = shapes.withColumn("path", pileup.path())
+    parts = shapes.select("chrom", "path").distinct().select("chrom", "path", F.posexplode("path").alias("i", "piece")).join(pieces, ["chrom", "piece"], "left")
+    whole = parts.groupBy("chrom", "path").agg(F.array_sort(F.collect_list(F.struct("i", F.coalesce("text", F.lit("N" * grain)).alias("text")))).alias("t"), F.count("text").alias("n"))
+    return shapes.join(whole.filter("n > 0").select("chrom", "path", F.array_join(F.transform("t", lambda x: x["text"]), "").alias("marks")), ["chrom", "path"]).select("chrom", "pos", "cigar", "path", "marks")
+
+
+def _known(sites: DataFrame, refs: DataFrame, radius: int, keep: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """sites, the same with_reference(), and refs around them, as tables."""
     # read by every part; and Spark knows the sizes of tables, so it is these that it broadcasts, if any, not observations
     sites = written(sites, f"{keep}/found")
-    obs = around(obs, sites, radius)
     refs = written(around(refs, sites, radius), f"{keep}/refs")
-    at = written(with_reference(sites, refs), f"{keep}/sites")
+    return sites, written(with_reference(sites, refs), f"{keep}/sites"), refs
+
+
+def _together(at: DataFrame, own: DataFrame, near: DataFrame, alu: DataFrame | None) -> DataFrame:
     good = at.filter("alt is not null")
-    own, near = own_features(good, obs, f"{keep}/own"), neighbour_features(good, obs, refs, radius)
     if alu is None:
         flagged = good.withColumn("alu", F.lit(False))
     else:

@@ -113,19 +113,43 @@ def _quals() -> Column:
     return F.arrow_udf(base_kernels.qual_bytes, "binary")("qual").alias("quals")
 
 
-def merged_observations(alignments: DataFrame, min_bq: int = MIN_BQ, columns: tuple[str, ...] = tuple(OBSERVED)) -> DataFrame:
-    """Some columns of merge_templates(observations(alignments)). Records of a template meet as records, in order of place, and are merged in their task: no single base is shuffled."""
+def _template_records(alignments: DataFrame) -> DataFrame:
+    """What merging needs of usable records."""
     size = F.length("seq")
     reverse, last = F.col("flag").bitwiseAND(16) != 0, F.col("flag").bitwiseAND(128) != 0
-    reads = usable(alignments).filter((size > 0) & F.col("qual").isNotNull() & F.col("cigar").isNotNull()).select(
+    return usable(alignments).filter((size > 0) & F.col("qual").isNotNull() & F.col("cigar").isNotNull()).select(
         "chrom", F.concat(F.coalesce("rg", F.lit("")), F.lit("\x00"), dna.template_name(F.col("qname"))).alias("template"), F.col("pos").cast("long").alias("pos"), F.col("ord").cast("long").alias("ord"), "cigar", "seq", _quals(),
         F.when(F.col("mapq") == 255, F.lit(float("nan"))).otherwise(F.col("mapq").cast("double")).alias("mapq"),
         F.when(reverse != last, 1).otherwise(0).alias("orientation"),
         (cg.total(F.col("cigar"), "S").cast("double") / F.greatest(size, F.lit(1))).alias("softclip_fraction"),
     )
-    ordered = reads.repartition("chrom", "template").sortWithinPartitions("chrom", "template", "pos")
+
+
+def _by_template(records: DataFrame) -> DataFrame:
+    return records.repartition("chrom", "template").sortWithinPartitions("chrom", "template", "pos")
+
+
+def merged_observations(alignments: DataFrame, min_bq: int = MIN_BQ, columns: tuple[str, ...] = tuple(OBSERVED)) -> DataFrame:
+    """Some columns of merge_templates(observations(alignments)). Records of a template meet as records, in order of place, and are merged in their task: no single base is shuffled."""
     names = list(columns)
-    return ordered.mapInArrow(lambda batches: base_kernels.merge(batches, min_bq, names), ", ".join(f"{c} {OBSERVED[c]}" for c in names))
+    return _by_template(_template_records(alignments)).mapInArrow(lambda batches: base_kernels.merge(batches, min_bq, names), ", ".join(f"{c} {OBSERVED[c]}" for c in names))
+
+
+def path() -> Column:
+    """The pieces of base_kernels.GRAIN places that the blocks of a record (pos, cigar) touch, ascending."""
+    piece = lambda p: F.floor(p / base_kernels.GRAIN)
+    each = F.transform(cg.blocks(F.col("pos"), F.col("cigar")), lambda x: F.sequence(piece(x["ref"]), piece(x["ref"] + x["n"] - 1)))
+    return F.array_distinct(F.flatten(each)).alias("path")
+
+
+def tallies(alignments: DataFrame, marks: DataFrame, radius: int, min_bq: int = MIN_BQ) -> DataFrame:
+    """base_kernels.tally() of the merged observations: they are counted in the task that merges them, and no row is a base.
+
+    marks: chrom, pos, cigar of the records to look at, with path() and its marks; other records are left out.
+    """
+    met = _template_records(alignments).join(marks, ["chrom", "pos", "cigar"])
+    each = _by_template(met).mapInArrow(lambda batches: base_kernels.tally(batches, min_bq, radius), base_kernels.TALLY)
+    return each.groupBy("what", "chrom", "pos", "kind", "v", "orientation").agg(*[F.sum(c).alias(c) for c in "nsp"])
 
 
 def counted_bases(alignments: DataFrame, min_bq: int = MIN_BQ) -> DataFrame:

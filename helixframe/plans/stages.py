@@ -232,12 +232,11 @@ class Run:
 
         _, tiles = self.reference()
         model = trees.load_model(self.spark, self.p.model, n_trees=self.p.n_trees)
-        obs = pileup.merged_observations(self.alignments())
         alu = text.read_bed(self.spark, self.p.alu) if self.p.alu else None
         sites = self.listed_sites().select("ord", "chrom", "pos")
         around = sites.select("chrom", F.explode(F.sequence(F.greatest(F.col("pos") - 1 - features.RADIUS, F.lit(0)), F.col("pos") + features.RADIUS)).alias("pos")).distinct()
         keep = f"{self.p.out.rstrip('/')}/score.observations"
-        found = features.features(sites, obs, pileup.bases_at(around, tiles, self.p.tile), alu, keep=keep)
+        found = features.record_features(sites, self.alignments(), pileup.bases_at(around, tiles, self.p.tile), alu, keep=keep)
         self.write("score", features.score(found, model))
         files.remove(keep)
 
