@@ -14,10 +14,11 @@ LONGEST = 500_000
 SHIFT = 3
 
 
-def observed(alignments: DataFrame) -> DataFrame:
-    """chrom, start, end, minus, n, mapq_sum of the introns in alignments (strand: the record's)."""
-    j = alignments.select("chrom", "mapq", (F.col("flag").bitwiseAND(16) != 0).alias("minus"), F.explode(cg.introns(F.col("pos"), F.col("cigar"))).alias("j"))
-    return support(j.select("chrom", "j.start", "j.end", "minus", F.lit(1).cast("long").alias("n"), F.col("mapq").cast("long").alias("mapq_sum")))
+def observed(alignments: DataFrame, copies: str | None = None) -> DataFrame:
+    """chrom, start, end, minus, n, mapq_sum of the introns in alignments (strand: the record's). copies: a column of how many equal records each stands for."""
+    n = (F.col(copies) if copies else F.lit(1)).cast("long")
+    j = alignments.select("chrom", "mapq", n.alias("n"), (F.col("flag").bitwiseAND(16) != 0).alias("minus"), F.explode(cg.introns(F.col("pos"), F.col("cigar"))).alias("j"))
+    return support(j.select("chrom", "j.start", "j.end", "minus", "n", (F.col("mapq").cast("long") * F.col("n")).alias("mapq_sum")))
 
 
 def support(rows: DataFrame) -> DataFrame:

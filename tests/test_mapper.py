@@ -173,3 +173,23 @@ def test_pairs_of_the_query_are_judged_without_bases(spark, sf, monkeypatch):
     monkeypatch.setattr(mapper, "pair_records", lambda r, *a: seen.append(r.columns) or real(r, *a))
     alignment.mapped_pairs(spark, sf)
     assert not {"seq", "qual"} & set(seen[0])
+
+
+def test_equal_sequences_pass_both_passes_once(spark, monkeypatch):
+    seq = dna(3000, 31)
+    tiles, width = tiles_of(spark, seq)
+    lib = spark.createDataFrame([("chr1", 1085, 1300, False, 1)], "chrom string, start long, end long, minus boolean, support long")
+    spliced, back = seq[1000:1085] + seq[1300:1315], rc(seq[200:300])
+    qual = ["".join(chr(40 + (i + j) % 30) for j in range(100)) for i in range(9)]
+    rows = [(i, f"r{i}", (spliced, back)[i % 2], qual[i]) for i in range(8)] + [(8, "e", "", "")]
+    seen, real = [], mapper.align
+    monkeypatch.setattr(mapper, "align", lambda reads, *a, **b: seen.append(reads.count()) or real(reads, *a, **b))
+    records, library = mapper.two_pass(spark.createDataFrame(rows, READS), tiles, width, lib, kmer=11, w=5)
+    assert seen == [2] and records.columns == mapper.RECORD == mapper.to_records(real(spark.createDataFrame(rows, READS), tiles, width, kmer=11, w=5)).columns
+    got = {r["ord"]: r for r in records.withColumn("t", cg.text(F.col("cigar"))).collect()}
+    phred = [[ord(c) - 33 for c in q] for q in qual]
+    for i in range(8):
+        want = (0, 1000, "85M215N15M", spliced, phred[i]) if i % 2 == 0 else (16, 200, "100M", rc(back), phred[i][::-1])
+        assert tuple(got[i][c] for c in ("flag", "pos", "t", "seq", "qual")) == want and got[i]["qname"] == f"r{i}"
+    assert (got[8]["flag"], got[8]["chrom"], got[8]["pos"], got[8]["t"], got[8]["qual"]) == (4, None, -1, "*", [])
+    assert [r["support"] for r in library.collect()] == [5]  # the annotation's and four reads'
